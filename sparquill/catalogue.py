@@ -1,6 +1,563 @@
-"""The queries over the driver's tables and their SQL."""
+"""The queries over the driver's tables and their SQL.
+
+Every operator family of the engine has a query here that runs over a whole
+table; the SQL beside it states the same for DuckDB.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sparquill.functions import text as T
+from sparquill.operators import folds, validate
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def register(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def count() -> Column:
+    return F.count("*").cast("long")
+
+
+def long(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("long")
+
+
+# -- lines and sections -----------------------------------------------------
+
+_LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)"
+
+
+def _lines(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+
+
+@query(
+    f"""
+WITH l AS (SELECT *, CASE WHEN len(trim(line)) BETWEEN 1 AND 40 THEN pos END AS head FROM {_LINES}),
+s AS (SELECT *, last_value(head IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos) AS section FROM l)
+SELECT doc_id, CAST(coalesce(section, -1) AS BIGINT) AS section, count(*) AS n_lines, CAST(sum(len(line)) AS BIGINT) AS n_chars,
+  max(CASE WHEN pos = section THEN trim(line) END) AS heading
+FROM s GROUP BY ALL
+"""
+)
+def doc_sections(table):
+    """Lines carried under the last heading before them, collected per section."""
+    head = F.when(F.length(F.trim("line")).between(1, 40), F.col("pos"))
+    lines = folds.carry_forward(_lines(table("documents")).withColumn("head", head), "head", ["doc_id"], ["pos"], "section")
+    return lines.groupBy("doc_id", long(F.coalesce("section", F.lit(-1))).alias("section")).agg(
+        count().alias("n_lines"), long(F.sum(F.length("line"))).alias("n_chars"), F.max(F.when(F.col("pos") == F.col("section"), F.trim("line"))).alias("heading")
+    )
+
+
+@query(
+    f"""
+SELECT doc_id, CAST(pos AS BIGINT) AS pos,
+  CASE WHEN len(line) > 400 THEN 'Title' WHEN len(line) > 200 THEN 'Heading' WHEN len(line) > 40 THEN 'Body' ELSE 'SmallText' END AS class,
+  CASE WHEN starts_with(t, 'Opcode') OR t IN ('Instruction', 'Instruction Operand Encoding') THEN 'Instruction' WHEN t = 'Description' THEN 'Description'
+    WHEN t = 'Operation' THEN 'Operation' WHEN t IN ('Flags Affected', 'FPU Flags Affected') THEN 'FlagsAffected' WHEN contains(t, 'Intrinsic') THEN 'Intrinsic'
+    WHEN ends_with(t, 'Exceptions') THEN 'Exceptions' WHEN starts_with(t, 'Table ') OR t IN ('Effective Operand Size', 'NOTES') THEN 'Other' END AS section
+FROM (SELECT *, trim(line) AS t FROM {_LINES})
+"""
+)
+def doc_line_classes(table):
+    """Size class and section rule of every line; lengths stand for font scales."""
+    n = F.length("line")
+    size = T.first_of((n > 400, "Title"), (n > 200, "Heading"), (n > 40, "Body"), default="SmallText")
+    return _lines(table("documents")).select("doc_id", long("pos").alias("pos"), size.alias("class"), T.detect_section(F.col("line")).alias("section"))
+
+
+@query(
+    r"""
+SELECT doc_id, CAST(len(p) AS BIGINT) AS n, array_to_string([CASE WHEN ends_with(x, '.') THEN x ELSE x || '.' END FOR x IN p], '|') AS sentences
+FROM (SELECT doc_id, list_filter(string_split(text, '. '), lambda x: trim(x) <> '') AS p FROM documents)
+"""
+)
+def doc_sentences(table):
+    return table("documents").select("doc_id", T.sentences(F.col("text")).alias("s")).select("doc_id", long(F.size("s")).alias("n"), F.array_join("s", "|").alias("sentences"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS plain FROM documents")
+def ws_normalize(table):
+    return table("documents").select("doc_id", T.normalize_whitespace(F.col("text")).alias("plain"))
+
+
+@query(f"SELECT event_id, translate(props, '{T.SUPER[0]}', '{T.SUPER[1]}') AS raised, translate(props, '{T.SUB[0]}', '{T.SUB[1]}') AS lowered FROM events")
+def char_substitution(table):
+    return table("events").select("event_id", T.superscript(F.col("props")).alias("raised"), T.subscript(F.col("props")).alias("lowered"))
+
+
+@query("SELECT doc_id, CAST(len(text) - len(replace(text, '#', '')) AS BIGINT) AS n_junk, CAST((len(text) - len(replace(text, '!!', ''))) // 2 AS BIGINT) AS n_bangs FROM documents")
+def replacement_count(table):
+    return table("documents").select("doc_id", T.occurrences(F.col("text"), "#").alias("n_junk"), T.occurrences(F.col("text"), "!!").alias("n_bangs"))
+
+
+@query(
+    r"""
+WITH t AS (SELECT p_partkey, upper(p_type) || ' - ' || p_name AS title FROM part), n AS (SELECT *, trim(split_part(title, ' - ', 1)) AS name FROM t)
+SELECT p_partkey, regexp_matches(trim(title), '^[A-Z]') AND regexp_matches(name, '^[A-Z0-9/,\[\] .]+$') AND regexp_matches(name, '[A-Z]{2}') AS is_title,
+  name AS title, trim(substr(title, instr(title, ' - ') + 3)) AS summary FROM n
+"""
+)
+def title_predicate(table):
+    title = F.concat(F.upper("p_type"), F.lit(" - "), "p_name")
+    parsed = T.parse_title(title)
+    return table("part").select("p_partkey", T.is_title(title).alias("is_title"), parsed["title"].alias("title"), parsed["summary"].alias("summary"))
+
+
+# -- markup -----------------------------------------------------------------
+
+_TAGS = r"'<(/?[a-z][a-z0-9]*)[^>]*>'"
+
+
+@query(
+    rf"""
+SELECT page_id, tag, count(*) AS n, CAST(min(pos) AS BIGINT) AS first_pos
+FROM (SELECT page_id, unnest(t) AS tag, unnest(range(len(t))) AS pos FROM (SELECT page_id, regexp_extract_all(html, {_TAGS}, 1) AS t FROM pages)) GROUP BY ALL
+"""
+)
+def html_sections(table):
+    tags = table("pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"<(/?[a-z][a-z0-9]*)[^>]*>"), 1)).alias("pos", "tag"))
+    return tags.groupBy("page_id", "tag").agg(count().alias("n"), long(F.min("pos")).alias("first_pos"))
+
+
+@query(
+    r"""
+SELECT page_id, CAST(len(a) AS BIGINT) AS n, array_to_string(a, ' ') AS links, regexp_extract(html, 'lang="([^"]*)"', 1) AS lang
+FROM (SELECT page_id, html, regexp_extract_all(html, 'href="([^"]*)"', 1) AS a FROM pages)
+"""
+)
+def html_attrs(table):
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
+    return table("pages").select("page_id", long(F.size(links)).alias("n"), F.array_join(links, " ").alias("links"), F.regexp_extract("html", 'lang="([^"]*)"', 1).alias("lang"))
+
+
+@query(
+    rf"""
+WITH t AS (SELECT page_id, unnest(t) AS tag, unnest(range(len(t))) AS pos FROM (SELECT page_id, regexp_extract_all(html, {_TAGS}, 1) AS t FROM pages)),
+u AS (SELECT *, CASE WHEN tag IN ('meta', 'br') THEN 0 WHEN starts_with(tag, '/') THEN -1 ELSE 1 END AS step FROM t),
+d AS (SELECT page_id, step, sum(step) OVER (PARTITION BY page_id ORDER BY pos) AS depth FROM u)
+SELECT page_id, CAST(max(depth) AS BIGINT) AS deepest, CAST(sum(step) AS BIGINT) AS last_depth FROM d GROUP BY ALL
+"""
+)
+def html_depth(table):
+    tags = table("pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"<(/?[a-z][a-z0-9]*)[^>]*>"), 1)).alias("pos", "tag"))
+    step = F.when(F.col("tag").isin("meta", "br"), 0).when(F.col("tag").startswith("/"), -1).otherwise(1)
+    deep = folds.running_sum(tags.withColumn("step", step), "step", ["page_id"], ["pos"], "depth")
+    return deep.groupBy("page_id").agg(long(F.max("depth")).alias("deepest"), long(F.sum("step")).alias("last_depth"))
+
+
+# -- ordered state ----------------------------------------------------------
+
+
+@query(
+    """
+SELECT event_id, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER w % 2 AS BIGINT) AS inside,
+  coalesce(lag(event_type) OVER w, '') AS before, coalesce(lead(event_type) OVER w, '') AS after
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)
+"""
+)
+def toggle_segments(table):
+    """A flag that each error turns on or off, with the rows beside."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    on = folds.running_sum(table("events").withColumn("fence", (F.col("event_type") == "error").cast("int")), "fence", ["user_id"], ["event_id"], "fences")
+    return on.select("event_id", long(F.col("fences") % 2).alias("inside"), F.coalesce(F.lag("event_type").over(w), F.lit("")).alias("before"), F.coalesce(F.lead("event_type").over(w), F.lit("")).alias("after"))
+
+
+@query(
+    """
+WITH e AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id) AS epoch FROM events)
+SELECT event_id, CAST(epoch AS BIGINT) AS epoch, round(sum(value) OVER (PARTITION BY user_id, epoch ORDER BY event_id), 4) AS pen FROM e
+"""
+)
+def state_replay(table):
+    """An absolute set (error) opens an epoch; other rows add to the value of theirs."""
+    return folds.replay(table("events"), F.col("event_type") == "error", "value", ["user_id"], ["event_id"]).select(
+        "event_id", long("epoch").alias("epoch"), F.round("state", 4).alias("pen")
+    )
+
+
+@query(
+    """
+SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS last_price,
+  last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS last_signup FROM events
+"""
+)
+def carry_forward(table):
+    e = table("events")
+    e = folds.carry_forward(e.withColumn("p", F.when(F.col("event_type") == "purchase", F.col("value"))), "p", ["user_id"], ["event_id"], "last_price")
+    return folds.carry_forward(e.withColumn("s", F.when(F.col("event_type") == "signup", F.col("event_id"))), "s", ["user_id"], ["event_id"], "last_signup").select(
+        "event_id", "last_price", "last_signup"
+    )
+
+
+@query(
+    """
+SELECT o_custkey, o_orderkey AS low, lead(o_orderkey) OVER w AS high, CAST(row_number() OVER w - 1 AS BIGINT) AS band FROM orders
+WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey) QUALIFY high IS NOT NULL
+"""
+)
+def adjacent_bands(table):
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    return table("orders").select("o_custkey", F.col("o_orderkey").alias("low"), F.lead("o_orderkey").over(w).alias("high"), long(F.row_number().over(w) - 1).alias("band")).where("high is not null")
+
+
+@query(
+    """
+WITH l AS (SELECT l_orderkey, list(l_quantity ORDER BY l_linenumber, l_quantity) AS q FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, array_to_string(list_transform(list_reduce(q, lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: abs(y - x[1]) < 2)) > 0 THEN acc ELSE list_append(acc, x[1]) END, []), lambda v: CAST(CAST(floor(v) AS BIGINT) AS VARCHAR)), ',') AS bands
+FROM (SELECT l_orderkey, list_transform(q, lambda v: [v]) AS q FROM l)
+"""
+)
+def tolerance_bands(table):
+    """Distinct quantities of an order within a tolerance; the first of each band stands for it."""
+    q = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))), lambda s: s["l_quantity"])
+    bands = table("lineitem").groupBy("l_orderkey").agg(folds.tolerance_distinct(q, 2.0).alias("b"))
+    return bands.select("l_orderkey", F.array_join(F.transform("b", lambda v: F.floor(v).cast("long").cast("string")), ",").alias("bands"))
+
+
+# -- geometry over line items -----------------------------------------------
+
+_BOX = "SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS BIGINT) AS l_linenumber, l_quantity AS x0, l_discount * 100 AS y0, l_quantity + l_tax * 100 AS x1, l_discount * 100 + 2 AS y1 FROM lineitem"
+
+
+def _boxes(table) -> DataFrame:
+    q, d = F.col("l_quantity"), F.col("l_discount") * 100
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+    return table("lineitem").select("l_orderkey", long(number).alias("l_linenumber"), q.alias("x0"), d.alias("y0"), (q + F.col("l_tax") * 100).alias("x1"), (d + 2).alias("y1"))
+
+
+@query(f"SELECT l_orderkey, round(min(x0), 6) AS x0, round(min(y0), 6) AS y0, round(max(x1), 6) AS x1, round(max(y1), 6) AS y1, count(*) AS n FROM ({_BOX}) GROUP BY l_orderkey")
+def bounding_boxes(table):
+    return _boxes(table).groupBy("l_orderkey").agg(
+        *(F.round(f(c), 6).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))), count().alias("n")
+    )
+
+
+_PAIRS = f"""
+b AS ({_BOX}),
+p AS (SELECT a.l_orderkey, a.l_linenumber AS i, c.l_linenumber AS j FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.l_linenumber < c.l_linenumber
+  AND a.x0 <= c.x1 AND c.x0 <= a.x1 AND a.y0 <= c.y1 AND c.y0 <= a.y1)"""
+
+
+@query(f"WITH {_PAIRS} SELECT l_orderkey, i, j FROM p")
+def rect_overlap_pairs(table):
+    return folds.overlapping(_boxes(table), "l_orderkey", "l_linenumber").select("l_orderkey", "i", "j")
+
+
+@query(
+    f"""
+WITH RECURSIVE {_PAIRS},
+e AS (SELECT l_orderkey, i, j FROM p UNION SELECT l_orderkey, j, i FROM p),
+r(l_orderkey, l_linenumber, root) AS (
+  SELECT l_orderkey, l_linenumber, l_linenumber FROM b
+  UNION SELECT r.l_orderkey, e.j, r.root FROM r JOIN e ON r.l_orderkey = e.l_orderkey AND r.l_linenumber = e.i)
+SELECT l_orderkey, l_linenumber, min(root) AS component FROM r GROUP BY ALL
+"""
+)
+def overlap_components(table):
+    """Connected groups of overlapping boxes of an order, by their smallest line number."""
+    return folds.overlap_components(_boxes(table), "l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber", "component")
+
+
+@query(
+    """
+WITH c AS (SELECT p_partkey, p_size AS lo, p_size + 5 AS hi, p_partkey % 50 AS page FROM part)
+SELECT l_orderkey, l_linenumber, min(p_partkey) AS cell FROM lineitem JOIN c ON l_partkey % 50 = page AND l_quantity BETWEEN lo - 1 AND hi + 1 GROUP BY ALL
+"""
+)
+def point_in_cell(table):
+    """The first cell of the page that holds a point, with a tolerance of one."""
+    cells = table("part").select("p_partkey", F.col("p_size").alias("lo"), (F.col("p_size") + 5).alias("hi"), (F.col("p_partkey") % 50).alias("page"))
+    points = table("lineitem").withColumn("page", F.col("l_partkey") % 50)
+    return folds.first_range_match(points, cells, "page", F.col("l_quantity").between(F.col("lo") - 1, F.col("hi") + 1), ["l_orderkey", "l_linenumber"], "p_partkey", "cell")
+
+
+@query(
+    """
+WITH c AS (SELECT l_orderkey, l_linenumber, string_agg(l_returnflag || l_linestatus, ' ' ORDER BY l_partkey, l_suppkey, l_returnflag, l_linestatus) AS t FROM lineitem GROUP BY ALL),
+n AS (SELECT l_orderkey, max(l_linenumber) AS n FROM c GROUP BY ALL),
+g AS (SELECT n.l_orderkey, unnest(range(1, n.n + 1)) AS k FROM n)
+SELECT g.l_orderkey, '| ' || string_agg(coalesce(c.t, ''), ' | ' ORDER BY g.k) || ' |' AS row FROM g LEFT JOIN c ON g.l_orderkey = c.l_orderkey AND g.k = c.l_linenumber GROUP BY ALL
+"""
+)
+def grid_pivot(table):
+    """Cells joined in order, laid on a full grid of columns, empty where none is."""
+    cells = table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))), lambda s: F.concat(s["l_returnflag"], s["l_linestatus"])), " ").alias("t")
+    )
+    return folds.grid_rows(cells, ["l_orderkey"], "l_linenumber", "t").select("l_orderkey", T.markdown_row(F.col("cells")).alias("row"))
+
+
+@query(
+    """
+SELECT p.event_id, h.event_id AS heading, round(p.value - h.value, 6) AS distance
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') h ON p.user_id = h.user_id AND h.value <= p.value
+QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY h.value DESC, h.event_id) = 1
+"""
+)
+def nearest_above(table):
+    """The nearest heading (signup) at or below each row's value, the earlier of equal ones."""
+    e = table("events")
+    heads = e.where("event_type = 'signup'").select(F.col("user_id").alias("u"), F.col("event_id").alias("heading"), F.col("value").alias("at"))
+    return folds.nearest(e.where("event_type = 'purchase'"), heads, F.col("user_id") == F.col("u"), "value", "at", "heading", ["event_id"]).select(
+        "event_id", "heading", F.round(F.col("value") - F.col("at"), 6).alias("distance")
+    )
+
+
+# -- joins and keys ---------------------------------------------------------
+
+
+@query("SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)")
+def anti_consumed(table):
+    return table("customer").join(table("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+
+
+@query("SELECT n_name, count(s_suppkey) AS n, CAST(min(s_suppkey) AS BIGINT) AS first FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")
+def name_join(table):
+    return table("nation").join(table("supplier"), F.col("s_nationkey") == F.col("n_nationkey"), "left").groupBy("n_name").agg(long(F.count("s_suppkey")).alias("n"), long(F.min("s_suppkey")).alias("first"))
+
+
+@query(
+    """
+SELECT l_suppkey, l_quantity AS upper_median FROM (
+  SELECT l_suppkey, l_quantity, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS r, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem) WHERE r = n // 2 + 1
+"""
+)
+def upper_median(table):
+    """The element at n div 2 of the sorted values, from counts of distinct values, so a group is never collected."""
+    return folds.upper_median(table("lineitem"), ["l_suppkey"], "l_quantity", "upper_median")
+
+
+@query(
+    """
+SELECT l_orderkey, l_quantity AS dominant, n FROM (SELECT l_orderkey, l_quantity, count(*) AS n, min(l_linenumber) AS seen FROM lineitem GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, seen DESC, l_quantity DESC) = 1
+"""
+)
+def dominant_bucket(table):
+    """The most frequent value; among equals the one first seen last."""
+    n = table("lineitem").groupBy("l_orderkey", "l_quantity").agg(count().alias("n"), F.min("l_linenumber").alias("seen"))
+    best = F.max(F.struct("n", "seen", "l_quantity"))
+    return n.groupBy("l_orderkey").agg(best.alias("m")).select("l_orderkey", F.col("m.l_quantity").alias("dominant"), F.col("m.n").alias("n"))
+
+
+@query("SELECT o_custkey, arg_min(o_orderstatus, o_orderkey) AS status, min(o_orderkey) AS at FROM orders GROUP BY o_custkey")
+def first_per_key(table):
+    return table("orders").groupBy("o_custkey").agg(F.min_by("o_orderstatus", "o_orderkey").alias("status"), F.min("o_orderkey").alias("at"))
+
+
+@query("SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status, max(o_orderkey) AS at FROM orders GROUP BY o_custkey")
+def last_per_key(table):
+    return table("orders").groupBy("o_custkey").agg(F.max_by("o_orderstatus", "o_orderkey").alias("status"), F.max("o_orderkey").alias("at"))
+
+
+@query(
+    """
+SELECT p_partkey, v || CASE WHEN k = 0 THEN '' ELSE '_' || k END AS variant FROM (
+  SELECT p_partkey, upper(p_name[1]) || lower(p_name[2:]) AS v, row_number() OVER (PARTITION BY upper(p_name[1]) || lower(p_name[2:]) ORDER BY p_partkey) - 1 AS k FROM part)
+"""
+)
+def dup_suffix(table):
+    variant = F.concat(F.upper(F.substring("p_name", 1, 1)), F.lower(F.expr("substring(p_name, 2)")))
+    return folds.suffixed(table("part").withColumn("v", variant), "v", ["p_partkey"], "variant").select("p_partkey", "variant")
+
+
+@query(
+    """
+SELECT p_partkey, coalesce(CASE p_type WHEN 'ECONOMY ANODIZED STEEL' THEN 'template' END,
+  CASE WHEN regexp_matches(p_type, '^PROMO.*BRASS') THEN 'cc' END,
+  CASE WHEN regexp_matches(p_type, '^(SMALL|LARGE)') THEN 'size' WHEN regexp_matches(p_type, '(TIN|STEEL)$') THEN 'metal' WHEN regexp_matches(p_type, '^S') THEN 's' END, 'fallback') AS rule
+FROM part
+"""
+)
+def ranked_dispatch(table):
+    """Exact key, then condition code, then the first of ranked patterns, then a fallback."""
+    kind = F.col("p_type")
+    exact = F.when(kind == "ECONOMY ANODIZED STEEL", "template")
+    code = F.when(kind.rlike("^PROMO.*BRASS"), "cc")
+    pattern = T.first_of((kind.rlike("^(SMALL|LARGE)"), "size"), (kind.rlike("(TIN|STEEL)$"), "metal"), (kind.rlike("^S"), "s"))
+    return table("part").select("p_partkey", F.coalesce(exact, code, pattern, F.lit("fallback")).alias("rule"))
+
+
+# -- sets, rules, reports ---------------------------------------------------
+
+_SETS = r"SELECT doc_id, list_sort(list_distinct(regexp_extract_all(text, '[!#$%&|]+'))) AS ops, list_sort(list_distinct(regexp_extract_all(lang || source || n_chars, '[0-9]'))) AS digits FROM documents"
+
+
+def _sets(table) -> DataFrame:
+    every = lambda c, p: F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(p), 0)))
+    return table("documents").select("doc_id", every(F.col("text"), "[!#$%&|]+").alias("ops"), every(F.concat("lang", "source", F.col("n_chars").cast("string")), "[0-9]").alias("digits"))
+
+
+@query(f"SELECT doc_id, array_to_string(ops, ' ') AS ops, array_to_string(digits, ' ') AS digits FROM ({_SETS})")
+def signature_sets(table):
+    return _sets(table).select("doc_id", F.array_join("ops", " ").alias("ops"), F.array_join("digits", " ").alias("digits"))
+
+
+@query(
+    f"""
+SELECT doc_id, array_to_string(list_filter(digits, lambda d: NOT list_contains(['0', '1', '2', '3'], d)), ' ') AS extra,
+  array_to_string(list_filter(['0', '1', '2', '3'], lambda d: NOT list_contains(digits, d)), ' ') AS missing,
+  list_has_any(digits, ['0', '1', '2', '3']) AS meets FROM ({_SETS})
+"""
+)
+def signature_diff(table):
+    expected = F.array(*map(F.lit, "0123"))
+    return _sets(table).select(
+        "doc_id",
+        F.array_join(F.array_except("digits", expected), " ").alias("extra"),
+        F.array_join(F.array_except(expected, "digits"), " ").alias("missing"),
+        F.arrays_overlap("digits", expected).alias("meets"),
+    )
+
+
+_RULES = """
+SELECT d.doc_id, lang, quality, list_filter([CASE WHEN contains(text, '!!') THEN 'loud' END, CASE WHEN contains(text, '|') THEN 'minor: table' END,
+  CASE WHEN n_chars < 200 THEN 'minor: short' END], lambda x: x IS NOT NULL) AS issues FROM documents d JOIN labels l USING (doc_id)"""
+_VERDICT = "CASE WHEN quality IS NULL THEN 'EXCEPTION_STUB' WHEN len(issues) = 0 THEN 'CORRECT' WHEN len(list_filter(issues, lambda x: NOT starts_with(x, 'minor'))) = 0 THEN 'ACCEPTABLE' ELSE 'WRONG' END"
+
+
+def _judged(table) -> DataFrame:
+    docs = table("documents").join(table("labels"), "doc_id")
+    rules = [(F.contains("text", F.lit("!!")), "loud"), (F.contains("text", F.lit("|")), "minor: table"), (F.col("n_chars") < 200, "minor: short")]
+    issues = validate.issues(rules)
+    return docs.withColumn("issues", issues).withColumn("verdict", validate.verdict(F.col("issues"), F.col("quality").isNull(), minor="minor"))
+
+
+@query(f"SELECT doc_id, array_to_string(issues, ';') AS issues, {_VERDICT} AS verdict FROM ({_RULES})")
+def rule_verdicts(table):
+    return _judged(table).select("doc_id", F.array_join("issues", ";").alias("issues"), "verdict")
+
+
+@query(
+    f"""
+SELECT lang, CAST(quality AS INTEGER) AS quality, CAST(grouping(lang, quality) AS BIGINT) AS level, count(*) AS n, count(*) FILTER (verdict = 'CORRECT') AS n_correct,
+  count(*) FILTER (verdict = 'ACCEPTABLE') AS n_acceptable, count(*) FILTER (verdict = 'WRONG') AS n_wrong, CAST(100 * count(*) FILTER (verdict = 'CORRECT') // count(*) AS BIGINT) AS percent
+FROM (SELECT *, {_VERDICT} AS verdict FROM ({_RULES})) GROUP BY ROLLUP (lang, quality)
+"""
+)
+def verdict_rollup(table):
+    return validate.report(_judged(table), ["lang", "quality"])
+
+
+@query("SELECT upper(c_name[1]) || c_mktsegment[1] AS letter, count(*) AS n, string_agg(c_custkey, ',' ORDER BY c_custkey) AS members FROM customer WHERE c_custkey % 1 = 0 GROUP BY ALL")
+def letter_groups(table):
+    letter = F.concat(F.upper(F.substring("c_name", 1, 1)), F.substring("c_mktsegment", 1, 1))
+    return table("customer").groupBy(letter.alias("letter")).agg(count().alias("n"), F.array_join(F.array_sort(F.collect_list("c_custkey")), ",").alias("members"))
+
+
+@query(f"SELECT doc_id, array_to_string(issues, ';') AS issues FROM ({_RULES}) WHERE len(issues) > 0 ORDER BY len(issues) DESC, doc_id LIMIT 50")
+def top_errors(table):
+    """The report's first fifty documents with issues; the limit is the feature."""
+    bad = _judged(table).where(F.size("issues") > 0)
+    return bad.orderBy(F.size("issues").desc(), "doc_id").limit(50).select("doc_id", F.array_join("issues", ";").alias("issues"))
+
+
+@query(
+    """
+SELECT conv_id, string_agg(role, ',' ORDER BY seen) AS roles, count(*) AS n FROM (SELECT conv_id, role, min(turn) AS seen FROM conversations GROUP BY ALL) GROUP BY conv_id
+"""
+)
+def distinct_notes(table):
+    """Distinct values in order of first appearance."""
+    first = table("conversations").groupBy("conv_id", "role").agg(F.min("turn").alias("seen"))
+    return first.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seen", "role"))), lambda s: s["role"]), ",").alias("roles"), count().alias("n"))
+
+
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC, l_quantity, l_linenumber) AS place FROM lineitem")
+def page_order(table):
+    w = Window.partitionBy("l_orderkey").orderBy(F.desc("l_discount"), "l_quantity", "l_linenumber")
+    return table("lineitem").select("l_orderkey", "l_linenumber", long(F.row_number().over(w)).alias("place"))
+
+
+_RANGES = ((1, 1000), (2000, 3500), (6000, 6001))
+
+
+@query(" UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS range_id, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey >= {a} AND o_orderkey < {b}" for i, (a, b) in enumerate(_RANGES)))
+def union_ranges(table):
+    """Half-open key ranges, appended in order with their number."""
+    orders = table("orders")
+    parts = [orders.where((F.col("o_orderkey") >= a) & (F.col("o_orderkey") < b)).select(F.lit(i).cast("long").alias("range_id"), "o_orderkey", "o_orderstatus") for i, (a, b) in enumerate(_RANGES)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    """
+SELECT r_name, '| nation | key |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' |', chr(10) ORDER BY n_nationkey) AS md
+FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name
+"""
+)
+def markdown_table(table):
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda s: F.array(s["n_name"], s["n_nationkey"].cast("string")))
+    joined = table("nation").join(F.broadcast(table("region")), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(rows.alias("rows"))
+    return joined.select("r_name", F.array_join(T.markdown_table(F.array(F.lit("nation"), F.lit("key")), F.col("rows")), "\n").alias("md"))
+
+
+@query(
+    r"""
+SELECT p_partkey, regexp_replace(trim(translate(regexp_replace(p_name, '[(),]', '', 'g'), '/.', '__')), '\s+', '_', 'g') || '__' || p_partkey AS slug FROM part
+"""
+)
+def slug(table):
+    return table("part").select("p_partkey", T.slug(F.col("p_name"), F.col("p_partkey").cast("string")).alias("slug"))
+
+
+@query(
+    r"""
+SELECT page_id, CASE WHEN k = '' THEN 'Unknown' WHEN regexp_matches(k, '^[0-9]') THEN 'X' || upper(k[1]) || lower(k[2:]) ELSE upper(k[1]) || lower(k[2:]) END AS ident
+FROM (SELECT page_id, regexp_replace(replace(regexp_replace(url, '^https?://', ''), '.', '_'), '[^A-Za-z0-9_]', '', 'g') AS k FROM pages)
+"""
+)
+def ident(table):
+    return table("pages").select("page_id", T.identifier(F.regexp_replace("url", "^https?://", "")).alias("ident"))
+
+
+@query(
+    """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+m AS (SELECT doc_id, l, least(40, coalesce(list_min([len(x) - len(ltrim(x)) FOR x IN l IF trim(x) <> '']), 0)) AS n FROM l)
+SELECT doc_id, CAST(n AS BIGINT) AS indent, array_to_string([substr(x, CAST(n AS BIGINT) + 1) FOR x IN l], chr(10)) AS plain FROM m
+"""
+)
+def dedent(table):
+    lines = table("documents").select("doc_id", F.split("text", "\n").alias("l"))
+    blanks = F.transform(F.filter("l", lambda x: F.trim(x) != ""), lambda x: F.length(x) - F.length(F.ltrim(x)))
+    return lines.select("doc_id", long(F.least(F.lit(40), F.coalesce(F.array_min(blanks), F.lit(0)))).alias("indent"), F.array_join(T.dedent(F.col("l")), "\n").alias("plain"))
+
+
+@query(
+    """
+SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT user_id) AS BIGINT) AS users, string_agg(DISTINCT props[1:3], '' ORDER BY props[1:3]) AS heads FROM events GROUP BY event_type
+"""
+)
+def distinct_operators(table):
+    return table("events").groupBy("event_type").agg(count().alias("n"), long(F.count_distinct("user_id")).alias("users"), F.array_join(F.array_sort(F.collect_set(F.substring("props", 1, 3))), "").alias("heads"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size = 1 THEN '31' ELSE '31:' || greatest(0, 31 - (p_size - 1)) END AS label FROM part")
+def bit_labels(table):
+    return table("part").select("p_partkey", T.bit_label(F.lit(31), F.col("p_size")).alias("label"))
+
+
+@query(
+    """
+SELECT event_id, CASE WHEN abs(code) BETWEEN 32 AND 126 THEN chr(CAST(code AS INTEGER)) ELSE '?' END AS glyph FROM (SELECT event_id, event_id % 128 AS code FROM events)
+"""
+)
+def byte_glyphs(table):
+    code = (F.col("event_id") % 128).cast("int")
+    return table("events").select("event_id", F.when(code.between(32, 126), T.byte_to_text(code)).otherwise("?").alias("glyph"))
