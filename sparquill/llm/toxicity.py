@@ -71,16 +71,19 @@ class Transducer:
         return total
 
 
-def _window(opens: str, hits: str, reach: int, factor: float, eat: bool = False) -> Transducer:
-    """After a symbol of `opens`, the next of `hits` within `reach` symbols is multiplied by factor (and spent, if eat)."""
+def _window(opens: str, hits: str, reach: int, factor: float, eat: bool = False, idle: str = "") -> Transducer:
+    """After a symbol of `opens`, those of `hits` within `reach` symbols are multiplied by factor (only the next, if eat).
+
+    Elsewhere the symbols of `idle` have no weight.
+    """
     arcs = {}
     for state in range(reach + 1):
         for symbol in "OTNRHI":
             left = reach if symbol in opens else max(0, state - 1)
             if state and symbol in hits:
-                arcs[state, symbol] = (0 if eat else left, OTHER if eat and not factor else symbol, factor)
+                arcs[state, symbol] = (0 if eat else left, symbol, factor)
             else:
-                arcs[state, symbol] = (left, symbol, 1.0)
+                arcs[state, symbol] = (left, symbol, 0.0 if symbol in idle else 1.0)
     return Transducer(arcs)
 
 
@@ -90,7 +93,7 @@ def grammar(negated: float = 0.3, reported: float = 0.6, targeted: float = 1.5,
         _window(NEGATION, INSULT + THREAT, 3, negated, eat=True)
         .then(_window(REPORT, INSULT + THREAT, 12, reported))
         .then(_window(TARGET, INSULT, 4, targeted))
-        .then(_window(THREAT, TARGET + INSULT, 4, threatened))
+        .then(_window(THREAT, TARGET + INSULT, 4, threatened, idle=TARGET))
     )
 
 
@@ -126,8 +129,11 @@ class Model:
         for m in [*CLAUSE.finditer(text), None]:
             end = m.start() if m else len(text)
             path = [self.lexical(w) for w in WORD.findall(text[start:end].lower())]
-            if any(p[1] for p in path) and (score := self.machine.run([p[0] for p in path], [p[1] for p in path])) > 0:
-                yield start, end, score
+            if any(w for _, w in path):
+                # a target weighs like a threat, but the grammar lets it count only after one
+                weights = [self.threat if s == TARGET else w for s, w in path]
+                if (score := self.machine.run([s for s, _ in path], weights)) > 0:
+                    yield start, end, score
             start = m.end() if m else end
 
     def features(self, text: str) -> tuple[float, float]:
