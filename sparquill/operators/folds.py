@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,28 +47,29 @@ def overlapping(boxes: DataFrame, key: str, number: str) -> DataFrame:
 
 def overlap_components(boxes: DataFrame, key: str, number: str) -> DataFrame:
     """Every box with the smallest number of its connected group; groups never span keys, so a key (a page) is one task's unit."""
-    types = dict(boxes.dtypes)
-
-    def union(pdf):
-        import numpy as np
-
-        pdf = pdf.sort_values(number).reset_index(drop=True)
-        x0, y0, x1, y1 = (pdf[c].to_numpy() for c in ("x0", "y0", "x1", "y1"))
-        parent = list(range(len(pdf)))
+    def component(page: list[dict]) -> list[int]:
+        parent = list(range(len(page)))
 
         def root(i):
             while parent[i] != i:
                 parent[i] = i = parent[parent[i]]
             return i
 
-        for i in range(len(pdf)):
-            hits = np.flatnonzero((x0[i + 1 :] <= x1[i]) & (x0[i] <= x1[i + 1 :]) & (y0[i + 1 :] <= y1[i]) & (y0[i] <= y1[i + 1 :])) + i + 1
-            for j in hits:
-                a, b = root(i), root(int(j))
-                parent[max(a, b)] = min(a, b)
-        return pdf.assign(component=[pdf[number].iloc[root(i)] for i in range(len(pdf))])[[key, number, "component"]]
-
-    return boxes.groupBy(key).applyInPandas(union, f"{key} {types[key]}, {number} {types[number]}, component {types[number]}")
+        for j, b in enumerate(page):
+            for i, a in enumerate(page[:j]):
+                if a["x0"] <= b["x1"] and b["x0"] <= a["x1"] and a["y0"] <= b["y1"] and b["y0"] <= a["y1"]:
+                    x, y = root(i), root(j)
+                    parent[max(x, y)] = min(x, y)
+        return [page[root(i)]["n"] for i in range(len(page))]
+
+    @F.arrow_udf("array<bigint>")
+    def label(pages: pa.Array) -> pa.Array:
+        return pa.array([component(p) for p in pages.to_pylist()], pa.list_(pa.int64()))
+
+    box = F.struct(F.col(number).cast("bigint").alias("n"), "x0", "y0", "x1", "y1")
+    pages = boxes.groupBy(key).agg(F.array_sort(F.collect_list(box)).alias("page"))
+    zipped = F.arrays_zip(F.col("page.n").alias("n"), label("page").alias("c"))
+    return pages.select(key, F.explode(zipped).alias("z")).select(key, F.col("z.n").alias(number), F.col("z.c").alias("component"))
 
 
 def first_range_match(points: DataFrame, cells: DataFrame, key: str, inside: Column, ids: list[str], cell: str, into: str) -> DataFrame:
