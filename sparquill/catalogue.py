@@ -435,7 +435,7 @@ def _judged(table) -> DataFrame:
     docs = table("documents").join(table("labels"), "doc_id")
     rules = [(F.contains("text", F.lit("!!")), "loud"), (F.contains("text", F.lit("|")), "minor: table"), (F.col("n_chars") < 200, "minor: short")]
     issues = validate.issues(rules)
-    return docs.withColumn("issues", issues).withColumn("verdict", validate.verdict(F.col("issues"), F.col("quality").isNull(), minor="minor"))
+    return docs.withColumn("issues", issues).withColumn("verdict", validate.verdict(F.col("issues"), F.col("quality").isNull(), minor="^minor"))
 
 
 @query(f"SELECT doc_id, array_to_string(issues, ';') AS issues, {_VERDICT} AS verdict FROM ({_RULES})")

@@ -1,13 +1,15 @@
 """Dimension tables of the code generator: registers, operands, condition codes, templates, patterns.
 
-Tables that follow a rule are built from it.  Templates and patterns are data:
-an engine user adds rows to the DataFrames that dispatch takes.
+Tables that follow a rule are built from it.  Templates are data: an engine
+user adds rows to the DataFrame that dispatch takes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparquill.functions import bodies
+
 # Operand names.
 OPERANDS = {"DEST": "o1()", "SRC": "o2()", "SRC1": "o2()", "SRC2": "o3()", "SRC3": "o4()"}
 SIZES = {"DEST": "o1_size()", "SRC": "o2_size()", "SRC1": "o2_size()", "SRC2": "o3_size()"}
@@ -62,35 +64,9 @@ def conditions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "arch string, code string, expression string")
 
 
-def _assign(expression: str, to: str = "o1()", size: str = "o1_size()") -> str:
-    return f"assign({expression}, {to}, {size})"
-
-
-def _body(*statements: str) -> list[str]:
-    """Numbered let lines and the closing array."""
-    names = [f"s{i}" for i in range(len(statements))]
-    return [*(f"    let {n} = {s};" for n, s in zip(names, statements)), f"    [{', '.join(names)}].into()"]
-
-
 def builtin_templates() -> list[tuple[str, str, list[str]]]:
-    """(arch, mnemonic, body) of instruction families whose body follows from an operator.
-
-    The families are built by rule: two-operand arithmetic and logic, moves,
-    shifts, and the instructions without effect or that trap.
-    """
-    flags = {"all": "&[&of, &sf, &zf, &af, &cf, &pf]", "logic": "&[&sf, &zf, &pf]"}
-    out = []
-    for name, f in (("add", "all"), ("sub", "all"), ("and", "logic"), ("or", "logic"), ("xor", "logic"), ("shl", "logic"), ("shr", "logic")):
-        value = f"b::{name}(o1(), o2())"
-        out.append(("x86_64", name, _body(f"calc_flags_automatically({value}, o1_size(), {flags[f]})", _assign(value))))
-    out += [("x86_64", n, _body(_assign(v))) for n, v in (("mov", "o2()"), ("movzx", "u::zero_extend(o2())"), ("movsx", "u::sign_extend(o2())"), ("not", "u::not(o1())"))]
-    out += [("x86_64", n, ["    [].into()"]) for n in ("nop", "lfence", "mfence", "sfence", "lock")]
-    out += [("x86_64", n, [f'    [exception("{n}")].into()']) for n in ("cpuid", "rdtsc", "syscall", "int3", "ud2", "into")]
-    for name, op in (("add", "add"), ("sub", "sub"), ("and", "and"), ("orr", "or"), ("eor", "xor"), ("mul", "mul"), ("lsl", "shl"), ("lsr", "shr"), ("asr", "sar")):
-        out.append(("arm", name, _body(_assign(f"b::{op}(o2(), o3())"))))
-    out += [("arm", n, _body(_assign(v))) for n, v in (("mov", "o2()"), ("mvn", "u::not(o2())"), ("neg", "u::neg(o2())"), ("sxtb", "u::sign_extend(o2())"), ("uxtb", "u::zero_extend(o2())"))]
-    out += [("arm", n, ["    [].into()"]) for n in ("nop", "hint", "yield")] + [("arm", n, [f'    [exception("{n}")].into()']) for n in ("svc", "hvc", "smc", "brk", "hlt")]
-    return out
+    """(arch, mnemonic, body) of all instructions that have a body of their own."""
+    return [(arch, name, lines) for arch, table in (("x86_64", bodies.x86()), ("arm", bodies.arm())) for name, lines in table.items()]
 
 
 def templates(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame:
@@ -98,16 +74,3 @@ def templates(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame:
     schema = "arch string, mnemonic string, body array<string>"
     own = spark.createDataFrame(builtin_templates(), schema)
     return own if extra is None else extra.unionByName(own.join(extra.select("arch", "mnemonic"), ["arch", "mnemonic"], "left_anti"))
-
-
-#: Ranked patterns over x86 mnemonics, first match wins: (pattern, expression over SRC1 and SRC2).
-SIMD_PATTERNS = [
-    *((rf"^v?{op}[ps][sdh]$", f"b::{ir}(SRC1, SRC2)") for op, ir in (("add", "add"), ("sub", "sub"), ("mul", "mul"), ("div", "signed_div"))),
-    *((rf"^v?p{op}[bwdq]$", f"b::{ir}(SRC1, SRC2)") for op, ir in (("add", "add"), ("sub", "sub"))),
-    *((rf"^v?p{op}[dq]?$", f"b::{ir}(SRC1, SRC2)") for op, ir in (("and", "and"), ("or", "or"), ("xor", "xor"))),
-    *((rf"^v?{op}p[sd]$", f"b::{ir}(SRC1, SRC2)") for op, ir in (("and", "and"), ("or", "or"), ("xor", "xor"))),
-    *((rf"^v?ps{d}[wdq]$", f"b::{ir}(SRC1, SRC2)") for d, ir in (("ll", "shl"), ("rl", "shr"), ("ra", "sar"))),
-    (r"^v?mov[a-z0-9]*$", "SRC2"),
-    (r"^v?cvt[a-z0-9]*$", "SRC2"),
-    (r"^v?broadcast[a-z0-9]*$", "SRC2"),
-]

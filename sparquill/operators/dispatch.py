@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparquill.functions import bodies
 from sparquill.functions import pseudocode as P
-from sparquill.functions.registry import SIMD_PATTERNS
+
+
+@cache
+def simd_patterns() -> list[tuple[str, str]]:
+    return bodies.patterns()
 
 
 def ranked(value: Column, rules: list[tuple[str, str]]) -> Column:
@@ -15,40 +22,65 @@ def ranked(value: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def simd_body(mnemonic: Column) -> Column:
-    """Body by pattern: names that begin with v take their sources from the second and third operand."""
-    three = mnemonic.startswith("v")
-    found = ranked(mnemonic, SIMD_PATTERNS)
-    placed = F.replace(
-        F.replace(found, F.lit("SRC1"), F.when(three, "o2()").otherwise("o1()")), F.lit("SRC2"), F.when(three & F.contains(found, F.lit("SRC1")), "o3()").otherwise("o2()")
-    )
-    return F.when(found.isNotNull(), F.array(F.concat(F.lit("    [assign("), placed, F.lit(", o1(), o1_size())].into()"))))
+    """Body lines of the first pattern that an x86 mnemonic matches, or null."""
+    return F.split(F.replace(ranked(mnemonic, simd_patterns()), F.lit(bodies.MNEMONIC), mnemonic), "\n")
 
 
 def condition_body(mnemonic: Column, arch: str) -> Column:
+    """Body lines of a conditional jump, move or set (x86) or branch (ARM), or null."""
+    if arch == "x86_64":
+        shapes = (("j", ["    [jcc(cond)].into()"]), ("cmov", ["    [cmovcc(cond)].into()"]), ("set", ["    [setcc(cond)].into()"]))
+    else:
+        onward = "    let fallthrough = b::add(pc.clone(), instruction_byte_size());"
+        shapes = (("b.", [onward, "    [condition(cond, [jump(o1())], [jump(fallthrough)])].into()"]),)
     made = []
-    shapes = (("j", "jump(o1())"), ("cmov", "assign(o2(), o1(), o1_size())"), ("set", "assign(c(1), o1(), o1_size())")) if arch == "x86_64" else (("b.", "jump(o1())"),)
-    for prefix, effect in shapes:
+    for prefix, rest in shapes:
         test = P.condition_of(mnemonic, prefix, arch)
-        made.append(F.when(test.isNotNull(), F.array(F.concat(F.lit("    [condition("), test, F.lit(f", [{effect}], [])].into()")))))
+        made.append(F.when(test.isNotNull(), F.array(F.concat(F.lit("    let cond = "), test, F.lit(";")), *map(F.lit, rest))))
     return F.coalesce(*made)
 
 
 def generate(instructions: DataFrame, templates: DataFrame, arch: str) -> DataFrame:
-    """instructions (mnemonic, operation, ...) with body, status and reason.
+    """instructions (mnemonic, operation, ...) with body, status (real_ir, exception, skipped) and reason (the step that answered).
 
     Rows without pseudocode are skipped even if there is a template.  The
-    compiler sees only rows that no cheaper step has answered.
+    compiler sees only rows that no cheaper step has answered.  The templates
+    are broadcast: a few hundred built-in rows and those that the user gives.
     """
+    mnemonic = F.col("mnemonic")
     own = templates.where(F.col("arch") == arch).select("mnemonic", F.col("body").alias("_template"))
-    cheap = F.coalesce("_template", condition_body(F.col("mnemonic"), arch), *([simd_body(F.col("mnemonic"))] if arch == "x86_64" else []))
+    steps = [("ARM template" if arch == "arm" else "template", F.col("_template")), ("ARM conditional branch" if arch == "arm" else "condition code", condition_body(mnemonic, arch))]
+    if arch == "x86_64":
+        steps.append(("SIMD pattern", simd_body(mnemonic)))
+    answered = F.coalesce(*(F.when(lines.isNotNull(), F.struct(lines.alias("body"), F.lit(step).alias("step"))) for step, lines in steps))
     has = F.length(F.trim(F.coalesce("operation", F.lit("")))) > 0
-    known = instructions.join(F.broadcast(own), "mnemonic", "left").withColumn("_has", has).withColumn("body", F.when(has, cheap)).drop("_template")
+    known = instructions.join(F.broadcast(own), "mnemonic", "left").withColumn("_has", has).withColumn("_got", F.when(has, answered)).drop("_template")
+    known = known.withColumn("body", F.col("_got.body")).withColumn("_step", F.col("_got.step")).drop("_got")
     misses = known.where("_has and body is null")
     unsupported = P.arm_unsupported(F.col("operation")) if arch == "arm" else F.lit(None).cast("string")
-    compiled = misses.withColumn("reason", unsupported).withColumn("body", P.compile_operation(F.when(F.col("reason").isNull(), F.col("operation")), arch))
-    both = known.where("not _has or body is not null").withColumn("reason", F.lit(None).cast("string")).unionByName(compiled)
-    text = F.array_join("body", "\n")
-    status = F.when(~F.col("_has"), "skipped").when(F.col("body").isNull(), "todo").when(F.contains(text, F.lit("exception(")), "exception").otherwise("real_ir")
-    return both.withColumn("status", status).withColumn(
-        "body", F.when(F.col("_has"), F.coalesce("body", F.array(F.concat(F.lit('    [exception("'), F.coalesce("mnemonic", F.lit("")), F.lit('")].into()')))))
-    ).drop("_has")
+    compiled = misses.withColumn("_step", unsupported).withColumn("body", P.compile_operation(F.when(F.col("_step").isNull(), F.col("operation")), arch))
+    compiled = compiled.withColumn("_step", F.coalesce("_step", F.when(F.col("body").isNull(), "fallback").otherwise("pseudocode translated")))
+    both = known.where("not _has or body is not null").unionByName(compiled)
+    lines = F.coalesce("body", F.array(F.concat(F.lit('    [exception("'), F.coalesce("mnemonic", F.lit("")), F.lit('")].into()'))))
+    stubbed = F.exists("body", lambda x: F.contains(x, F.lit("exception(")))
+    return (
+        both.withColumn("body", F.when(F.col("_has"), lines))
+        .withColumn("status", F.when(~F.col("_has"), "skipped").when(stubbed, "exception").otherwise("real_ir"))
+        .withColumn("reason", F.col("_step"))
+        .drop("_has", "_step")
+    )
+
+
+def alias_functions(generated: DataFrame) -> DataFrame:
+    """(mnemonic, operation, body) of the ARM aliases that generated instructions name and that have a body of their own.
+
+    The extracting aliases need a translated instruction that prefers them;
+    a name that an instruction has already is left to it.
+    """
+    table = bodies.arm_aliases()
+    lines = F.create_map(*(x for name, rows in table.items() for x in (F.lit(name), F.array(*map(F.lit, rows)))))
+    named = generated.where("status != 'skipped'").select("operation", "status", F.explode("aliases").alias("a")).where(F.col("a.mnemonic").isin(*table))
+    extracting = F.col("a.mnemonic").isin("ubfx", "sbfx")
+    kept = named.where(~extracting | ((F.col("status") == "real_ir") & F.contains(F.coalesce("a.condition", F.lit("")), F.lit("BFXPreferred"))))
+    once = kept.groupBy(F.col("a.mnemonic").alias("mnemonic")).agg(F.min("operation").alias("operation"))
+    return once.join(generated.where("body is not null").select("mnemonic"), "mnemonic", "left_anti").withColumn("body", F.element_at(lines, F.col("mnemonic")))

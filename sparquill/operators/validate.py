@@ -17,11 +17,11 @@ def issues(rules: list[tuple[Column, str]]) -> Column:
 
 
 def verdict(found: Column, stub: Column, minor: str) -> Column:
-    """EXCEPTION_STUB, CORRECT without issues, ACCEPTABLE with only minor ones, else WRONG."""
+    """EXCEPTION_STUB, CORRECT without issues, ACCEPTABLE if all match the pattern `minor`, else WRONG."""
     return (
         F.when(stub, "EXCEPTION_STUB")
         .when(F.size(found) == 0, "CORRECT")
-        .when(F.forall(found, lambda x: x.startswith(minor)), "ACCEPTABLE")
+        .when(F.forall(found, lambda x: x.rlike(minor)), "ACCEPTABLE")
         .otherwise("WRONG")
     )
 
@@ -95,3 +95,46 @@ def content_rules(content: Column) -> Column:
             (F.contains(content, F.lit("�")), "unknown character"),
         ]
     )
+
+
+# What a pseudocode says, and the operator that the body then has.
+_IMPLIED = (
+    ("ADD", "b::add", ("dest := dest + src", "dest ← dest + src")),
+    ("SUB", "b::sub", ("dest := dest - src", "dest := dest - (src")),
+    ("AND", "b::and", ("dest := dest and src",)),
+    ("OR", "b::or", ("dest := dest or src",)),
+    ("XOR", "b::xor", ("dest := dest xor src",)),
+)
+X86_MINOR = r"unknown_data|should use u::zero_extend"
+
+
+def x86_issues(name: Column, pseudocode: Column, body: Column) -> Column:
+    """Issues of one generated x86 function: order of flags, operators that the pseudocode implies, flags of families, single instructions.
+
+    Flags are read from a call whose arguments before them hold no closing
+    parenthesis; other calls are not judged.
+    """
+    text = F.lower(F.coalesce(pseudocode, F.lit("")))
+    has = lambda *parts: F.greatest(*(F.contains(body, F.lit(p)) for p in parts)) if len(parts) > 1 else F.contains(body, F.lit(parts[0]))
+    says = lambda parts: F.exists(F.array(*map(F.lit, parts)), lambda p: F.contains(text, p))
+    final = F.regexp_extract(body, r"\[([^\]]+)\]\.into\(\)", 1)
+    late = F.coalesce(~order_of(final, "calc_flags", "assignment"), F.lit(False))
+    flags = F.regexp_extract(body, r"calc_flags_automatically\([^)]+,\s*&\[([^\]]+)\]", 1)
+    sets = lambda f: F.contains(flags, F.lit(f))
+    counted, logic = name.isin("add", "sub", "adc", "adcx", "adox", "sbb", "neg", "cmp"), name.isin("and", "or", "xor", "test")
+    is_ = lambda n: name == n
+    rules = [
+        (late, F.lit("calc_flags_automatically AFTER assign (should be before)")),
+        (has("unknown_data()"), F.lit("contains unknown_data() — expression could not be parsed")),
+        *((says(parts) & ~has(ir), F.lit(f"pseudocode implies {op} but body lacks {ir}")) for op, ir, parts in _IMPLIED),
+        (name.isin("inc", "dec") & sets("&cf"), F.concat(name, F.lit(" should not affect CF in calc_flags"))),
+        *((counted & (flags != "") & ~sets(f"&{f}"), F.concat(name, F.lit(f": missing &{f} in calc_flags"))) for f in ("of", "sf", "zf", "cf", "pf")),
+        *((logic & sets(f"&{f.lower()}"), F.concat(name, F.lit(f": {f} should not be in calc_flags (should be explicitly cleared)"))) for f in ("OF", "CF")),
+        (is_("mov") & ~has("zero_extend", "sign_extend") & has("assign(o2()"), F.lit("MOV should use u::zero_extend(o2())")),
+        (is_("push") & ~has("b::sub", "sp"), F.lit("PUSH should decrement stack pointer")),
+        (is_("pop") & ~has("b::add", "sp"), F.lit("POP should increment stack pointer")),
+        (is_("call") & ~has("jump_by_call", "jump("), F.lit("CALL should use jump_by_call or jump")),
+        (is_("ret") & ~has("jump("), F.lit("RET should use jump()")),
+        (is_("jmp") & ~has("jump("), F.lit("JMP should use jump()")),
+    ]
+    return F.filter(F.array(*(F.when(holds, message) for holds, message in rules)), lambda x: x.isNotNull())

@@ -40,11 +40,9 @@ def functions_of(spark: SparkSession, path: str, arch: str, templates: DataFrame
 
 
 def verdicts(functions: DataFrame) -> DataFrame:
-    """Generated functions with issues and verdict."""
+    """Generated functions with issues and verdict; ARM functions have the rules that do not depend on the mnemonic."""
     body = F.col("body")
-    flags_late = ~F.coalesce(validate.order_of(body, "calc_flags_automatically", "assign("), F.lit(True))
-    moves = F.col("name").isin("mov", "movzx", "movsx") & ~F.contains(body, F.lit("assign("))
-    jumps = F.col("name").rlike("^j") & ~F.contains(body, F.lit("jump("))
-    rules = [(flags_late, "flags after assignment"), (F.contains(body, F.lit("unknown_data()")), "minor: unknown_data"), (moves, "no assignment"), (jumps, "no jump")]
-    found = validate.issues(rules)
-    return functions.withColumn("issues", found).withColumn("verdict", validate.verdict(F.col("issues"), F.col("is_exception"), "minor"))
+    flags_late = F.coalesce(~validate.order_of(body, "calc_flags_automatically", "assign("), F.lit(False))
+    general = validate.issues([(flags_late, "calc_flags_automatically AFTER assign (should be before)"), (F.contains(body, F.lit("unknown_data()")), "contains unknown_data()")])
+    found = F.when(F.col("arch") == "x86_64", validate.x86_issues(F.col("name"), F.col("pseudocode"), body)).otherwise(general)
+    return functions.withColumn("issues", found).withColumn("verdict", validate.verdict(F.col("issues"), F.col("is_exception"), validate.X86_MINOR))

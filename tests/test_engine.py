@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparquill.functions import names, pseudocode, registry
+from sparquill.functions import bodies, names, pseudocode, registry
 from sparquill.functions import text as T
 from sparquill.operators import dispatch, folds, glyphs, sections, tables, validate
 from sparquill.plans import manual
@@ -196,7 +196,9 @@ def test_generator(spark, tmp_path):
     out = {r.mnemonic: r for r in manual.functions_of(spark, str(tmp_path / "e.rs"), "x86_64").collect()}
     assert {k: r.status for k, r in out.items()} == {"add": "real_ir", "loopx": "real_ir", "hlt": "skipped", "ja": "real_ir", "vaddps": "real_ir"}
     assert out["loopx"].body == ["    let stmt_0 = assign(b::shl(o2(), c(1)), o1(), o1_size());", "    [stmt_0].into()"]
-    assert out["vaddps"].body == ["    [assign(b::add(o2(), o3()), o1(), o1_size())].into()"] and out["loopx"].aliases[0].mnemonic == "foo"
+    assert out["vaddps"].body == ["    let assignment = assign(b::add(o2(), o3()), o1(), o1_size());", "    [assignment].into()"]
+    assert out["ja"].body[-1] == "    [jcc(cond)].into()" and {k: r.reason for k, r in out.items()}["loopx"] == "pseudocode translated"
+    assert out["loopx"].aliases[0].mnemonic == "foo"
     from sparquill.operators import render
 
     code = render.generated_files(manual.functions_of(spark, str(tmp_path / "e.rs"), "x86_64"), "x86_64")
@@ -223,5 +225,50 @@ def test_routing_keeps_sections_over_pages(spark):
     assert got["AAA"].description == ["goes on"] and got["BBB"].description is None
 
 
-def test_ranked():
-    assert dispatch.SIMD_PATTERNS[0][0] == "^v?add[ps][sdh]$"
+def test_ranked(spark):
+    names = "vaddpd vmaxss kortestb ktestw kshiftrb fisubr fcompp fxsave fother verr vzeroall vprolvd other".split()
+    rows = spark.createDataFrame([(n,) for n in names], "m string").select("m", dispatch.simd_body(F.col("m")).alias("b")).collect()
+    got = {r.m: r.b and " ".join(x.strip() for x in r.b) for r in rows}
+    one = lambda x: f"let assignment = assign({x}, o1(), o1_size()); [assignment].into()"
+    assert got["vaddpd"] == one("b::add(o2(), o3())") and got["vmaxss"] == one("b::sub(o3(), o2())")
+    assert got["kortestb"] == one("b::or(o2(), o3())") and got["kshiftrb"] == one("b::shr(o2(), o3())")
+    assert got["ktestw"].startswith("let and_val = b::and(o1(), o2());") and got["fcompp"].startswith("let sub = b::sub(o1(), o2());")
+    assert got["fisubr"].startswith("let op = b::sub(o1(), o2());") and got["fxsave"] == got["vzeroall"] == "[].into()"
+    assert got["fother"] == '[exception("fother")].into()' and got["verr"] == '[exception("verr")].into()' and got["other"] is None
+    assert got["vprolvd"] == one("b::or(b::shl(o2(), o3()), b::shr(o2(), b::sub(bit_size_of_o2(), o3())))")
+
+
+def test_templates():
+    x86, arm = bodies.x86(), bodies.arm()
+    stubs = lambda table: sum(any("exception(" in x for x in lines) for lines in table.values())
+    assert (len(x86), stubs(x86), len(arm), stubs(arm)) == (310, 148, 285, 75)
+    assert len(x86["bswap"]) == 42 and x86["cmpsw"][3].endswith("size_result_byte(c(2)), &[&of, &sf, &zf, &af, &cf, &pf]);")
+    assert arm["ldapursb"] == ["    let assignment = sign_extend(o2(), o1(), o1_size());", "    [assignment].into()"]
+    assert arm["sbfm"][-1] == "    [select, extend_shift, assignment].into()" and all("o3()" not in "".join(bodies.arm_aliases()[n]) for n in ("uxth", "sxth", "sxtw"))
+
+
+def test_aliases(spark):
+    alias = "array<struct<title:string,mnemonic:string,condition:string>>"
+    rows = [("ubfm", "x", "real_ir", ["a"], [("t", "ubfx", "BFXPreferred(x)"), ("t", "lsl", "c"), ("t", "uxth", "c")]), ("sbfm", "y", "exception", ["a"], [("t", "sbfx", "BFXPreferred(y)"), ("t", "uxth", None)])]
+    made = spark.createDataFrame(rows, f"mnemonic string, operation string, status string, body array<string>, aliases {alias}")
+    assert {(r.mnemonic, r.operation) for r in dispatch.alias_functions(made).collect()} == {("ubfx", "x"), ("uxth", "x")}
+
+
+def test_x86_issues(spark):
+    carry = "calc_flags_automatically(add, size, &[&of, &sf])"
+    rows = [
+        ("adc", "DEST := DEST + SRC", f"let calc_flags = {carry};\n[assignment, calc_flags].into()"),
+        ("inc", None, "calc_flags_automatically(add, size, &[&cf])"),
+        ("mov", "", "assign(o2(), o1(), o1_size())"),
+        ("and", "", "calc_flags_automatically(x, size, &[&of, &zf])"),
+        ("call", "", "x"),
+        ("add", "DEST := DEST + SRC", "\n".join(bodies.x86()["add"])),
+    ]
+    made = spark.createDataFrame(rows, "name string, pseudocode string, body string")
+    got = {r.name: r.i for r in made.select("name", validate.x86_issues(F.col("name"), F.col("pseudocode"), F.col("body")).alias("i")).collect()}
+    assert got["adc"] == [
+        "calc_flags_automatically AFTER assign (should be before)", "pseudocode implies ADD but body lacks b::add",
+        "adc: missing &zf in calc_flags", "adc: missing &cf in calc_flags", "adc: missing &pf in calc_flags",
+    ]
+    assert got["inc"] == ["inc should not affect CF in calc_flags"] and got["mov"] == ["MOV should use u::zero_extend(o2())"]
+    assert got["and"] == ["and: OF should not be in calc_flags (should be explicitly cleared)"] and len(got["call"]) == 1 and got["add"] == []
