@@ -277,6 +277,8 @@ def read_warc(spark: SparkSession, path: str, *, split_bytes: int = 16 << 20, pa
                                 if room < 0:
                                     yield pa.RecordBatch.from_pylist(got, _READ)
                                     got, room = [], 8 << 20
+                if data:
+                    raise EOFError(f"a record of {row['path']} ends early")
                 yield pa.RecordBatch.from_pylist(got, _READ)
 
     schema = "page_id bigint, url string, payload string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
