@@ -21,8 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import fresh
-
 # Fixed strong patterns: (kind, pattern, group and least length that a match needs).
 STRONG = (
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
@@ -117,17 +115,26 @@ def scan(docs: DataFrame, **options) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"), "findings")
 
 
-def redact(docs: DataFrame, *, mark: str = "[SECRET]", text_col: str = "text", **options) -> DataFrame:
-    """docs with every finding replaced by the mark; overlapping findings are replaced once; other rows are unchanged."""
-    (into,) = fresh(docs, "findings")
-    found = with_findings(docs, into, text_col=text_col, **options)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+def redacted(text: str, mark: str, reach: int = 200) -> str:
+    """The text with every finding replaced by the mark, in one pass; overlapping findings are replaced once."""
+    out, at = [], 0
+    for _, start, end in find(text, reach):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, *, mark: str = "[SECRET]", text_col: str = "text", reach: int = 200) -> DataFrame:
+    """docs with every finding replaced by the mark; overlapping findings are replaced once; other rows are unchanged.
 
-    def step(acc, s):
-        fresh_part = F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0).cast("long")).cast("int"))
-        return F.when(s["start"] >= acc["at"], F.struct(F.concat(acc["out"], fresh_part, F.lit(mark)).alias("out"), s["end"].alias("at"))).otherwise(
-            F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-        )
+    The work grows with the text's length, however many findings it has.
+    Null texts stay null.
+    """
+
+    @F.arrow_udf("string")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([None if x is None else redacted(x, mark, reach) for x in batch.to_pylist()], pa.string())
 
-    clean = F.aggregate(into, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), F.char_length(text_col))))
-    return found.withColumn(text_col, F.when(F.size(into) > 0, clean).otherwise(F.col(text_col))).drop(into)
+    return docs.withColumn(text_col, clean.asNondeterministic()(F.col(text_col)))

@@ -386,6 +386,11 @@ def test_secrets_linking(spark):
     assert secrets.redact(odd_docs(spark).withColumnRenamed("found", "findings")).columns[6] == "findings"
 
 
+def test_redact_many_findings():
+    text = "password = abcdefghijkl1 é " * 40_000
+    assert secrets.redacted(text, "#") == "# é " * 40_000 and secrets.redacted("", "#") == ""
+
+
 # 10 -----------------------------------------------------------------------
 
 
