@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparquill.functions import arm_rules
+
 #: The 33 names of the conditional jump.
 JCC = (
     "JA JAE JB JBE JC JCXZ JECXZ JRCXZ JE JG JGE JL JLE JNA JNAE JNB JNBE JNC JNE JNG JNGE JNL JNLE JNO JNP JNS JNZ JO JP JPE JPO JS JZ"
@@ -80,21 +82,89 @@ def missing_names(found: DataFrame, column: str, expected: list[str] = JCC) -> D
     return names.join(found.select(column).distinct(), column, "left_anti")
 
 
-def content_rules(content: Column) -> Column:
-    """Issues of one rendered Markdown file."""
+# Sections of which a rendered archive record has at least one.
+SECTIONS = ("Encoding", "Operands", "Description", "Decode", "Operation")
+_RAISED = "⁻⁰¹²³⁴⁵⁶⁷⁸⁹₀₁₂₃₄₅₆₇₈₉"  # superscript and subscript signs
+
+
+def filename_rules(name: Column, arch: str) -> Column:
+    """Issues of a file's name without its ending; a null name counts as empty."""
+    name = F.coalesce(name, F.lit(""))
+    said = lambda text: F.concat(F.lit("filename '"), name, F.lit(f"' {text}"))
+    odd = ~name.rlike(r"^\p{Lu}")
+    if arch == "x86_64":  # one issue at most
+        raised = F.when(name.rlike(f"[{_RAISED}\ufffd]"), F.array(said("contains superscript/subscript/replacement chars"))).otherwise(F.array().cast("array<string>"))
+        found = F.when(odd, F.array(said("doesn't start with uppercase"))).otherwise(raised)
+    else:
+        found = _told(
+            (odd, said("doesn't start with uppercase")),
+            (~F.contains(name, F.lit("__")), said("missing '__' separator (heading__id)")),
+            (F.contains(name, F.lit("\ufffd")), said("contains replacement char U+FFFD")),
+        )
+    return F.when(name == "", F.array(F.lit("empty filename"))).otherwise(found)
+
+
+def _told(*rules: tuple[Column, Column]) -> Column:
+    return F.filter(F.array(*(F.when(holds, message) for holds, message in rules)), lambda x: x.isNotNull())
+
+
+def content_rules(content: Column, name: Column, arch: str) -> Column:
+    """Issues of a rendered Markdown file, in one pass over its lines; a null content counts as empty.
+
+    Without a title nothing else is judged.  Issues of the whole file and of
+    its lines are told rule by rule, each with the file's name, those of lines
+    with the line number.  Sections found are told sorted.
+    """
+    arm = arch != "x86_64"
+    content, name = F.coalesce(content, F.lit("")), F.coalesce(name, F.lit(""))
     lines = F.split(content, "\n")
-    fences = F.size(F.filter(lines, lambda x: F.ltrim(x).startswith("```")))
-    return issues(
-        [
-            (~F.element_at(lines, 1).startswith("# "), "no title"),
-            (F.size(F.filter(lines, lambda x: F.trim(x) != "")) < 2, "too short"),
-            (~F.exists(lines, lambda x: x.startswith("## ")), "no section"),
-            (F.contains(content, F.lit("><")), "joined tags"),
-            (fences % 2 == 1, "open fence"),
-            (content.rlike("then[A-Z]"), "joined then"),
-            (F.contains(content, F.lit("�")), "unknown character"),
+    told = lambda rank, at, *parts: F.struct(F.lit(rank).alias("rank"), at.alias("at"), F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts)).alias("message"))
+    whole, none = F.lit(0), F.lit(None).cast("struct<rank:int,at:int,message:string>")
+    keep = lambda *found: F.filter(F.array(*(F.when(holds, issue).otherwise(none) for holds, issue in found)), lambda x: x.isNotNull())
+    strip = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
+    short = lambda x: F.substring(x, 1, 60)
+
+    filled = F.size(F.filter(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), lambda x: strip(x) != ""))
+    heads = F.transform(F.filter(lines, lambda x: x.startswith("## ")), lambda x: strip(F.substring(x, 4, 1 << 30)))
+    unknown = F.length(content) - F.length(F.replace(content, F.lit("\ufffd"), F.lit("")))
+    bullets = F.size(F.filter(lines, lambda x: x.rlike("^\\s*⁻")))
+    of_file = [
+        (strip(F.substring(F.element_at(lines, 1), 3, 1 << 30)) == "", told(0, whole, name, ": empty H1 title")),
+        (filled < 2, told(1, whole, name, ": too little content (", filled.cast("string"), " non-empty lines)")),
+        (F.size(heads) == 0, told(2, whole, name, ": no H2 sections found")),
+        (unknown > 0, told(8, whole, name, ": contains ", unknown.cast("string"), " replacement character(s) U+FFFD")),
+    ]
+    if arm:
+        of_file += [
+            (~F.arrays_overlap(heads, F.array(*map(F.lit, SECTIONS))), told(3, whole, name, ": missing standard sections (has: ", F.array_join(F.array_sort(F.array_distinct(heads)), ", "), ")")),
         ]
-    )
+    else:
+        of_file += [(bullets > 0, told(9, whole, name, ": ", bullets.cast("string"), " line(s) start with superscript-minus '⁻' as bullet (should be '-')"))]
+
+    def step(state: Column, x: Column) -> Column:
+        line, at = x["line"], x["at"]
+        here = lambda rank, *parts: told(rank, at, name, ":", at.cast("string"), ": ", *parts)
+        fence, row = line.rlike(r"^\s*```\s*$"), line.rlike(r"^\|(?s:.*)\|\s*$") | line.rlike(r"^\|\s*$")
+        code, operands = state["code"] & ~fence, F.when(line == "## Operands", True).when(line.startswith("## "), False).otherwise(state["operands"])
+        asm = F.substring(line, 4, 1 << 30)
+        asm = F.left(asm, F.greatest(F.length(asm) - 1, F.lit(0)))
+        found = [(row & ~state["table"] & x["next"].isNotNull() & ~x["next"].rlike(r"^\|[\s\-:|]+\|$"), here(5, "table header not followed by separator row"))]
+        if arm:
+            found += [
+                (line.startswith("- `") & line.endswith("`") & F.contains(asm, F.lit("><")), here(4, "ASM template missing spaces: '", short(asm), "...'")),
+                *((code & line.rlike(rf"\b{word}[A-Z]"), here(7, f"pseudocode missing space after '{word}': '", short(strip(line)), "'")) for word in ("then", "else")),
+                (operands & (line != "## Operands") & (strip(line) != "") & ~line.startswith("- "), here(10, "broken operand line (not a bullet): '", short(strip(line)), "'")),
+            ]
+        return F.struct(
+            (state["code"] != fence).alias("code"), row.alias("table"), operands.alias("operands"), F.concat(state["found"], keep(*found)).alias("found")
+        )
+
+    no, numbered = F.lit(False), F.transform(lines, lambda x, i: F.struct(x.alias("line"), (i + 1).alias("at"), F.get(lines, i + 1).alias("next")))
+    start = F.struct(no.alias("code"), no.alias("table"), no.alias("operands"), F.array().cast("array<struct<rank:int,at:int,message:string>>").alias("found"))
+    open_fence = lambda s: keep((s["code"], told(6, whole, name, ": unclosed code fence"))) if arm else keep((no, none))
+    every = F.aggregate(numbered, start, step, lambda s: F.concat(s["found"], open_fence(s), keep(*of_file)))
+    listed = F.transform(F.array_sort(every), lambda x: x["message"])
+    return F.when(~F.element_at(lines, 1).startswith("# "), F.array(F.concat(name, F.lit(": missing H1 title")))).otherwise(listed)
 
 
 # What a pseudocode says, and the operator that the body then has.
@@ -105,7 +175,21 @@ _IMPLIED = (
     ("OR", "b::or", ("dest := dest or src",)),
     ("XOR", "b::xor", ("dest := dest xor src",)),
 )
-X86_MINOR = r"unknown_data|should use u::zero_extend"
+MINOR = r"unknown_data|should use u::zero_extend"
+
+
+def _flag_list(body: Column) -> Column:
+    return F.regexp_extract(body, r"calc_flags_automatically\([^)]+,\s*&\[([^\]]+)\]", 1)
+
+
+def _structure(body: Column) -> list[tuple[Column, Column]]:
+    """Rules of every generated function."""
+    final = F.regexp_extract(body, r"\[([^\]]+)\]\.into\(\)", 1)
+    late = F.coalesce(~order_of(final, "calc_flags", "assignment"), F.lit(False))
+    return [
+        (late, F.lit("calc_flags_automatically AFTER assign (should be before)")),
+        (F.contains(body, F.lit("unknown_data()")), F.lit("contains unknown_data() — expression could not be parsed")),
+    ]
 
 
 def x86_issues(name: Column, pseudocode: Column, body: Column) -> Column:
@@ -117,15 +201,12 @@ def x86_issues(name: Column, pseudocode: Column, body: Column) -> Column:
     text = F.lower(F.coalesce(pseudocode, F.lit("")))
     has = lambda *parts: F.greatest(*(F.contains(body, F.lit(p)) for p in parts)) if len(parts) > 1 else F.contains(body, F.lit(parts[0]))
     says = lambda parts: F.exists(F.array(*map(F.lit, parts)), lambda p: F.contains(text, p))
-    final = F.regexp_extract(body, r"\[([^\]]+)\]\.into\(\)", 1)
-    late = F.coalesce(~order_of(final, "calc_flags", "assignment"), F.lit(False))
-    flags = F.regexp_extract(body, r"calc_flags_automatically\([^)]+,\s*&\[([^\]]+)\]", 1)
+    flags = _flag_list(body)
     sets = lambda f: F.contains(flags, F.lit(f))
     counted, logic = name.isin("add", "sub", "adc", "adcx", "adox", "sbb", "neg", "cmp"), name.isin("and", "or", "xor", "test")
     is_ = lambda n: name == n
     rules = [
-        (late, F.lit("calc_flags_automatically AFTER assign (should be before)")),
-        (has("unknown_data()"), F.lit("contains unknown_data() — expression could not be parsed")),
+        *_structure(body),
         *((says(parts) & ~has(ir), F.lit(f"pseudocode implies {op} but body lacks {ir}")) for op, ir, parts in _IMPLIED),
         (name.isin("inc", "dec") & sets("&cf"), F.concat(name, F.lit(" should not affect CF in calc_flags"))),
         *((counted & (flags != "") & ~sets(f"&{f}"), F.concat(name, F.lit(f": missing &{f} in calc_flags"))) for f in ("of", "sf", "zf", "cf", "pf")),
@@ -137,4 +218,42 @@ def x86_issues(name: Column, pseudocode: Column, body: Column) -> Column:
         (is_("ret") & ~has("jump("), F.lit("RET should use jump()")),
         (is_("jmp") & ~has("jump("), F.lit("JMP should use jump()")),
     ]
-    return F.filter(F.array(*(F.when(holds, message) for holds, message in rules)), lambda x: x.isNotNull())
+    return _told(*rules)
+
+
+def with_arm_issues(functions: DataFrame, into: str = "issues") -> DataFrame:
+    """functions (name, pseudocode, body, any more) with the issues of each as an ARM function.
+
+    The rule table is a fixed list of some hundred mnemonics, so it is
+    broadcast; a function's rules are judged by one expression over their
+    array.  A null pseudocode counts as empty, a null body as empty, and a name
+    without rules has those of every function only.
+    """
+    spark = functions.sparkSession
+    table = spark.createDataFrame(list(arm_rules.rules().items()), arm_rules.SCHEMA).withColumnsRenamed({"name": "_rule_name", "rules": "_rules"})
+    name, body = F.col("name"), F.coalesce("body", F.lit(""))
+    code = F.coalesce("pseudocode", F.lit(""))
+    text, flags = F.lower(code), _flag_list(body)
+    has = lambda x: F.contains(body, F.lit(x))
+    says = lambda x: F.contains(text, F.lit(x))
+    carries, subtracts, shared = says("addwithcarry("), name.isin(arm_rules.SUBTRACTS), name.isin(list(arm_rules.LOGICAL))
+    own = ~shared & ~says("case op")
+    general = _told(
+        *_structure(body),
+        (carries & subtracts & ~has("b::sub"), F.lit("pseudocode has AddWithCarry (subtraction variant) but body lacks b::sub")),
+        (carries & ~subtracts & ~has("b::add"), F.lit("pseudocode has AddWithCarry but body lacks b::add")),
+        (own & says("operand1 eor operand2") & ~has("b::xor"), F.lit("pseudocode has EOR but body lacks b::xor")),
+        (own & says("operand1 and operand2") & ~has("b::and"), F.lit("pseudocode has AND but body lacks b::and")),
+    )
+    preferred = F.regexp_extract_all(code, F.lit(r"- ([A-Z0-9]+)(?: \([^)]*\))? — Preferred when"), 1)
+    writes_o1 = body.rlike(r"assign\([^,]+,\s*o1\(\)")
+
+    def broken(r: Column) -> Column:
+        applies = (r["alias"].isNull() | F.array_contains(preferred, r["alias"])) & (~r["with_code"] | (code != ""))
+        unmet = F.exists(r["needs"], lambda clause: ~F.exists(clause, lambda x: F.contains(body, x)))
+        unset = r["flag"].isNotNull() & (flags != "") & ~F.contains(flags, r["flag"])
+        return applies & (unmet | F.exists(r["bans"], lambda x: F.contains(body, x)) | F.coalesce(unset, F.lit(False)) | (r["keeps_o1"] & writes_o1))
+
+    single = F.transform(F.filter(F.coalesce("_rules", F.array().cast(table.schema["_rules"].dataType)), broken), lambda r: r["message"])
+    joined = functions.join(F.broadcast(table), name == F.col("_rule_name"), "left")
+    return joined.withColumn(into, F.concat(general, single)).drop("_rule_name", "_rules")

@@ -40,9 +40,7 @@ def functions_of(spark: SparkSession, path: str, arch: str, templates: DataFrame
 
 
 def verdicts(functions: DataFrame) -> DataFrame:
-    """Generated functions with issues and verdict; ARM functions have the rules that do not depend on the mnemonic."""
-    body = F.col("body")
-    flags_late = F.coalesce(~validate.order_of(body, "calc_flags_automatically", "assign("), F.lit(False))
-    general = validate.issues([(flags_late, "calc_flags_automatically AFTER assign (should be before)"), (F.contains(body, F.lit("unknown_data()")), "contains unknown_data()")])
-    found = F.when(F.col("arch") == "x86_64", validate.x86_issues(F.col("name"), F.col("pseudocode"), body)).otherwise(general)
-    return functions.withColumn("issues", found).withColumn("verdict", validate.verdict(F.col("issues"), F.col("is_exception"), validate.X86_MINOR))
+    """Generated functions with issues and verdict, by the rules of their arch (any but x86_64 is ARM)."""
+    x86 = validate.x86_issues(F.col("name"), F.col("pseudocode"), F.col("body"))
+    found = validate.with_arm_issues(functions).withColumn("issues", F.when(F.col("arch") == "x86_64", x86).otherwise(F.col("issues")))
+    return found.withColumn("verdict", validate.verdict(F.col("issues"), F.col("is_exception"), validate.MINOR))

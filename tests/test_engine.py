@@ -214,8 +214,43 @@ def test_sets(spark):
     (d,) = row.select("d", validate.severity(F.col("d")).alias("s")).collect()
     assert d.d == ["missing operators: b::sub", "extra operators: b::add"] and d.s == "failure"
     assert validate.missing_names(spark.createDataFrame([("JA",)], "name string"), "name").count() == 32
-    content = spark.range(1).select(validate.content_rules(F.lit("# A\n\n## Operation\n```\nx")).alias("c")).first().c
-    assert content == ["open fence"]
+
+
+def test_content_rules(spark):
+    broken = """# ADD -- A64
+
+- `ADD <Xd><Xn>`
+| a | b |
+| 1 | 2 |
+
+## Operands
+- fine
+stray \ufffd
+## Other
+```
+if a thenX elseY
+"""
+    texts = [("A__1", broken), ("B__2", "none"), ("C__3", "# \nx"), ("D__4", "# D\n## Operation\n```\nx then Y\n```\n| a |\n|---|\n|"), (None, None)]
+    files = spark.createDataFrame(texts, "name string, content string")
+    got = {r.name: r for r in files.select("name", *(validate.content_rules(F.col("content"), F.col("name"), a).alias(a) for a in ("arm", "x86_64"))).collect()}
+    assert got["A__1"].arm == [
+        "A__1:3: ASM template missing spaces: 'ADD <Xd><Xn>...'",
+        "A__1:4: table header not followed by separator row",
+        "A__1: unclosed code fence",
+        "A__1:12: pseudocode missing space after 'else': 'if a thenX elseY'",
+        "A__1:12: pseudocode missing space after 'then': 'if a thenX elseY'",
+        "A__1: contains 1 replacement character(s) U+FFFD",
+        "A__1:9: broken operand line (not a bullet): 'stray \ufffd'",
+    ]
+    assert got["A__1"].x86_64 == ["A__1:4: table header not followed by separator row", "A__1: contains 1 replacement character(s) U+FFFD"]
+    assert got["B__2"].arm == ["B__2: missing H1 title"] and got[None].arm == [": missing H1 title"]
+    assert got["C__3"].arm == ["C__3: empty H1 title", "C__3: too little content (1 non-empty lines)", "C__3: no H2 sections found", "C__3: missing standard sections (has: )"]
+    assert got["D__4"].arm == [] and got["D__4"].x86_64 == []
+    raised = spark.range(1).select(validate.content_rules(F.lit("# A\n## B\n  ⁻ c\n⁻d"), F.lit("a"), "x86_64").alias("c")).first().c
+    assert raised == ["a: 2 line(s) start with superscript-minus '⁻' as bullet (should be '-')"]
+    names = spark.createDataFrame([("Add__x",), ("add",), ("A²",), ("",), (None,)], "n string")
+    rows = names.select("n", *(validate.filename_rules(F.col("n"), a).alias(a) for a in ("arm", "x86_64"))).collect()
+    assert [len(r.arm) for r in rows] == [0, 2, 1, 1, 1] and [len(r.x86_64) for r in rows] == [0, 1, 1, 1, 1]
 
 
 def test_routing_keeps_sections_over_pages(spark):
@@ -272,3 +307,32 @@ def test_x86_issues(spark):
     ]
     assert got["inc"] == ["inc should not affect CF in calc_flags"] and got["mov"] == ["MOV should use u::zero_extend(o2())"]
     assert got["and"] == ["and: OF should not be in calc_flags (should be explicitly cleared)"] and len(got["call"]) == 1 and got["add"] == []
+
+
+def test_arm_issues(spark):
+    every = "&[&pstate_n, &pstate_z, &pstate_c, &pstate_v]"
+    rows = [
+        ("adds", "AddWithCarry(a, b)", "let calc_flags = calc_flags_automatically(x, size, &[&pstate_n, &pstate_z]);"),
+        ("subs", "x = AddWithCarry(a, NOT(b))", f"b::sub calc_flags_automatically(x, size, {every})"),
+        ("orn", None, "none"), ("orn2", "operand1 EOR operand2", "none"), ("orr", "case op of", "none"),
+        ("cbz", "", "condition( jump(o2()) equal fallthrough instruction_byte_size()"), ("tbnz", "", "condition(jump(o2())"),
+        ("cmp", "", "calc_flags_automatically; assign(x, o1(), o1_size())"), ("adrp", "", "b::and(pc, 0xfff)"),
+        ("bfm", "- BFI (x) — Preferred when y", "b::sar("), ("other", None, None), (None, None, "unknown_data()"),
+    ]
+    made = spark.createDataFrame(rows, "name string, pseudocode string, body string")
+    got = {r.name: r.issues for r in validate.with_arm_issues(made).collect()}
+    assert got["adds"] == ["pseudocode has AddWithCarry but body lacks b::add", "adds: missing &pstate_c in calc_flags", "adds: missing &pstate_v in calc_flags"]
+    assert got["subs"] == got["orn"] == got["cbz"] == got["adrp"] == got["other"] == []
+    assert got["orn2"] == ["pseudocode has EOR but body lacks b::xor"] and got["orr"] == ["pseudocode implies b::or for orr but not found in body"]
+    assert got["tbnz"][0] == "tbnz should use shift+mask for bit test" and len(got["tbnz"]) == 3
+    assert got["cmp"] == ["cmp should not write to destination register"] and got[None] == ["contains unknown_data() — expression could not be parsed"]
+    assert sum("BFI" in x for x in got["bfm"]) == 3 and not any("BFXIL" in x for x in got["bfm"])
+
+
+def test_arm_templates_have_no_wrong_body(spark):
+    """The archive's own templates and alias bodies break no rule, so each is CORRECT or a stub."""
+    rows = [(n, "arm", None, "\n".join(lines), any("exception(" in x for x in lines)) for n, lines in {**bodies.arm(), **bodies.arm_aliases()}.items()]
+    made = spark.createDataFrame(rows, "name string, arch string, pseudocode string, body string, is_exception boolean")
+    judged = {r.name: r for r in manual.verdicts(made).collect()}
+    assert len(judged) == len(rows)
+    assert {n: r.issues for n, r in judged.items() if r.verdict not in ("CORRECT", "EXCEPTION_STUB")} == {}
