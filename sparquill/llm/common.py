@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,18 @@ def text_or_empty(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def values(batch: pa.Array, rows: int = 256) -> Iterator:
+    """The values of a batch; Python objects exist for `rows` of them at a time, as texts may be long."""
+    for at in range(0, len(batch), rows):
+        yield from batch.slice(at, rows).to_pylist()
+
+
+def mapped(batch: pa.Array, f: Callable, kind: pa.DataType, rows: int = 256) -> pa.Array:
+    """f of every value, as an Arrow array; Python objects exist for `rows` values and results at a time."""
+    parts = [pa.array([f(x) for x in batch.slice(at, rows).to_pylist()], kind) for at in range(0, len(batch), rows)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def fold(doc_id: str, folds: int) -> Column:
     """crc32(doc_id as text) mod folds; null ids are in no fold (null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import cut, fresh, text_or_empty
+from sparquill.llm.common import cut, fresh, text_or_empty, values
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
@@ -119,7 +119,7 @@ def find_items(docs: DataFrame, items: DataFrame, *, into: str, width: int = 10,
         def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             found = automaton(sent.value, width)
             for batch in batches:
-                rows = [scan(x or "", found) for x in batch.to_pylist()]
+                rows = [scan(x or "", found) for x in values(batch)]
                 yield pa.StructArray.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()),

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import stored
+from sparquill.llm.common import stored, values
 
 END = 2
 SMALL = 64  # the largest piece that is not cut further
@@ -171,7 +171,7 @@ def _fill(docs: DataFrame, capacity: int, tokenizer: str | None) -> DataFrame:
             return batch
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text in zip(values(batch.column(0)), values(batch.column(1))):
                 ids = np.append(encoder.ids(text or ""), np.uint32(END)).astype("<u4")
                 raw, start = memoryview(ids.tobytes()), 0
                 for n in cuts(len(ids), capacity, reciprocal):

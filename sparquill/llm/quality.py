@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import fold, fresh, labelled
+from sparquill.llm.common import fold, fresh, labelled, mapped
 
 PASSAGE = 2048  # bytes of UTF-8
 _SEEN = b".,;:!?'\"()-|*#$%&/<>=_@[]{}\n\t\\+~^0123456789"
@@ -136,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 4000, max_passa
     @F.arrow_udf("binary")
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([bag(x or "").tobytes() for x in batch.to_pylist()], pa.binary())
+            yield mapped(batch, lambda x: bag(x or "").tobytes(), pa.binary())
 
     coded = sample.select("id", "y", vectors.asNondeterministic()("text").alias("x")).orderBy("id", F.xxhash64("x"))
     bags, y, room = [], [], max_passages
@@ -162,7 +162,7 @@ def with_score(docs: DataFrame, model: Attention, into: str, text_col: str = "te
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = sent.value
         for batch in batches:
-            yield pa.array([own.score(x or "") for x in batch.to_pylist()], pa.float64())
+            yield mapped(batch, lambda x: own.score(x or ""), pa.float64())
 
     return docs.withColumn(into, score.asNondeterministic()(F.col(text_col)))
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparquill.llm.common import mapped
+
 # Fixed strong patterns: (kind, pattern, group and least length that a match needs).
 STRONG = (
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
@@ -101,7 +103,7 @@ def with_findings(docs: DataFrame, into: str, *, reach: int = 200, text_col: str
     @F.arrow_udf("array<struct<kind:string,start:bigint,end:bigint>>")
     def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([[dict(zip(("kind", "start", "end"), s)) for s in find(x or "", reach)] for x in batch.to_pylist()], pa.list_(_SPAN))
+            yield mapped(batch, lambda x: [dict(zip(("kind", "start", "end"), s)) for s in find(x or "", reach)], pa.list_(_SPAN))
 
     return docs.withColumn(into, look.asNondeterministic()(F.col(text_col)))
 
@@ -135,6 +137,6 @@ def redact(docs: DataFrame, *, mark: str = "[SECRET]", text_col: str = "text", r
     @F.arrow_udf("string")
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([None if x is None else redacted(x, mark, reach) for x in batch.to_pylist()], pa.string())
+            yield mapped(batch, lambda x: None if x is None else redacted(x, mark, reach), pa.string())
 
     return docs.withColumn(text_col, clean.asNondeterministic()(F.col(text_col)))

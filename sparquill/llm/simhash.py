@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import cut, fresh, stored
+from sparquill.llm.common import cut, fresh, stored, values
 
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # (shift, bits)
 PAIRS = [(i, j) for i in range(3) for j in range(3) if i != j]
@@ -63,7 +63,7 @@ def with_fingerprint(docs: DataFrame, into: str, text_col: str = "text") -> Data
     @F.arrow_udf("bigint")
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array(np.fromiter((fingerprint(x or "") for x in batch.to_pylist()), np.uint64, len(batch)).view(np.int64))
+            yield pa.array(np.fromiter((fingerprint(x or "") for x in values(batch)), np.uint64, len(batch)).view(np.int64))
 
     return docs.withColumn(into, hashed.asNondeterministic()(F.col(text_col)))
 

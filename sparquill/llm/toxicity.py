@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import fold, labelled, stored
+from sparquill.llm.common import fold, labelled, mapped, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n\r…]+")
@@ -228,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, **lexic
     @F.arrow_udf("array<double>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([list(model.features(x or "")) for x in batch.to_pylist()], pa.list_(pa.float64()))
+            yield mapped(batch, lambda x: list(model.features(x or "")), pa.list_(pa.float64()))
 
     rows = sample.select(features.asNondeterministic()("text").alias("x"), "y").collect()  # three numbers for each sampled row
     if rows and 0 < sum(r.y for r in rows) < len(rows):
@@ -244,7 +244,7 @@ def with_score(docs: DataFrame, model: Model, into: str, text_col: str = "text")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = sent.value
         for batch in batches:
-            yield pa.array([own.score(x or "") for x in batch.to_pylist()], pa.float64())
+            yield mapped(batch, lambda x: own.score(x or ""), pa.float64())
 
     return docs.withColumn(into, score.asNondeterministic()(F.col(text_col)))
 
