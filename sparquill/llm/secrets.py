@@ -29,12 +29,12 @@ STRONG = (
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
     ("hex", re.compile(r"[0-9a-f]{16,}"), 0, 16),  # maximal runs, so the same as [0-9a-f]+ of 16 or more
 )
-# Weak parts: what names an account, where it is used, and what looks random.
+# Weak parts: what names an account, where it is used, and what looks random.  Runs are open-ended: a part is the whole token.
 WEAK = (
-    ("identifier", re.compile(r"""\b(?:access|account|client|consumer|user|login|tenant|project)[_-]?(?:key)?[_-]?(?:id|name)?["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,128})""", re.I | re.A), 1),
-    ("endpoint", re.compile(r"""\b(?:https?|wss?|ftp|jdbc:[a-z]{2,16}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>|]{3,2048}""", re.A), 0),
-    ("endpoint", re.compile(r"""\b(?:endpoint|host|hostname|server|base_?url)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]{3,253}(?::[0-9]{2,5})?)""", re.I | re.A), 1),
-    ("random", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,512}={0,2}(?![A-Za-z0-9+/_=-])"), 0),
+    ("identifier", re.compile(r"""\b(?:access|account|client|consumer|user|login|tenant|project)[_-]?(?:key)?[_-]?(?:id|name)?["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", re.I | re.A), 1),
+    ("endpoint", re.compile(r"""\b(?:https?|wss?|ftp|jdbc:[a-z]{2,16}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>|]{3,}""", re.A), 0),
+    ("endpoint", re.compile(r"""\b(?:endpoint|host|hostname|server|base_?url)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]{3,}(?::[0-9]{2,5})?)""", re.I | re.A), 1),
+    ("random", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"), 0),
 )
 ORDER = {k: i for i, k in enumerate(("assign", "access", "hex", "identifier", "endpoint", "random"))}
 # What each kind can complete: a secret needs an identifier or an endpoint, and the reverse.

@@ -1,0 +1,18 @@
+"""Secret scans of long tokens and nested parts."""
+
+import random
+import string
+
+import pytest
+
+from sparquill.llm import secrets
+
+
+@pytest.mark.parametrize("n", [512, 513, 5000])
+def test_long_tokens(spark, n):
+    token = "".join(random.Random(n).choices(string.ascii_letters + string.digits, k=n))
+    for text in (f"client_id: svc-reader x: {token} z", f"client_id: {token} password=abcdefghijkl1 z", f"https://{token} password=abcdefghijkl1 z", f"host={token} password=abcdefghijkl1 z"):
+        assert token in [text[a:b].removeprefix("https://") for _, a, b in secrets.find(text)]
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        assert token[-5:] not in secrets.redact(docs).first().text
+        assert f":{text.index(token) + n}" in secrets.scan(docs).first().spans
