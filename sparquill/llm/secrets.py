@@ -5,8 +5,9 @@ long hexadecimal strings.  Weak candidates (identifiers, endpoints, random
 tokens) mean nothing by themselves; they are reported only where complementary
 parts meet: an interval join within each document links parts whose scopes
 overlap, a scope being the text around a part, ended by a blank line.  The
-join sweeps the parts in order of position and asks, for each kind, for the
-nearest part on either side, so its work grows with the number of parts.
+join sweeps the parts in order of position and asks, for each role, for the
+furthest end before a part and the nearest start after it, so its work grows
+with the number of parts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,13 +70,14 @@ def linked(text: str, strong: list, weak: list, reach: int) -> list[tuple[str, i
     for part in sorted([*strong, *weak], key=lambda p: p[1]):
         roles.setdefault((scope(part), ROLE[part[0]]), []).append(part)
     starts = {k: [p[1] for p in v] for k, v in roles.items()}
+    ends = {k: list(accumulate((p[2] for p in v), max)) for k, v in roles.items()}  # the furthest end so far, as parts nest
 
     def meets(part, role: str) -> bool:
         key = scope(part), role
-        others = roles.get(key, ())
-        at = bisect_left(starts.get(key, ()), part[1])
-        near = [*others[max(0, at - 1) : at], *others[at : at + 1]]
-        return any(o is not part and o[1] - part[2] <= reach and part[1] - o[2] <= reach for o in near)
+        if key not in roles:
+            return False
+        at = bisect_left(starts[key], part[1])
+        return at > 0 and part[1] - ends[key][at - 1] <= reach or at < len(starts[key]) and starts[key][at] - part[2] <= reach
 
     return [p for p in weak if (meets(p, "identifier") or meets(p, "endpoint") if ROLE[p[0]] == "secret" else meets(p, "secret"))]
 
