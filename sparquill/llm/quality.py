@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import fold, fresh, labelled, mapped
+from sparquill.llm.common import fold, fresh, labelled, mapped, stored
 
 PASSAGE = 2048  # bytes of UTF-8
 _SEEN = b".,;:!?'\"()-|*#$%&/<>=_@[]{}\n\t\\+~^0123456789"
@@ -59,8 +59,22 @@ def encode(passage: bytes) -> np.ndarray:
     return np.concatenate([classes, np.sqrt(shares), tail]).astype(np.float32)
 
 
-def bag(text: str) -> np.ndarray:
-    return np.stack([encode(p) for p in passages(text)])
+def bag(text: str, most: int | None = None) -> np.ndarray:
+    """The vectors of all passages, or of `most` of them, spread evenly."""
+    found = passages(text)
+    if most is not None and len(found) > most:
+        found = [found[(2 * i + 1) * len(found) // (2 * most)] for i in range(most)]
+    return np.stack([encode(p) for p in found])
+
+
+def passage_bound(counts: list[tuple[int, int]], room: int) -> int:
+    """The most passages a document may give so that all fit into room, 1 at least; counts has (passages, documents)."""
+    total = lambda bound: sum(min(n, bound) * k for n, k in counts)
+    low, high = 1, max([1, *(n for n, _ in counts)])
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if total(mid) <= room else (low, mid - 1)
+    return low
 
 
 def _sigmoid(x):
@@ -126,24 +140,34 @@ def fit(bags: list[np.ndarray], y: np.ndarray, *, hidden: int = 16, rounds: int
 def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 4000, max_passages: int = 40_000, **options) -> Attention:
     """Fit on at most about max_rows labelled documents outside the held-out fold.
 
-    The driver gets their passage vectors and nothing else: documents are
-    taken in order of id until max_passages vectors are full, which at four
-    bytes a number is 12 MB.  Without both labels every text scores the share
-    of label 1 (0.5 without any label).
+    The driver gets their passage vectors and nothing else, at most
+    max_passages, which at four bytes a number is 12 MB.  If they have more,
+    the longest documents give fewer, spread evenly over their text: all give
+    as many as the largest bound that fits, or all of theirs.  This is for the
+    fit only; scores read every passage.  Only rows beyond max_passages, as
+    repeated ids may give, are left out, by hash.  Without both labels every
+    text scores the share of label 1 (0.5 without any label).
     """
-    sample = labelled(docs, labels, "quality", fold("id", 4) != 2, max_rows=max_rows)
+    sample = stored(labelled(docs, labels, "quality", fold("id", 4) != 2, max_rows=max_rows))
+
+    @F.arrow_udf("bigint")
+    def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield mapped(batch, lambda x: len(passages(x or "")), pa.int64())
+
+    most = passage_bound(sample.groupBy(lengths.asNondeterministic()("text").alias("n")).count().collect(), max_passages)
 
     @F.arrow_udf("binary")
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield mapped(batch, lambda x: bag(x or "").tobytes(), pa.binary())
+            yield mapped(batch, lambda x: bag(x or "", most).tobytes(), pa.binary())
 
-    coded = sample.select("id", "y", vectors.asNondeterministic()("text").alias("x")).orderBy("id", F.xxhash64("x"))
+    coded = sample.select("id", "y", vectors.asNondeterministic()("text").alias("x")).orderBy(F.xxhash64("id", "x"), "id")
     bags, y, room = [], [], max_passages
     for r in coded.toLocalIterator():
         x = np.frombuffer(r.x, np.float32).reshape(-1, WIDTH)
         room -= len(x)
-        if room < 0 and bags:
+        if room < 0 and bags:  # only where there are more rows than max_passages, one passage each
             break
         bags.append(x)
         y.append(r.y)
