@@ -12,13 +12,36 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where none is set (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir; one of our own only in local mode (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparquill-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sparquill-"))
     return sc.getCheckpointDir()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder.  What is written there goes when the driver's JVM ends, as lazy results may need it until then."""
+    path = f"{checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    files, place = _hadoop(spark, path)
+    files.mkdirs(place.getParent())
+    files.deleteOnExit(place)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what scratch() gave and nothing needs any more."""
+    files, place = _hadoop(spark, path)
+    files.delete(place, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)
@@ -27,7 +50,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder; columnar, so it suits wide or many rows."""
-    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -83,5 +106,5 @@ def labelled(
     )
     n = ids.count()
     if n > max_rows:
-        ids = ids.where(F.pmod(F.xxhash64(F.col("id"), F.lit("sample")), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)))
+        ids = ids.where(F.shiftrightunsigned(F.xxhash64(F.col("id"), F.lit("sample")), 1) < int(max_rows / n * (1 << 63)))
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(F.broadcast(ids), "id")

@@ -1,85 +1,99 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-The normalised windows of all benchmark items are compiled into one automaton;
-each document is normalised once and scanned once.  Normalising keeps one
-space around every word, so a match's end is the n-th space and gives word
-numbers, which the word offsets of the original text turn into spans there.
+The normalised windows of all benchmark items are compiled into one automaton
+over word symbols: every word that an item has is one symbol, all others are
+one more.  Each document is normalised once, written in symbols and scanned
+once; a match's end is a word number, which the word offsets of the original
+text turn into a span there.  A window of ten words costs at most ten nodes,
+whatever its letters.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import cut, fresh, text_or_empty, values
+from sparquill.llm.common import fresh, mapped, stored, text_or_empty, values
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
+NODE_BYTES = 100  # with the windows' owners, as measured
 _RUN = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 _FOUND = pa.struct([("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("runs", pa.list_(_RUN))])
 FOUND = "struct<n_words:bigint,items:array<string>,runs:array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>>"
 
 
-def normalise(text: str) -> bytes:
-    """Lower-cased (A-Z) words joined by single spaces; bytes above 7F are word characters."""
-    return b" ".join(text.encode().translate(_TABLE).split())
+def words_of(text: str) -> list[bytes]:
+    """Lower-cased (A-Z) words; bytes above 7F are word characters."""
+    return text.encode().translate(_TABLE).split()
 
 
-def windows(text: str, width: int) -> set[tuple[str, int]]:
-    """Distinct windows of an item: `width` consecutive words, or all of its fewer words."""
-    words = normalise(text).split()
-    if not words:
-        return set()
-    size = min(width, len(words))
-    return {(b" ".join(words[i : i + size]).decode("latin-1"), size) for i in range(len(words) - size + 1)}
+def pieces(text: str, width: int, windows: int = 1000) -> list[str]:
+    """The words of an item, joined by spaces, in pieces that hold each of its windows exactly once, `windows` at most in a piece."""
+    words = words_of(text)
+    at = range(0, max(1, len(words) - width + 1), windows) if words else ()
+    return [b" ".join(words[i : i + windows + width - 1]).decode() for i in at]
 
 
-def automaton(items: list[tuple[str | None, str]], width: int):
-    """One automaton over the windows of (item_id, text) pairs; a match's value is (words, item ids)."""
-    import ahocorasick
+class _Automaton:
+    """One automaton over the windows of (item_id, words joined by spaces) pairs."""
 
-    owners: dict[tuple[str, int], set[str]] = {}
-    for item, text in items:
-        for window in windows(text, width):
-            owners.setdefault(window, set()).update(() if item is None else (item,))
-    found = ahocorasick.Automaton()
-    for (window, size), ids in owners.items():
-        found.add_word(f" {window} ", (size, tuple(ids)))
-    if owners:
-        found.make_automaton()
-    return found if owners else None
+    def __init__(self, items: list[tuple[str | None, str]], width: int):
+        import ahocorasick
 
+        self.symbols: dict[bytes, str] = {}
+        owners: dict[str, set[str]] = {}
+        for item, text in items:
+            coded = "".join([self.symbols.setdefault(w, self._symbol(len(self.symbols) + 1)) for w in words_of(text)])
+            size = min(width, len(coded))
+            for i in range(len(coded) - size + 1 if coded else 0):
+                owners.setdefault(coded[i : i + size], set()).update(() if item is None else (item,))
+        self.found = ahocorasick.Automaton()
+        for window, ids in owners.items():
+            self.found.add_word(window, (len(window), tuple(ids)))
+        if owners:
+            self.found.make_automaton()
 
-def scan(text: str, found) -> tuple[int, set[str], list[tuple[int, int, int, int]]]:
+    @staticmethod
+    def _symbol(i: int) -> str:
+        return chr(i if i < 0xD800 else i + 0x800)
+
+    def matches(self, words: list[bytes]) -> Iterator[tuple[int, tuple[int, tuple[str, ...]]]]:
+        """(number of the last word, (words, item ids)) of every window met."""
+        if not self.symbols:
+            return iter(())
+        symbol = self.symbols.get
+        return self.found.iter("".join([symbol(w, "\0") for w in words]))
+
+
+def automaton(items: list[tuple[str | None, str]], width: int) -> _Automaton:
+    """The automaton of (item_id, text) pairs; all windows of a text belong to it."""
+    return _Automaton(items, width)
+
+
+def scan(text: str, found: _Automaton) -> tuple[int, set[str], list[tuple[int, int, int, int]]]:
     """Number of words, items met, and runs of hit words (first, last, start, end) of one text."""
-    norm = normalise(text)
-    if not norm:
-        return 0, set(), []
-    hay = b" " + norm + b" "
-    spaces = hay.count(b" ")
-    if found is None:
-        return spaces - 1, set(), []
+    words = words_of(text)
     ends, sizes, items = [], [], set()
-    for end, (size, ids) in found.iter(hay.decode("latin-1")):
-        ends.append(end)
+    for end, (size, ids) in found.matches(words):
+        ends.append(end + 1)
         sizes.append(size)
         items.update(ids)
     if not ends:
-        return spaces - 1, set(), []
-    at = np.flatnonzero(np.frombuffer(hay, np.uint8) == 32)
-    after = np.searchsorted(at, ends)  # words before the space that ends each match
-    depth = np.zeros(spaces + 1, np.int64)
-    np.add.at(depth, after - np.asarray(sizes), 1)
-    np.add.at(depth, after, -1)
+        return len(words), set(), []
+    depth = np.zeros(len(words) + 1, np.int64)
+    np.add.at(depth, np.asarray(ends) - np.asarray(sizes), 1)
+    np.add.at(depth, ends, -1)
     edge = np.flatnonzero(np.diff(np.concatenate(([0], np.cumsum(depth) > 0, [0])).astype(np.int8)))
     offsets = [m.span() for m in WORD.finditer(text)]
-    return spaces - 1, items, [(int(a), int(b) - 1, offsets[a][0], offsets[b - 1][1]) for a, b in zip(edge[::2], edge[1::2])]
+    return len(words), items, [(int(a), int(b) - 1, offsets[a][0], offsets[b - 1][1]) for a, b in zip(edge[::2], edge[1::2])]
 
 
 def merge_runs(runs: list[dict]) -> list[dict]:
@@ -94,56 +108,85 @@ def merge_runs(runs: list[dict]) -> list[dict]:
     return out
 
 
-def find_items(docs: DataFrame, items: DataFrame, *, into: str, width: int = 10, text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
+_built: dict[str, _Automaton] = {}
+
+
+def _built_once(name: str, sent, width: int) -> _Automaton:
+    """The automaton of a block, built once in a worker process, which holds one at a time."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = automaton(sent.value, width)
+    return _built[name]
+
+
+def _looking(spark: SparkSession, block: DataFrame, width: int):
+    """A function of texts that finds the items of one block."""
+    sent, name = spark.sparkContext.broadcast([(r.id, r.piece) for r in block.select("id", "piece").collect()]), uuid.uuid4().hex
+
+    @F.arrow_udf(FOUND)
+    def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        found = _built_once(name, sent, width)
+        for batch in batches:
+            rows = [scan(x or "", found) for x in values(batch)]
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array([r[0] for r in rows], pa.int64()),
+                    pa.array([sorted(r[1]) for r in rows], pa.list_(pa.string())),
+                    pa.array([[dict(zip(("first", "last", "start", "end"), x)) for x in r[2]] for r in rows], pa.list_(_RUN)),
+                ],
+                fields=list(_FOUND),
+            )
+
+    return look.asNondeterministic()
+
+
+def find_items(docs: DataFrame, items: DataFrame, *, into: str, width: int = 10, text_col: str = "text", block_bytes: int = 256 << 20) -> DataFrame:
     """docs with a struct column `into`: n_words, items (ids as strings, sorted) and runs of hit words.
 
     A run has the numbers of its first and last word and the span of code
     points of the original text.  Null and empty texts have no words; an item
     with a null id marks words but is not listed; repeated items count once.
 
-    The item texts are what is broadcast.  Their size is counted first, and
-    beyond block_bytes they are dealt into blocks; each block has an automaton
-    of its own and the documents pass them one after another, with a
-    checkpoint between, so that a worker holds one automaton at a time.
+    A worker holds one automaton of about block_bytes at most, built once in
+    its process.  Its nodes are counted first: a window has at most as many as
+    words.  Items that need more are dealt, in pieces of whole windows, into
+    blocks; each block is broadcast and looked
+    for in a scan of its own, of which only the texts with findings are kept,
+    under the SHA-256 of the text.
     """
     spark = docs.sparkSession
-    kept = items.select(F.col("item_id").cast("string").alias("id"), text_or_empty().alias("text"))
-    total = kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    parts = fresh(docs, *(f"{into}_{b}" for b in range(blocks)))
-    for b, part in enumerate(parts):
-        mine = kept.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b) if blocks > 1 else kept
-        sent = spark.sparkContext.broadcast([(r.id, r.text) for r in mine.collect()])
-
-        @F.arrow_udf(FOUND)
-        def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            found = automaton(sent.value, width)
-            for batch in batches:
-                rows = [scan(x or "", found) for x in values(batch)]
-                yield pa.StructArray.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([sorted(r[1]) for r in rows], pa.list_(pa.string())),
-                        pa.array([[dict(zip(("first", "last", "start", "end"), x)) for x in r[2]] for r in rows], pa.list_(_RUN)),
-                    ],
-                    fields=list(_FOUND),
-                )
-
-        docs = docs.withColumn(part, look.asNondeterministic()(F.col(text_col)))
-        if b + 1 < blocks:
-            docs = cut(docs)
+    cut_up = F.arrow_udf(lambda batch: mapped(batch, lambda x: pieces(x, width), pa.list_(pa.string())), "array<string>")
+    cells = items.select(F.col("item_id").cast("string").alias("id"), F.explode(cut_up(text_or_empty())).alias("piece")).distinct()
+    cells = stored(cells.withColumn("words", F.size(F.split("piece", " "))))
+    nodes, n = cells.agg(F.coalesce(F.sum(F.expr(f"least(words, {width}) * greatest(words - {width - 1}, 1)")), F.lit(0)), F.count("*")).first()
+    room = max(1, block_bytes // NODE_BYTES)
+    blocks = 1 if nodes <= room else min(n, -(-5 * nodes // (4 * room)))  # hashing deals unevenly
+    block = lambda b: cells.where(F.pmod(F.xxhash64("id", "piece"), F.lit(blocks)) == b) if blocks > 1 else cells
+    first = _looking(spark, block(0), width)
     if blocks == 1:
-        return docs.withColumnRenamed(parts[0], into)
+        return docs.withColumn(into, first(F.col(text_col)))
+
+    sha, own, sha_right, runs, ids = fresh(docs, "sha", "own", "sha_right", "runs", "ids")
+    digest = F.unhex(F.sha2(F.col(text_col), 256))
+    met = None
+    for b in range(1, blocks):
+        rows = docs.select(digest.alias("sha"), _looking(spark, block(b), width)(F.col(text_col)).alias("found"))
+        rows = stored(rows.where(F.size("found.runs") > 0).select("sha", "found.items", "found.runs").dropDuplicates(["sha"]))
+        met = rows if met is None else met.unionByName(rows)
 
     @F.arrow_udf(f"array<{FOUND[FOUND.index('struct<first') : -2]}>")
     def union(runs: pa.Array) -> pa.Array:
         return pa.array([merge_runs(x) for x in runs.to_pylist()], pa.list_(_RUN))
 
-    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*(F.col(p).items for p in parts)))))
-    runs = union(F.flatten(F.array(*(F.col(p).runs for p in parts))))
-    return docs.withColumn(into, F.struct(F.col(parts[0]).n_words.alias("n_words"), ids.alias("items"), runs.alias("runs"))).drop(
-        *(p for p in parts if p != into)
+    met = met.groupBy(F.col("sha").alias(sha_right)).agg(F.flatten(F.collect_list("items")).alias(ids), F.flatten(F.collect_list("runs")).alias(runs))  # of one text
+    none = lambda name: F.coalesce(F.col(name), F.array())
+    both = docs.withColumn(own, first(F.col(text_col))).withColumn(sha, digest).join(met, F.col(sha) == F.col(sha_right), "left")
+    found = F.struct(
+        F.col(own).n_words.alias("n_words"),
+        F.array_sort(F.array_distinct(F.concat(F.col(own)["items"], none(ids)))).alias("items"),
+        union(F.concat(F.col(own).runs, none(runs))).alias("runs"),
     )
+    return both.withColumn(into, found).drop(own, sha, sha_right, runs, ids)
 
 
 def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -166,6 +209,10 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of docs that hold no window of any item, with all their columns."""
+    """The rows of docs that hold no window of any item, with all their columns.
+
+    Null and empty texts hold none and stay, as do repeated rows and null ids;
+    an empty table gives no rows, and without items all rows stay.
+    """
     (into,) = fresh(docs, "found")
     return find_items(docs, items, into=into, **options).where(F.size(F.col(into).runs) == 0).drop(into)

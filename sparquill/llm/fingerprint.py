@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import text_or_empty
+from sparquill.llm.common import fresh, text_or_empty
 
 
 def canonical(text: Column) -> Column:
@@ -51,9 +51,19 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs with the smallest doc_id of their group; rows without doc_id stay."""
-    kept = exact_groups(docs).where("group_id is not null").select(F.col("group_id").alias("doc_id"))
-    return docs.where("doc_id is null").unionByName(docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns))
+    """One row of each group, that with the smallest doc_id; rows without doc_id stay.
+
+    A doc_id with several texts is kept where its text's group has no smaller
+    one.  Of rows that repeat doc_id and text one stays.  Null texts count as
+    empty; other columns are left as they are; an empty table gives no rows.
+    """
+    mark, check, canon, g_mark, g_check, g_id = fresh(docs, "mark", "check", "canon", "g_mark", "g_check", "g_id")
+    marked = docs.withColumn(canon, canonical(text_or_empty()))
+    marked = marked.withColumn(mark, wide_hash(F.col(canon))).withColumn(check, F.unhex(F.sha2(canon, 256))).drop(canon)
+    kept = exact_groups(docs).where("group_id is not null").select(F.col("fingerprint").alias(g_mark), F.col("check").alias(g_check), F.col("group_id").alias(g_id))
+    same = (F.col(mark) == F.col(g_mark)) & (F.col(check) == F.col(g_check)) & (F.col("doc_id") == F.col(g_id))
+    found = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", mark, check])
+    return docs.where("doc_id is null").unionByName(found.select(docs.columns))
 
 
 def _bucket(key: Column, bounds: list) -> Column:
@@ -68,13 +78,14 @@ def _bucket(key: Column, bounds: list) -> Column:
     return F.when(part == 0, 0).otherwise((part - 1) * step + under(inner))
 
 
-def with_next(docs: DataFrame, *, carry: list[str], bucket_bytes: int = 4 << 20, max_buckets: int = 1 << 14) -> DataFrame:
+def with_next(docs: DataFrame, *, carry: list[str], bucket_bytes: int = 4 << 20, max_buckets: int = 1 << 16) -> DataFrame:
     """(doc_id, text, *carry) with next_<column> of the next document in descending doc_id, the first after the last.
 
     Equal ids are ordered by a hash of the text, null ids come last.  No task
-    holds the whole order: documents are dealt into ranges of doc_id, and each
-    range gets a copy of the first document of the range after it.  One copy
-    per range is all that is broadcast: at most max_buckets + 2 keys.
+    holds the whole order: documents are dealt into ranges of doc_id, those
+    without one into ranges of the hash, and each range gets a copy of the
+    first document of the range after it.  One copy per range is all that is
+    broadcast: at most 2 * max_buckets + 1 keys.
     """
     spark = docs.sparkSession
     rows = docs.withColumn("h", F.xxhash64("text"))
@@ -83,7 +94,9 @@ def with_next(docs: DataFrame, *, carry: list[str], bucket_bytes: int = 4 << 20,
     bounds = []
     if n > 1:
         bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []))
-    rows = rows.withColumn("b", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_bucket(F.col("doc_id"), bounds)))
+    unnamed = F.shiftrightunsigned("h", 40).cast("int") if n > 1 else F.lit(0)  # the upper 24 bits; the sign bit goes first below
+    place = F.floor(F.pmod(unnamed + F.lit(1 << 23), F.lit(1 << 24)) * max(1, n) / (1 << 24)).cast("int") if n > 1 else F.lit(0)
+    rows = rows.withColumn("b", F.when(F.col("doc_id").isNull(), place - max(1, n)).otherwise(_bucket(F.col("doc_id"), bounds)))
     heads = sorted(((r.b, r.m.doc_id, r.m.h) for r in rows.groupBy("b").agg(F.max(F.struct("doc_id", "h")).alias("m")).collect()), reverse=True, key=lambda r: r[0])
     guests = [(d, h, heads[i - 1][0]) for i, (_, d, h) in enumerate(heads)]
     sent = spark.createDataFrame(guests, "g_id bigint, g_h bigint, g_b int")

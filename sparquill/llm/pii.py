@@ -10,6 +10,7 @@ network serves digit strings, calendar days and addresses.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -76,7 +77,10 @@ def permute(s: Column, key: str, tweak: str, base: int = 10) -> Column:
         padded = F.lpad(digits, width, "0")
         return F.translate(padded, _BASE26, _LETTERS) if base == 26 else padded
 
-    return _let(out, lambda p: F.concat(text(p["l"], na), text(p["r"], nb)))
+    # one character has no halves, so the network would only turn it: it is looked up in a keyed order of all of them
+    signs = _LETTERS if base == 26 else "0123456789"
+    keyed = sorted(range(base), key=lambda i: hashlib.sha256("|".join(map(str, (key, tweak, base, i))).encode()).digest())
+    return F.when(n == 1, F.translate(s, signs, "".join(signs[i] for i in keyed))).otherwise(_let(out, lambda p: F.concat(text(p["l"], na), text(p["r"], nb))))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -119,9 +123,14 @@ def mod97(iban: Column) -> Column:
 
 
 def _date(s: Column) -> Column:
-    """The day of any of the four layouts, or null."""
-    joined = lambda *at: F.concat_ws("-", *(F.substring(s, a, n) for a, n in at))
-    return F.when(s.rlike("^[0-9]{4}"), joined((1, 4), (6, 2), (9, 2))).otherwise(joined((7, 4), (4, 2), (1, 2))).try_cast("date")
+    """The day of any of the layouts, or null; with slashes, month first is tried where day first is no date."""
+    joined = lambda *at: F.concat_ws("-", *(F.substring(s, a, n) for a, n in at)).try_cast("date")
+    return F.when(s.rlike("^[0-9]{4}"), joined((1, 4), (6, 2), (9, 2))).otherwise(F.coalesce(joined((7, 4), (4, 2), (1, 2)), F.when(_month_first(s), joined((7, 4), (1, 2), (4, 2)))))
+
+
+def _month_first(s: Column) -> Column:
+    """Whether the second part of a date with slashes can only be a day."""
+    return F.substring(s, 3, 1).eqNullSafe("/") & (F.substring(s, 4, 2) > "12")
 
 
 def kind_of(s: Column) -> Column:
@@ -159,8 +168,8 @@ def pseudonym(s: Column, kind: Column, key: str) -> Column:
     day = F.datediff(_date(s), F.lit(_FIRST_DAY).cast("date"))
     moved = feistel(F.floor(day / _DAYS[1]), day % _DAYS[1], F.lit(_DAYS[0]), F.lit(_DAYS[1]), key, "date")
     new_day = _let(moved, lambda p: F.date_add(F.lit(_FIRST_DAY).cast("date"), (p["l"] * _DAYS[1] + p["r"]).cast("int")))
-    shape = F.when(s.rlike("^[0-9]{4}"), F.lit("yyyyMMdd")).otherwise(F.lit("ddMMyyyy"))
-    date = _let(new_day, lambda d: refill(s, "0-9", F.when(shape == "yyyyMMdd", F.date_format(d, "yyyyMMdd")).otherwise(F.date_format(d, "ddMMyyyy"))))
+    shaped = lambda d: F.when(s.rlike("^[0-9]{4}"), F.date_format(d, "yyyyMMdd")).when(_month_first(s), F.date_format(d, "MMddyyyy")).otherwise(F.date_format(d, "ddMMyyyy"))
+    date = _let(new_day, lambda d: refill(s, "0-9", shaped(d)))
 
     area = F.substring(digits, 1, 3).cast("bigint")
     place = (area - 1 - F.when(area > 666, 1).otherwise(0)) * 99 + F.substring(digits, 4, 2).cast("bigint") - 1

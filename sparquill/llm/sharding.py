@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import cut, text_or_empty
+from sparquill.llm.common import cut, fresh, text_or_empty
 
 TOP = 12  # bits of the first histogram
 _SPAN = 1 << 63
@@ -106,7 +106,7 @@ def _after(p: _Probe, x: int) -> tuple[int, int]:
     return (p.h[0], x) if x < _SPAN else (p.h[0] + 1, 0)
 
 
-def plan(rows: DataFrame, shards: int = 24, *, tolerance: float = 0.001, range_bytes: int = 1 << 30, max_ranges: int = 64, probes: int = 128) -> Plan:
+def plan(rows: DataFrame, shards: int = 24, *, tolerance: float = 0.001, range_bytes: int = 1 << 30, max_ranges: int = 512, probes: int = 128) -> Plan:
     """Splitters that cut the rows of keyed() into shards of equal bytes.
 
     A boundary is off by at most `tolerance` of a shard, or half a row's bytes
@@ -182,10 +182,13 @@ def byte_shards(docs: DataFrame, shards: int = 24, **options) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, **options) -> None:
-    """Write the rows of docs, ordered by slot, in one folder per shard.
+    """Write the rows of docs, ordered by slot, in one folder per shard, with all their columns.
 
-    docs must not have columns named like the keys (size, text_crc32, h, t, shard, slot).
+    The columns added are shard and slot, with underscores before them where
+    docs has such columns itself.  Null texts have no bytes; repeated rows each
+    have a slot; an empty table writes no rows.
     """
-    rows = keyed(docs)
-    placed = assign(rows, plan(rows, shards, **options))
-    placed.drop("h", "t", "size", "text_crc32").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    shard, slot = fresh(docs, "shard", "slot")
+    rows = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))).drop("text")
+    placed = assign(rows, plan(rows, shards, **options)).select("row.*", F.col("shard").alias(shard), F.col("slot").alias(slot))
+    placed.sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)

@@ -7,7 +7,8 @@ insults, each with its log-odds as weight.  Four small transducers (negation,
 reported speech, targeting, threat) each rewrite the symbol string of a clause
 and multiply or drop weights; they are composed once into one deterministic
 machine.  A clause's score is the weight of its path; a document's score is a
-logistic function of its clauses' scores, fitted on the same sample.
+logistic function of its clauses' scores.  The factors of the four rules and
+the weights of that function are fitted on the same sample.
 """
 
 from __future__ import annotations
@@ -87,7 +88,11 @@ def _window(opens: str, hits: str, reach: int, factor: float, eat: bool = False,
     return Transducer(arcs)
 
 
-def grammar(negated: float = 0.3, reported: float = 0.6, targeted: float = 1.5, threatened: float = 1.5) -> Transducer:
+FACTORS = (0.3, 0.6, 1.5, 1.5)  # of negated, reported, targeted and threatened parts, before they are fitted
+CHOICES = (0.0, 0.3, 0.6, 1.0, 1.5, 2.0)
+
+
+def grammar(negated: float = FACTORS[0], reported: float = FACTORS[1], targeted: float = FACTORS[2], threatened: float = FACTORS[3]) -> Transducer:
     """Negation, then reported speech, then targets, then threats, composed into one machine."""
     return (
         _window(NEGATION, INSULT + THREAT, 3, negated, eat=True)
@@ -105,9 +110,10 @@ class Model:
     stems: dict[str, float]
     document: tuple[float, ...] = (-3.0, 1.0, 0.0)
     threat: float = 1.0
+    factors: tuple[float, ...] = FACTORS
 
     def __post_init__(self):
-        self.machine = grammar()
+        self.machine = grammar(*self.factors)
         self.lengths = sorted({len(s) for s in self.stems})
         self.memo: dict[str, tuple[str, float]] = {}
 
@@ -123,26 +129,34 @@ class Model:
             self.memo[word] = got
         return got
 
-    def clauses(self, text: str) -> Iterator[tuple[int, int, float]]:
-        """(start, end, score) of every clause with a positive score, over the whole text."""
+    def paths(self, text: str) -> Iterator[tuple[int, int, list[str], list[float]]]:
+        """(start, end, symbols, weights) of every clause that has a weight, over the whole text."""
         start = 0
         for m in [*CLAUSE.finditer(text), None]:
             end = m.start() if m else len(text)
             path = [self.lexical(w) for w in WORD.findall(text[start:end].lower())]
             if any(w for _, w in path):
                 # a target weighs like a threat, but the grammar lets it count only after one
-                weights = [self.threat if s == TARGET else w for s, w in path]
-                if (score := self.machine.run([s for s, _ in path], weights)) > 0:
-                    yield start, end, score
+                yield start, end, [s for s, _ in path], [self.threat if s == TARGET else w for s, w in path]
             start = m.end() if m else end
 
-    def features(self, text: str) -> tuple[float, float]:
-        """(log of 1 + the sum, maximum) of the clauses' scores; zero without any."""
+    def clauses(self, text: str) -> Iterator[tuple[int, int, float]]:
+        """(start, end, score) of every clause with a positive score, over the whole text."""
+        for start, end, symbols, weights in self.paths(text):
+            if (score := self.machine.run(symbols, weights)) > 0:
+                yield start, end, score
+
+    def features(self, text: str, machines: list[Transducer] | None = None) -> list[float]:
+        """For each machine, the log of 1 + the sum and the maximum of the clauses' scores; zero without any."""
+        machines = machines or [self.machine]
         lexical = self.lexical
         if not any(lexical(w)[1] for w in WORD.findall(text.lower())):
-            return 0.0, 0.0
-        scores = [s for _, _, s in self.clauses(text)]
-        return math.log1p(sum(scores)), max(scores, default=0.0)
+            return [0.0, 0.0] * len(machines)
+        paths, out = [p[2:] for p in self.paths(text)], []
+        for machine in machines:
+            scores = [machine.run(*p) for p in paths]
+            out += [math.log1p(sum(scores)), max(scores, default=0.0)]
+        return out
 
     def score(self, text: str) -> float:
         total, most = self.features(text)
@@ -150,7 +164,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, bias + a * total + b * most))))
 
     def __getstate__(self):
-        return {k: getattr(self, k) for k in ("words", "stems", "document", "threat")}
+        return {k: getattr(self, k) for k in ("words", "stems", "document", "threat", "factors")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -166,41 +180,47 @@ def _sketch(text: str) -> tuple[int, list[str]]:
     return family & (1 << 62) - 1, list(set(words))
 
 
-def learn_lexicon(sample: DataFrame, *, min_support: int = 5, purity: float = 0.9, max_arcs: int = 5000) -> tuple[dict, dict]:
+STEMS = (3, 8)  # letters of the shortest and the longest stem
+
+
+def learn_lexicon(sample: DataFrame, *, min_support: int = 5, purity: float = 0.9) -> tuple[dict, dict]:
     """Insult words and stems of the sample (text, y), with log-odds as weights.
 
     Support counts families of near copies, not documents, so that a copied
-    document does not make its neutral words look like insults.  max_arcs
-    bounds what comes to the driver, of words and of stems.
+    document does not make its neutral words look like insults.  What comes to
+    the driver is bounded by the sample: words that min_support of its families
+    have, nearly all of them toxic.
     """
+    least, most = STEMS
+    kind = pa.struct([("family", pa.int64()), ("words", pa.list_(pa.string()))])
 
     @F.arrow_udf("struct<family:bigint,words:array<string>>")
-    def sketch(texts: pa.Array) -> pa.Array:
-        rows = [_sketch(x or "") for x in texts.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], ["family", "words"])
+    def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield mapped(batch, lambda x: dict(zip(("family", "words"), _sketch(x or ""))), kind)
 
     def judged(pairs: DataFrame, key: str) -> DataFrame:
         """Families and toxic families of each key of (key, family, y)."""
         return pairs.groupBy(key, "family").agg(F.max("y").alias("y")).groupBy(key).agg(F.count("*").alias("n"), F.sum("y").alias("t"))
 
-    def pick(df: DataFrame, least: int) -> list:
-        sure = df.where((F.col("t") >= least) & (F.col("t") >= purity * F.col("n")))
-        return sure.orderBy(F.desc("t"), sure.columns[0]).limit(max_arcs).collect()
+    def pick(df: DataFrame, support: int) -> list:
+        return df.where((F.col("t") >= support) & (F.col("t") >= purity * F.col("n"))).collect()
 
     weight = lambda r: math.log((r.t + 0.5) / (r.n - r.t + 0.5))
     sketched = stored(sample.withColumn("s", sketch.asNondeterministic()("text")).select("y", "s.family", "s.words"))
     seen = stored(judged(sketched.select("family", "y", F.explode("words").alias("word")), "word"))
     words = {r.word: weight(r) for r in pick(seen, min_support)}
     # stems that may do, by the sums over all words that begin with them; then these are counted exactly
-    cuts = seen.where("length(word) >= 4").select("n", "t", F.explode(F.expr("transform(sequence(4, least(6, length(word))), k -> substring(word, 1, k))")).alias("stem"))
+    stems_of = f"transform(sequence({least}, least({most}, length(word))), k -> substring(word, 1, k))"
+    cuts = seen.where(f"length(word) >= {least}").select("n", "t", F.explode(F.expr(stems_of)).alias("stem"))
     sums = cuts.groupBy("stem").agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.count("*").alias("forms"))
     likely = {r.stem for r in pick(sums.where("forms >= 3"), 2 * min_support)}
-    begins = F.expr("array_distinct(flatten(transform(filter(words, w -> length(w) >= 4), w -> transform(sequence(4, least(6, length(w))), k -> substring(w, 1, k)))))")
+    begins = F.expr(f"array_distinct(flatten(transform(filter(words, word -> length(word) >= {least}), word -> {stems_of})))")
     found = judged(sketched.select("family", "y", F.explode(F.array_intersect(begins, F.lit(sorted(likely)))).alias("stem")), "stem") if likely else None
     exact = {r.stem: r for r in pick(found, 2 * min_support)} if likely else {}
-    longer = {s[:-1] for s, r in exact.items() if len(s) > 4 and s[:-1] in exact and r.t >= 0.9 * exact[s[:-1]].t}
+    longer = {s[:-1] for s, r in exact.items() if s[:-1] in exact and r.t >= 0.9 * exact[s[:-1]].t}
     stems = {s: weight(r) for s, r in exact.items() if s not in longer}
-    return {w: x for w, x in words.items() if not any(w[:n] in stems for n in (4, 5, 6))}, stems
+    return {w: x for w, x in words.items() if not any(w[:n] in stems for n in range(least, most + 1))}, stems
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -216,29 +236,55 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 5
     return w
 
 
+def _loss(w: np.ndarray, x: np.ndarray, y: np.ndarray) -> float:
+    z = np.clip(np.column_stack([np.ones(len(x)), x]) @ w, -30, 30)
+    return float(np.mean(np.log1p(np.exp(-np.where(y > 0, z, -z)))))
+
+
+def _fitted(sample: DataFrame, model: Model, tried: list[tuple[float, ...]]) -> list[tuple[float, np.ndarray]]:
+    """(log loss, document weights) of each of the tried factors on the sample; nothing without both labels."""
+
+    @F.arrow_udf("array<double>")
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        machines = [grammar(*f) for f in tried]
+        for batch in batches:
+            yield mapped(batch, lambda x: model.features(x or "", machines), pa.list_(pa.float64()))
+
+    # two numbers for each tried grammar and each kind of sampled row
+    rows = sample.select(features.asNondeterministic()("text").alias("x"), "y").groupBy("x", "y").count().collect()
+    y = np.repeat([float(r.y) for r in rows], [r["count"] for r in rows])
+    if not 0 < y.sum() < len(y):
+        return []
+    order = np.argsort([str((r.x, r.y)) for r in rows])  # the same sums whatever order the rows come in
+    x = np.repeat(np.array([rows[i].x for i in order]), [rows[i]["count"] for i in order], axis=0)
+    y = np.repeat([float(rows[i].y) for i in order], [rows[i]["count"] for i in order])
+    fits = [(_logistic(x[:, 2 * k : 2 * k + 2], y), x[:, 2 * k : 2 * k + 2]) for k in range(len(tried))]
+    return [(_loss(w, part, y), w) for w, part in fits]
+
+
 def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, **lexicon) -> Model:
-    """Fit lexicon and document weights on at most about max_rows labelled documents outside the held-out fold.
+    """Fit lexicon, factors and document weights on at most about max_rows labelled documents outside the held-out fold.
 
+    Each factor is that of CHOICES with the least log loss while the others
+    keep their first values; the weights are then fitted with all of them.
     Without any labelled row the lexicon is empty and only threats score.
     """
     sample = stored(labelled(docs, labels, "toxic", fold("id", 5) != 0, max_rows=max_rows))
     words, stems = learn_lexicon(sample.select("text", "y"), **lexicon)
     model = Model(words, stems)
-
-    @F.arrow_udf("array<double>")
-    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield mapped(batch, lambda x: list(model.features(x or "")), pa.list_(pa.float64()))
-
-    rows = sample.select(features.asNondeterministic()("text").alias("x"), "y").collect()  # three numbers for each sampled row
-    if rows and 0 < sum(r.y for r in rows) < len(rows):
-        model.document = tuple(float(v) for v in _logistic(np.array([r.x for r in rows]), np.array([r.y for r in rows], float)))
+    tried = [(i, c) for i in range(len(FACTORS)) for c in CHOICES]
+    losses = [x for x, _ in _fitted(sample, model, [tuple(c if k == i else f for k, f in enumerate(FACTORS)) for i, c in tried])]
+    if losses:
+        first = lambda i, c, x: (round(x, 9), abs(c - FACTORS[i]))
+        best = [min(((i, c, x) for (i, c), x in zip(tried, losses) if i == k), key=lambda t: first(*t))[1] for k in range(len(FACTORS))]
+        (_, weights), *_ = _fitted(sample, model, [tuple(best)])
+        model = Model(words, stems, tuple(map(float, weights)), factors=tuple(best))
     return model
 
 
 def with_score(docs: DataFrame, model: Model, into: str, text_col: str = "text") -> DataFrame:
     """docs with the toxicity score (0 to 1) of every whole text; null texts count as empty and get the base score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most max_arcs words and as many stems
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # words and stems of the bounded sample
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

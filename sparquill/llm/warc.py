@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import checkpoint_dir, stored
+from sparquill.llm.common import remove, scratch, stored
 
 CHUNK = 1 << 20
 _DIGITS32, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -81,7 +81,12 @@ def rendered(rows: DataFrame) -> Column:
 
 
 def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, file_rows: int = 20_000) -> None:
-    """Write one record per row of pages; every file is one gzip stream of at most file_rows records."""
+    """Write one record per row of pages; every file is one gzip stream of at most file_rows records.
+
+    Null html is an empty payload, a null url has no target URI, a null page_id
+    is `none` in the record's id; repeated rows each have a record, other
+    columns are left out, and an empty table writes no record.
+    """
     lines = (rows := records(pages, min_bytes)).select(rendered(rows).alias("value"))
     lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", file_rows).text(path)
 
@@ -185,7 +190,8 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Rewrite every monolithic *.gz archive under source; returns one row per archive: path, records, bytes.
 
     Each archive part-x.gz becomes target/part-x.warc.gz with the sidecar
-    part-x.warc.idx, a JSON line per record.
+    part-x.warc.idx, a JSON line per record.  An archive without records gives
+    empty files and a row of zeros; one that ends within a record is an error.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(source).select("path", "length")
     n = max(1, min(100_000, files.count()))
@@ -242,8 +248,13 @@ _READ = pa.schema(
 )
 
 
-def read_warc(spark: SparkSession, path: str, *, split_bytes: int = 16 << 20, payloads: bool = True) -> DataFrame:
-    """Records of normalised archives, by their sidecar indexes: runs of neighbouring members of about split_bytes are read at once."""
+def read_warc(spark: SparkSession, path: str, *, split_bytes: int = 4 << 20, payloads: bool = True) -> DataFrame:
+    """Records of normalised archives, by their sidecar indexes: runs of neighbouring members of about split_bytes are read at once.
+
+    Revisits have no payload, and no payload is read as an empty text only
+    where the record has zero bytes.  Ids that are not numbers are null.
+    Without records there are no rows.
+    """
     index = (
         spark.read.schema("offset bigint, length bigint, id string, type string")
         .option("pathGlobFilter", "*.idx")
@@ -282,7 +293,9 @@ def read_warc(spark: SparkSession, path: str, *, split_bytes: int = 16 << 20, pa
                 yield pa.RecordBatch.from_pylist(got, _READ)
 
     schema = "page_id bigint, url string, payload string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
-    return runs.repartition("path", "run").mapInArrow(work, schema)
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, min(100_000, -(-total // split_bytes)))  # a number, as adaptive execution would join these few rows into one task
+    return runs.repartition(tasks).mapInArrow(work, schema)
 
 
 def archived(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:
@@ -293,7 +306,8 @@ def archived(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:
     each have a record; an empty table gives none.
     """
     spark = pages.sparkSession
-    folder = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
-    write_warc(pages, f"{folder}/monolithic", min_bytes=min_bytes)
-    normalise(spark, f"{folder}/monolithic", f"{folder}/members")
-    return read_warc(spark, f"{folder}/members", payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    whole, members = scratch(spark, "monolithic"), scratch(spark, "members")
+    write_warc(pages, whole, min_bytes=min_bytes)
+    normalise(spark, whole, members)
+    remove(spark, whole)
+    return read_warc(spark, members, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
