@@ -203,14 +203,18 @@ def _forest(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").mapInArrow(contract, "a bigint, b bigint")
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 50, room: int = 200_000) -> DataFrame:
     """(node, root): the smallest node reachable from every node of the undirected edges (a, b), a < b.
 
-    Large-star and small-star rounds; each cuts the lineage in the shared
-    folder.  A node with very many edges costs one partly aggregated minimum
-    and a join that adaptive execution can split.
+    First every task keeps a spanning forest of its edges.  If these are at
+    most `room` together, one task joins them.  Otherwise there are large-star
+    and small-star rounds; each cuts the lineage in the shared folder.  A node
+    with very many edges costs one partly aggregated minimum and a join that
+    adaptive execution can split.
     """
     now = cut(_forest(edges).distinct())
+    if now.count() <= room:
+        return cut(_forest(now.coalesce(1))).select(F.col("b").alias("node"), F.col("a").alias("root"))
     state = None
     for _ in range(rounds):
         both = now.union(now.select("b", "a")).toDF("u", "v")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from sparquill.llm.common import remove, scratch, stored
 
 CHUNK = 1 << 20
+BUCKETS = 1 << 18
 _DIGITS32, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "offset bigint, length bigint, record_id string, type string, payload_bytes bigint, digest string, refers_to string"
@@ -49,8 +50,13 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("bytes", F.octet_length("html").cast("long")).withColumn("digest", sha1_base32(F.col("html")))
+    key = F.pmod(F.xxhash64("digest", "bytes"), F.lit(BUCKETS))
     groups = rows.where(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = rows.join(groups.select("digest", "bytes", "first"), ["digest", "bytes"], "left")
+    groups = stored(groups.select("digest", "bytes", "first"))
+    # at most BUCKETS numbers: a payload in none of them is alone, and is not shuffled
+    buckets, rows = F.broadcast(groups.select(key.alias("bucket")).distinct()), rows.withColumn("bucket", key)
+    alone = rows.join(buckets, "bucket", "left_anti").withColumn("first", F.col("page_id"))
+    joined = alone.unionByName(rows.join(buckets, "bucket", "left_semi").join(groups, ["digest", "bytes"], "left")).drop("bucket")
     return joined.withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))).drop("first")
 
 

@@ -262,6 +262,24 @@ def test_scores_against_a_plain_sum():
         assert model.score(text) == pytest.approx(1 / (1 + np.exp(-np.clip(out / total + model.b, -30, 30))), rel=1e-6)
 
 
+# 3 ------------------------------------------------------------------------
+
+
+def test_components_in_rounds_and_at_once(spark):
+    from sparquill.llm import simhash
+
+    rng = random.Random(11)
+    edges = sorted({tuple(sorted(rng.sample(range(400), 2))) for _ in range(330)} | {(i, i + 1) for i in range(500, 560)})
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    at_once, in_rounds = ({tuple(r) for r in simhash.components(frame, room=n).collect()} for n in (10_000, 0))
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert at_once == in_rounds == {(n, r) for n, r in root.items() if n != r}
+    assert simhash.components(frame.limit(0)).count() == 0
+
+
 # samples and stages ---------------------------------------------------------
 
 
