@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparquill.functions import names, pseudocode, registry
 from sparquill.functions import text as T
-from sparquill.operators import folds, validate
+from sparquill.operators import dispatch, folds, render, reports, sections, tables, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -283,7 +284,7 @@ def point_in_cell(table):
     """The first cell of the page that holds a point, with a tolerance of one."""
     cells = table("part").select("p_partkey", F.col("p_size").alias("lo"), (F.col("p_size") + 5).alias("hi"), (F.col("p_partkey") % 50).alias("page"))
     points = table("lineitem").withColumn("page", F.col("l_partkey") % 50)
-    return folds.first_range_match(points, cells, "page", F.col("l_quantity").between(F.col("lo") - 1, F.col("hi") + 1), ["l_orderkey", "l_linenumber"], "p_partkey", "cell")
+    return folds.first_range_match(points, cells, "page", "l_quantity", ("lo", "hi"), 1, ["l_orderkey", "l_linenumber"], "p_partkey", "cell")
 
 
 @query(
@@ -313,7 +314,7 @@ def nearest_above(table):
     """The nearest heading (signup) at or below each row's value, the earlier of equal ones."""
     e = table("events")
     heads = e.where("event_type = 'signup'").select(F.col("user_id").alias("u"), F.col("event_id").alias("heading"), F.col("value").alias("at"))
-    return folds.nearest(e.where("event_type = 'purchase'"), heads, F.col("user_id") == F.col("u"), "value", "at", "heading", ["event_id"]).select(
+    return folds.nearest(e.where("event_type = 'purchase'"), heads, ("user_id", "u"), "value", "at", "heading").select(
         "event_id", "heading", F.round(F.col("value") - F.col("at"), 6).alias("distance")
     )
 
@@ -393,6 +394,12 @@ def ranked_dispatch(table):
     return table("part").select("p_partkey", F.coalesce(exact, code, pattern, F.lit("fallback")).alias("rule"))
 
 
+@query("SELECT o_orderkey, o_orderstatus FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)")
+def unconsumed(table):
+    """Rows whose key no row of another table took; some have none."""
+    return table("orders").join(table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey", "o_orderstatus")
+
+
 # -- sets, rules, reports ---------------------------------------------------
 
 _SETS = r"SELECT doc_id, list_sort(list_distinct(regexp_extract_all(text, '[!#$%&|]+'))) AS ops, list_sort(list_distinct(regexp_extract_all(lang || source || n_chars, '[0-9]'))) AS digits FROM documents"
@@ -454,10 +461,11 @@ def verdict_rollup(table):
     return validate.report(_judged(table), ["lang", "quality"])
 
 
-@query("SELECT upper(c_name[1]) || c_mktsegment[1] AS letter, count(*) AS n, string_agg(c_custkey, ',' ORDER BY c_custkey) AS members FROM customer WHERE c_custkey % 1 = 0 GROUP BY ALL")
-def letter_groups(table):
+@query("SELECT upper(c_name[1]) || c_mktsegment[1] AS letter, count(*) AS n, CAST(min(c_custkey) AS BIGINT) AS first, CAST(max(c_custkey) AS BIGINT) AS last FROM customer GROUP BY ALL")
+def letter_counts(table):
+    """Groups by first letters; their members are never collected."""
     letter = F.concat(F.upper(F.substring("c_name", 1, 1)), F.substring("c_mktsegment", 1, 1))
-    return table("customer").groupBy(letter.alias("letter")).agg(count().alias("n"), F.array_join(F.array_sort(F.collect_list("c_custkey")), ",").alias("members"))
+    return table("customer").groupBy(letter.alias("letter")).agg(count().alias("n"), long(F.min("c_custkey")).alias("first"), long(F.max("c_custkey")).alias("last"))
 
 
 @query(f"SELECT doc_id, array_to_string(issues, ';') AS issues FROM ({_RULES}) WHERE len(issues) > 0 ORDER BY len(issues) DESC, doc_id LIMIT 50")
@@ -484,14 +492,21 @@ def page_order(table):
     return table("lineitem").select("l_orderkey", "l_linenumber", long(F.row_number().over(w)).alias("place"))
 
 
-_RANGES = ((1, 1000), (2000, 3500), (6000, 6001))
+_RANGES = ((None, 1000), (1000, 3500), (3500, None))
 
 
-@query(" UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS range_id, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey >= {a} AND o_orderkey < {b}" for i, (a, b) in enumerate(_RANGES)))
-def union_ranges(table):
-    """Half-open key ranges, appended in order with their number."""
-    orders = table("orders")
-    parts = [orders.where((F.col("o_orderkey") >= a) & (F.col("o_orderkey") < b)).select(F.lit(i).cast("long").alias("range_id"), "o_orderkey", "o_orderstatus") for i, (a, b) in enumerate(_RANGES)]
+@query(
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS range_id, o_orderkey, o_orderstatus FROM orders WHERE {' AND '.join([f'o_orderkey >= {a}'] * (a is not None) + [f'o_orderkey < {b}'] * (b is not None))}"
+        for i, (a, b) in enumerate(_RANGES)
+    )
+)
+def key_ranges(table):
+    """Half-open key ranges that cover all rows, appended in order with their number."""
+    key, parts = F.col("o_orderkey"), []
+    for i, (a, b) in enumerate(_RANGES):
+        inside = (F.lit(True) if a is None else key >= a) & (F.lit(True) if b is None else key < b)
+        parts.append(table("orders").where(inside).select(F.lit(i).cast("long").alias("range_id"), "o_orderkey", "o_orderstatus"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -535,17 +550,21 @@ SELECT doc_id, CAST(n AS BIGINT) AS indent, array_to_string([substr(x, CAST(n AS
 )
 def dedent(table):
     lines = table("documents").select("doc_id", F.split("text", "\n").alias("l"))
-    blanks = F.transform(F.filter("l", lambda x: F.trim(x) != ""), lambda x: F.length(x) - F.length(F.ltrim(x)))
-    return lines.select("doc_id", long(F.least(F.lit(40), F.coalesce(F.array_min(blanks), F.lit(0)))).alias("indent"), F.array_join(T.dedent(F.col("l")), "\n").alias("plain"))
+    lines = lines.withColumn("indent", T.indent(F.col("l")))
+    return lines.select("doc_id", long("indent").alias("indent"), F.array_join(T.dedent(F.col("l"), F.col("indent")), "\n").alias("plain"))
 
 
 @query(
-    """
-SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT user_id) AS BIGINT) AS users, string_agg(DISTINCT props[1:3], '' ORDER BY props[1:3]) AS heads FROM events GROUP BY event_type
+    r"""
+WITH t AS (SELECT event_type, unnest(regexp_extract_all(props, '"[a-z_]+"|[{}:,]')) AS token FROM events)
+SELECT event_type, count(*) AS n, CAST(count(DISTINCT token) AS BIGINT) AS kinds, string_agg(DISTINCT token, ' ' ORDER BY token) AS tokens FROM t GROUP BY event_type
 """
 )
-def distinct_operators(table):
-    return table("events").groupBy("event_type").agg(count().alias("n"), long(F.count_distinct("user_id")).alias("users"), F.array_join(F.array_sort(F.collect_set(F.substring("props", 1, 3))), "").alias("heads"))
+def token_sets(table):
+    """Distinct keys and signs of the whole props."""
+    tokens = table("events").select("event_type", F.explode(F.regexp_extract_all("props", F.lit('"[a-z_]+"|[{}:,]'), 0)).alias("token"))
+    each = tokens.groupBy("event_type", "token").agg(F.count("*").alias("k"))
+    return each.groupBy("event_type").agg(long(F.sum("k")).alias("n"), count().alias("kinds"), F.array_join(F.array_sort(F.collect_list("token")), " ").alias("tokens"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size = 1 THEN '31' ELSE '31:' || greatest(0, 31 - (p_size - 1)) END AS label FROM part")
@@ -561,3 +580,244 @@ SELECT event_id, CASE WHEN abs(code) BETWEEN 32 AND 126 THEN chr(CAST(code AS IN
 def byte_glyphs(table):
     code = (F.col("event_id") % 128).cast("int")
     return table("events").select("event_id", F.when(code.between(32, 126), T.byte_to_text(code)).otherwise("?").alias("glyph"))
+
+
+# -- the engine's own operators over made-up rows ---------------------------
+#
+# A row of a table stands for a title, an expression, a body or a line; the
+# SQL says what the operator has to make of it.
+
+_JCC = ", ".join(f"'{n}'" for n in validate.JCC)
+
+
+@query(
+    f"""
+WITH t AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN [p_type || 'XPS', p_type || p_size || 'PS'] WHEN 1 THEN [p_type, p_type || 'S']
+  WHEN 2 THEN [{_JCC}] ELSE [p_type || 'A', p_type || 'B'] END AS names FROM part)
+SELECT p_partkey, CAST(unnest(range(len(names))) AS BIGINT) AS place, unnest(names) AS name FROM t
+"""
+)
+def name_expansion(table):
+    """Bracket groups, alternatives, short forms and Jcc."""
+    kind, t = F.col("p_partkey") % 4, F.col("p_type")
+    grouped = F.concat(t, F.lit("[X, "), F.col("p_size").cast("string"), F.lit("]PS"))
+    title = T.first_of((kind == 0, grouped), (kind == 1, F.concat(t, F.lit("/"), t, F.lit("S"))), (kind == 2, "Jcc"), default=F.concat(t, F.lit("A/B")))
+    return table("part").select("p_partkey", F.posexplode(names.names(title)).alias("place", "name")).select("p_partkey", long("place").alias("place"), "name")
+
+
+@query(
+    """
+SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber % 4 WHEN 0 THEN 'b::add(o1(), c(' || l_partkey || '))' WHEN 1 THEN 'b::mul(o1(), b::shl(o2(), c(' || l_partkey || ')))'
+  WHEN 2 THEN 'u::sign_extend(o2())' ELSE 'unknown_data()' END AS ir FROM lineitem
+"""
+)
+def expr_compile(table):
+    """Expressions with their precedence; what is unknown has no IR."""
+    n, key = F.col("l_partkey").cast("string"), F.col("l_linenumber") % 4
+    text = T.first_of((key == 0, F.concat(F.lit("DEST + "), n)), (key == 1, F.concat(F.lit("DEST * SRC << "), n)), (key == 2, "SignExtend(SRC)"), default=F.concat(F.lit("Foo("), n, F.lit(")")))
+    return table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", pseudocode.compile_expression(text).alias("ir"))
+
+
+_FLAT = "    let stmt_0 = assign(b::add(o2(), c(' || o_custkey || ')), o1(), o1_size());' || chr(10) || '    [stmt_0].into()"
+
+
+@query(
+    f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 3 THEN '{_FLAT}' END AS x86, CASE WHEN o_orderkey % 5 IN (0, 4) THEN '{_FLAT}' END AS arm FROM orders
+"""
+)
+def operation_compile(table):
+    """Short assignments compile; loops, long operations and calls that are too complex do not, in either grammar."""
+    n, k = F.col("o_custkey").cast("string"), F.col("o_orderkey") % 5
+    flat, arm_flat = F.concat(F.lit("DEST := SRC + "), n, F.lit(";")), F.concat(F.lit("X[d] = X[n] + "), n, F.lit(";\n"))
+    loop, long_ = F.concat(F.lit("FOR j := 0 to 3\n"), flat), F.repeat(F.concat(flat, F.lit("\n")), 6)
+    x86 = T.first_of((k < 3, flat), (k == 3, loop), default=long_)
+    arm = T.first_of((k == 0, arm_flat), (k == 1, F.concat(F.lit("X[d] = FPRound(X[n]) + "), n)), (k == 2, F.repeat(arm_flat, 11)), (k == 3, F.concat(F.lit("while x do\n"), arm_flat)), default=F.concat(F.lit("if a then b = c;\nCheckFPEnabled64();\n"), arm_flat))
+    lines = lambda text, arch: F.array_join(pseudocode.compile_operation(text, arch), "\n")
+    return table("orders").select("o_orderkey", lines(x86, "x86_64").alias("x86"), lines(arm, "arm").alias("arm"))
+
+
+_BODY = "'let x = assign(b::' || CASE l_returnflag WHEN 'A' THEN 'add' WHEN 'N' THEN 'sub' ELSE 'xor' END || '(o1(), rax.clone()), o' || l_linenumber || '(), o1_size()); ' || CASE l_linestatus WHEN 'O' THEN '[x, jump_by_call(zf)]' ELSE 'halt' END || '.into()'"
+_SIGNS = {part: p for part, p in validate.SIGNATURE.items()}
+_SIGNED = f"SELECT l_orderkey, l_linenumber, l_partkey, body, {', '.join(f'''list_sort(list_distinct(regexp_extract_all(body, '{p}'))) AS {part}''' for part, p in _SIGNS.items())} FROM (SELECT *, {_BODY} AS body FROM lineitem)"
+
+
+def _bodies(table) -> DataFrame:
+    operator = F.when(F.col("l_returnflag") == "A", "add").when(F.col("l_returnflag") == "N", "sub").otherwise("xor")
+    end = F.when(F.col("l_linestatus") == "O", "[x, jump_by_call(zf)]").otherwise("halt")
+    body = F.concat(F.lit("let x = assign(b::"), operator, F.lit("(o1(), rax.clone()), o"), F.col("l_linenumber").cast("string"), F.lit("(), o1_size()); "), end, F.lit(".into()"))
+    return table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", body.alias("body"))
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, {', '.join(f'''array_to_string({part}, ' ') AS {part}''' for part in _SIGNS)} FROM ({_SIGNED})")
+def ir_signatures(table):
+    """The sets of operators, statements, flags, operands and registers of bodies."""
+    signed = _bodies(table).withColumn("s", validate.signature(F.col("body")))
+    return signed.select("l_orderkey", "l_linenumber", "l_partkey", *(F.array_join(F.col("s")[part], " ").alias(part) for part in _SIGNS))
+
+
+_EXPECTED = "assign(b::add(o1(), o2()), o1(), o1_size()) zf [x].into()"
+_LEFT = lambda a, b: f"list_sort(list_filter({a}, lambda x: NOT list_contains({b}, x)))"
+_GOT = {p: f"list_sort(list_distinct(regexp_extract_all('{_EXPECTED}', '{r}')))" for p, r in validate.SIGNATURE.items()}
+_MESSAGES = [("missing", "operators", _LEFT(_GOT["operators"], "operators")), ("extra", "operators", _LEFT("operators", _GOT["operators"]))]
+_MESSAGES += [("missing", p, _LEFT(_GOT[p], p)) for p in ("statements", "flags", "operands")]
+
+
+@query(
+    f"""
+WITH d AS (SELECT l_orderkey, l_linenumber, l_partkey, list_filter([{', '.join(f"CASE WHEN len({x}) > 0 THEN '{w} {p}: ' || array_to_string({x}, ', ') END" for w, p, x in _MESSAGES)}], lambda x: x IS NOT NULL) AS m FROM ({_SIGNED}))
+SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(m, '; ') AS differences,
+  CASE WHEN len(m) = 0 THEN 'passed' WHEN len(list_filter(m, lambda x: regexp_matches(x, '^missing (operators|statements|flags)'))) > 0 THEN 'failure' ELSE 'warning' END AS severity FROM d
+"""
+)
+def ir_differences(table):
+    """What bodies lack of an expected one, and the severity."""
+    found = validate.signature_difference(validate.signature(F.col("body")), validate.signature(F.lit(_EXPECTED)))
+    told = _bodies(table).withColumn("m", found)
+    return told.select("l_orderkey", "l_linenumber", "l_partkey", F.array_join("m", "; ").alias("differences"), validate.severity(F.col("m")).alias("severity"))
+
+
+@query(
+    """
+SELECT p_partkey, CASE p_partkey % 6 WHEN 5 THEN 'skipped' WHEN 4 THEN 'exception' ELSE 'real_ir' END AS status,
+  CASE p_partkey % 6 WHEN 0 THEN 'template: add' WHEN 1 THEN 'conditional jump: ja' WHEN 2 THEN 'SIMD pattern: vaddps' WHEN 3 THEN 'pseudocode translated'
+    WHEN 4 THEN 'fallback: pseudocode too complex or untranslatable' ELSE 'no operation pseudocode' END AS reason,
+  CASE p_partkey % 6 WHEN 1 THEN '    [jcc(cond)].into()' WHEN 2 THEN '    [assignment].into()' WHEN 3 THEN '    [stmt_0].into()' WHEN 4 THEN '    [exception("qq' || p_partkey || '")].into()' END AS last
+FROM part
+"""
+)
+def template_dispatch(table):
+    """Exact template, condition code, pattern, compiler, fallback, and rows without pseudocode."""
+    k, made = F.col("p_partkey") % 6, F.concat(F.lit("qq"), F.col("p_partkey").cast("string"))
+    mnemonic = T.first_of((k == 0, "add"), (k == 1, "ja"), (k == 2, "vaddps"), default=made)
+    operation = T.first_of((k == 5, " "), (k == 4, "FOR i := 0 to 3"), default="DEST := SRC << 1;")
+    part = table("part").select("p_partkey", mnemonic.alias("mnemonic"), operation.alias("operation"))
+    out = dispatch.generate(part, registry.templates(part.sparkSession), "x86_64")
+    return out.select("p_partkey", "status", "reason", F.when(F.col("p_partkey") % 6 != 0, F.element_at("body", -1)).alias("last"))
+
+
+_ROUTE = """SELECT l_suppkey % 4 AS range_id, l_orderkey AS page_no, row_number() OVER (PARTITION BY l_suppkey % 4, l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_quantity, l_shipdate) AS seq,
+  CASE WHEN l_partkey % 9 = 1 THEN 'ADD—Add' WHEN l_partkey % 9 = 2 THEN 'Description' WHEN l_partkey % 9 = 3 THEN 'Operation' WHEN l_partkey % 9 = 4 THEN 'Other Exceptions' ELSE 'line ' || l_partkey END AS text,
+  CASE WHEN l_partkey % 9 = 1 THEN 12.0 ELSE 9.0 END AS font_scale FROM lineitem"""
+
+
+@query(
+    f"""
+WITH l AS ({_ROUTE}), t AS (SELECT *, text = 'ADD—Add' AS is_title, CASE text WHEN 'Description' THEN 'Description' WHEN 'Operation' THEN 'Operation' WHEN 'Other Exceptions' THEN 'Exceptions' END AS heading FROM l),
+r AS (SELECT *, greatest(1, sum(CAST(is_title AS INT)) OVER (PARTITION BY range_id ORDER BY page_no, seq)) AS instr_id FROM t)
+SELECT CAST(range_id AS BIGINT) AS range_id, CAST(instr_id AS BIGINT) AS instr_id, coalesce(section, '') AS section, coalesce(name, '') AS name, count(*) AS n, CAST(max(segment) AS BIGINT) AS segments FROM (
+  SELECT *, last_value(heading IGNORE NULLS) OVER w AS section, last_value(CASE WHEN heading IS NOT NULL THEN text END IGNORE NULLS) OVER w AS name, count(heading) OVER w AS segment
+  FROM r WINDOW w AS (PARTITION BY range_id, instr_id ORDER BY page_no, seq)) GROUP BY ALL
+"""
+)
+def section_routing(table):
+    """Records and sections over pages."""
+    k, w = F.col("l_partkey") % 9, Window.partitionBy("range_id", "l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    text = T.first_of((k == 1, "ADD—Add"), (k == 2, "Description"), (k == 3, "Operation"), (k == 4, "Other Exceptions"), default=F.concat(F.lit("line "), F.col("l_partkey").cast("string")))
+    lines = table("lineitem").withColumn("range_id", F.col("l_suppkey") % 4)
+    lines = lines.select("range_id", F.col("l_orderkey").alias("page_no"), F.row_number().over(w).alias("seq"), text.alias("text"), F.when(k == 1, 12.0).otherwise(9.0).alias("font_scale"))
+    routed = sections.routed(lines).groupBy("range_id", "instr_id", F.coalesce("section", F.lit("")).alias("section"), F.coalesce("section_name", F.lit("")).alias("name"))
+    counted = routed.agg(count().alias("n"), long(F.max("segment")).alias("segments"))
+    return counted.select(long("range_id").alias("range_id"), long("instr_id").alias("instr_id"), "section", "name", "n", "segments")
+
+
+_GRID = "SELECT p_partkey % 50 AS page_no, p_size % 3 AS group_id, p_partkey AS cell_id, p_size AS x0, p_partkey % 40 AS y0, p_size + 6 AS x1, p_partkey % 40 + 9 AS y1 FROM part"
+
+
+@query(
+    f"""
+WITH c AS ({_GRID}), p AS (SELECT event_id, user_id % 50 AS page_no, CAST(value AS FLOAT) AS cx, CAST(event_id % 50 AS FLOAT) AS cy FROM events)
+SELECT event_id, CAST(group_id AS BIGINT) AS group_id, CAST(min(cell_id) AS BIGINT) AS cell_id FROM p JOIN c ON p.page_no = c.page_no AND cx BETWEEN x0 - 1 AND x1 + 1 AND cy BETWEEN y0 - 1 AND y1 + 1 GROUP BY ALL
+"""
+)
+def cell_glyphs(table):
+    """The first cell of each group of a page that holds a glyph's centre."""
+    f = lambda c: c.cast("float")
+    size, row = F.col("p_size"), F.col("p_partkey") % 40
+    cells = table("part").select((F.col("p_partkey") % 50).alias("page_no"), (size % 3).alias("group_id"), F.col("p_partkey").alias("cell_id"), f(size).alias("x0"), f(row).alias("y0"), f(size + 6).alias("x1"), f(row + 9).alias("y1"))
+    x, y = f(F.col("value")), f(F.col("event_id") % 50)
+    glyph = table("events").select("event_id", (F.col("user_id") % 50).alias("page_no"), x.alias("x0"), y.alias("y0"), x.alias("x1"), y.alias("y1"))
+    return tables.glyphs_in_cells(glyph, cells, ["event_id"]).select("event_id", long("group_id").alias("group_id"), long("cell_id").alias("cell_id"))
+
+
+@query(
+    """
+WITH h AS (SELECT p_partkey % 100 AS page_no, p_partkey AS seq, p_size AS cy, CASE WHEN p_partkey % 3 = 0 THEN 'Instruction' WHEN p_partkey % 3 = 1 THEN upper(p_type) ELSE 'Instruction' END AS heading, p_partkey % 7 > 0 AS sized FROM part),
+t AS (SELECT c_custkey % 100 AS page_no, c_custkey AS table_id, c_custkey % 50 AS top FROM customer)
+SELECT table_id, heading FROM (SELECT t.table_id, h.heading, row_number() OVER (PARTITION BY t.page_no, t.table_id ORDER BY h.cy - t.top, h.seq) AS r
+  FROM t LEFT JOIN h ON t.page_no = h.page_no AND h.cy > t.top AND h.sized) WHERE r = 1
+"""
+)
+def table_headings(table):
+    """The nearest title or heading above each table."""
+    key, f = F.col("p_partkey"), lambda c: c.cast("float")
+    text = T.first_of((key % 3 == 0, "ADD—Add"), (key % 3 == 1, F.upper("p_type")), default=" Opcode/Instruction ")
+    size = T.first_of((key % 7 == 0, 9.0), (key % 3 == 0, 12.0), default=10.0)
+    lines = table("part").select((key % 100).alias("page_no"), key.alias("seq"), text.alias("text"), size.alias("font_scale"), f(F.col("p_size")).alias("y0"), f(F.col("p_size")).alias("y1"))
+    made = table("customer").select((F.col("c_custkey") % 100).alias("page_no"), F.col("c_custkey").alias("table_id"), f(F.col("c_custkey") % 50).alias("top"))
+    return sections.table_heading(made, lines).select("table_id", "heading")
+
+
+@query(
+    """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN '' ELSE 'ADDPD xmm' || o_custkey || ', m128=Adds ' || o_orderstatus END AS variants FROM orders
+"""
+)
+def opcode_variants(table):
+    """Mnemonics and descriptions of opcode tables, of separate and of merged columns."""
+    k, key = F.col("o_orderkey") % 3, F.col("o_custkey").cast("string")
+    mnemonic, told = F.concat(F.lit("ADDPD xmm"), key, F.lit(", m128")), F.concat(F.lit("Adds "), F.col("o_orderstatus"))
+    merged = F.array(F.array(F.concat(F.lit("NP 66 0F 58 /r ib "), mnemonic), told), F.array(F.lit(""), told))
+    apart = F.array(F.array(F.lit("0F"), mnemonic, told), F.array(F.lit("0F"), mnemonic, F.lit(" ")))
+    heads = lambda *x: F.array(*map(F.lit, x))
+    headers = T.first_of((k == 0, heads("Opcode/ Instruction", "Description")), (k == 1, heads("Opcode", "Instruction", "Description")), default=heads("Instruction Operand", "Description"))
+    rows = F.when(k == 1, apart).otherwise(merged)
+    shown = F.transform(T.variants(headers, rows), lambda v: F.concat(v["mnemonic"], F.lit("="), v["description"]))
+    return table("orders").select("o_orderkey", F.array_join(shown, ";").alias("variants"))
+
+
+@query(
+    """
+WITH f AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'arm' ELSE 'x86_64' END AS arch, CASE p_partkey % 5 WHEN 0 THEN 'skipped' WHEN 1 THEN 'exception' ELSE 'real_ir' END AS status FROM part),
+c AS (SELECT arch, count(*) AS n, count(*) FILTER (status <> 'skipped') AS with_operation, count(*) FILTER (status = 'real_ir') AS n_real_ir, count(*) FILTER (status = 'exception') AS n_exception, count(*) FILTER (status = 'skipped') AS n_skipped FROM f GROUP BY arch)
+SELECT *, CAST(0 AS BIGINT) AS n_todo, CAST(100 * n_real_ir // with_operation AS BIGINT) AS percent_real_ir, CAST(100 * n_exception // with_operation AS BIGINT) AS percent_exception, CAST(0 AS BIGINT) AS percent_todo FROM c
+"""
+)
+def generation_report(table):
+    """Counts and whole percentages by status."""
+    status = T.first_of((F.col("p_partkey") % 5 == 0, "skipped"), (F.col("p_partkey") % 5 == 1, "exception"), default="real_ir")
+    return reports.generation(table("part").select(F.when(F.col("p_size") % 2 == 0, "arm").otherwise("x86_64").alias("arch"), status.alias("status")))
+
+
+@query(
+    r"""
+WITH l AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS line, unnest(range(len(string_split(x, chr(10))))) AS pos FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'enum X {' || chr(10) ELSE '' END || text AS x FROM documents)),
+t AS (SELECT *, trim(line) AS t FROM l), p AS (SELECT *, NOT (starts_with(t, '///') OR t = '' OR starts_with(t, 'enum') OR t = '}') AS plain FROM t),
+w AS (SELECT doc_id, bool_or(pos = 0 AND starts_with(line, 'enum ')) AS declared, count(*) FILTER (plain AND ends_with(t, ',')) AS variants, count(*) FILTER (starts_with(t, '/// #')) AS heads FROM p GROUP BY doc_id),
+m AS (
+  SELECT doc_id, CASE WHEN declared THEN [CASE WHEN variants = 0 THEN 'no enum variants found' END, CASE WHEN heads = 0 THEN 'no doc H1 headings found' END] ELSE ['doesn''t start with ''enum'' declaration'] END AS found, NULL AS pos FROM w
+  UNION ALL SELECT p.doc_id, [CASE WHEN plain AND ends_with(t, ',') AND NOT regexp_matches(trim(regexp_replace(t, ',$', '')), '^[A-Z][A-Za-z0-9_]*$') THEN 'invalid variant name ''' || trim(regexp_replace(t, ',$', '')) || '''' END,
+    CASE WHEN t IN ('Unknown', 'Unknown,') THEN '''Unknown'' variant found (empty mnemonic)' END,
+    CASE WHEN plain AND NOT regexp_matches(t, '^[A-Z][A-Za-z0-9_]*,$') THEN 'unexpected line outside doc comment: ''' || substr(t, 1, 60) || '''' END], pos FROM p JOIN w ON p.doc_id = w.doc_id AND declared)
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, doc_id || coalesce(':' || (pos + 1), '') || ': ' || message AS message FROM (SELECT doc_id, pos, unnest(found) AS message FROM m) WHERE message IS NOT NULL
+"""
+)
+def enum_issues(table):
+    """The rules of an enum file over every document's lines; every second document begins like an enum."""
+    text = F.concat(F.when(F.col("doc_id") % 2 == 0, "enum X {\n").otherwise(""), F.col("text"))
+    lines = table("documents").select(F.col("doc_id").cast("string").alias("file"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    return reports.enum_rules(lines).select(long("file").alias("doc_id"), long("pos").alias("pos"), "message")
+
+
+@query(
+    """
+WITH m AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN 'j' WHEN p_partkey % 3 = 1 THEN 'cmov' ELSE 'set' END || CASE p_size % 4 WHEN 0 THEN 'g' WHEN 1 THEN 'z' WHEN 2 THEN 'q' ELSE 'ae' END AS x FROM part)
+SELECT x[1] AS first_letter, bool_or(starts_with(x, 'j') AND x[2:] IN ('g', 'z', 'ae')) AS jcc, bool_or(starts_with(x, 'cmov') AND x[5:] IN ('g', 'z', 'ae')) AS cmovcc,
+  bool_or(starts_with(x, 'set') AND x[4:] IN ('g', 'z', 'ae')) AS setcc, bool_or(x IN ('jg', 'cmovg', 'setg')) AS signed FROM m GROUP BY ALL
+"""
+)
+def helper_needs(table):
+    """Which helpers the generated file of a letter needs."""
+    k, code = F.col("p_partkey") % 3, F.col("p_size") % 4
+    mnemonic = F.concat(T.first_of((k == 0, "j"), (k == 1, "cmov"), default="set"), T.first_of((code == 0, "g"), (code == 1, "z"), (code == 2, "q"), default="ae"))
+    return render.needed_helpers(table("part").select(mnemonic.alias("mnemonic"), F.array(F.lit("x")).alias("body")))

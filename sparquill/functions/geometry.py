@@ -15,10 +15,9 @@ def bounding_box(prefix: str = "") -> list[Column]:
     return [f(f"{prefix}{c}").alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))]
 
 
-def overlaps(a: tuple[Column, ...], b: tuple[Column, ...], slack: float = 0.0) -> Column:
-    """Touching rectangles count; slack widens both axes."""
-    e = F.lit(slack).cast("float")
-    return (a[0] <= b[2] + e) & (b[0] <= a[2] + e) & (a[1] <= b[3] + e) & (b[1] <= a[3] + e)
+def overlaps(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
+    """Touching rectangles count."""
+    return (a[0] <= b[2]) & (b[0] <= a[2]) & (a[1] <= b[3]) & (b[1] <= a[3])
 
 
 def contains(outer: tuple[Column, ...], inner: tuple[Column, ...], slack: float = 1.0) -> Column:
@@ -31,20 +30,6 @@ def holds_point(outer: tuple[Column, ...], x: Column, y: Column, slack: float =
     return x.between(outer[0] - e, outer[2] + e) & y.between(outer[1] - e, outer[3] + e)
 
 
-def near(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
-    """Whether glyph b may continue string a: centres within the mean width plus 20, and a third of a's height."""
-    f = lambda v: F.lit(v).cast("float")
-    dx = F.abs((a[0] + a[2]) / f(2.0) - (b[0] + b[2]) / f(2.0))
-    dy = F.abs((a[1] + a[3]) / f(2.0) - (b[1] + b[3]) / f(2.0))
-    return (dx <= ((a[2] - a[0]) + (b[2] - b[0])) / f(2.0) + f(20.0)) & (dy <= (a[3] - a[1]) / f(3.0))
-
-
-def orientation(r: tuple[Column, ...]) -> Column:
-    """horizontal, vertical, or null for squares."""
-    w, h = r[2] - r[0], r[3] - r[1]
-    return F.when(w > h, "horizontal").when(h > w, "vertical")
-
-
 def same_line(upper_y: Column, lower_y: Column, lower_height: Column) -> Column:
     return (upper_y == lower_y) | (upper_y <= lower_y + lower_height * F.lit(2.0) / F.lit(3.0))
 

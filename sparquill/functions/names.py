@@ -12,22 +12,8 @@ from pyspark.sql import functions as F
 from sparquill.operators.validate import JCC
 
 
-def expand(title: str, compat: bool = False) -> list[str]:
-    """Names of a title: Jcc, bracket groups, alternatives by slash whose short forms replace the first name's tail.
-
-    Every bracket group expands; with compat, text from the second on is lost.
-    Commas part names only in titles with a slash.
-    """
-    title = title.strip()
-    if title == "Jcc":
-        return list(JCC)
-    if "[" in title:
-        pieces = re.split(r"\[([^\]]*)\]", title)
-        if compat:
-            tail = pieces[2].split("[")[0] if len(pieces) < 4 else ""
-            return [pieces[0] + x + (pieces[2] if len(pieces) > 2 else tail) for x in pieces[1].split(",")]
-        choices = [p.split(",") if i % 2 else [p] for i, p in enumerate(pieces)]
-        return list(dict.fromkeys("".join(x) for x in product(*choices)))
+def _alternatives(title: str) -> list[str]:
+    """Names between slashes; short forms replace the first name's tail.  Commas part names only where there is a slash."""
     if "/" not in title:
         return [title]
     out: list[str] = []
@@ -40,6 +26,20 @@ def expand(title: str, compat: bool = False) -> list[str]:
     return out
 
 
+def expand(title: str, compat: bool = False) -> list[str]:
+    """Names of a title: Jcc, every choice of its bracket groups, and then alternatives by slash.
+
+    Choices are trimmed.  With compat, text from the second group on is lost.
+    """
+    title = title.strip()
+    if title == "Jcc":
+        return list(JCC)
+    pieces = re.split(r"\[([^\]]*)\]", title)
+    choices = [[x.strip() for x in p.split(",")] if i % 2 else [p] for i, p in enumerate(pieces)]
+    whole = product(*(choices[:3] if compat else choices))
+    return list(dict.fromkeys(name for x in whole for name in _alternatives("".join(x))))
+
+
 def names(title: Column) -> Column:
     """The names of a title; null for null."""
 

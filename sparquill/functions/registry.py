@@ -58,12 +58,6 @@ def target_size(name: str) -> str:
     return f"size_relative({name.lower()}.clone())" if name in REGISTERS and not name.startswith(("XMM", "YMM", "ZMM", "TMP")) else "o1_size()"
 
 
-def conditions(spark: SparkSession) -> DataFrame:
-    """(arch, code, expression) of all condition codes."""
-    rows = [("x86_64", *x) for x in X86_CONDITIONS.items()] + [("arm", *x) for x in ARM_CONDITIONS.items()]
-    return spark.createDataFrame(rows, "arch string, code string, expression string")
-
-
 def builtin_templates() -> list[tuple[str, str, list[str]]]:
     """(arch, mnemonic, body) of all instructions that have a body of their own."""
     return [(arch, name, lines) for arch, table in (("x86_64", bodies.x86()), ("arm", bodies.arm())) for name, lines in table.items()]

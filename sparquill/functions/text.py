@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,9 +118,10 @@ def identifier(s: Column) -> Column:
 
 
 def repair_operation(s: Column) -> Column:
-    """Undo two known collisions of overlapping lines."""
+    """Undo two known collisions of overlapping lines; the indentation stays."""
+    indent = F.regexp_extract(s, r"^\s*", 0)
     return first_of(
-        (F.contains(s, F.lit("zerEoLinSg")), F.lit("ELSE ; zeroing-masking")),
+        (F.contains(s, F.lit("zerEoLinSg")), F.concat(indent, F.lit("ELSE ; zeroing-masking"))),
         default=F.replace(s, F.lit("THENDEST"), F.lit("THEN DEST")),
     )
 
@@ -127,16 +130,25 @@ def occurrences(s: Column, part: str) -> Column:
     return F.floor((F.length(s) - F.length(F.replace(s, F.lit(part), F.lit("")))) / len(part)).cast("long")
 
 
-def dedent(lines: Column, cap: int = 40) -> Column:
-    """Lines without the smallest indentation of the non-blank ones, at most cap blanks."""
+def indent(lines: Column, cap: int = 40) -> Column:
+    """The smallest indentation of the non-blank lines, at most cap."""
     blanks = F.transform(F.filter(lines, lambda x: F.trim(x) != ""), lambda x: F.length(x) - F.length(F.ltrim(x)))
-    least = F.least(F.coalesce(F.array_min(blanks), F.lit(0)), F.lit(cap))
-    return F.transform(lines, lambda x: F.substring(x, least + 1, F.length(x)))
+    return F.least(F.coalesce(F.array_min(blanks), F.lit(0)), F.lit(cap))
+
 
+def dedent(lines: Column, by: Column | None = None) -> Column:
+    """Lines without their first `by` characters, by default the smallest indentation."""
+    by = indent(lines) if by is None else by
+    return F.transform(lines, lambda x: F.substring(x, by + 1, F.length(x)))
 
-def operation_of(doc: Column) -> Column:
-    """The fenced block under "## Operation", or an empty string."""
-    return F.regexp_extract(doc, r"(?s)## Operation\n.*?```[^\n]*\n(.*?)\n```", 1)
+
+def operation_of(doc: Column, stops: tuple[str, ...] = ()) -> Column:
+    """The fenced block under "## Operation"; else what follows a line "Operation" up to a heading or a line that begins with a stop; else an empty string."""
+    fenced = F.regexp_extract(doc, r"(?s)## Operation\n.*?```[^\n]*\n(.*?)\n\s*```[^\S\n]*(?:\n|\z)", 1)
+    ends = "|".join(["## ", *(re.escape(x) for x in stops)])
+    bare = F.regexp_extract(doc, rf"(?s)(?:\A|\n)[^\S\n]*Operation[^\S\n]*\n(.*?)(?=\n[^\S\n]*(?:{ends})|\z)", 1)
+    heads_with_fence = F.regexp_extract(doc, r"(?:\A|\n)[^\S\n]*((?:## )?Operation)[^\S\n]*(?:\n|\z)", 1)
+    return F.regexp_replace(F.when(heads_with_fence == "Operation", bare).otherwise(fenced), r"\A\s+|\s+\z", "")
 
 
 def markdown_row(cells: Column) -> Column:
@@ -159,19 +171,24 @@ def bit_label(hi: Column, width: Column) -> Column:
     return F.when(width == 1, hi.cast("string")).otherwise(F.concat_ws(":", hi.cast("string"), F.greatest(F.lit(0), hi - (width - 1)).cast("string")))
 
 
-def decode_blocks(blocks: Column) -> Column:
-    """Text of decode blocks (name, code): one as it is, several under comment lines."""
-    named = F.transform(blocks, lambda b: F.concat(F.lit("// "), b["name"], F.lit("\n"), b["code"]))
-    return F.when(F.size(blocks) == 1, F.element_at(blocks, 1)["code"]).otherwise(F.array_join(named, "\n\n"))
-
-
-def def_table(rows: Column) -> Column:
-    """Rows of definitions as "a → b", joined by commas."""
-    return F.array_join(F.transform(rows, lambda r: F.array_join(r, " → ")), ", ")
-
-
-def mnemonic_of(heading: Column) -> Column:
-    return F.element_at(F.split(heading, "[ ,/]"), 1)
+def variants(headers: Column, rows: Column) -> Column:
+    """array<struct(mnemonic, description)> of an opcode table; empty if it lacks a Description or an Instruction column.
+
+    The Instruction column is the one of that name, else the first that speaks
+    of instructions but not of operands; where it holds opcodes too, the
+    mnemonic is parted from them.  Rows without either text are left out.
+    """
+    names = F.transform(headers, lambda h: F.trim(h))
+    small = F.transform(names, lambda h: F.lower(h))
+    place = lambda flags: F.array_position(flags, F.lit(True)).cast("int")
+    exact = place(F.transform(names, lambda h: h.isin("Instruction", "1 Instruction")))
+    loose = place(F.transform(small, lambda h: F.contains(h, F.lit("instruction")) & ~F.contains(h, F.lit("operand"))))
+    described, at = F.array_position(names, "Description").cast("int"), F.when(exact > 0, exact).otherwise(loose)
+    cell = lambda r, i: F.trim(F.coalesce(F.get(r, i - 1), F.lit("")))
+    merged = F.contains(F.get(small, at - 1), F.lit("opcode"))
+    pair = lambda r: F.struct(F.when(merged, merged_mnemonic(cell(r, at))).otherwise(cell(r, at)).alias("mnemonic"), cell(r, described).alias("description"))
+    found = F.filter(F.transform(rows, pair), lambda v: (v["mnemonic"] != "") & (v["description"] != ""))
+    return F.when((described > 0) & (at > 0), found).otherwise(F.filter(found, lambda _: F.lit(False)))
 
 
 def merged_mnemonic(cell: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparquill.functions import bodies
 from sparquill.functions import pseudocode as P
+from sparquill.functions import text as T
 
 
 @cache
@@ -40,6 +41,24 @@ def condition_body(mnemonic: Column, arch: str) -> Column:
     return F.coalesce(*made)
 
 
+# What the report says of each step.
+REASONS = {
+    "x86_64": {"compiled": "pseudocode translated", "fallback": "fallback: pseudocode too complex or untranslatable"},
+    "arm": {"compiled": "ARM pseudocode translated", "fallback": "ARM fallback: pseudocode too complex"},
+    "skipped": "no operation pseudocode",
+}
+
+
+def _answer(step: Column, lines: Column, mnemonic: Column, stubs: bool = True) -> Column:
+    """struct(body, reason): the step and the mnemonic, and whether the body only raises."""
+    told = F.concat(step, F.when(stubbed(lines), " (exception)").otherwise("") if stubs else F.lit(""), F.lit(": "), mnemonic)
+    return F.when(lines.isNotNull(), F.struct(lines.alias("body"), told.alias("reason")))
+
+
+def stubbed(lines: Column) -> Column:
+    return F.exists(lines, lambda x: F.contains(x, F.lit("exception(")))
+
+
 def generate(instructions: DataFrame, templates: DataFrame, arch: str) -> DataFrame:
     """instructions (mnemonic, operation, ...) with body, status (real_ir, exception, skipped) and reason (the step that answered).
 
@@ -47,27 +66,30 @@ def generate(instructions: DataFrame, templates: DataFrame, arch: str) -> DataFr
     compiler sees only rows that no cheaper step has answered.  The templates
     are broadcast: a few hundred built-in rows and those that the user gives.
     """
-    mnemonic = F.col("mnemonic")
+    mnemonic, arm = F.col("mnemonic"), arch == "arm"
+    said = REASONS["arm" if arm else "x86_64"]
     own = templates.where(F.col("arch") == arch).select("mnemonic", F.col("body").alias("_template"))
-    steps = [("ARM template" if arch == "arm" else "template", F.col("_template")), ("ARM conditional branch" if arch == "arm" else "condition code", condition_body(mnemonic, arch))]
-    if arch == "x86_64":
-        steps.append(("SIMD pattern", simd_body(mnemonic)))
-    answered = F.coalesce(*(F.when(lines.isNotNull(), F.struct(lines.alias("body"), F.lit(step).alias("step"))) for step, lines in steps))
+    by_code = "ARM conditional branch" if arm else T.first_of((mnemonic.startswith("j"), "conditional jump"), (mnemonic.startswith("cmov"), "conditional move"), default="conditional set")
+    steps = [
+        _answer(F.lit("ARM template" if arm else "template"), F.col("_template"), mnemonic),
+        _answer(F.lit(by_code) if arm else by_code, condition_body(mnemonic, arch), mnemonic, stubs=False),
+    ]
+    if not arm:
+        steps.append(_answer(F.lit("SIMD pattern"), simd_body(mnemonic), mnemonic))
     has = F.length(F.trim(F.coalesce("operation", F.lit("")))) > 0
-    known = instructions.join(F.broadcast(own), "mnemonic", "left").withColumn("_has", has).withColumn("_got", F.when(has, answered)).drop("_template")
-    known = known.withColumn("body", F.col("_got.body")).withColumn("_step", F.col("_got.step")).drop("_got")
+    known = instructions.join(F.broadcast(own), "mnemonic", "left").withColumn("_has", has).withColumn("_got", F.when(has, F.coalesce(*steps))).drop("_template")
+    known = known.withColumn("body", F.col("_got.body")).withColumn("reason", F.col("_got.reason")).drop("_got")
     misses = known.where("_has and body is null")
-    unsupported = P.arm_unsupported(F.col("operation")) if arch == "arm" else F.lit(None).cast("string")
-    compiled = misses.withColumn("_step", unsupported).withColumn("body", P.compile_operation(F.when(F.col("_step").isNull(), F.col("operation")), arch))
-    compiled = compiled.withColumn("_step", F.coalesce("_step", F.when(F.col("body").isNull(), "fallback").otherwise("pseudocode translated")))
-    both = known.where("not _has or body is not null").unionByName(compiled)
+    unsupported = P.arm_unsupported(F.col("operation")) if arm else F.lit(None).cast("string")
+    compiled = misses.withColumn("_not", unsupported).withColumn("body", P.compile_operation(F.when(F.col("_not").isNull(), F.col("operation")), arch))
+    told = T.first_of((F.col("_not").isNotNull(), F.concat(F.lit("ARM "), F.col("_not"))), (F.col("body").isNotNull(), said["compiled"]), default=said["fallback"])
+    both = known.where("not _has or body is not null").unionByName(compiled.withColumn("reason", told).drop("_not"))
     lines = F.coalesce("body", F.array(F.concat(F.lit('    [exception("'), F.coalesce("mnemonic", F.lit("")), F.lit('")].into()'))))
-    stubbed = F.exists("body", lambda x: F.contains(x, F.lit("exception(")))
     return (
         both.withColumn("body", F.when(F.col("_has"), lines))
-        .withColumn("status", F.when(~F.col("_has"), "skipped").when(stubbed, "exception").otherwise("real_ir"))
-        .withColumn("reason", F.col("_step"))
-        .drop("_has", "_step")
+        .withColumn("status", F.when(~F.col("_has"), "skipped").when(stubbed(F.col("body")), "exception").otherwise("real_ir"))
+        .withColumn("reason", F.when(F.col("_has"), F.col("reason")).otherwise(REASONS["skipped"]))
+        .drop("_has")
     )
 
 

@@ -6,6 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparquill.functions.geometry import overlaps, rect
+
 
 def _upto(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -33,61 +35,96 @@ def tolerance_distinct(values: Column, tolerance: float) -> Column:
 
 
 def band_index(bands: Column, x: Column) -> Column:
-    """Zero-based index of the first inclusive band struct(lo, hi) that holds x; the last one if none does."""
+    """Zero-based index of the first inclusive band struct(lo, hi) that holds x; one past the last if none does."""
     at = F.array_position(F.transform(bands, lambda b: x.between(b["lo"], b["hi"])), F.lit(True)).cast("int")
-    return F.when(at > 0, at - 1).otherwise(F.size(bands) - 1)
+    return F.when(at > 0, at - 1).otherwise(F.size(bands))
+
+
+def bands_between(bounds: Column) -> Column:
+    """Bands struct(lo, hi) between neighbouring bounds of a sorted array, ascending or descending."""
+    pair = lambda i: F.struct(F.least(F.get(bounds, i), F.get(bounds, i + 1)).alias("lo"), F.greatest(F.get(bounds, i), F.get(bounds, i + 1)).alias("hi"))
+    return F.transform(F.filter(F.sequence(F.lit(0), F.size(bounds)), lambda i: i < F.size(bounds) - 1), pair)
+
+
+def anchor_index(anchors: Column, x: Column, tolerance: float) -> Column:
+    """Zero-based index of the first anchor within the tolerance of x; 0 if none is."""
+    at = F.array_position(F.transform(anchors, lambda a: F.abs(a - x) < tolerance), F.lit(True)).cast("int")
+    return F.greatest(at - 1, F.lit(0))
 
 
 def overlapping(boxes: DataFrame, key: str, number: str) -> DataFrame:
     """Pairs i < j of boxes of the same key that overlap or touch."""
-    a = boxes.select(F.col(key), F.col(number).alias("i"), *(F.col(c).alias(f"a_{c}") for c in ("x0", "y0", "x1", "y1")))
-    b = boxes.select(F.col(key), F.col(number).alias("j"), *(F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")))
-    return a.join(b, key).where("i < j and a_x0 <= b_x1 and b_x0 <= a_x1 and a_y0 <= b_y1 and b_y0 <= a_y1")
+    side = lambda name, prefix: boxes.select(F.col(key), F.col(number).alias(name), *(c.alias(f"{prefix}{n}") for n, c in zip(("x0", "y0", "x1", "y1"), rect())))
+    return side("i", "a_").join(side("j", "b_"), key).where(F.expr("i < j") & overlaps(rect("a_"), rect("b_")))
 
 
-def overlap_components(boxes: DataFrame, key: str, number: str) -> DataFrame:
-    """Every box with the smallest number of its connected group; groups never span keys, so a key (a page) is one task's unit."""
-    def component(page: list[dict]) -> list[int]:
-        parent = list(range(len(page)))
+def _components(n: list, x0: list, y0: list, x1: list, y1: list) -> list:
+    """The smallest number of each box's group: a sweep from left to right over the boxes that are still open."""
+    parent = list(range(len(n)))
 
-        def root(i):
-            while parent[i] != i:
-                parent[i] = i = parent[parent[i]]
-            return i
+    def root(i):
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
 
-        for j, b in enumerate(page):
-            for i, a in enumerate(page[:j]):
-                if a["x0"] <= b["x1"] and b["x0"] <= a["x1"] and a["y0"] <= b["y1"] and b["y0"] <= a["y1"]:
-                    x, y = root(i), root(j)
-                    parent[max(x, y)] = min(x, y)
-        return [page[root(i)]["n"] for i in range(len(page))]
+    open_: list[int] = []
+    for j in sorted(parent, key=x0.__getitem__):
+        open_ = [i for i in open_ if x1[i] >= x0[j]]
+        for i in open_:
+            if y0[i] <= y1[j] and y0[j] <= y1[i]:
+                parent[root(i)] = root(j)
+        open_.append(j)
+    least: dict[int, int] = {}
+    for i, v in enumerate(n):
+        r = root(i)
+        least[r] = min(v, least.get(r, v))
+    return [least[root(i)] for i in range(len(n))]
+
+
+def overlap_components(boxes: DataFrame, key: str, number: str) -> DataFrame:
+    """Every box with the smallest number of its connected group; groups never span keys, so a key (a page) is one task's unit."""
 
     @F.arrow_udf("array<bigint>")
     def label(pages: pa.Array) -> pa.Array:
-        return pa.array([component(p) for p in pages.to_pylist()], pa.list_(pa.int64()))
+        ends, flat = pages.offsets.to_pylist(), pages.flatten()
+        columns = [flat.field(c).to_pylist() for c in ("n", "x0", "y0", "x1", "y1")]
+        base = ends[0]
+        out = [x for a, b in zip(ends, ends[1:]) for x in (_components(*(c[a - base : b - base] for c in columns)) if b - a > 1 else columns[0][a - base : b - base])]
+        return pa.ListArray.from_arrays(pa.array([e - base for e in ends], pa.int32()), pa.array(out, pa.int64()))
 
     box = F.struct(F.col(number).cast("bigint").alias("n"), "x0", "y0", "x1", "y1")
-    pages = boxes.groupBy(key).agg(F.array_sort(F.collect_list(box)).alias("page"))
+    pages = boxes.groupBy(key).agg(F.collect_list(box).alias("page"))
     zipped = F.arrays_zip(F.col("page.n").alias("n"), label("page").alias("c"))
     return pages.select(key, F.explode(zipped).alias("z")).select(key, F.col("z.n").alias(number), F.col("z.c").alias("component"))
 
 
-def first_range_match(points: DataFrame, cells: DataFrame, key: str, inside: Column, ids: list[str], cell: str, into: str) -> DataFrame:
-    """The smallest cell of the same key that holds each point; points without one are left out."""
-    return points.join(cells, key).where(inside).groupBy(*ids).agg(F.min(cell).alias(into))
+def first_range_match(points: DataFrame, cells: DataFrame, key: str, value: str, bounds: tuple[str, str], slack: float, ids: list[str], cell: str, into: str, width: float = 4.0) -> DataFrame:
+    """The smallest cell of the same key whose bounds, widened by slack, hold each point's value; points without one are left out.
+
+    Distinct values meet cells in strips of `width`, so a value is compared
+    with the cells of its strip only, and each (key, value) once.
+    """
+    low, high = F.col(bounds[0]) - slack, F.col(bounds[1]) + slack
+    strip = lambda x: F.floor(x / F.lit(float(width)))
+    cut = cells.select(F.col(key), low.alias("_low"), high.alias("_high"), F.col(cell).alias("_cell")).where("_low <= _high").withColumn("_strip", F.explode(F.sequence(strip(F.col("_low")), strip(F.col("_high")))))
+    asked = points.select(key, F.col(value).alias("_value")).distinct().withColumn("_strip", strip(F.col("_value")))
+    first = asked.join(cut, [key, "_strip"]).where("_value between _low and _high").groupBy(key, "_value").agg(F.min("_cell").alias(into))
+    return points.select(key, F.col(value).alias("_value"), *ids).join(first, [key, "_value"]).groupBy(*ids).agg(F.min(into).alias(into))
 
 
-def nearest(left: DataFrame, right: DataFrame, same: Column, value: str, at: str, order: str, ids: list[str]) -> DataFrame:
-    """Each left row with the right row of largest `at` not above its value, the smallest `order` among equals; nulls if none.
+def nearest(left: DataFrame, right: DataFrame, keys: tuple[str, str], value: str, at: str, order: str) -> DataFrame:
+    """Each left row with the right row of the same key whose `at` is largest but not above its value, the smallest `order` among equals; nulls if none.
 
-    An aggregate keeps one candidate per row, so no window sorts all of them.
+    Both sides go through one ordered pass per key, so work grows with their
+    rows and not with their pairs.
     """
-    kept = [c for c in right.columns]
-    best = F.max_by(F.struct(*kept), F.struct(F.col(at), -F.col(order)))
-    joined = left.join(right, same & (F.col(at) <= F.col(value)), "left")
-    carried = [F.first(c).alias(c) for c in left.columns if c not in ids]
-    out = joined.groupBy(*ids).agg(*carried, F.when(F.count(order) > 0, best).alias("_best"))
-    return out.select(*left.columns, *(F.col("_best")[c].alias(c) for c in kept))
+    mine, theirs = keys
+    carried = F.struct(*(F.col(c) for c in right.columns))
+    rights = right.where(F.col(at).isNotNull()).select(F.col(theirs).alias("_key"), F.col(at).alias("_at"), F.lit(0).alias("_side"), (-F.col(order)).alias("_order"), carried.alias("_right"), F.lit(None).alias("_left"))
+    lefts = left.select(F.col(mine).alias("_key"), F.col(value).alias("_at"), F.lit(1).alias("_side"), F.lit(None).alias("_order"), F.lit(None).alias("_right"), F.struct(*left.columns).alias("_left"))
+    upto = Window.partitionBy("_key").orderBy("_at", "_side", "_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = rights.unionByName(lefts).withColumn("_best", F.last("_right", ignorenulls=True).over(upto)).where("_side = 1")
+    return both.select("_left.*", *(F.when(F.col("_key").isNotNull(), F.col("_best")[c]).alias(c) for c in right.columns))
 
 
 def grid_rows(cells: DataFrame, keys: list[str], column: str, text: str) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from sparquill.functions.geometry import bounding_box
 from sparquill.functions.text import BYTE_TEXT, SUB, SUPER, UNKNOWN
 
 GLYPHS = "page_no int, glyph_idx int, raw int, cid int, text string, x0 float, y0 float, x1 float, y1 float, font_scale float"
-STRINGS = "page_no int, seq int, text string, x0 float, y0 float, x1 float, y1 float, font_scale float"
+LETTERS = "page_no int, seq int, pos int, text string, x0 float, y0 float, x1 float, y1 float, font_scale float"
 _F = np.float32
 
 
@@ -134,23 +136,37 @@ def raised(scales: np.ndarray, middles: np.ndarray) -> np.ndarray:
 _UP, _DOWN = str.maketrans(*SUPER), str.maketrans(*SUB)
 
 
-def strings(glyph_table: DataFrame) -> DataFrame:
-    """Strings of every page, from top to bottom and left to right; scripts are written with their own characters."""
+def _assembled(pdf: pd.DataFrame) -> list[pd.DataFrame]:
+    """The strings of a page from top to bottom and left to right, each as its glyphs in order, scripts written with their own characters."""
+    pdf = pdf.sort_values("glyph_idx").reset_index(drop=True)
+    rects, scale = pdf[["x0", "y0", "x1", "y1"]].to_numpy(_F), pdf.font_scale.to_numpy(_F)
+    found = []
+    for members in attach(rects):
+        r = rects[members]
+        shift = raised(scale[members], (r[:, 1] + r[:, 3]) / _F(2))
+        part = pdf.loc[members, ["text", "x0", "y0", "x1", "y1", "font_scale"]].copy()
+        part["text"] = [t.translate(_UP) if s > 0 else t.translate(_DOWN) if s < 0 else t for t, s in zip(part.text, shift)]
+        low, high = r[:, :2].min(axis=0), r[:, 2:].max(axis=0)
+        found.append((-(low[1] + high[1]) / 2, (low[0] + high[0]) / 2, part))
+    return [part for _, _, part in sorted(found, key=lambda f: f[:2])]
+
+
+def letters(glyph_table: DataFrame) -> DataFrame:
+    """Glyphs of every page with the number of their string (seq, in reading order) and their place in it (pos)."""
 
     def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("glyph_idx").reset_index(drop=True)
-        rects, scale = pdf[["x0", "y0", "x1", "y1"]].to_numpy(_F), pdf.font_scale.to_numpy(_F)
-        rows = []
-        for members in attach(rects):
-            r = rects[members]
-            shift = raised(scale[members], (r[:, 1] + r[:, 3]) / _F(2))
-            text = "".join(t.translate(_UP) if s > 0 else t.translate(_DOWN) if s < 0 else t for t, s in zip(pdf.text[members], shift))
-            rows.append((text, *r[:, :2].min(axis=0), *r[:, 2:].max(axis=0), scale[members[0]]))
-        out = pd.DataFrame(rows, columns=["text", "x0", "y0", "x1", "y1", "font_scale"])
-        order = pd.DataFrame({"y": -(out.y0 + out.y1) / 2, "x": (out.x0 + out.x1) / 2}).sort_values(["y", "x"], kind="stable").index
-        out = out.loc[order].reset_index(drop=True)
-        out.insert(0, "seq", range(len(out)))
-        out.insert(0, "page_no", int(pdf.page_no.iloc[0]))
-        return out
-
-    return glyph_table.groupBy("page_no").applyInPandas(page, STRINGS)
+        parts = [p.assign(seq=i, pos=range(len(p))) for i, p in enumerate(_assembled(pdf))]
+        return pd.concat(parts).assign(page_no=int(pdf.page_no.iloc[0]))[["page_no", "seq", "pos", "text", "x0", "y0", "x1", "y1", "font_scale"]]
+
+    return glyph_table.groupBy("page_no").applyInPandas(page, LETTERS)
+
+
+def joined(letter_table: DataFrame) -> DataFrame:
+    """The strings of letters(): text, bounding box, and the scale of the first glyph."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "")
+    return letter_table.groupBy("page_no", "seq").agg(text.alias("text"), *bounding_box(), F.min_by("font_scale", "pos").alias("font_scale"))
+
+
+def strings(glyph_table: DataFrame) -> DataFrame:
+    """Strings of every page, from top to bottom and left to right; scripts are written with their own characters."""
+    return joined(letters(glyph_table))

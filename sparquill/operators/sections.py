@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.functions import text as T
+from sparquill.operators import folds
 
 
 def body_lines(strings: DataFrame) -> DataFrame:
@@ -18,52 +19,106 @@ def body_lines(strings: DataFrame) -> DataFrame:
 
 
 def routed(lines: DataFrame) -> DataFrame:
-    """Lines (range_id, page_no, seq, text, font_scale) with instr_id, section and segment.
+    """Lines (range_id, page_no, seq, text, font_scale) with instr_id, section, section_name and segment.
 
     A title opens a record; text before the first belongs to record 1.  A
-    section holds until the next heading or title, across pages.  The windows
-    run over one range and carry flags only; what follows is keyed by record.
+    section holds until the next heading or title, across pages.  Titles are
+    counted page by page first, and only these counts are summed over a whole
+    range; the other windows run over a page or a record.
     """
-    order = Window.partitionBy("range_id").orderBy("page_no", "seq")
-    title = T.is_title(F.col("text")) & (T.scale_class(F.col("font_scale")) == "Title")
-    head = T.detect_section(F.col("text"))
-    flagged = lines.withColumn("is_title", title).withColumn("heading", F.when(~title, head))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = flagged.withColumn("instr_id", F.greatest(F.lit(1), F.sum(F.col("is_title").cast("int")).over(upto)))
+    page = ["range_id", "page_no"]
+    sized = T.scale_class(F.col("font_scale")).isin("Title", "Heading")
+    flagged = lines.withColumn("is_title", T.is_title(F.col("text")) & sized).withColumn("heading", F.when(~F.col("is_title"), T.detect_section(F.col("text"))))
+    counts = flagged.groupBy(*page).agg(F.count_if("is_title").alias("n"))
+    before = counts.select(*page, (F.sum("n").over(Window.partitionBy("range_id").orderBy("page_no")) - F.col("n")).alias("_before"))
+    upto = Window.partitionBy(*page).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = flagged.join(before, page).withColumn("_titles", F.col("_before") + F.sum(F.col("is_title").cast("int")).over(upto))
+    numbered = numbered.withColumn("instr_id", F.greatest(F.lit(1), "_titles")).drop("_before", "_titles")
     record = Window.partitionBy("range_id", "instr_id").orderBy("page_no", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return numbered.withColumn("section", F.last("heading", ignorenulls=True).over(record)).withColumn("segment", F.count("heading").over(record))
+    opened = F.when(F.col("heading").isNotNull(), F.struct(F.col("heading"), F.trim("text").alias("name")))
+    carried = numbered.withColumn("_open", F.last(opened, ignorenulls=True).over(record))
+    return carried.withColumn("section", F.col("_open.heading")).withColumn("section_name", F.col("_open.name")).withColumn("segment", F.count("heading").over(record)).drop("_open")
 
 
-def records(route: DataFrame) -> DataFrame:
-    """One row per record: title, summary, description, operation, flag_affected, exceptions, other_sections.
+def _indented(lines: Column) -> Column:
+    """Texts of lines (text, x0) under four blanks for each left edge, within three units, that is further left."""
+    edges = folds.tolerance_distinct(F.array_sort(F.transform(lines, lambda x: x["x0"])), 3.0)
+    return F.transform(lines, lambda x: F.concat(F.repeat(F.lit("    "), folds.anchor_index(edges, x["x0"], 3.0)), F.trim(x["text"])))
 
-    Of several operation segments the last stays.
+
+def records(route: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+    """One row per record: title, summary, description, operation, flag_affected, exceptions, other_sections, instructions, tables.
+
+    Of several operation segments the last stays.  Exceptions and other
+    sections are grouped by their heading, in order of first appearance.  Lines
+    under an instruction table's heading that no table took belong to the
+    description.  `tables` has range_id, instr_id, instructions and tables.
     """
     keys = ["range_id", "instr_id"]
-    at = F.struct("page_no", "seq", "text")
-    body = route.where("heading is null and not is_title and section is not null")
-    ordered = lambda: F.transform(F.array_sort(F.collect_list(at)), lambda s: s["text"])
-    sections = body.groupBy(*keys, "section", "segment").agg(ordered().alias("lines"))
-    last = sections.where("section = 'Operation'").groupBy(*keys).agg(F.max_by("lines", "segment").alias("operation"))
-    of = lambda kind: F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("section") == kind, F.struct("segment", "lines")))), lambda s: s["lines"]))
-    rest = sections.groupBy(*keys).agg(
-        of("Description").alias("description"),
-        F.array_join(of("FlagsAffected"), " ").alias("flag_affected"),
-        of("Intrinsic").alias("c_and_cpp_equivalent"),
-        of("Exceptions").alias("exceptions"),
-        of("Other").alias("other_sections"),
+    at = F.struct("page_no", "seq", "text", (F.col("x0").cast("float") if "x0" in route.columns else F.lit(0.0).cast("float")).alias("x0"))
+    kind = F.when(F.col("section") == "Instruction", "Description").otherwise(F.col("section"))
+    body = route.where("heading is null and not is_title and section is not null").withColumn("section", kind)
+    ordered = F.array_sort(F.collect_list(at))
+    segments = body.where("section = 'Operation'").groupBy(*keys, "segment").agg(ordered.alias("lines"))
+    last = segments.groupBy(*keys).agg(F.max_by("lines", "segment").alias("lines")).select(*keys, _indented(F.col("lines")).alias("operation"))
+    named = F.when(F.col("section").isin("Exceptions", "Other"), F.col("section_name"))
+    parts = body.where("section != 'Operation'").groupBy(*keys, "section", named.alias("name")).agg(ordered.alias("lines"))
+    parts = parts.select(*keys, "section", F.struct(F.col("lines")[0].alias("first"), F.col("name"), F.transform("lines", lambda x: F.trim(x["text"])).alias("lines")).alias("part"))
+    of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("section") == kind, F.col("part"))))
+    flat = lambda kind: F.flatten(F.transform(of(kind), lambda p: p["lines"]))
+    grouped = lambda kind: F.transform(of(kind), lambda p: F.struct(p["name"].alias("name"), p["lines"].alias("lines")))
+    rest = parts.groupBy(*keys).agg(
+        flat("Description").alias("description"),
+        F.array_join(flat("FlagsAffected"), " ").alias("flag_affected"),
+        flat("Intrinsic").alias("c_and_cpp_equivalent"),
+        grouped("Exceptions").alias("exceptions"),
+        grouped("Other").alias("other_sections"),
     )
-    heads = route.groupBy(*keys).agg(F.min(F.when(F.col("is_title"), at)).getField("text").alias("t"))
+    heads = route.groupBy(*keys).agg(F.min(F.when(F.col("is_title"), F.struct("page_no", "seq", "text"))).getField("text").alias("t"))
     parsed = T.parse_title(F.coalesce("t", F.lit("")))
     titled = heads.select(*keys, parsed["title"].alias("title"), parsed["summary"].alias("summary"))
     joined = titled.join(rest, keys, "left").join(last, keys, "left")
     fix = F.transform("operation", lambda x: T.repair_operation(x))
-    return joined.withColumn("operation", F.coalesce(F.array_join(fix, "\n"), F.lit("")))
+    joined = joined.withColumn("operation", F.coalesce(F.array_join(fix, "\n"), F.lit("")))
+    if tables is not None:
+        return joined.join(tables, keys, "left")
+    return joined.withColumn("instructions", F.lit(None).cast(INSTRUCTIONS)).withColumn("tables", F.lit(None).cast(TABLES))
+
+
+INSTRUCTIONS = "array<struct<mnemonic:string,description:string>>"
+TABLES = "array<struct<name:string,headers:array<string>,rows:array<array<string>>>>"
 
 
 def table_heading(tables: DataFrame, lines: DataFrame) -> DataFrame:
-    """Tables (page_no, table_id, top) with the text of the nearest title or heading above their top; ties keep the earlier line."""
-    heads = lines.where(T.scale_class(F.col("font_scale")).isin("Title", "Heading")).select("page_no", F.col("text").alias("heading"), "seq", ((F.col("y0") + F.col("y1")) / 2).alias("cy"))
-    above = tables.join(heads, "page_no", "left").where("cy is null or cy > top")
-    best = above.groupBy("page_no", "table_id").agg(F.min_by("heading", F.struct(F.col("cy") - F.col("top"), "seq")).alias("heading"))
+    """Tables (page_no, table_id, top) with the name of the nearest title or heading above their top, null without one; ties keep the earlier line.
+
+    Titles and headings of instruction tables give the name Instruction.
+    """
+    size = T.scale_class(F.col("font_scale"))
+    opcode = (size == "Title") | F.coalesce(T.detect_section(F.col("text")) == "Instruction", F.lit(False))
+    heads = lines.where(size.isin("Title", "Heading")).select(
+        "page_no", F.when(opcode, "Instruction").otherwise(F.trim("text")).alias("heading"), "seq", ((F.col("y0") + F.col("y1")) / F.lit(2.0).cast("float")).alias("cy")
+    )
+    above = tables.select("page_no", "table_id", "top").join(heads, "page_no").where("cy > top")
+    best = above.groupBy("page_no", "table_id").agg(F.min_by("heading", F.struct(F.col("cy") - F.col("top"), F.col("seq"))).alias("heading"))
     return tables.join(best, ["page_no", "table_id"], "left")
+
+
+def owned_tables(tables: DataFrame, route: DataFrame, lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """(range_id, instr_id, instructions, tables): tables of tables.filled() by the record that holds at the end of their page.
+
+    A table is named by table_heading(), else by the section that holds at the
+    start of its page.  Tables go by page and from the top down; those before
+    the first title are left out.  `pages` has range_id and page_no.
+    """
+    page = ["range_id", "page_no"]
+    marks = route.where("is_title or heading is not null").withColumn("name", F.when(F.col("is_title"), "Instruction").otherwise(F.trim("text")))
+    ends = pages.join(marks.groupBy(*page).agg(F.max_by("name", "seq").alias("name"), F.max(F.when(F.col("is_title"), F.col("instr_id"))).alias("opened")), page, "left")
+    order = Window.partitionBy("range_id").orderBy("page_no")  # a row for each page
+    state = ends.select(*page, F.last("opened", ignorenulls=True).over(order).alias("instr_id"), F.last("name", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    named = table_heading(tables, lines).join(state, "page_no").where("instr_id is not null").withColumn("name", F.coalesce("heading", "before", F.lit("Instruction")))
+    listed = F.array_sort(F.collect_list(F.struct("page_no", (-F.col("top")).alias("down"), "table_id", "name", "headers", "rows")))
+    of = named.groupBy("range_id", "instr_id").agg(listed.alias("listed"))
+    described = F.filter(F.transform(F.filter("listed", lambda t: t["name"] == "Instruction"), lambda t: T.variants(t["headers"], t["rows"])), lambda v: F.size(v) > 0)
+    shown = F.transform("listed", lambda t: F.struct(t["name"].alias("name"), t["headers"].alias("headers"), t["rows"].alias("rows")))
+    return of.select("range_id", "instr_id", F.get(described, F.lit(0)).alias("instructions"), shown.alias("tables"))

@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparquill.functions.geometry import holds_point, rect
+from sparquill.operators import folds
+
 CELLS = "page_no int, group_id int, cell_id int, x0 float, y0 float, x1 float, y1 float"
 
 
@@ -82,9 +85,46 @@ def cells(rects: DataFrame) -> DataFrame:
     return rects.groupBy("page_no").applyInPandas(page, CELLS)
 
 
-def glyphs_in_cells(glyphs: DataFrame, cell_table: DataFrame) -> DataFrame:
-    """Glyphs with the first cell of their page that holds their centre, with a tolerance of one."""
-    c = cell_table.select("page_no", "group_id", "cell_id", *(F.col(x).alias(f"c_{x}") for x in ("x0", "y0", "x1", "y1")))
-    inside = "(x0 + x1) / 2 between c_x0 - 1 and c_x1 + 1 and (y0 + y1) / 2 between c_y0 - 1 and c_y1 + 1"
-    found = glyphs.join(c, "page_no").where(inside).groupBy("page_no", "glyph_idx").agg(F.min(F.struct("group_id", "cell_id")).alias("cell"))
-    return glyphs.join(found, ["page_no", "glyph_idx"], "left").select(glyphs.columns + ["cell.group_id", "cell.cell_id"])
+_STRIP = 32.0  # height of the strips by which points meet cells
+
+
+def glyphs_in_cells(glyphs: DataFrame, cell_table: DataFrame, ids: list[str]) -> DataFrame:
+    """(page_no, *ids, group_id, cell_id): per glyph and group, the first cell that holds the glyph's centre, with a tolerance of one.
+
+    Points and cells meet in strips of a page, so a point is compared with the
+    cells of its strip only.
+    """
+    strip = lambda y: F.floor(y / F.lit(_STRIP))
+    cut = cell_table.select("page_no", "group_id", "cell_id", *(F.col(x).alias(f"c_{x}") for x in ("x0", "y0", "x1", "y1")))
+    cut = cut.withColumn("strip", F.explode(F.sequence(strip(F.col("c_y0") - 1), strip(F.col("c_y1") + 1))))
+    two = F.lit(2.0).cast("float")
+    points = glyphs.withColumn("cx", (F.col("x0") + F.col("x1")) / two).withColumn("cy", (F.col("y0") + F.col("y1")) / two).withColumn("strip", strip(F.col("cy")))
+    inside = points.join(cut, ["page_no", "strip"]).where(holds_point(rect("c_"), F.col("cx"), F.col("cy")))
+    return inside.groupBy("page_no", *ids, "group_id").agg(F.min("cell_id").alias("cell_id"))
+
+
+def consumed(letters: DataFrame, cell_table: DataFrame) -> DataFrame:
+    """Letters (page_no, seq, pos, text) in table cells.  A string belongs to the first group that holds any of its letters."""
+    held = glyphs_in_cells(letters, cell_table, ["seq", "pos"])
+    first = held.groupBy("page_no", "seq").agg(F.min("group_id").alias("group_id"))
+    return held.join(first, ["page_no", "seq", "group_id"]).join(letters.select("page_no", "seq", "pos", "text"), ["page_no", "seq", "pos"])
+
+
+def filled(held: DataFrame, cell_table: DataFrame) -> DataFrame:
+    """Tables (page_no, table_id, top, headers, rows) of consumed(): cell texts on the grid of their group, the first row as headers."""
+    ordered = lambda key, x, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, x))), lambda s: s[x]), sep)
+    cell = ["page_no", "group_id", "cell_id"]
+    texts = held.groupBy(*cell, "seq").agg(F.trim(ordered("pos", "text", "")).alias("text")).groupBy(*cell).agg(ordered("seq", "text", " ").alias("text"))
+    sides = F.array_sort(F.collect_list(F.struct("cell_id", "x0", "y0", "x1", "y1")))
+    bounds = lambda low, high: folds.tolerance_distinct(F.flatten(F.transform("sides", lambda c: F.array(c[low], c[high]))), 1.0)
+    grids = cell_table.groupBy("page_no", "group_id").agg(sides.alias("sides"), F.max("y1").alias("top"))
+    grids = grids.select("page_no", "group_id", "top", F.sort_array(bounds("y0", "y1"), False).alias("ys"), F.sort_array(bounds("x0", "x1")).alias("xs"))
+    middle = lambda a, b: (F.col(a) + F.col(b)) / F.lit(2.0).cast("float")
+    placed = cell_table.join(texts, cell).join(grids, ["page_no", "group_id"])
+    placed = placed.withColumn("row", folds.band_index(folds.bands_between(F.col("ys")), middle("y0", "y1"))).withColumn("column", folds.band_index(folds.bands_between(F.col("xs")), middle("x0", "x1")))
+    grid = placed.groupBy("page_no", "group_id", "top", "row", "column").agg(F.max_by("text", "cell_id").alias("text"))
+    at = F.struct("row", "column")
+    whole = grid.groupBy("page_no", F.col("group_id").alias("table_id"), "top").agg(F.map_from_entries(F.collect_list(F.struct(at, "text"))).alias("m"), F.max("row").alias("last"), F.max("column").alias("width"))
+    line = lambda r: F.transform(F.sequence(F.lit(0), F.col("width")), lambda c: F.coalesce(F.try_element_at("m", F.struct(r.alias("row"), c.alias("column"))), F.lit("")))
+    rows = F.transform(F.filter(F.sequence(F.lit(0), F.col("last")), lambda r: r > 0), line)
+    return whole.select("page_no", "table_id", "top", line(F.lit(0)).alias("headers"), rows.alias("rows"))

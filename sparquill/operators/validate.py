@@ -48,28 +48,47 @@ def order_of(body: Column, first: str, then: str) -> Column:
     return F.when((a > 0) & (b > 0), a < b)
 
 
+# What a signature looks for.
+STATEMENTS = "assign condition jump jump_by_call halt exception calc_flags_automatically extend_undefined_flags type_specified assertion".split()
+SIGNED_FLAGS = "cf zf sf of af pf df tf".split()
+SIGNED_REGISTERS = (
+    "rax rbx rcx rdx rsp rbp rsi rdi rip eax ebx ecx edx esp ebp esi edi ax bx cx dx al ah bl bh cl ch dl dh r8 r9 r10 r11 r12 r13 r14 r15"
+).split() + [r"tmp\d+", r"xmm\d+", r"ymm\d+", r"zmm\d+"]
+SIGNATURE = {
+    "operators": r"[bu]::\w+",
+    "statements": rf"\b(?:{'|'.join(STATEMENTS)})\b",
+    "flags": rf"\b(?:{'|'.join(SIGNED_FLAGS)})\b",
+    "operands": r"\bo[1-4]\(\)",
+    "registers": rf"\b(?:{'|'.join(SIGNED_REGISTERS)})\b",
+}
+
+
 def signature(body: Column) -> Column:
-    """Sorted sets of operators, statements, flags, operands and registers of a generated body."""
-    every = lambda p, g=1: F.array_sort(F.array_distinct(F.regexp_extract_all(body, F.lit(p), g)))
-    return F.struct(
-        every(r"\b([bu]::[a-z_]+)\(").alias("operators"),
-        every(r"\b(assign|condition|jump|halt|call|exception|calc_flags_automatically|type_specified)\b").alias("statements"),
-        every(r"\b([a-z])f\b", 0).alias("flags"),
-        every(r"\bo([0-9])(?:_size)?\(\)", 1).alias("operands"),
-        every(r"&([A-Z][A-Z0-9]+)\b").alias("registers"),
-    )
+    """Sorted sets of operators, statements, flags, operands and registers of a generated body; null for null."""
+    every = lambda p: F.array_sort(F.array_distinct(F.regexp_extract_all(body, F.lit(p), 0)))
+    return F.when(body.isNotNull(), F.struct(*(every(p).alias(part) for part, p in SIGNATURE.items())))
 
 
 def signature_difference(ours: Column, theirs: Column) -> Column:
-    """Messages, by part: what only the other has (missing) and what only we have (extra)."""
+    """Messages: by part, what only the other has (missing), and the operators that only we have (extra); registers are not compared."""
     out = []
-    for part in ("operators", "statements", "flags", "operands", "registers"):
-        for word, a, b in (("missing", theirs, ours), ("extra", ours, theirs)):
-            left = F.array_except(a[part], b[part])
-            out.append(F.when(F.size(left) > 0, F.concat(F.lit(f"{word} {part}: "), F.array_join(left, ","))))
+    for word, part, a, b in (("missing", "operators", theirs, ours), ("extra", "operators", ours, theirs), *(("missing", p, theirs, ours) for p in ("statements", "flags", "operands"))):
+        left = F.array_except(a[part], b[part])
+        out.append(F.when(F.size(left) > 0, F.concat(F.lit(f"{word} {part}: "), F.array_join(left, ", "))))
     return F.filter(F.array(*out), lambda x: x.isNotNull())
 
 
+def compared(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(name, differences, severity) of the functions (name, body) that both have; ours `std` answers to theirs `std_`."""
+    side = lambda df, name: df.select(F.col("name"), signature(F.col("body")).alias(name))
+    own = side(ours, "ours").withColumn("key", F.col("name"))
+    # a name of theirs with the underscore counts only where the plain one is missing
+    other = side(theirs, "theirs").withColumn("key", F.when(F.col("name") == "std_", "std").otherwise(F.col("name")))
+    other = other.groupBy("key").agg(F.min_by("theirs", F.length("name")).alias("theirs"))
+    found = own.join(other, "key").select("name", signature_difference(F.col("ours"), F.col("theirs")).alias("differences"))
+    return found.withColumn("severity", severity(F.col("differences")))
+
+
 def severity(messages: Column) -> Column:
     """failure for missing operators, statements or flags; warning for anything else; passed without messages."""
     fails = F.exists(messages, lambda m: m.rlike("^missing (operators|statements|flags)"))

@@ -6,25 +6,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.functions import registry
+from sparquill.functions import text as T
 from sparquill.functions.names import names
-from sparquill.operators import dispatch, glyphs, render, sections, validate
+from sparquill.operators import dispatch, glyphs, render, sections, tables, validate
 from sparquill.sources import pdf, text_files, xml_archive
 
 
+def page_letters(ops: DataFrame, fonts: DataFrame) -> DataFrame:
+    """Letters in reading order of all pages' operations."""
+    table = glyphs.glyphs(ops, fonts.select("page_no", "font", "code", "width"), fonts.select("page_no", "font", F.col("code").alias("cid"), "codepoint"))
+    return glyphs.letters(table)
+
+
 def manual_records(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """Records of a PDF manual's page ranges."""
+    """Records of a PDF manual's page ranges, with their tables; strings that tables took are in no other section."""
     ops, fonts = pdf.pdf_ops(spark, path, ranges), pdf.pdf_fonts(spark, path, ranges)
-    glyph_table = glyphs.glyphs(ops, fonts.select("page_no", "font", "code", "width"), fonts.select("page_no", "font", F.col("code").alias("cid"), "codepoint"))
-    pages = ops.select("page_no", "range_id").distinct()
-    lines = sections.body_lines(glyphs.strings(glyph_table).join(pages, "page_no"))
-    return sections.records(sections.routed(lines))
+    pages, letters = ops.select("range_id", "page_no").distinct(), page_letters(ops, fonts)
+    cells = tables.cells(tables.filled_rects(ops))
+    held = tables.consumed(letters, cells)
+    lines = sections.body_lines(glyphs.joined(letters).join(pages, "page_no"))
+    route = sections.routed(lines.join(held.select("page_no", "seq").distinct(), ["page_no", "seq"], "left_anti"))
+    return sections.records(route, sections.owned_tables(tables.filled(held, cells), route, lines, pages))
+
+
+def manual_pages(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
+    """(range_id, value): the plain text of a manual's page ranges."""
+    ops = pdf.pdf_ops(spark, path, ranges)
+    return render.page_dump(glyphs.joined(page_letters(ops, pdf.pdf_fonts(spark, path, ranges))), ops.select("range_id", "page_no").distinct())
 
 
 def manual_files(records: DataFrame) -> DataFrame:
-    """(name, md): one Markdown text per name; of equal names the later record stays."""
+    """(name, md): one Markdown text per name; of equal names the later record stays.  INT n goes by the name INT."""
     shown = records.withColumn("md", render.manual_markdown(records))
     exploded = shown.select(F.explode(names(F.col("title"))).alias("name"), "md", "range_id", "instr_id")
-    return exploded.groupBy("name").agg(F.max_by("md", F.struct("range_id", "instr_id")).alias("md"))
+    return exploded.withColumn("name", F.when(F.col("name") == "INT n", "INT").otherwise(F.col("name"))).groupBy("name").agg(F.max_by("md", F.struct("range_id", "instr_id")).alias("md"))
+
+
+def archive_files(spark: SparkSession, path: str) -> DataFrame:
+    """(name, md): one Markdown text per slug of an XML archive."""
+    parsed = xml_archive.instructions(xml_archive.xml_files(spark, path))
+    return parsed.select(T.slug(F.col("heading"), F.col("id")).alias("name"), render.archive_markdown().alias("md"))
 
 
 def archive_entries(spark: SparkSession, path: str) -> DataFrame:
@@ -34,9 +55,12 @@ def archive_entries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def functions_of(spark: SparkSession, path: str, arch: str, templates: DataFrame | None = None) -> DataFrame:
-    """Generated bodies of the instructions of an enum file."""
+    """Generated bodies of the instructions of an enum file; on ARM, with those of their aliases, whose status is alias."""
     entries = text_files.instructions(text_files.enum_entries(text_files.numbered_lines(spark, path)))
-    return dispatch.generate(entries.select("mnemonic", "operation", "aliases"), registry.templates(spark, templates), arch)
+    made = dispatch.generate(entries.select("mnemonic", "operation", "aliases"), registry.templates(spark, templates), arch)
+    if arch != "arm":
+        return made
+    return made.unionByName(dispatch.alias_functions(made).withColumn("status", F.lit("alias")), allowMissingColumns=True)
 
 
 def verdicts(functions: DataFrame) -> DataFrame:

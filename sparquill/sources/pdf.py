@@ -1,12 +1,15 @@
 """A small PDF source: pages of content operations, font widths and code maps.
 
-Reads files with classic objects and Flate streams.  Every page range is one
-task; a row is one operation, so pages are never held together.
+Reads files with classic objects, object streams and Flate streams with
+predictors.  A file is parsed once, by one task, into pages and fonts; the
+operations of its pages are read by as many tasks as the pages allow.  A row
+is one operation, so pages are never held together.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -84,14 +87,102 @@ def parse_tounicode(text: str) -> dict[int, int]:
     return out
 
 
+def unpredicted(data: bytes, predictor: int, columns: int, colors: int = 1, bits: int = 8) -> bytes:
+    """Bytes before a TIFF (2, eight bits only) or PNG (10 and more) predictor."""
+    step, width = max(1, colors * bits // 8), (columns * colors * bits + 7) // 8
+    if predictor < 2 or (predictor == 2 and bits != 8):
+        return data
+    png = predictor >= 10
+    out, above = bytearray(), bytearray(width)
+    for at in range(0, len(data), width + png):
+        kind = data[at] if png else 1
+        row = bytearray(data[at + png : at + png + width])
+        for i in range(len(row)):
+            left = row[i - step] if i >= step else 0
+            up, corner = above[i], above[i - step] if i >= step else 0
+            guess = left + up - corner
+            paeth = min((abs(guess - x), k, x) for k, x in enumerate((left, up, corner)))[2]
+            row[i] = (row[i] + (0, left, up, (left + up) // 2, paeth)[kind]) & 255
+        out += row
+        above = row + bytearray(width - len(row))
+    return bytes(out)
+
+
+class TrueType:
+    """Advances and character map of an embedded font program."""
+
+    def __init__(self, data: bytes):
+        count = struct.unpack_from(">H", data, 4)[0]
+        self.tables = {}
+        for i in range(count):
+            tag, _, at, length = struct.unpack_from(">4sLLL", data, 12 + 16 * i)
+            self.tables[tag] = data[at : at + length]
+        hhea, hmtx = self.tables.get(b"hhea", b""), self.tables.get(b"hmtx", b"")
+        n = struct.unpack_from(">H", hhea, 34)[0] if len(hhea) >= 36 else 0
+        self.advances = [struct.unpack_from(">H", hmtx, 4 * i)[0] for i in range(min(n, len(hmtx) // 4))]
+        self.glyphs = self._characters(self.tables.get(b"cmap", b""))
+
+    def advance(self, glyph: int) -> int:
+        return self.advances[min(glyph, len(self.advances) - 1)] if self.advances else 0
+
+    @staticmethod
+    def _characters(cmap: bytes) -> dict[int, int]:
+        """Code point -> glyph of the subtables of formats 4 and 12."""
+        out: dict[int, int] = {}
+        for i in range(struct.unpack_from(">H", cmap, 2)[0] if len(cmap) >= 4 else 0):
+            table = cmap[struct.unpack_from(">L", cmap, 8 + 8 * i)[0] :]
+            kind = struct.unpack_from(">H", table)[0]
+            if kind == 4:
+                half = struct.unpack_from(">H", table, 6)[0] // 2
+                read = lambda at, code="H": struct.unpack_from(f">{half}{code}", table, at)
+                for k, (last, first, delta, offset) in enumerate(zip(read(14), read(16 + 2 * half), read(16 + 4 * half), read(16 + 6 * half))):
+                    for c in range(first, min(last, 0xFFFE) + 1):
+                        at = 16 + 6 * half + 2 * k + offset + 2 * (c - first)
+                        glyph = (c + delta) & 0xFFFF if not offset else struct.unpack_from(">H", table, at)[0] if at + 2 <= len(table) else 0
+                        if offset and glyph:
+                            glyph = (glyph + delta) & 0xFFFF
+                        if glyph:
+                            out.setdefault(c, glyph)
+            elif kind == 12:
+                for k in range(struct.unpack_from(">L", table, 12)[0]):
+                    first, last, glyph = struct.unpack_from(">LLL", table, 16 + 12 * k)
+                    for c in range(first, min(last, 0x10FFFF) + 1):
+                        out.setdefault(c, glyph + c - first)
+        return out
+
+    def characters(self) -> dict[int, int]:
+        """Glyph -> code point: that of the first range of PRIORITY that has one, else the smallest of the basic plane."""
+        rank = lambda c: next((i for i, (a, b) in enumerate(PRIORITY) if a <= c <= b), len(PRIORITY))
+        found = sorted((rank(c), c, g) for c, g in self.glyphs.items() if c <= 0xFFFD and not 0xD800 <= c <= 0xDFFF and (c >= 0x250 or rank(c) < len(PRIORITY)))
+        return {g: c for _, c, g in reversed(found)}
+
+
+# Ranges of code points that a glyph is looked for in first.
+PRIORITY = ((0x2200, 0x22FF), (0x20, 0x7E), (0xA0, 0xFF), (0x370, 0x3FF), (0x2000, 0x206F), (0x2100, 0x214F), (0x2150, 0x218F), (0x100, 0x24F))
+
+
 class Document:
-    """Objects of a file by number, read on demand."""
+    """Objects of a file by number, those of object streams included; streams are inflated on demand."""
 
     def __init__(self, data: bytes):
         self.objects = {int(m[1]): m[2] for m in _OBJECT.finditer(data)}
+        for number, body in list(self.objects.items()):
+            if re.search(rb"/Type\s*/ObjStm\b", body):
+                self._unpack(number, body)
+
+    def _unpack(self, number: int, body: bytes) -> None:
+        first, inner = self.number(body, b"First"), self.stream(number)
+        heads = [int(x) for x in inner[:first].split()]
+        places = [*heads[1::2], len(inner) - first]
+        for n, start, end in zip(heads[::2], places, places[1:]):
+            self.objects.setdefault(n, inner[first + start : first + end])
+
+    def number(self, body: bytes, key: bytes, default: int = 0) -> int:
+        m = re.search(rb"/" + key + rb"\s+(-?\d+)", body)
+        return int(m[1]) if m else default
 
     def ref(self, body: bytes, key: bytes) -> int | None:
-        m = re.search(rb"/" + key + rb"\s+(\d+)\s+\d+\s+R", body)
+        m = re.search(rb"/" + key + rb"\s*\[?\s*(\d+)\s+\d+\s+R", body)
         return int(m[1]) if m else None
 
     def stream(self, number: int) -> bytes:
@@ -99,7 +190,11 @@ class Document:
         m = re.search(rb"stream\r?\n(.*?)\r?\nendstream", body, re.S)
         if not m:
             return b""
-        return zlib.decompressobj().decompress(m[1]) if b"/FlateDecode" in body[: m.start()] else m[1]
+        head = body[: m.start()]
+        if b"/FlateDecode" not in head:
+            return m[1]
+        data = zlib.decompressobj().decompress(m[1])
+        return unpredicted(data, self.number(head, b"Predictor", 1), self.number(head, b"Columns", 1), self.number(head, b"Colors", 1), self.number(head, b"BitsPerComponent", 8))
 
     def pages(self) -> list[int]:
         """Page objects in the order of the page tree."""
@@ -118,19 +213,56 @@ class Document:
         numbers = [int(n) for n in re.findall(rb"(\d+)\s+\d+\s+R", many[1])] if many else [n for n in [self.ref(body, b"Contents")] if n is not None]
         return b"\n".join(self.stream(n) for n in numbers)
 
-    def fonts(self, page: int) -> Iterator[tuple[str, dict[int, float], dict[int, int]]]:
-        """(name, widths, code map) of a page's fonts; names of two-byte fonts begin with cid:."""
+    def fonts(self, page: int) -> dict[str, int]:
+        """Font objects of a page by name, from its own or an inherited resource dictionary; names of two-byte fonts begin with cid:."""
         body = self.objects[page]
+        while b"/Resources" not in body and (up := self.ref(body, b"Parent")) in self.objects:
+            body = self.objects[up]
         resources = self.objects.get(self.ref(body, b"Resources"), body)
         listed = re.search(rb"/Font\s*<<(.*?)>>", resources, re.S) or re.search(rb"<<(.*?)>>", self.objects.get(self.ref(resources, b"Font"), b""), re.S)
-        for name, number in re.findall(rb"/(\w+)\s+(\d+)\s+\d+\s+R", listed[1] if listed else b""):
-            font = self.objects.get(int(number), b"")
-            wide = re.search(rb"/Subtype\s*/Type0\b", font)
-            first = re.search(rb"/FirstChar\s+(\d+)", font)
-            widths = re.search(rb"/Widths\s*\[(.*?)\]", font, re.S) or re.search(rb"\[(.*?)\]", self.objects.get(self.ref(font, b"Widths"), b""), re.S)
-            table = {int(first[1]) + i: float(w) / 1000 for i, w in enumerate(widths[1].split())} if first and widths else {}
-            to = self.ref(font, b"ToUnicode")
-            yield ("cid:" if wide else "") + name.decode(), table, parse_tounicode(self.stream(to).decode("latin-1")) if to else {}
+        found = re.findall(rb"/([\w+.-]+)\s+(\d+)\s+\d+\s+R", listed[1] if listed else b"")
+        return {("cid:" if self.wide(int(n)) else "") + name.decode(): int(n) for name, n in found}
+
+    def wide(self, font: int) -> bool:
+        return bool(re.search(rb"/Subtype\s*/Type0\b", self.objects.get(font, b"")))
+
+    def font(self, number: int) -> tuple[dict[int, float], dict[int, int]]:
+        """Widths and code points by code.
+
+        Two-byte fonts take code points from ToUnicode, else from the embedded
+        program's character map, and widths from its advances; without a
+        program, widths from W and DW.
+        """
+        body = self.objects.get(number, b"")
+        to = self.ref(body, b"ToUnicode")
+        points = parse_tounicode(self.stream(to).decode("latin-1")) if to else {}
+        if not self.wide(number):
+            first = re.search(rb"/FirstChar\s+(\d+)", body)
+            widths = re.search(rb"/Widths\s*\[(.*?)\]", body, re.S) or re.search(rb"\[(.*?)\]", self.objects.get(self.ref(body, b"Widths"), b""), re.S)
+            return {int(first[1]) + i: float(w) / 1000 for i, w in enumerate(widths[1].split())} if first and widths else {}, points
+        inner = self.objects.get(self.ref(body, b"DescendantFonts"), b"")
+        if re.match(rb"\s*\[\s*\d+\s+\d+\s+R", inner):  # the array is an object of its own
+            inner = self.objects.get(int(re.search(rb"\d+", inner)[0]), b"")
+        program = self.ref(self.objects.get(self.ref(inner, b"FontDescriptor"), b""), rb"FontFile\d?")
+        data = self.stream(program) if program else b""
+        if len(data) > 12 and data[:4] in (b"\0\1\0\0", b"true", b"OTTO"):
+            face = TrueType(data)
+            points = {**face.characters(), **points}
+            return {code: face.advance(face.glyphs.get(c, 0)) / 1000 for code, c in points.items()}, points
+        default = self.number(inner, b"DW", 1000) / 1000
+        return {**dict.fromkeys(points, default), **self._cid_widths(inner)}, points
+
+    def _cid_widths(self, body: bytes) -> dict[int, float]:
+        """The W array: `first [w ...]` and `first last w`."""
+        at = re.search(rb"/W\s*(?:(\d+)\s+\d+\s+R|\[)", body)
+        text = self.objects.get(int(at[1]), b"") if at and at[1] else body[at.end() - 1 :] if at else b""
+        out: dict[int, float] = {}
+        for first, many, last, one in re.findall(rb"(\d+)\s*(?:\[([\d.\s]*)\]|(\d+)\s+([\d.]+))", text.split(b"/")[0]):
+            if last:
+                out.update(dict.fromkeys(range(int(first), int(last) + 1), float(one) / 1000))
+            else:
+                out.update({int(first) + i: float(w) / 1000 for i, w in enumerate(many.split())})
+        return out
 
 
 _VALUE = [("kind", pa.string()), ("num", pa.float32()), ("bytes", pa.binary())]
@@ -143,43 +275,62 @@ def _value(kind, v, nested=True) -> dict:
     return out | ({"items": [_value(k, x, False) for k, x in v] if kind == "array" else None} if nested else {})
 
 
-def _by_range(spark: SparkSession, path: str, ranges: list[tuple[int, int]], work, schema: str) -> DataFrame:
-    """Half-open page ranges (from 1) of a file, cut into slices of 64 pages, each a task's unit."""
-    slices = [(i, a, min(a + 64, to)) for i, (start, to) in enumerate(ranges) for a in range(start, to, 64)]
-    file = spark.read.format("binaryFile").load(path).select("content")
-    return spark.createDataFrame(slices, "range_id int, first int, last int").repartition(max(1, len(slices)), "range_id", "first").crossJoin(F.broadcast(file)).mapInArrow(work, schema)
+def _parsed(spark: SparkSession, path: str, work, schema: str) -> DataFrame:
+    """work(document) -> batches, for every file that path names, each parsed by one task."""
+
+    def each(batches):
+        for batch in batches:
+            for data in batch.column(0):
+                yield from work(Document(data.as_py()))
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(each, schema)
+
+
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+
+_FONTS = pa.list_(pa.struct([("font", pa.string()), ("object", pa.int32())]))
+
+
+def pdf_pages(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
+    """(range_id, page_no, content, fonts) of the half-open page ranges (from 1) of one file; fonts are (font, object)."""
+    names, types = ["range_id", "page_no", "content", "fonts"], [pa.int32(), pa.int32(), pa.binary(), _FONTS]
+
+    def work(doc: Document):
+        pages = doc.pages()
+        for i, (start, end) in enumerate(ranges):
+            for n in range(start, min(end, len(pages) + 1)):
+                fonts = [{"font": f, "object": o} for f, o in doc.fonts(pages[n - 1]).items()]
+                yield _batch([(i, n, doc.contents(pages[n - 1]), fonts)], names, types)
+
+    return _parsed(spark, path, work, "range_id int, page_no int, content binary, fonts array<struct<font:string,object:int>>")
 
 
 def pdf_ops(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """Operations of the pages of one file (one small manual, which is what is broadcast)."""
+    """Operations of the pages of one file."""
+    tasks = max(1, sum(b - a for a, b in ranges) // 16)
 
     def work(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                doc = Document(row["content"])
-                pages = doc.pages()
-                for n in range(row["first"], min(row["last"], len(pages) + 1)):
-                    rows = [(i, op, [_value(*a) for a in args]) for i, (op, args) in enumerate(operations(doc.contents(pages[n - 1])))]
-                    count = len(rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["range_id"]] * count, pa.int32()), pa.array([n] * count, pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.list_(_OPERAND))],
-                        ["range_id", "page_no", "op_idx", "operator", "operands"],
-                    )
+            for i, n, content in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                rows = [(i, n, k, op, [_value(*a) for a in args]) for k, (op, args) in enumerate(operations(content))]
+                yield _batch(rows, ["range_id", "page_no", "op_idx", "operator", "operands"], [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(_OPERAND)])
 
-    return _by_range(spark, path, ranges, work, OPS)
+    return pdf_pages(spark, path, ranges).select("range_id", "page_no", "content").repartition(tasks, "page_no").mapInArrow(work, OPS)
 
 
 def pdf_fonts(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """(page_no, font, code, width, codepoint) of the pages' fonts."""
-
-    def work(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                doc = Document(row["content"])
-                pages = doc.pages()
-                for n in range(row["first"], min(row["last"], len(pages) + 1)):
-                    rows = [(n, f, c, w.get(c), m.get(c)) for f, w, m in doc.fonts(pages[n - 1]) for c in sorted({*w, *m})]
-                    types = (pa.int32(), pa.string(), pa.int32(), pa.float32(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["page_no", "font", "code", "width", "codepoint"])
-
-    return _by_range(spark, path, ranges, work, "page_no int, font string, code int, width float, codepoint int")
+    """(page_no, font, code, width, codepoint) of the pages' fonts; a font that many pages share is read once."""
+
+    def work(doc: Document):
+        pages = doc.pages()
+        numbers = {o for a, b in ranges for n in range(a, min(b, len(pages) + 1)) for o in doc.fonts(pages[n - 1]).values()}
+        for o in sorted(numbers):
+            widths, points = doc.font(o)
+            rows = [(o, c, widths.get(c), points.get(c)) for c in sorted({*widths, *points})]
+            yield _batch(rows, ["object", "code", "width", "codepoint"], [pa.int32(), pa.int32(), pa.float32(), pa.int32()])
+
+    codes = _parsed(spark, path, work, "object int, code int, width float, codepoint int")
+    used = pdf_pages(spark, path, ranges).select("page_no", F.explode("fonts").alias("f")).select("page_no", "f.font", "f.object").distinct()
+    return used.join(codes, "object").select("page_no", "font", "code", "width", "codepoint")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparquill.functions import text as T
+from sparquill.functions.pseudocode import STOPS
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +54,7 @@ def instructions(entries: DataFrame) -> DataFrame:
             F.when(F.contains(b, F.lit(" — Preferred when ")), F.substring_index(b, " — Preferred when ", -1)).otherwise("").alias("condition"),
         ),
     )
-    return entries.select("*", F.lower("name").alias("mnemonic"), T.operation_of(F.col("docs")).alias("operation"), F.lower(F.substring("name", 1, 1)).alias("first_letter"), parsed.alias("aliases"))
+    return entries.select("*", F.lower("name").alias("mnemonic"), T.operation_of(F.col("docs"), STOPS).alias("operation"), F.lower(F.substring("name", 1, 1)).alias("first_letter"), parsed.alias("aliases"))
 
 
 def generated_functions(lines: DataFrame, arch: str) -> DataFrame:
@@ -75,3 +76,14 @@ def generated_functions(lines: DataFrame, arch: str) -> DataFrame:
     out = owned.where("at is not null").groupBy("file", F.col("at").alias("name")).agg(docs.alias("docs"), text(inner).alias("body"))
     code = F.regexp_extract(F.regexp_replace("docs", r"(?m)^/// ?", ""), r"(?s)```[^\n]*\n(.*?)\n?```", 1)
     return out.select("file", "name", code.alias("pseudocode"), "body", F.trim("body").rlike(r'^\[exception\("[^"]*"\)\]\.into\(\)$').alias("is_exception"), F.lit(arch).alias("arch"))
+
+
+def function_bodies(files: DataFrame) -> DataFrame:
+    """(name, body) of the functions in whole files (file, content), braces nested once at most; of equal names the last of the last file stays.
+
+    Files count in order of their names.
+    """
+    pattern = r"pub(?:\([a-z]+\))? fn (\w+)\s*\([^)]*\)[^{]*\{((?:[^{}]|\{[^{}]*\})*)\}"
+    every = lambda g: F.regexp_extract_all("content", F.lit(pattern), g)
+    found = files.select("file", F.posexplode(F.arrays_zip(every(1).alias("name"), every(2).alias("body"))).alias("pos", "f"))
+    return found.groupBy(F.col("f.name").alias("name")).agg(F.max_by(F.regexp_replace("f.body", r"\A\s+|\s+\z", ""), F.struct("file", "pos")).alias("body"))

@@ -48,7 +48,7 @@ def tidy(s: str) -> str:
 class _Handler(xml.sax.ContentHandler):
     """Collects the fields of one file; `path` is the stack of open elements."""
 
-    CAPTURED = ("heading", "para", "content", "pstext", "asmtemplate", "symbol", "intro", "entry", "alias_name", "aliaspref")
+    CAPTURED = ("heading", "para", "content", "pstext", "asmtemplate", "symbol", "entry", "alias_name", "aliaspref")
 
     def __init__(self):
         self.path: list[tuple[str, dict]] = []
@@ -58,6 +58,8 @@ class _Handler(xml.sax.ContentHandler):
         self.common: list[str] = []
         self.symbol, self.alias, self.diagram_done, self.in_diagram, self.klass = "", None, False, [], ""
         self.is_alias = False
+        self.told: list[str] = []  # of one explanation
+        self.rows: list[list[str]] = []  # of one table of definitions
 
     def within(self, name: str) -> bool:
         return any(n == name for n, _ in self.path)
@@ -80,6 +82,12 @@ class _Handler(xml.sax.ContentHandler):
             self.in_diagram = []
         elif name == "box" and self.within("regdiagram"):
             self.in_diagram.append({"hibit": int(a.get("hibit", 0)), "width": int(a.get("width", 1)), "name": a.get("name", ""), "constants": []})
+        elif name == "explanation":
+            self.symbol, self.told = "", []
+        elif name == "table":
+            self.rows = []
+        elif name == "row":
+            self.rows.append([])
         elif name == "aliasref":
             o["aliases"].append({"name": "", "preferred_conditions": []})
             self.labels = a.get("labels", "")
@@ -88,9 +96,10 @@ class _Handler(xml.sax.ContentHandler):
             self.text.append([])
 
     def characters(self, content):
-        if self.text:
-            for t in self.text:
-                t.append(content)
+        for t in self.text:
+            t.append(content)
+        if self.within("explanation") and (self.within("intro") or self.within("definition")) and not self.within("table"):
+            self.told.append(content)
 
     def endElement(self, name):
         _, a = self.path.pop()
@@ -99,6 +108,7 @@ class _Handler(xml.sax.ContentHandler):
             o["bitfields"], self.diagram_done = self.in_diagram, True
         if name == "iclass":
             self.klass = ""
+        self.explain(name)
         if name not in self.CAPTURED:
             return
         raw = "".join(self.text.pop())
@@ -119,8 +129,8 @@ class _Handler(xml.sax.ContentHandler):
             o["encodings"][-1]["asm_template"] = text
         elif name == "symbol" and self.within("explanation"):
             self.symbol = text
-        elif name == "intro" and self.within("explanation"):
-            o["operand_explanations"].append({"symbol": self.symbol, "text": text})
+        elif name == "entry" and self.rows:
+            self.rows[-1].append(text)
         elif name == "alias_name" and o["aliases"]:
             o["aliases"][-1]["name"] = text
         elif name == "aliaspref" and text and o["aliases"]:
@@ -136,6 +146,17 @@ class _Handler(xml.sax.ContentHandler):
             else:
                 self.common.append(code)
 
+    def explain(self, name: str) -> None:
+        """At the end of an element: the parts of an explanation, one row for all of its texts and tables."""
+        if name == "row" and self.within("thead") and self.rows:
+            self.rows.pop()
+        elif name == "table" and self.within("definition"):
+            self.told.append(" " + ", ".join(" → ".join(row[:2]) for row in self.rows if row))
+        elif name in ("para", "intro", "definition"):
+            self.told.append(" ")
+        elif name == "explanation" and self.symbol and (text := tidy("".join(self.told))):
+            self.out["operand_explanations"].append({"symbol": self.symbol, "text": text})
+
     def record(self) -> dict:
         o = self.out
         blocks = [c for _, c in self.decodes]
