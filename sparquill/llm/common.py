@@ -49,9 +49,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder; columnar, so it suits wide or many rows."""
+    """Cut the lineage with a Parquet table in the shared folder; columnar, so it suits wide or many rows.
+
+    The driver's JVM is asked to collect garbage, for Spark deletes the
+    shuffle files of a finished job only when its plan is collected.
+    """
     path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
+    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
