@@ -46,7 +46,7 @@ def _manual(*pages: bytes) -> bytes:
 
 
 EDGES = [(9, 50, 790, "x"), (9, 50, 20, "y")]
-RULES = [(50, y, 301, 1) for y in (600, 580, 560)] + [(x, 560, 1, 41) for x in (50, 200, 350)]
+RULES = [(50, y, 300.5, 0.5) for y in (600, 580, 560)] + [(x, 560, 0.5, 40.5) for x in (50, 200, 350)]
 
 
 def test_manual_tables(spark, tmp_path):
