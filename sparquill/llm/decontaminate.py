@@ -25,6 +25,7 @@ WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
 NODE_BYTES = 100  # with the windows' owners, as measured
+SINGLES, LEADS, TRAILS = 1_000_000, 50_000, 60_000  # words of one symbol; symbols that begin and end the two of any other word
 _RUN = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 _FOUND = pa.struct([("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("runs", pa.list_(_RUN))])
 FOUND = "struct<n_words:bigint,items:array<string>,runs:array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>>"
@@ -49,28 +50,40 @@ class _Automaton:
         import ahocorasick
 
         self.symbols: dict[bytes, str] = {}
-        owners: dict[str, set[str]] = {}
+        owners: dict[str, tuple[int, set[str]]] = {}
         for item, text in items:
-            coded = "".join([self.symbols.setdefault(w, self._symbol(len(self.symbols) + 1)) for w in words_of(text)])
+            coded = [self.symbols.setdefault(w, self._symbol(len(self.symbols) + 1)) for w in words_of(text)]
             size = min(width, len(coded))
             for i in range(len(coded) - size + 1 if coded else 0):
-                owners.setdefault(coded[i : i + size], set()).update(() if item is None else (item,))
+                owners.setdefault("".join(coded[i : i + size]), (size, set()))[1].update(() if item is None else (item,))
         self.found = ahocorasick.Automaton()
-        for window, ids in owners.items():
-            self.found.add_word(window, (len(window), tuple(ids)))
+        for window, (size, ids) in owners.items():
+            self.found.add_word(window, (size, tuple(ids)))
         if owners:
             self.found.make_automaton()
 
     @staticmethod
     def _symbol(i: int) -> str:
-        return chr(i if i < 0xD800 else i + 0x800)
+        """What the i-th word, from 1, is written as.  There are 1.1 million characters, so the words after the
+        first SINGLES take two; as no such first or second symbol has another use, a window is only met at words."""
+        if i <= SINGLES:
+            return chr(i if i < 0xD800 else i + 0x800)
+        lead, trail = divmod(i - SINGLES - 1, TRAILS)
+        if lead >= LEADS:
+            raise ValueError(f"more than {SINGLES + LEADS * TRAILS} distinct words in a block")
+        return chr(SINGLES + 0x801 + lead) + chr(SINGLES + 0x801 + LEADS + trail)
 
     def matches(self, words: list[bytes]) -> Iterator[tuple[int, tuple[int, tuple[str, ...]]]]:
         """(number of the last word, (words, item ids)) of every window met."""
         if not self.symbols:
             return iter(())
         symbol = self.symbols.get
-        return self.found.iter("".join([symbol(w, "\0") for w in words]))
+        coded = [symbol(w, "\0") for w in words]
+        text = "".join(coded)
+        if len(text) == len(coded):
+            return self.found.iter(text)
+        word = np.repeat(np.arange(len(coded)), [len(c) for c in coded])
+        return ((int(word[end]), found) for end, found in self.found.iter(text))
 
 
 def automaton(items: list[tuple[str | None, str]], width: int) -> _Automaton:
@@ -149,7 +162,7 @@ def find_items(docs: DataFrame, items: DataFrame, *, into: str, width: int = 10,
 
     A worker holds one automaton of about block_bytes at most, built once in
     its process.  Its nodes are counted first: a window has at most as many as
-    words.  Items that need more are dealt, in pieces of whole windows, into
+    words, or twice as many where there may be more than SINGLES distinct words.  Items that need more are dealt, in pieces of whole windows, into
     blocks; each block is broadcast and looked
     for in a scan of its own, of which only the texts with findings are kept,
     under the SHA-256 of the text.
@@ -159,7 +172,7 @@ def find_items(docs: DataFrame, items: DataFrame, *, into: str, width: int = 10,
     cells = items.select(F.col("item_id").cast("string").alias("id"), F.explode(cut_up(text_or_empty())).alias("piece")).distinct()
     cells = stored(cells.withColumn("words", F.size(F.split("piece", " "))))
     nodes, n = cells.agg(F.coalesce(F.sum(F.expr(f"least(words, {width}) * greatest(words - {width - 1}, 1)")), F.lit(0)), F.count("*")).first()
-    room = max(1, block_bytes // NODE_BYTES)
+    room, nodes = max(1, block_bytes // NODE_BYTES), 2 * nodes if nodes > SINGLES else nodes
     blocks = 1 if nodes <= room else min(n, -(-5 * nodes // (4 * room)))  # hashing deals unevenly
     block = lambda b: cells.where(F.pmod(F.xxhash64("id", "piece"), F.lit(blocks)) == b) if blocks > 1 else cells
     first = _looking(spark, block(0), width)

@@ -328,3 +328,42 @@ def test_shared_folder(spark):
     import os
 
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+# words beyond the symbols -----------------------------------------------------
+
+
+def _plain_hits(text, items):
+    words, hit, met = decontaminate.words_of(text), set(), set()
+    for name, item in items:
+        parts = decontaminate.words_of(item)
+        size = min(10, len(parts))
+        for window in {tuple(parts[i : i + size]) for i in range(len(parts) - size + 1 if parts else 0)}:
+            for at in range(len(words) - size + 1):
+                if tuple(words[at : at + size]) == window:
+                    hit.update(range(at, at + size))
+                    met.add(name)
+    return hit, met
+
+
+def test_words_of_two_symbols(monkeypatch):
+    """Few words of one symbol, so that most take two, in every mixture."""
+    monkeypatch.setattr(decontaminate, "SINGLES", 3)
+    monkeypatch.setattr(decontaminate, "TRAILS", 2)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(14)]
+    items = [(str(i), " ".join(rng.choices(words, k=rng.choice([1, 2, 4, 9, 13])))) for i in range(25)]
+    found = decontaminate.automaton(items, 10)
+    for _ in range(60):
+        text = " ".join(rng.choices([*words, "other"], k=60)) + " " + rng.choice(items)[1]
+        n, met, runs = decontaminate.scan(text, found)
+        assert n == len(text.split()) and ({i for a, b, _, _ in runs for i in range(a, b + 1)}, met) == _plain_hits(text, items)
+
+
+def test_automaton_above_the_symbols():
+    """112,000 items of ten words each, all distinct: more words than there are characters."""
+    items = [(str(i), " ".join(f"x{10 * i + k}" for k in range(10))) for i in range(112_000)]
+    found = decontaminate.automaton(items, 10)
+    for i in (0, 99_999, 100_000, 111_999):
+        assert decontaminate.scan(f"a {items[i][1]} b", found) == (12, {str(i)}, [(1, 10, 2, 2 + len(items[i][1]))])
+    assert decontaminate.scan(items[5][1] + " " + items[111_000][1][:-1], found)[1] == {"5"}
