@@ -49,14 +49,17 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     row without page_id refers to the largest.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("bytes", F.octet_length("html").cast("long")).withColumn("digest", sha1_base32(F.col("html")))
-    key = F.pmod(F.xxhash64("digest", "bytes"), F.lit(BUCKETS))
-    groups = rows.where(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    groups = stored(groups.select("digest", "bytes", "first"))
-    # at most BUCKETS numbers: a payload in none of them is alone, and is not shuffled
-    buckets, rows = F.broadcast(groups.select(key.alias("bucket")).distinct()), rows.withColumn("bucket", key)
-    alone = rows.join(buckets, "bucket", "left_anti").withColumn("first", F.col("page_id"))
-    joined = alone.unionByName(rows.join(buckets, "bucket", "left_semi").join(groups, ["digest", "bytes"], "left")).drop("bucket")
+    rows = rows.withColumn("bytes", F.octet_length("html").cast("long")).withColumn("hash", F.xxhash64("html"))
+    # a cheap hash says which payloads may occur twice; only these are digested to be grouped.  At most BUCKETS
+    # numbers: a payload in none of them is alone, and is not shuffled
+    bucket = F.pmod(F.xxhash64("hash", "bytes"), F.lit(BUCKETS))
+    twice = rows.where(F.col("bytes") >= min_bytes).groupBy("hash", "bytes").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = F.broadcast(stored(twice.select(bucket.alias("bucket")).distinct()))
+    rows, digest = rows.withColumn("bucket", bucket).drop("hash"), sha1_base32(F.col("html"))
+    alone = rows.join(buckets, "bucket", "left_anti").withColumn("digest", digest).withColumn("first", F.col("page_id"))
+    shared = rows.join(buckets, "bucket", "left_semi").withColumn("digest", digest)
+    groups = shared.where(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = alone.unionByName(shared.join(stored(groups), ["digest", "bytes"], "left")).drop("bucket")
     return joined.withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))).drop("first")
 
 
@@ -86,15 +89,21 @@ def rendered(rows: DataFrame) -> Column:
     )
 
 
-def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, file_rows: int = 20_000) -> None:
-    """Write one record per row of pages; every file is one gzip stream of at most file_rows records.
+def write_warc(pages: DataFrame, path: str, *, min_bytes: int = 0, file_bytes: int = 128 << 20, file_rows: int | None = None) -> None:
+    """Write one record per row of pages; every file is one gzip stream of at most file_rows records, by default as many as have file_bytes on average.
+
+    These archives are read once and go, so they are compressed for speed.
 
     Null html is an empty payload, a null url has no target URI, a null page_id
     is `none` in the record's id; repeated rows each have a record, other
     columns are left out, and an empty table writes no record.
     """
     lines = (rows := records(pages, min_bytes)).select(rendered(rows).alias("value"))
-    lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", file_rows).text(path)
+    if file_rows is None:
+        mean = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0)))).first()[0] or 0
+        file_rows = max(1, int(file_bytes / (mean + 600)))  # a header has some 600 bytes
+    fast = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "lineSep": "\r\n\r\n", "maxRecordsPerFile": file_rows}
+    lines.write.options(**fast).text(path)
 
 
 # -- streams ----------------------------------------------------------------
@@ -220,7 +229,7 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
                 to.move(f"{own}.idx", f"{folder}/{name}.warc.idx")
                 yield pa.RecordBatch.from_arrays([pa.array([f"{target}/{name}.warc.gz"]), pa.array([count], pa.int64()), pa.array([size], pa.int64())], ["path", "records", "bytes"])
 
-    return stored(files.select("path").repartition(n, "path").mapInArrow(work, "path string, records bigint, bytes bigint"))
+    return stored(files.select("path").repartition(n).mapInArrow(work, "path string, records bigint, bytes bigint"))
 
 
 def parse_record(data: bytes) -> dict:
