@@ -11,15 +11,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_going: set[str] = set()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; one of our own only in local mode (tests)."""
+    """The application's folder under spark.checkpoint.dir, which all executors share; a folder of our own only in local mode.
+
+    It goes, with checkpoints and all else in it, when the driver's JVM ends.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sparquill-"))
-    return sc.getCheckpointDir()
+    folder = sc.getCheckpointDir()  # of this application alone
+    if folder not in _going:
+        _going.add(folder)
+        files, place = _hadoop(spark, folder)
+        files.deleteOnExit(place)
+    return folder
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -51,13 +65,16 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder; columnar, so it suits wide or many rows.
 
-    The driver's JVM is asked to collect garbage, for Spark deletes the
-    shuffle files of a finished job only when its plan is collected.
+    The write's shuffle files go with it: nothing reads them again.
     """
-    path = scratch(df.sparkSession, "table")
-    df.write.parquet(path)
-    df.sparkSession._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch(spark, "table"), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

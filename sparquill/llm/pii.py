@@ -21,9 +21,10 @@ from sparquill.llm.common import fresh, text_or_empty
 ROUNDS = 8
 MARK = "\ue000\ue001\ue000"
 
-# Fixed formats of what may be personal data; each is then validated.
+# Fixed formats of what may be personal data; each is then validated.  An address has at most 64 characters before
+# its sign and 127 labels after it, as mail standards say; anything longer is none and stays as it is.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
+    "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,126}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?",
     "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}",
     "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}",
