@@ -605,36 +605,144 @@ def name_expansion(table):
     return table("part").select("p_partkey", F.posexplode(names.names(title)).alias("place", "name")).select("p_partkey", long("place").alias("place"), "name")
 
 
+#: Expressions with a number (#): precedence, calls, slices, comments, numbers, and what is unknown or ends early.
+_EXPRESSIONS = [
+    "DEST + #", "DEST - SRC - #", "DEST * SRC << #", "DEST / # + SRC2", "SRC MOD #", "SRC mod # * 2", "DEST OR SRC AND #", "DEST bitwiseOR SRC bitwiseXOR #",
+    "DEST or SRC xor # and SRC3", "DEST XOR # XOR SRC", "(DEST + SRC) * #", "((#))", "NOT DEST + #", "not (DEST AND #)", "- SRC - - #", "DEST SHL # SHR 1",
+    "SRC >> # << 2", "SignExtend(SRC)", "ZeroExtend(SRC + #, 64) + 1", "ZERO_EXTEND(#)", "ZERO_EXTEND_TO_512(SRC)", "Abs(DEST - #)", "Neg(#) * Abs(SRC)", "Foo(#)",
+    "SignExtend()", "EAX[7:0] + #", "XMM3[#] AND RIP", "imm8 + imm# + OperandSize", "0#H + 0x#", "00# + tmp# + TMP64", "(* DEST *) # (* end", "DEST + ; #", "(DEST + #",
+    "SRC # + 1", "SignExtend((DEST + #) SRC) - ZF", "", "~ # & DEST",
+]
+
+
 @query(
     """
-SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber % 4 WHEN 0 THEN 'b::add(o1(), c(' || l_partkey || '))' WHEN 1 THEN 'b::mul(o1(), b::shl(o2(), c(' || l_partkey || ')))'
-  WHEN 2 THEN 'u::sign_extend(o2())' ELSE 'unknown_data()' END AS ir FROM lineitem
+WITH irs(n, ir) AS (VALUES
+  (0, 'b::add(o1(), c(#))'), (1, 'b::sub(b::sub(o1(), o2()), c(#))'), (2, 'b::mul(o1(), b::shl(o2(), c(#)))'), (3, 'b::add(b::unsigned_div(o1(), c(#)), o3())'),
+  (4, 'b::unsigned_rem(o2(), c(#))'), (5, 'b::mul(b::unsigned_rem(o2(), c(#)), c(2))'), (6, 'b::or(o1(), b::and(o2(), c(#)))'), (7, 'b::or(o1(), b::xor(o2(), c(#)))'),
+  (8, 'b::or(o1(), b::xor(o2(), b::and(c(#), o4())))'), (9, 'b::xor(b::xor(o1(), c(#)), o2())'), (10, 'b::mul(b::add(o1(), o2()), c(#))'), (11, 'c(#)'),
+  (12, 'b::add(u::not(o1()), c(#))'), (13, 'u::not(b::and(o1(), c(#)))'), (14, 'b::sub(u::neg(o2()), u::neg(c(#)))'), (15, 'b::shr(b::shl(o1(), c(#)), c(1))'),
+  (16, 'b::shl(b::shr(o2(), c(#)), c(2))'), (17, 'u::sign_extend(o2())'), (18, 'b::add(u::zero_extend(b::add(o2(), c(#))), c(1))'), (19, 'u::zero_extend(c(#))'),
+  (20, 'u::zero_extend(o2())'), (21, 'b::sub(o1(), c(#))'), (22, 'b::mul(u::neg(c(#)), o2())'), (23, 'unknown_data()'), (24, 'u::sign_extend(o1())'),
+  (25, 'b::add(eax.clone(), c(#))'), (26, 'b::and(xmm3.clone(), rip.clone())'), (27, 'b::add(b::add(o2(), o2()), architecture_bit_size())'), (28, 'b::add(c(0x0#), c(0))'),
+  (29, 'b::add(b::add(c(#), unknown_data()), tmp64.clone())'), (30, 'c(#)'), (31, 'b::add(o1(), unknown_data())'), (32, 'b::add(o1(), c(#))'), (33, 'o2()'),
+  (34, 'b::sub(u::sign_extend(b::add(o1(), c(#))), zf.clone())'), (35, 'unknown_data()'), (36, 'c(#)'))
+SELECT l_orderkey, l_linenumber, l_partkey, n, replace(ir, '#', CAST(l_partkey AS VARCHAR)) AS ir
+FROM lineitem JOIN irs ON n = (l_orderkey + 7 * l_linenumber) % 37
 """
 )
 def expr_compile(table):
-    """Expressions with their precedence; what is unknown has no IR."""
-    n, key = F.col("l_partkey").cast("string"), F.col("l_linenumber") % 4
-    text = T.first_of((key == 0, F.concat(F.lit("DEST + "), n)), (key == 1, F.concat(F.lit("DEST * SRC << "), n)), (key == 2, "SignExtend(SRC)"), default=F.concat(F.lit("Foo("), n, F.lit(")")))
-    return table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", pseudocode.compile_expression(text).alias("ir"))
-
-
-_FLAT = "    let stmt_0 = assign(b::add(o2(), c(' || o_custkey || ')), o1(), o1_size());' || chr(10) || '    [stmt_0].into()"
+    """Expressions compiled on the JVM, one shape of 37 a row."""
+    n = ((F.col("l_orderkey") + 7 * F.col("l_linenumber")) % len(_EXPRESSIONS)).cast("int")
+    text = F.replace(F.element_at(F.array(*map(F.lit, _EXPRESSIONS)), n + 1), F.lit("#"), F.col("l_partkey").cast("string"))
+    return table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", n.alias("n"), pseudocode.compile_expression(text).alias("ir"))
+
+
+#: Operations with a number (#) of either grammar: every statement, gate and branch, and every rule of the ARM table.
+_OPERATIONS = [
+    "DEST := SRC + #;", "temp := SRC;\nDEST := temp * #", "tmp8 := #\ntmpx := tmp8 + SRC2\nEAX := tmpx", "EAX[7:0] := imm8;", "XMM1 := #", "Foo := Foo(#)", "#UD",
+    "(* only # *)", "The text #\nDEST := #\nNote that", "Flags Affected\nDEST := #", "IF DEST = # THEN DEST := SRC; FI;", "IF SRC > #\nTHEN\nDEST := SRC;\nFI;",
+    "IF SRC < # THEN DEST := SRC; FI;", "IF SRC >= # THEN DEST := SRC; FI;", "IF DEST = # THEN DEST := SRC; ELSE DEST := #; FI;",
+    "IF 64-bit mode THEN #UD; ELSE DEST := SRC - #; FI;", "IF OperandSize = # THEN DEST := SRC; ELSE DEST := #; FI;", "IF Foo THEN DEST := #; FI;",
+    "IF DEST = # THEN IF SRC = 1 THEN DEST := SRC; FI; FI;", "FOR j := 0 to #\nDEST := SRC", 'DEST := #;\n' * 6, 'DEST := #;\n' * 5,
+    'IF DEST = # THEN\n' + 'DEST := #;\n' * 30 + 'FI;', "",
+]
+_ARM_OPERATIONS = [
+    "X[d] = #", "W[d] = #", "V[d] = #", "X[n] = #", "W[n] = #", "V[n] = #", "X[m] = #", "W[m] = #", "V[m] = #", "X[t] = #", "W[t] = #", "V[t] = #", "X[s] = #",
+    "W[s] = #", "X[a] = #", "V[a] = #", "X[d] = X[n]", "X[d] = W[n]", "X[d] = V[n]", "X[d] = X[m]", "X[d] = W[m]", "X[d] = V[m]", "X[d] = X[t]", "X[d] = W[t]",
+    "X[d] = V[t]", "X[d] = X[s]", "X[d] = W[s]", "X[d] = X[a]", "X[d] = V[a]", "X[d] = PSTATE.N", "X[d] = PSTATE.Z", "X[d] = PSTATE.C", "X[d] = PSTATE.V",
+    "PSTATE.N = X[n]<#:0>", "PSTATE.Z = X[n]<#:0>", "PSTATE.C = X[n]<#:0>", "PSTATE.V = X[n]<#:0>", "X[d] = NOT(X[n] + #)", "X[d] = ZeroExtend(X[n], #)",
+    "X[d] = SignExtend(X[n])", "X[d] = Abs(X[n] - #)", "X[d] = UInt(X[n]) * SInt(#)", "X[d] = 0x1F", "X[d] = X[n]<#:0>", "X[d]<31:0> = X[n] EOR #", "X[d] = X[n] AND #",
+    "X[d] = X[n] OR #", "X[d] = X[n] + # EOR 1", "X[d] = X[n] - # - 1", "X[d] = X[n] * #", "X[d] = X[n] DIV #", "X[d] = X[n] MOD #",
+    "X[d] = AddWithCarry(X[n], NOT(X[m]), PSTATE.C)", "X[d] = AddWithCarry(X[n] + #, 1, 0)", "X[d] = ShiftReg(m, LSL, #)", "X[d] = ShiftReg(#, LSL, 1)",
+    "X[d] = (X[n] - #)", "X[d] = Foo(#)", "(result, nzcv) = AddWithCarry(X[n], #, 0);\nX[d] = result;\nPSTATE.C = nzcv<1:1>;", "operand2 = X[m];\nX[d] = operand2 + #;",
+    "PSTATE.X = #", "foo", "integer d = #;\nbits(64) op;\nbit b\nCheckFPEnabled64();\n// bits(4) nzcv\nX[d] = X[n] + #;", "if a == # then X[d] = 1;\nX[d] = X[n] + #;",
+    "if a then\nX[d] = 1;\nelse\nX[d] = #;\nend", "if a then X[d] = 1;\nelse\nX[d] = 2;\nfi\nX[d] = #;", "for i = 0 to #\nX[d] = 1", "while i < #\nX[d] = 1",
+    "X[d] = Elem[x, #]", "X[d] = Mem[x, #]", "X[d] = AESSub(X[n], #)", 'X[d] = X[n] + #;\n' * 10, 'X[d] = X[n] + #;\n' * 11,
+    'if a then b = c;\n' + 'X[d] = X[n] + #;\n' * 14, 'if a then b = c;\n' + 'X[d] = X[n] + #;\n' * 15, "",
+]
 
 
 @query(
-    f"""
-SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 3 THEN '{_FLAT}' END AS x86, CASE WHEN o_orderkey % 5 IN (0, 4) THEN '{_FLAT}' END AS arm FROM orders
+    """
+WITH x86(k, lines) AS (VALUES
+  (0, '    let stmt_0 = assign(b::add(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (1, '    let v_0 = o2();|    let stmt_1 = assign(b::mul(v_0, c(#)), o1(), o1_size());|    [stmt_1].into()'),
+  (2, '    let v_0 = c(#);|    let v_1 = b::add(v_0, o3());|    let stmt_2 = assign(v_1, eax.clone(), size_relative(eax.clone()));|    [stmt_2].into()'),
+  (3, '    let stmt_0 = assign(o2(), eax.clone(), size_relative(eax.clone()));|    [stmt_0].into()'),
+  (4, '    let stmt_0 = assign(c(#), xmm1.clone(), o1_size());|    [stmt_0].into()'), (5, '    let stmt_0 = assign(unknown_data(), o1(), o1_size());|    [stmt_0].into()'),
+  (6, '    [exception("#UD")].into()'), (7, NULL), (8, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'),
+  (9, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'),
+  (10, '    let stmt_0 = assign(o2(), o1(), o1_size());|    let cond = condition(b::equal(o1(), c(#), o1_size()), [stmt_0], []);|    [cond].into()'),
+  (11, '    let stmt_0 = assign(o2(), o1(), o1_size());|    let cond = condition(b::signed_less(c(#), o2(), o1_size()), [stmt_0], []);|    [cond].into()'),
+  (12, '    let stmt_0 = assign(o2(), o1(), o1_size());|    let cond = condition(b::signed_less(o2(), c(#), o1_size()), [stmt_0], []);|    [cond].into()'),
+  (13, '    let stmt_0 = assign(o2(), o1(), o1_size());|    let cond = condition(b::equal(o2(), c(#), o1_size()), [stmt_0], []);|    [cond].into()'),
+  (14, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'), (15, '    let stmt_0 = assign(b::sub(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (16, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'), (17, NULL),
+  (18, '    let stmt_0 = assign(o2(), o1(), o1_size());|    let cond = condition(b::equal(o1(), c(#), o1_size()), [stmt_0], []);|    [cond].into()'), (19, NULL), (20, NULL),
+  (21, array_to_string(['    let stmt_' || k || ' = assign(c(#), o1(), o1_size());' FOR k IN range(5)], '|') || '|    [' || array_to_string(['stmt_' || k FOR k IN range(5)], ', ') || '].into()'),
+  (22, NULL), (23, NULL)),
+arm(m, lines) AS (VALUES
+  (0, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'), (1, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'),
+  (2, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'), (3, '    let stmt_0 = assign(c(#), o2(), o2_size());|    [stmt_0].into()'),
+  (4, '    let stmt_0 = assign(c(#), o2(), o2_size());|    [stmt_0].into()'), (5, '    let stmt_0 = assign(c(#), o2(), o2_size());|    [stmt_0].into()'),
+  (6, '    let stmt_0 = assign(c(#), o3(), o3_size());|    [stmt_0].into()'), (7, '    let stmt_0 = assign(c(#), o3(), o3_size());|    [stmt_0].into()'),
+  (8, '    let stmt_0 = assign(c(#), o3(), o3_size());|    [stmt_0].into()'), (9, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'),
+  (10, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'), (11, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'),
+  (12, '    let stmt_0 = assign(c(#), o2(), o2_size());|    [stmt_0].into()'), (13, '    let stmt_0 = assign(c(#), o2(), o2_size());|    [stmt_0].into()'),
+  (14, '    let stmt_0 = assign(c(#), o3(), o3_size());|    [stmt_0].into()'), (15, '    let stmt_0 = assign(c(#), o3(), o3_size());|    [stmt_0].into()'),
+  (16, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'), (17, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'),
+  (18, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'), (19, '    let stmt_0 = assign(o3(), o1(), o1_size());|    [stmt_0].into()'),
+  (20, '    let stmt_0 = assign(o3(), o1(), o1_size());|    [stmt_0].into()'), (21, '    let stmt_0 = assign(o3(), o1(), o1_size());|    [stmt_0].into()'),
+  (22, '    let stmt_0 = assign(o1(), o1(), o1_size());|    [stmt_0].into()'), (23, '    let stmt_0 = assign(o1(), o1(), o1_size());|    [stmt_0].into()'),
+  (24, '    let stmt_0 = assign(o1(), o1(), o1_size());|    [stmt_0].into()'), (25, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'),
+  (26, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'), (27, '    let stmt_0 = assign(o3(), o1(), o1_size());|    [stmt_0].into()'),
+  (28, '    let stmt_0 = assign(o3(), o1(), o1_size());|    [stmt_0].into()'), (29, '    let stmt_0 = assign(pstate_n.clone(), o1(), o1_size());|    [stmt_0].into()'),
+  (30, '    let stmt_0 = assign(pstate_z.clone(), o1(), o1_size());|    [stmt_0].into()'),
+  (31, '    let stmt_0 = assign(pstate_c.clone(), o1(), o1_size());|    [stmt_0].into()'),
+  (32, '    let stmt_0 = assign(pstate_v.clone(), o1(), o1_size());|    [stmt_0].into()'),
+  (33, '    let stmt_0 = assign(o2(), pstate_n.clone(), size_relative(pstate_n.clone()));|    [stmt_0].into()'),
+  (34, '    let stmt_0 = assign(o2(), pstate_z.clone(), size_relative(pstate_z.clone()));|    [stmt_0].into()'),
+  (35, '    let stmt_0 = assign(o2(), pstate_c.clone(), size_relative(pstate_c.clone()));|    [stmt_0].into()'),
+  (36, '    let stmt_0 = assign(o2(), pstate_v.clone(), size_relative(pstate_v.clone()));|    [stmt_0].into()'),
+  (37, '    let stmt_0 = assign(u::not(b::add(o2(), c(#))), o1(), o1_size());|    [stmt_0].into()'),
+  (38, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'), (39, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'),
+  (40, '    let stmt_0 = assign(b::sub(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (41, '    let stmt_0 = assign(b::mul(unknown_data(), unknown_data()), o1(), o1_size());|    [stmt_0].into()'),
+  (42, '    let stmt_0 = assign(c(0x1F), o1(), o1_size());|    [stmt_0].into()'), (43, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'),
+  (44, '    let stmt_0 = assign(b::xor(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (45, '    let stmt_0 = assign(b::and(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (46, '    let stmt_0 = assign(b::or(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (47, '    let stmt_0 = assign(b::xor(b::add(o2(), c(#)), c(1)), o1(), o1_size());|    [stmt_0].into()'),
+  (48, '    let stmt_0 = assign(b::sub(o2(), b::sub(c(#), c(1))), o1(), o1_size());|    [stmt_0].into()'),
+  (49, '    let stmt_0 = assign(b::mul(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (50, '    let stmt_0 = assign(b::unsigned_div(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (51, '    let stmt_0 = assign(b::unsigned_mod(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (52, '    let stmt_0 = assign(b::add(b::add(o2(), u::not(o3())), pstate_c.clone()), o1(), o1_size());|    [stmt_0].into()'),
+  (53, '    let stmt_0 = assign(b::add(unknown_data(), unknown_data()), o1(), o1_size());|    [stmt_0].into()'),
+  (54, '    let stmt_0 = assign(o3(), o1(), o1_size());|    [stmt_0].into()'), (55, '    let stmt_0 = assign(o2(), o1(), o1_size());|    [stmt_0].into()'),
+  (56, '    let stmt_0 = assign(b::sub(unknown_data(), unknown_data()), o1(), o1_size());|    [stmt_0].into()'),
+  (57, '    let stmt_0 = assign(unknown_data(), o1(), o1_size());|    [stmt_0].into()'),
+  (58, '    let v_0 = b::add(b::add(o2(), c(#)), c(0));|    let stmt_1 = assign(v_0.clone(), o1(), o1_size());|    let stmt_2 = assign(v_0.clone(), pstate_c.clone(), size_relative(pstate_c.clone()));|    [stmt_1, stmt_2].into()'),
+  (59, '    let v_0 = o3();|    let stmt_1 = assign(b::add(v_0, c(#)), o1(), o1_size());|    [stmt_1].into()'), (60, NULL), (61, NULL),
+  (62, '    let stmt_0 = assign(b::add(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'),
+  (63, '    let stmt_0 = assign(b::add(o2(), c(#)), o1(), o1_size());|    [stmt_0].into()'), (64, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'),
+  (65, '    let stmt_0 = assign(c(#), o1(), o1_size());|    [stmt_0].into()'), (66, NULL), (67, NULL), (68, NULL), (69, NULL), (70, NULL),
+  (71, array_to_string(['    let stmt_' || k || ' = assign(b::add(o2(), c(#)), o1(), o1_size());' FOR k IN range(10)], '|') || '|    [' || array_to_string(['stmt_' || k FOR k IN range(10)], ', ') || '].into()'),
+  (72, NULL),
+  (73, array_to_string(['    let stmt_' || k || ' = assign(b::add(o2(), c(#)), o1(), o1_size());' FOR k IN range(14)], '|') || '|    [' || array_to_string(['stmt_' || k FOR k IN range(14)], ', ') || '].into()'),
+  (74, NULL), (75, NULL))
+SELECT o_orderkey, CASE WHEN k = 6 THEN x86.lines ELSE replace(replace(x86.lines, '#', CAST(o_custkey AS VARCHAR)), '|', chr(10)) END AS x86,
+  replace(replace(arm.lines, '#', CAST(o_custkey AS VARCHAR)), '|', chr(10)) AS arm
+FROM orders JOIN x86 ON k = o_orderkey % 24 JOIN arm ON m = o_orderkey % 76
 """
 )
 def operation_compile(table):
-    """Short assignments compile; loops, long operations and calls that are too complex do not, in either grammar."""
-    n, k = F.col("o_custkey").cast("string"), F.col("o_orderkey") % 5
-    flat, arm_flat = F.concat(F.lit("DEST := SRC + "), n, F.lit(";")), F.concat(F.lit("X[d] = X[n] + "), n, F.lit(";\n"))
-    loop, long_ = F.concat(F.lit("FOR j := 0 to 3\n"), flat), F.repeat(F.concat(flat, F.lit("\n")), 6)
-    x86 = T.first_of((k < 3, flat), (k == 3, loop), default=long_)
-    arm = T.first_of((k == 0, arm_flat), (k == 1, F.concat(F.lit("X[d] = FPRound(X[n]) + "), n)), (k == 2, F.repeat(arm_flat, 11)), (k == 3, F.concat(F.lit("while x do\n"), arm_flat)), default=F.concat(F.lit("if a then b = c;\nCheckFPEnabled64();\n"), arm_flat))
-    lines = lambda text, arch: F.array_join(pseudocode.compile_operation(text, arch), "\n")
-    return table("orders").select("o_orderkey", lines(x86, "x86_64").alias("x86"), lines(arm, "arm").alias("arm"))
+    """Operations of both grammars compiled on the JVM, 24 and 76 shapes."""
+    made = lambda texts: F.element_at(F.array(*map(F.lit, texts)), (F.col("o_orderkey") % len(texts)).cast("int") + 1)
+    filled = lambda text: F.when(text.startswith("#"), text).otherwise(F.replace(text, F.lit("#"), F.col("o_custkey").cast("string")))
+    lines = lambda texts, arch: F.array_join(pseudocode.compile_operation(filled(made(texts)), arch), "\n")
+    return table("orders").select("o_orderkey", lines(_OPERATIONS, "x86_64").alias("x86"), lines(_ARM_OPERATIONS, "arm").alias("arm"))
 
 
 _BODY = "'let x = assign(b::' || CASE l_returnflag WHEN 'A' THEN 'add' WHEN 'N' THEN 'sub' ELSE 'xor' END || '(o1(), rax.clone()), o' || l_linenumber || '(), o1_size()); ' || CASE l_linestatus WHEN 'O' THEN '[x, jump_by_call(zf)]' ELSE 'halt' END || '.into()'"

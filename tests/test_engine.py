@@ -52,16 +52,22 @@ def test_cells_from_operations(spark):
         ("SignExtend(SRC)", "u::sign_extend(o2())"), ("NOT DEST", "u::not(o1())"), ("EAX[7:0]", "eax.clone()"), ("", "unknown_data()"), ("Foo(1)", "unknown_data()"),
     ],
 )
-def test_expressions(text, ir):
-    assert pseudocode.expression(text) == ir
+def test_expressions(spark, text, ir):
+    assert _said(spark, pseudocode.expression, text) == ir
 
 
-def test_compiler_parts():
-    assert pseudocode.condition("DEST = 0") == "b::equal(o1(), c(0), o1_size())"
-    assert pseudocode.condition("DEST >= 0", compat=False).startswith("u::not(")
-    assert pseudocode.arm_expression("X[n] EOR X[m]") == "b::xor(o2(), o3())"
-    assert pseudocode.translate("temp := SRC\nDEST := temp + 1;") == ["    let v_0 = o2();", "    let stmt_1 = assign(b::add(v_0, c(1)), o1(), o1_size());", "    [stmt_1].into()"]
-    assert pseudocode.translate("FOR j := 0 to 3\nDEST := SRC") is None
+def _said(spark, function, text, *args, **options):
+    """What a column function makes of one text."""
+    return spark.createDataFrame([(text,)], "s string").select(function(F.col("s"), *args, **options).alias("x")).first().x
+
+
+def test_compiler_parts(spark):
+    said = lambda *args, **options: _said(spark, *args, **options)
+    assert said(pseudocode.condition, "DEST = 0") == "b::equal(o1(), c(0), o1_size())"
+    assert said(pseudocode.condition, "DEST >= 0", compat=False).startswith("u::not(")
+    assert said(pseudocode.arm_expression, "X[n] EOR X[m]") == "b::xor(o2(), o3())"
+    assert said(pseudocode.translate, "temp := SRC\nDEST := temp + 1;") == ["    let v_0 = o2();", "    let stmt_1 = assign(b::add(v_0, c(1)), o1(), o1_size());", "    [stmt_1].into()"]
+    assert said(pseudocode.translate, "FOR j := 0 to 3\nDEST := SRC") is None
     assert len(registry.X86_CONDITIONS) == 30 and len(registry.ARM_CONDITIONS) == 17
 
 
