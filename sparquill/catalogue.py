@@ -829,6 +829,35 @@ def section_routing(table):
     return counted.select(long("range_id").alias("range_id"), long("instr_id").alias("instr_id"), "section", "name", "n", "segments")
 
 
+@query(
+    f"""
+WITH l AS ({_ROUTE}), t AS (SELECT *, text = 'ADD—Add' AS is_title, CASE text WHEN 'Description' THEN 'Description' WHEN 'Operation' THEN 'Operation' WHEN 'Other Exceptions' THEN 'Exceptions' END AS heading FROM l),
+n AS (SELECT *, sum(CAST(is_title AS INT)) OVER (PARTITION BY range_id ORDER BY page_no, seq) AS titles FROM t),
+r AS (SELECT *, greatest(1, titles) AS instr_id FROM n),
+s AS (SELECT *, last_value(heading IGNORE NULLS) OVER w AS section, count(heading) OVER w AS segment FROM r WINDOW w AS (PARTITION BY range_id, instr_id ORDER BY page_no, seq)),
+b AS (SELECT range_id, instr_id, page_no, seq, text, segment, coalesce(section, 'Description') AS section FROM s WHERE heading IS NULL AND NOT is_title AND (section IS NOT NULL OR titles > 0)),
+o AS (SELECT range_id, instr_id, string_agg(text, chr(10) ORDER BY page_no, seq) AS operation FROM b WHERE section = 'Operation'
+  AND (range_id, instr_id, segment) IN (SELECT (range_id, instr_id, max(segment)) FROM b WHERE section = 'Operation' GROUP BY range_id, instr_id) GROUP BY ALL)
+SELECT CAST(range_id AS BIGINT) AS range_id, CAST(instr_id AS BIGINT) AS instr_id, CASE WHEN max(titles) > 0 THEN 'ADD' ELSE '' END AS title,
+  coalesce((SELECT string_agg(text, '|' ORDER BY page_no, seq) FROM b WHERE b.range_id = r.range_id AND b.instr_id = r.instr_id AND section = 'Description'), '') AS description,
+  coalesce((SELECT string_agg(text, '|' ORDER BY page_no, seq) FROM b WHERE b.range_id = r.range_id AND b.instr_id = r.instr_id AND section = 'Exceptions'), '') AS exceptions,
+  coalesce((SELECT operation FROM o WHERE o.range_id = r.range_id AND o.instr_id = r.instr_id), '') AS operation
+FROM r GROUP BY r.range_id, r.instr_id
+"""
+)
+def record_sections(table):
+    """Whole records of routed lines: lines before the first heading are description, and the last operation stays."""
+    k, w = F.col("l_partkey") % 9, Window.partitionBy("range_id", "l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    text = T.first_of((k == 1, "ADD—Add"), (k == 2, "Description"), (k == 3, "Operation"), (k == 4, "Other Exceptions"), default=F.concat(F.lit("line "), F.col("l_partkey").cast("string")))
+    lines = table("lineitem").withColumn("range_id", F.col("l_suppkey") % 4)
+    lines = lines.select("range_id", F.col("l_orderkey").alias("page_no"), F.row_number().over(w).alias("seq"), text.alias("text"), F.when(k == 1, 12.0).otherwise(9.0).alias("font_scale"))
+    joined = lambda c: F.coalesce(F.array_join(c, "|"), F.lit(""))
+    parts = F.flatten(F.transform("exceptions", lambda e: e["lines"]))
+    return sections.records(sections.routed(lines)).select(
+        long("range_id").alias("range_id"), long("instr_id").alias("instr_id"), "title", joined(F.col("description")).alias("description"), joined(parts).alias("exceptions"), "operation"
+    )
+
+
 _GRID = "SELECT p_partkey % 50 AS page_no, p_size % 3 AS group_id, p_partkey AS cell_id, p_size AS x0, p_partkey % 40 AS y0, p_size + 6 AS x1, p_partkey % 40 + 9 AS y1 FROM part"
 
 

@@ -19,9 +19,10 @@ def body_lines(strings: DataFrame) -> DataFrame:
 
 
 def routed(lines: DataFrame) -> DataFrame:
-    """Lines (range_id, page_no, seq, text, font_scale) with instr_id, section, section_name and segment.
+    """Lines (range_id, page_no, seq, text, font_scale) with instr_id, titled, section, section_name and segment.
 
-    A title opens a record; text before the first belongs to record 1.  A
+    A title opens a record; text before the first belongs to record 1, and is
+    not `titled`.  A
     section holds until the next heading or title, across pages.  Titles are
     counted page by page first, and only these counts are summed over a whole
     range; the other windows run over a page or a record.
@@ -33,7 +34,7 @@ def routed(lines: DataFrame) -> DataFrame:
     before = counts.select(*page, (F.sum("n").over(Window.partitionBy("range_id").orderBy("page_no")) - F.col("n")).alias("_before"))
     upto = Window.partitionBy(*page).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = flagged.join(before, page).withColumn("_titles", F.col("_before") + F.sum(F.col("is_title").cast("int")).over(upto))
-    numbered = numbered.withColumn("instr_id", F.greatest(F.lit(1), "_titles")).drop("_before", "_titles")
+    numbered = numbered.withColumn("instr_id", F.greatest(F.lit(1), "_titles")).withColumn("titled", F.col("_titles") > 0).drop("_before", "_titles")
     record = Window.partitionBy("range_id", "instr_id").orderBy("page_no", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opened = F.when(F.col("heading").isNotNull(), F.struct(F.col("heading"), F.trim("text").alias("name")))
     carried = numbered.withColumn("_open", F.last(opened, ignorenulls=True).over(record))
@@ -49,15 +50,16 @@ def _indented(lines: Column) -> Column:
 def records(route: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     """One row per record: title, summary, description, operation, flag_affected, exceptions, other_sections, instructions, tables.
 
-    Of several operation segments the last stays.  Exceptions and other
+    Lines between a title and the first heading are description; before the
+    first title, only lines under a heading belong to a record.  Of several operation segments the last stays.  Exceptions and other
     sections are grouped by their heading, in order of first appearance.  Lines
     under an instruction table's heading that no table took belong to the
     description.  `tables` has range_id, instr_id, instructions and tables.
     """
     keys = ["range_id", "instr_id"]
     at = F.struct("page_no", "seq", "text", (F.col("x0").cast("float") if "x0" in route.columns else F.lit(0.0).cast("float")).alias("x0"))
-    kind = F.when(F.col("section") == "Instruction", "Description").otherwise(F.col("section"))
-    body = route.where("heading is null and not is_title and section is not null").withColumn("section", kind)
+    kind = F.when(F.col("section").isNull() | (F.col("section") == "Instruction"), "Description").otherwise(F.col("section"))
+    body = route.where("heading is null and not is_title and (section is not null or titled)").withColumn("section", kind)
     ordered = F.array_sort(F.collect_list(at))
     segments = body.where("section = 'Operation'").groupBy(*keys, "segment").agg(ordered.alias("lines"))
     last = segments.groupBy(*keys).agg(F.max_by("lines", "segment").alias("lines")).select(*keys, _indented(F.col("lines")).alias("operation"))

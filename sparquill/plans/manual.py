@@ -10,6 +10,7 @@ from sparquill.functions import text as T
 from sparquill.functions.names import names
 from sparquill.operators import dispatch, glyphs, render, sections, tables, validate
 from sparquill.sources import pdf, text_files, xml_archive
+from sparquill.stages import stored
 
 
 def page_letters(ops: DataFrame, fonts: DataFrame) -> DataFrame:
@@ -19,13 +20,18 @@ def page_letters(ops: DataFrame, fonts: DataFrame) -> DataFrame:
 
 
 def manual_records(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """Records of a PDF manual's page ranges, with their tables; strings that tables took are in no other section."""
-    ops, fonts = pdf.pdf_ops(spark, path, ranges), pdf.pdf_fonts(spark, path, ranges)
-    pages, letters = ops.select("range_id", "page_no").distinct(), page_letters(ops, fonts)
-    cells = tables.cells(tables.filled_rects(ops))
-    held = tables.consumed(letters, cells)
-    lines = sections.body_lines(glyphs.joined(letters).join(pages, "page_no"))
-    route = sections.routed(lines.join(held.select("page_no", "seq").distinct(), ["page_no", "seq"], "left_anti"))
+    """Records of a PDF manual's page ranges, with their tables; strings that tables took are in no other section.
+
+    Operations, letters, cells, consumed strings and routed lines are each read
+    by several branches, so each is a stage, written once: the file is read
+    twice, for its pages and for their fonts.
+    """
+    ops = stored(pdf.pdf_ops(spark, path, ranges), "ops")
+    pages, letters = ops.select("range_id", "page_no").distinct(), stored(page_letters(ops, pdf.pdf_fonts(spark, path, ranges)), "letters")
+    cells = stored(tables.cells(tables.filled_rects(ops)), "cells")
+    held = stored(tables.consumed(letters, cells), "held")
+    lines = stored(sections.body_lines(glyphs.joined(letters).join(pages, "page_no")), "lines")
+    route = stored(sections.routed(lines.join(held.select("page_no", "seq").distinct(), ["page_no", "seq"], "left_anti")), "route")
     return sections.records(route, sections.owned_tables(tables.filled(held, cells), route, lines, pages))
 
 

@@ -263,7 +263,7 @@ def test_routing_keeps_sections_over_pages(spark):
     rows = [(0, 1, 0, "stray", 9.0), (0, 1, 1, "AAA—One", 12.0), (0, 1, 2, "Description", 10.0), (0, 2, 0, "goes on", 9.0), (0, 2, 1, "BBB—Two", 12.0), (0, 2, 2, "nowhere", 9.0)]
     lines = spark.createDataFrame(rows, "range_id int, page_no int, seq int, text string, font_scale double")
     got = {r.title: r for r in sections.records(sections.routed(lines)).collect()}
-    assert got["AAA"].description == ["goes on"] and got["BBB"].description is None
+    assert got["AAA"].description == ["goes on"] and got["BBB"].description == ["nowhere"]
 
 
 def test_ranked(spark):
