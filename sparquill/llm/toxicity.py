@@ -64,7 +64,7 @@ class Transducer:
         return Transducer(arcs)
 
     def run(self, symbols, weights) -> float:
-        """The weight of the path of one clause."""
+        """The weight of the path of one clause.  Symbols before the first that is not OTHER leave the start state, and those after the last weight add nothing."""
         state, total = 0, 0.0
         for symbol, weight in zip(symbols, weights):
             state, out, factor = self.step(state, symbol)
@@ -90,6 +90,7 @@ def _window(opens: str, hits: str, reach: int, factor: float, eat: bool = False,
 
 FACTORS = (0.3, 0.6, 1.5, 1.5)  # of negated, reported, targeted and threatened parts, before they are fitted
 CHOICES = (0.0, 0.3, 0.6, 1.0, 1.5, 2.0)
+SHORT = 20
 
 
 def grammar(negated: float = FACTORS[0], reported: float = FACTORS[1], targeted: float = FACTORS[2], threatened: float = FACTORS[3]) -> Transducer:
@@ -108,7 +109,7 @@ class Model:
 
     words: dict[str, float]
     stems: dict[str, float]
-    document: tuple[float, ...] = (-3.0, 1.0, 0.0)
+    document: tuple[float, ...] = (-3.0, 1.0, 0.0, 0.0)
     threat: float = 1.0
     factors: tuple[float, ...] = FACTORS
 
@@ -116,6 +117,7 @@ class Model:
         self.machine = grammar(*self.factors)
         self.lengths = sorted({len(s) for s in self.stems})
         self.memo: dict[str, tuple[str, float]] = {}
+        self.scored: dict[tuple, list[float]] = {}
 
     def lexical(self, word: str) -> tuple[str, float]:
         """The lexical transducer's arc for a word."""
@@ -129,15 +131,17 @@ class Model:
             self.memo[word] = got
         return got
 
-    def paths(self, text: str) -> Iterator[tuple[int, int, list[str], list[float]]]:
-        """(start, end, symbols, weights) of every clause that has a weight, over the whole text."""
+    def paths(self, text: str) -> Iterator[tuple[int, int, tuple[str, ...], tuple[float, ...]]]:
+        """(start, end, symbols, weights) of every clause that has a weight, over the whole text; without the symbols at its ends that change nothing."""
         start = 0
         for m in [*CLAUSE.finditer(text), None]:
             end = m.start() if m else len(text)
             path = [self.lexical(w) for w in WORD.findall(text[start:end].lower())]
             if any(w for _, w in path):
                 # a target weighs like a threat, but the grammar lets it count only after one
-                yield start, end, [s for s, _ in path], [self.threat if s == TARGET else w for s, w in path]
+                weights = [self.threat if s == TARGET else w for s, w in path]
+                at, to = next(i for i, (s, _) in enumerate(path) if s != OTHER), max(i for i, w in enumerate(weights) if w) + 1
+                yield start, end, tuple(s for s, _ in path[at:to]), tuple(weights[at:to])
             start = m.end() if m else end
 
     def clauses(self, text: str) -> Iterator[tuple[int, int, float]]:
@@ -147,21 +151,35 @@ class Model:
                 yield start, end, score
 
     def features(self, text: str, machines: list[Transducer] | None = None) -> list[float]:
-        """For each machine, the log of 1 + the sum and the maximum of the clauses' scores; zero without any."""
+        """For each machine, the log of 1 + the sum of the clauses' scores, their maximum, and the log of 1 + their sum in a thousand words; zero without any.
+
+        One stray word in a long text weighs less than in a short one; a text counts as SHORT words at least.
+        """
         machines = machines or [self.machine]
         lexical = self.lexical
-        if not any(lexical(w)[1] for w in WORD.findall(text.lower())):
-            return [0.0, 0.0] * len(machines)
-        paths, out = [p[2:] for p in self.paths(text)], []
-        for machine in machines:
-            scores = [machine.run(*p) for p in paths]
-            out += [math.log1p(sum(scores)), max(scores, default=0.0)]
+        words = WORD.findall(text.lower())
+        if not any(lexical(w)[1] for w in words):
+            return [0.0, 0.0, 0.0] * len(machines)
+        scores, out = [self._scores(p[2:], machines) for p in self.paths(text)], []
+        for own in zip(*scores):
+            out += [math.log1p(sum(own)), max(own), math.log1p(1000 * sum(own) / max(SHORT, len(words)))]
         return out
 
+    def _scores(self, path: tuple, machines: list[Transducer]) -> list[float]:
+        """What each machine makes of a path; most clauses come down to one of a few short paths, which are kept."""
+        key = (len(machines), path)
+        got = self.scored.get(key)
+        if got is None:
+            got = [m.run(*path) for m in machines]
+            if len(self.scored) > 50_000:
+                self.scored.clear()
+            self.scored[key] = got
+        return got
+
     def score(self, text: str) -> float:
-        total, most = self.features(text)
-        bias, a, b = self.document
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, bias + a * total + b * most))))
+        bias, *factors = self.document
+        total = bias + sum(f * x for f, x in zip(factors, self.features(text)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
 
     def __getstate__(self):
         return {k: getattr(self, k) for k in ("words", "stems", "document", "threat", "factors")}
@@ -183,8 +201,20 @@ def _sketch(text: str) -> tuple[int, list[str]]:
 STEMS = (3, 8)  # letters of the shortest and the longest stem
 
 
+def sketched(sample: DataFrame) -> DataFrame:
+    """sample with the family and the distinct words of each text."""
+    kind = pa.struct([("family", pa.int64()), ("words", pa.list_(pa.string()))])
+
+    @F.arrow_udf("struct<family:bigint,words:array<string>>")
+    def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield mapped(batch, lambda x: dict(zip(("family", "words"), _sketch(x or ""))), kind)
+
+    return sample.withColumn("s", sketch.asNondeterministic()("text")).select(*sample.columns, "s.family", "s.words")
+
+
 def learn_lexicon(sample: DataFrame, *, min_support: int = 5, purity: float = 0.9) -> tuple[dict, dict]:
-    """Insult words and stems of the sample (text, y), with log-odds as weights.
+    """Insult words and stems of the sketched sample (family, words, y), with log-odds as weights.
 
     Support counts families of near copies, not documents, so that a copied
     document does not make its neutral words look like insults.  What comes to
@@ -192,12 +222,6 @@ def learn_lexicon(sample: DataFrame, *, min_support: int = 5, purity: float = 0.
     have, nearly all of them toxic.
     """
     least, most = STEMS
-    kind = pa.struct([("family", pa.int64()), ("words", pa.list_(pa.string()))])
-
-    @F.arrow_udf("struct<family:bigint,words:array<string>>")
-    def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield mapped(batch, lambda x: dict(zip(("family", "words"), _sketch(x or ""))), kind)
 
     def judged(pairs: DataFrame, key: str) -> DataFrame:
         """Families and toxic families of each key of (key, family, y)."""
@@ -207,8 +231,7 @@ def learn_lexicon(sample: DataFrame, *, min_support: int = 5, purity: float = 0.
         return df.where((F.col("t") >= support) & (F.col("t") >= purity * F.col("n"))).collect()
 
     weight = lambda r: math.log((r.t + 0.5) / (r.n - r.t + 0.5))
-    sketched = stored(sample.withColumn("s", sketch.asNondeterministic()("text")).select("y", "s.family", "s.words"))
-    seen = stored(judged(sketched.select("family", "y", F.explode("words").alias("word")), "word"))
+    seen = stored(judged(sample.select("family", "y", F.explode("words").alias("word")), "word"))
     words = {r.word: weight(r) for r in pick(seen, min_support)}
     # stems that may do, by the sums over all words that begin with them; then these are counted exactly
     stems_of = f"transform(sequence({least}, least({most}, length(word))), k -> substring(word, 1, k))"
@@ -216,7 +239,7 @@ def learn_lexicon(sample: DataFrame, *, min_support: int = 5, purity: float = 0.
     sums = cuts.groupBy("stem").agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.count("*").alias("forms"))
     likely = {r.stem for r in pick(sums.where("forms >= 3"), 2 * min_support)}
     begins = F.expr(f"array_distinct(flatten(transform(filter(words, word -> length(word) >= {least}), word -> {stems_of})))")
-    found = judged(sketched.select("family", "y", F.explode(F.array_intersect(begins, F.lit(sorted(likely)))).alias("stem")), "stem") if likely else None
+    found = judged(sample.select("family", "y", F.explode(F.array_intersect(begins, F.lit(sorted(likely)))).alias("stem")), "stem") if likely else None
     exact = {r.stem: r for r in pick(found, 2 * min_support)} if likely else {}
     longer = {s[:-1] for s, r in exact.items() if s[:-1] in exact and r.t >= 0.9 * exact[s[:-1]].t}
     stems = {s: weight(r) for s, r in exact.items() if s not in longer}
@@ -242,7 +265,10 @@ def _loss(w: np.ndarray, x: np.ndarray, y: np.ndarray) -> float:
 
 
 def _fitted(sample: DataFrame, model: Model, tried: list[tuple[float, ...]]) -> list[tuple[float, np.ndarray]]:
-    """(log loss, document weights) of each of the tried factors on the sample; nothing without both labels."""
+    """(log loss, document weights) of each of the tried factors on the sample; nothing without both labels.
+
+    Near copies with the same features count once: their number says nothing of the next text.
+    """
 
     @F.arrow_udf("array<double>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -250,15 +276,15 @@ def _fitted(sample: DataFrame, model: Model, tried: list[tuple[float, ...]]) ->
         for batch in batches:
             yield mapped(batch, lambda x: model.features(x or "", machines), pa.list_(pa.float64()))
 
-    # two numbers for each tried grammar and each kind of sampled row
-    rows = sample.select(features.asNondeterministic()("text").alias("x"), "y").groupBy("x", "y").count().collect()
+    # three numbers for each tried grammar and each kind of sampled row
+    rows = sample.select(features.asNondeterministic()("text").alias("x"), "y", "family").distinct().groupBy("x", "y").count().collect()
     y = np.repeat([float(r.y) for r in rows], [r["count"] for r in rows])
     if not 0 < y.sum() < len(y):
         return []
     order = np.argsort([str((r.x, r.y)) for r in rows])  # the same sums whatever order the rows come in
     x = np.repeat(np.array([rows[i].x for i in order]), [rows[i]["count"] for i in order], axis=0)
     y = np.repeat([float(rows[i].y) for i in order], [rows[i]["count"] for i in order])
-    fits = [(_logistic(x[:, 2 * k : 2 * k + 2], y), x[:, 2 * k : 2 * k + 2]) for k in range(len(tried))]
+    fits = [(_logistic(x[:, 3 * k : 3 * k + 3], y), x[:, 3 * k : 3 * k + 3]) for k in range(len(tried))]
     return [(_loss(w, part, y), w) for w, part in fits]
 
 
@@ -269,8 +295,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, **lexic
     keep their first values; the weights are then fitted with all of them.
     Without any labelled row the lexicon is empty and only threats score.
     """
-    sample = stored(labelled(docs, labels, "toxic", fold("id", 5) != 0, max_rows=max_rows))
-    words, stems = learn_lexicon(sample.select("text", "y"), **lexicon)
+    sample = stored(sketched(labelled(docs, labels, "toxic", fold("id", 5) != 0, max_rows=max_rows)))
+    words, stems = learn_lexicon(sample, **lexicon)
     model = Model(words, stems)
     tried = [(i, c) for i in range(len(FACTORS)) for c in CHOICES]
     losses = [x for x, _ in _fitted(sample, model, [tuple(c if k == i else f for k, f in enumerate(FACTORS)) for i, c in tried])]
