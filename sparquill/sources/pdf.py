@@ -1,21 +1,31 @@
-"""A small PDF source: pages of content operations, font widths and code maps.
-
-Reads files with classic objects, object streams and Flate streams with
-predictors.  A file is parsed once, by one task, into pages and fonts; the
-operations of its pages are read by as many tasks as the pages allow.  A row
-is one operation, so pages are never held together.
+"""A PDF data source: content operations and fonts of pages.
+
+A partition is a slice of a page range.  Its task finds the slice's objects
+through the cross-reference table and the page tree's counts, and reads these
+byte ranges alone; filters on page_no and operator are pushed into the source.
+Objects, object streams and Flate streams with predictors are read; a file
+without a usable cross-reference table is searched for its objects instead.  A
+row is one operation, so pages are never held together.  What the codes of a
+font mean is derived from its raw parts by sources/fonts.py.
 """
 
 from __future__ import annotations
 
+import io
+import json
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+
+from sparquill.sources import fonts
 
 _OBJECT = re.compile(rb"(\d+)\s+\d+\s+obj\b(.*?)\bendobj", re.S)
 _TOKEN = re.compile(
@@ -73,20 +83,6 @@ def operations(content: bytes) -> Iterator[tuple[str, list]]:
             stack = [[]]
 
 
-def parse_tounicode(text: str) -> dict[int, int]:
-    """Code -> code point of all bfchar and bfrange blocks."""
-    out: dict[int, int] = {}
-    for block in re.findall(r"beginbfchar(.*?)endbfchar", text, re.S):
-        for a, b in re.findall(r"<([0-9A-Fa-f]+)>\s*<([0-9A-Fa-f]+)>", block):
-            out[int(a, 16)] = int(b[:4], 16)
-    for block in re.findall(r"beginbfrange(.*?)endbfrange", text, re.S):
-        for a, b, one, many in re.findall(r"<([0-9A-Fa-f]+)>\s*<([0-9A-Fa-f]+)>\s*(?:<([0-9A-Fa-f]+)>|\[(.*?)\])", block, re.S):
-            lo, hi = int(a, 16), int(b, 16)
-            targets = [int(one[:4], 16) + i for i in range(hi - lo + 1)] if one else [int(x[:4], 16) for x in re.findall(r"<([0-9A-Fa-f]+)>", many)]
-            out.update(zip(range(lo, hi + 1), targets))
-    return out
-
-
 def unpredicted(data: bytes, predictor: int, columns: int, colors: int = 1, bits: int = 8) -> bytes:
     """Bytes before a TIFF (2, eight bits only) or PNG (10 and more) predictor."""
     step, width = max(1, colors * bits // 8), (columns * colors * bits + 7) // 8
@@ -150,124 +146,241 @@ class TrueType:
                         out.setdefault(c, glyph + c - first)
         return out
 
-    def characters(self) -> dict[int, int]:
-        """Glyph -> code point: that of the first range of PRIORITY that has one, else the smallest of the basic plane."""
-        rank = lambda c: next((i for i, (a, b) in enumerate(PRIORITY) if a <= c <= b), len(PRIORITY))
-        found = sorted((rank(c), c, g) for c, g in self.glyphs.items() if c <= 0xFFFD and not 0xD800 <= c <= 0xDFFF and (c >= 0x250 or rank(c) < len(PRIORITY)))
-        return {g: c for _, c, g in reversed(found)}
-
-
-# Ranges of code points that a glyph is looked for in first.
-PRIORITY = ((0x2200, 0x22FF), (0x20, 0x7E), (0xA0, 0xFF), (0x370, 0x3FF), (0x2000, 0x206F), (0x2100, 0x214F), (0x2150, 0x218F), (0x100, 0x24F))
 
-
-class Document:
-    """Objects of a file by number, those of object streams included; streams are inflated on demand."""
-
-    def __init__(self, data: bytes):
-        self.objects = {int(m[1]): m[2] for m in _OBJECT.finditer(data)}
-        for number, body in list(self.objects.items()):
+class Objects:
+    """The objects of a file by number, read by byte range.  `raw` is a file of bytes that can be sought."""
+
+    KEPT = 256  # objects in memory
+
+    def __init__(self, raw):
+        self.raw, self.size = raw, raw.seek(0, 2)
+        self.places: dict[int, tuple[int, int]] = {}  # (0, offset) or (container, index in it)
+        self.starts: list[int] = []
+        self.kept: dict[int, bytes] = {}
+        self.trailer = b""
+        if not self._listed():
+            self._searched()
+
+    def _bytes(self, start: int, end: int) -> bytes:
+        self.raw.seek(start)
+        return self.raw.read(max(0, min(end, self.size) - start))
+
+    def _listed(self) -> bool:
+        """Read the cross-reference tables and streams, the latest first; whether they lead to the page tree."""
+        found = re.findall(rb"startxref\s+(\d+)", self._bytes(max(0, self.size - 2048), self.size))
+        todo, seen = [int(x) for x in found[-1:]], set()
+        self.starts = [self.size]
+        while todo:
+            at = todo.pop(0)
+            if at in seen or at >= self.size:
+                continue
+            seen.add(at)
+            table, head = self._table(at), b""
+            if table is not None:
+                for number, offset in table[0].items():
+                    self.places.setdefault(number, (0, offset))
+                head = table[1]
+            else:
+                head = self._stream_table(at)
+            self.trailer = self.trailer or head
+            todo += [int(x) for key in (b"XRefStm", b"Prev") for x in re.findall(rb"/" + key + rb"\s+(\d+)", head)]
+        if b"/Encrypt" in self.trailer:
+            raise ValueError("the file is encrypted")
+        self.starts = sorted({o for c, o in self.places.values() if not c} | seen | {self.size})
+        root = re.search(rb"/Root\s+(\d+)", self.trailer)
+        return bool(root) and b"/Pages" in self.get(int(root[1]))
+
+    def _table(self, at: int) -> tuple[dict[int, int], bytes] | None:
+        """(offsets by number, trailer) of a classic table; None if there is none."""
+        if not self._bytes(at, at + 16).lstrip().startswith(b"xref"):
+            return None
+        step, data = 1 << 16, b""
+        while not re.search(rb"trailer.*?>>\s*startxref", data, re.S) and at + len(data) < self.size:
+            step, data = 2 * step, self._bytes(at, at + step)
+        body, _, rest = data.partition(b"trailer")
+        out: dict[int, int] = {}
+        number = 0
+        for line in body.split(b"xref", 1)[1].splitlines():
+            parts = line.split()
+            if len(parts) == 2:
+                number = int(parts[0])
+            elif len(parts) == 3:
+                if parts[2] == b"n":
+                    out[number] = int(parts[0])
+                number += 1
+        return out, rest.split(b"startxref")[0]
+
+    def _stream_table(self, at: int) -> bytes:
+        """Take in a cross-reference stream; its dictionary is the trailer."""
+        step, data = 1 << 16, self._bytes(at, at + (1 << 16))
+        while b"endstream" not in data and at + len(data) < self.size:
+            step, data = 2 * step, self._bytes(at, at + 2 * step)
+        body = data.partition(b"obj")[2]
+        head, widths = body.partition(b"stream")[0], re.search(rb"/W\s*\[\s*(\d+)\s+(\d+)\s+(\d+)", body)
+        if not widths:
+            return b""
+        w, inner = [int(x) for x in widths.groups()], inflated(body)
+        index = re.search(rb"/Index\s*\[([\d\s]*)\]", head)
+        runs = [int(x) for x in index[1].split()] if index else [0, number(head, b"Size")]
+        fields = (tuple(int.from_bytes(inner[at + sum(w[:k]) : at + sum(w[: k + 1])], "big") for k in range(3)) for at in range(0, len(inner) - sum(w) + 1, sum(w)))
+        for first, count in zip(runs[::2], runs[1::2]):
+            for n, (kind, a, b) in zip(range(first, first + count), fields):
+                kind = kind if w[0] else 1
+                if kind in (1, 2):
+                    self.places.setdefault(n, (0, a) if kind == 1 else (a, b))
+        return head
+
+    def _searched(self) -> None:
+        """Find the objects of a file whose table is missing or wrong; the last of a number stays."""
+        data = self._bytes(0, self.size)
+        found = {int(m[1]): m[2] for m in _OBJECT.finditer(data)}
+        for n, body in list(found.items()):
             if re.search(rb"/Type\s*/ObjStm\b", body):
-                self._unpack(number, body)
-
-    def _unpack(self, number: int, body: bytes) -> None:
-        first, inner = self.number(body, b"First"), self.stream(number)
-        heads = [int(x) for x in inner[:first].split()]
-        places = [*heads[1::2], len(inner) - first]
-        for n, start, end in zip(heads[::2], places, places[1:]):
-            self.objects.setdefault(n, inner[first + start : first + end])
-
-    def number(self, body: bytes, key: bytes, default: int = 0) -> int:
-        m = re.search(rb"/" + key + rb"\s+(-?\d+)", body)
-        return int(m[1]) if m else default
-
-    def ref(self, body: bytes, key: bytes) -> int | None:
-        m = re.search(rb"/" + key + rb"\s*\[?\s*(\d+)\s+\d+\s+R", body)
-        return int(m[1]) if m else None
-
-    def stream(self, number: int) -> bytes:
-        body = self.objects.get(number, b"")
-        m = re.search(rb"stream\r?\n(.*?)\r?\nendstream", body, re.S)
-        if not m:
+                for k, inner in unpacked(body).items():
+                    found.setdefault(k, inner)
+        self.places, self.kept, self.KEPT = {}, found, len(found) + 1
+        root = next((n for n, b in found.items() if re.search(rb"/Type\s*/Catalog\b", b)), None)
+        self.trailer = b"/Root %d 0 R" % root if root is not None else b""
+
+    def get(self, number: int | None) -> bytes:
+        """The body of an object; empty if there is none."""
+        if number in self.kept:
+            return self.kept[number]
+        if number not in self.places:
             return b""
-        head = body[: m.start()]
-        if b"/FlateDecode" not in head:
-            return m[1]
-        data = zlib.decompressobj().decompress(m[1])
-        return unpredicted(data, self.number(head, b"Predictor", 1), self.number(head, b"Columns", 1), self.number(head, b"Colors", 1), self.number(head, b"BitsPerComponent", 8))
+        container, at = self.places[number]
+        if container:
+            found = unpacked(self.get(container))
+        else:
+            data = self._bytes(at, self.starts[bisect_right(self.starts, at)])
+            head = re.match(rb"\s*(\d+)\s+\d+\s+obj\b", data)
+            found = {number: data[head.end() : data.rfind(b"endobj")] if head and int(head[1]) == number else b""}
+        if len(self.kept) + len(found) > self.KEPT:
+            self.kept.clear()
+        self.kept.update(found)
+        return found.get(number, b"")
+
+
+def number(body: bytes, key: bytes, default: int = 0) -> int:
+    m = re.search(rb"/" + key + rb"\s+(-?\d+)(?!\s+\d+\s+R)", body)
+    return int(m[1]) if m else default
+
+
+def ref(body: bytes, key: bytes) -> int | None:
+    m = re.search(rb"/" + key + rb"\s*\[?\s*(\d+)\s+\d+\s+R", body)
+    return int(m[1]) if m else None
+
+
+def inflated(body: bytes) -> bytes:
+    """The data of a stream object: of its Length, where that is a number and right, else up to endstream."""
+    m = re.search(rb"stream\r?\n", body)
+    if not m:
+        return b""
+    head, length = body[: m.start()], number(body[: m.start()], b"Length", -1)
+    data = body[m.end() : m.end() + length] if length >= 0 else b""
+    if length < 0 or not body[m.end() + length :].lstrip().startswith(b"endstream"):
+        data = re.sub(rb"\r?\n\Z", b"", body[m.end() :].rpartition(b"endstream")[0])
+    if b"/FlateDecode" not in head:
+        return data
+    return unpredicted(zlib.decompressobj().decompress(data), number(head, b"Predictor", 1), number(head, b"Columns", 1), number(head, b"Colors", 1), number(head, b"BitsPerComponent", 8))
+
 
-    def pages(self) -> list[int]:
-        """Page objects in the order of the page tree."""
-        root = next((n for n, b in self.objects.items() if re.search(rb"/Type\s*/Pages\b", b) and b"/Parent" not in b), None)
+def unpacked(body: bytes) -> dict[int, bytes]:
+    """The objects of an object stream."""
+    first, inner = number(body, b"First"), inflated(body)
+    heads = [int(x) for x in inner[:first].split()]
+    places = [*heads[1::2], len(inner) - first]
+    return {n: inner[first + start : first + end] for n, start, end in zip(heads[::2], places, places[1:])}
 
-        def walk(n: int) -> list[int]:
-            body = self.objects.get(n, b"")
-            kids = re.search(rb"/Kids\s*\[(.*?)\]", body, re.S)
-            return [p for k in re.findall(rb"(\d+)\s+\d+\s+R", kids[1]) for p in walk(int(k))] if kids else [n]
 
-        return walk(root) if root is not None else []
+class Document:
+    """Pages, contents and fonts of a file (bytes, or a file that can be sought)."""
+
+    def __init__(self, data):
+        self.objects = Objects(io.BytesIO(data) if isinstance(data, bytes) else data)
+        root = re.search(rb"/Root\s+(\d+)", self.objects.trailer)
+        self.root = ref(self.objects.get(int(root[1])), b"Pages") if root else None
+
+    def _kids(self, body: bytes) -> list[int]:
+        listed = re.search(rb"/Kids\s*\[(.*?)\]", body, re.S)
+        if not listed and (at := ref(body, b"Kids")) is not None:
+            listed = re.search(rb"\[(.*?)\]", self.objects.get(at), re.S)
+        return [int(k) for k in re.findall(rb"(\d+)\s+\d+\s+R", listed[1])] if listed else []
+
+    def count(self) -> int:
+        return number(self.objects.get(self.root), b"Count") if self.root is not None else 0
+
+    def pages(self, first: int = 1, end: int = 1 << 31) -> list[tuple[int, int]]:
+        """(page number, object) of the pages from first up to end; branches of the tree outside are not read."""
+        out: list[tuple[int, int]] = []
+
+        def walk(n: int, start: int) -> int:
+            body = self.objects.get(n)
+            kids = self._kids(body)
+            if not kids:
+                if first <= start < end:
+                    out.append((start, n))
+                return 1
+            count = number(body, b"Count", -1)
+            if count >= 0 and (start + count <= first or start >= end):
+                return count
+            at = start
+            for k in kids:
+                if count == len(kids) and not first <= at < end:  # every kid is a page
+                    at += 1
+                else:
+                    at += walk(k, at)
+            return at - start
+
+        if self.root is not None:
+            walk(self.root, 1)
+        return out
 
     def contents(self, page: int) -> bytes:
-        body = self.objects[page]
+        body = self.objects.get(page)
         many = re.search(rb"/Contents\s*\[(.*?)\]", body, re.S)
-        numbers = [int(n) for n in re.findall(rb"(\d+)\s+\d+\s+R", many[1])] if many else [n for n in [self.ref(body, b"Contents")] if n is not None]
-        return b"\n".join(self.stream(n) for n in numbers)
+        numbers = [int(n) for n in re.findall(rb"(\d+)\s+\d+\s+R", many[1])] if many else [n for n in [ref(body, b"Contents")] if n is not None]
+        return b"\n".join(inflated(self.objects.get(n)) for n in numbers)
 
     def fonts(self, page: int) -> dict[str, int]:
         """Font objects of a page by name, from its own or an inherited resource dictionary; names of two-byte fonts begin with cid:."""
-        body = self.objects[page]
-        while b"/Resources" not in body and (up := self.ref(body, b"Parent")) in self.objects:
-            body = self.objects[up]
-        resources = self.objects.get(self.ref(body, b"Resources"), body)
-        listed = re.search(rb"/Font\s*<<(.*?)>>", resources, re.S) or re.search(rb"<<(.*?)>>", self.objects.get(self.ref(resources, b"Font"), b""), re.S)
+        body, deep = self.objects.get(page), 0
+        while b"/Resources" not in body and deep < 64 and (up := self.objects.get(ref(body, b"Parent"))):
+            body, deep = up, deep + 1
+        resources = self.objects.get(ref(body, b"Resources")) or body
+        listed = re.search(rb"/Font\s*<<(.*?)>>", resources, re.S) or re.search(rb"<<(.*?)>>", self.objects.get(ref(resources, b"Font")), re.S)
         found = re.findall(rb"/([\w+.-]+)\s+(\d+)\s+\d+\s+R", listed[1] if listed else b"")
         return {("cid:" if self.wide(int(n)) else "") + name.decode(): int(n) for name, n in found}
 
     def wide(self, font: int) -> bool:
-        return bool(re.search(rb"/Subtype\s*/Type0\b", self.objects.get(font, b"")))
-
-    def font(self, number: int) -> tuple[dict[int, float], dict[int, int]]:
-        """Widths and code points by code.
-
-        Two-byte fonts take code points from ToUnicode, else from the embedded
-        program's character map, and widths from its advances; without a
-        program, widths from W and DW.
-        """
-        body = self.objects.get(number, b"")
-        to = self.ref(body, b"ToUnicode")
-        points = parse_tounicode(self.stream(to).decode("latin-1")) if to else {}
-        if not self.wide(number):
-            first = re.search(rb"/FirstChar\s+(\d+)", body)
-            widths = re.search(rb"/Widths\s*\[(.*?)\]", body, re.S) or re.search(rb"\[(.*?)\]", self.objects.get(self.ref(body, b"Widths"), b""), re.S)
-            return {int(first[1]) + i: float(w) / 1000 for i, w in enumerate(widths[1].split())} if first and widths else {}, points
-        inner = self.objects.get(self.ref(body, b"DescendantFonts"), b"")
+        return bool(re.search(rb"/Subtype\s*/Type0\b", self.objects.get(font)))
+
+    def font(self, n: int) -> dict:
+        """The raw parts of a font, as fonts.RAW has them: dictionaries as text, and the program's tables as rows."""
+        body, text = self.objects.get(n), lambda b: b.decode("latin-1")
+        to = ref(body, b"ToUnicode")
+        out = {"object": n, "wide": self.wide(n), "to_unicode": text(inflated(self.objects.get(to))) if to else "", "first_char": number(body, b"FirstChar", -1), "default_width": 1000.0, "widths": "", "advances": None, "glyphs": None}
+        if not out["wide"]:
+            listed = re.search(rb"/Widths\s*\[(.*?)\]", body, re.S) or re.search(rb"\[(.*?)\]", self.objects.get(ref(body, b"Widths")), re.S)
+            return out | {"widths": text(listed[1]) if listed else ""}
+        inner = self.objects.get(ref(body, b"DescendantFonts"))
         if re.match(rb"\s*\[\s*\d+\s+\d+\s+R", inner):  # the array is an object of its own
-            inner = self.objects.get(int(re.search(rb"\d+", inner)[0]), b"")
-        program = self.ref(self.objects.get(self.ref(inner, b"FontDescriptor"), b""), rb"FontFile\d?")
-        data = self.stream(program) if program else b""
+            inner = self.objects.get(int(re.search(rb"\d+", inner)[0]))
+        out["default_width"] = float(number(inner, b"DW", 1000))
+        at = re.search(rb"/W\s*(?:(\d+)\s+\d+\s+R|\[)", inner)
+        out["widths"] = text((self.objects.get(int(at[1])) if at[1] else inner[at.end() - 1 :]).split(b"/")[0]) if at else ""
+        program = ref(self.objects.get(ref(inner, b"FontDescriptor")), rb"FontFile\d?")
+        data = inflated(self.objects.get(program)) if program else b""
         if len(data) > 12 and data[:4] in (b"\0\1\0\0", b"true", b"OTTO"):
             face = TrueType(data)
-            points = {**face.characters(), **points}
-            return {code: face.advance(face.glyphs.get(c, 0)) / 1000 for code, c in points.items()}, points
-        default = self.number(inner, b"DW", 1000) / 1000
-        return {**dict.fromkeys(points, default), **self._cid_widths(inner)}, points
-
-    def _cid_widths(self, body: bytes) -> dict[int, float]:
-        """The W array: `first [w ...]` and `first last w`."""
-        at = re.search(rb"/W\s*(?:(\d+)\s+\d+\s+R|\[)", body)
-        text = self.objects.get(int(at[1]), b"") if at and at[1] else body[at.end() - 1 :] if at else b""
-        out: dict[int, float] = {}
-        for first, many, last, one in re.findall(rb"(\d+)\s*(?:\[([\d.\s]*)\]|(\d+)\s+([\d.]+))", text.split(b"/")[0]):
-            if last:
-                out.update(dict.fromkeys(range(int(first), int(last) + 1), float(one) / 1000))
-            else:
-                out.update({int(first) + i: float(w) / 1000 for i, w in enumerate(many.split())})
+            out["advances"], out["glyphs"] = face.advances, [{"codepoint": c, "glyph": g} for c, g in face.glyphs.items()]
         return out
 
 
 _VALUE = [("kind", pa.string()), ("num", pa.float32()), ("bytes", pa.binary())]
 _OPERAND = pa.struct([*_VALUE, ("items", pa.list_(pa.struct(_VALUE)))])
 OPS = "range_id int, page_no int, op_idx int, operator string, operands array<struct<kind:string,num:float,bytes:binary,items:array<struct<kind:string,num:float,bytes:binary>>>>"
+PAGE_FONTS = "range_id int, page_no int, font string, object int"
 
 
 def _value(kind, v, nested=True) -> dict:
@@ -275,62 +388,135 @@ def _value(kind, v, nested=True) -> dict:
     return out | ({"items": [_value(k, x, False) for k, x in v] if kind == "array" else None} if nested else {})
 
 
-def _parsed(spark: SparkSession, path: str, work, schema: str) -> DataFrame:
-    """work(document) -> batches, for every file that path names, each parsed by one task."""
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
-    def each(batches):
-        for batch in batches:
-            for data in batch.column(0):
-                yield from work(Document(data.as_py()))
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(each, schema)
+def opened(uri: str):
+    """A file under any URI that pyarrow opens, to be read by byte ranges."""
+    from pyarrow import fs
 
+    files, place = fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    return files.open_input_file(place)
 
-def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+# -- the data source ------------------------------------------------------------
 
 
-_FONTS = pa.list_(pa.struct([("font", pa.string()), ("object", pa.int32())]))
+@dataclass
+class Slice(InputPartition):
+    """Pages first up to end of a range of the file."""
 
+    range_id: int
+    first: int
+    end: int
 
-def pdf_pages(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """(range_id, page_no, content, fonts) of the half-open page ranges (from 1) of one file; fonts are (font, object)."""
-    names, types = ["range_id", "page_no", "content", "fonts"], [pa.int32(), pa.int32(), pa.binary(), _FONTS]
 
-    def work(doc: Document):
-        pages = doc.pages()
-        for i, (start, end) in enumerate(ranges):
-            for n in range(start, min(end, len(pages) + 1)):
-                fonts = [{"font": f, "object": o} for f, o in doc.fonts(pages[n - 1]).items()]
-                yield _batch([(i, n, doc.contents(pages[n - 1]), fonts)], names, types)
+class _Reader(DataSourceReader):
+    """Pages of half-open ranges (from 1), a partition for every `slice` pages; filters narrow pages and operators."""
 
-    return _parsed(spark, path, work, "range_id int, page_no int, content binary, fonts array<struct<font:string,object:int>>")
+    def __init__(self, options):
+        self.path, self.slice = options["path"], int(options.get("slice", 16))
+        self.ranges = [tuple(r) for r in json.loads(options.get("ranges", "[[1, 2147483647]]"))]
+        self.low, self.high, self.operators = 1, 1 << 31, None
 
+    def pushFilters(self, filters):
+        """Takes comparisons of page_no and equalities of operator; all others are left to Spark."""
+        for f in filters:
+            name, value = ".".join(f.attribute) if hasattr(f, "attribute") else "", getattr(f, "value", None)
+            if name == "page_no" and isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual | LessThan | LessThanOrEqual) and value is not None:
+                if isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual):
+                    self.low = max(self.low, value + isinstance(f, GreaterThan))
+                if isinstance(f, EqualTo | LessThan | LessThanOrEqual):
+                    self.high = min(self.high, value + (not isinstance(f, LessThan)))
+            elif name == "operator" and isinstance(f, EqualTo | In):
+                kept = {value} if isinstance(f, EqualTo) else set(value)
+                self.operators = kept if self.operators is None else self.operators & kept
+            else:
+                yield f
 
-def pdf_ops(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """Operations of the pages of one file."""
-    tasks = max(1, sum(b - a for a, b in ranges) // 16)
+    def partitions(self):
+        with opened(self.path) as raw:
+            count = Document(raw).count()
+        out = []
+        for i, (start, end) in enumerate(self.ranges):
+            start, end = max(start, self.low), min(end, self.high, count + 1)
+            out += [Slice(i, at, min(at + self.slice, end)) for at in range(start, end, self.slice)]
+        return out or [Slice(0, 1, 1)]
 
-    def work(batches):
-        for batch in batches:
-            for i, n, content in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                rows = [(i, n, k, op, [_value(*a) for a in args]) for k, (op, args) in enumerate(operations(content))]
-                yield _batch(rows, ["range_id", "page_no", "op_idx", "operator", "operands"], [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(_OPERAND)])
+    def read(self, part):
+        with opened(self.path) as raw:
+            doc = Document(raw)
+            for page, n in doc.pages(part.first, part.end) if part.first < part.end else ():
+                yield self.batch(doc, part.range_id, page, n)
 
-    return pdf_pages(spark, path, ranges).select("range_id", "page_no", "content").repartition(tasks, "page_no").mapInArrow(work, OPS)
 
+class _Operations(_Reader):
+    def batch(self, doc: Document, range_id: int, page: int, n: int) -> pa.RecordBatch:
+        found = ((k, op, args) for k, (op, args) in enumerate(operations(doc.contents(n))) if self.operators is None or op in self.operators)
+        rows = [(range_id, page, k, op, [_value(*a) for a in args]) for k, op, args in found]
+        return _batch(rows, ["range_id", "page_no", "op_idx", "operator", "operands"], [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(_OPERAND)])
 
-def pdf_fonts(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """(page_no, font, code, width, codepoint) of the pages' fonts; a font that many pages share is read once."""
 
-    def work(doc: Document):
-        pages = doc.pages()
-        numbers = {o for a, b in ranges for n in range(a, min(b, len(pages) + 1)) for o in doc.fonts(pages[n - 1]).values()}
-        for o in sorted(numbers):
-            widths, points = doc.font(o)
-            rows = [(o, c, widths.get(c), points.get(c)) for c in sorted({*widths, *points})]
-            yield _batch(rows, ["object", "code", "width", "codepoint"], [pa.int32(), pa.int32(), pa.float32(), pa.int32()])
-
-    codes = _parsed(spark, path, work, "object int, code int, width float, codepoint int")
-    used = pdf_pages(spark, path, ranges).select("page_no", F.explode("fonts").alias("f")).select("page_no", "f.font", "f.object").distinct()
-    return used.join(codes, "object").select("page_no", "font", "code", "width", "codepoint")
+class _PageFonts(_Reader):
+    def batch(self, doc: Document, range_id: int, page: int, n: int) -> pa.RecordBatch:
+        return _batch([(range_id, page, name, o) for name, o in doc.fonts(n).items()], ["range_id", "page_no", "font", "object"], [pa.int32(), pa.int32(), pa.string(), pa.int32()])
+
+
+class PdfOperations(DataSource):
+    """format("pdf_operations"): a row per content operation.  Options: path, ranges (JSON pairs), slice (pages of a partition)."""
+
+    @classmethod
+    def name(cls):
+        return "pdf_operations"
+
+    def schema(self):
+        return OPS
+
+    def reader(self, schema):
+        return _Operations(self.options)
+
+
+class PdfPageFonts(PdfOperations):
+    """format("pdf_page_fonts"): a row per page and font name, with the font's object number."""
+
+    @classmethod
+    def name(cls):
+        return "pdf_page_fonts"
+
+    def schema(self):
+        return PAGE_FONTS
+
+    def reader(self, schema):
+        return _PageFonts(self.options)
+
+
+def _load(spark: SparkSession, kind: type[DataSource], path: str, ranges: list[tuple[int, int]] | None) -> DataFrame:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(kind)
+    reader = spark.read.format(kind.name()).option("path", path)
+    return (reader if ranges is None else reader.option("ranges", json.dumps(ranges))).load()
+
+
+def pdf_ops(spark: SparkSession, path: str, ranges: list[tuple[int, int]] | None = None) -> DataFrame:
+    """Operations of the pages of one file, or of half-open page ranges (from 1) of it."""
+    return _load(spark, PdfOperations, path, ranges)
+
+
+def raw_fonts(spark: SparkSession, path: str, objects: DataFrame) -> DataFrame:
+    """The raw parts (fonts.RAW) of the fonts with the object numbers of `objects`, each read once, by its own byte ranges."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with opened(path) as raw:
+            doc = Document(raw)
+            for batch in batches:
+                for n in batch.column(0).to_pylist():
+                    yield pa.RecordBatch.from_pylist([doc.font(n)], fonts.ARROW)
+
+    return objects.select("object").distinct().mapInArrow(work, fonts.RAW)
+
+
+def pdf_fonts(spark: SparkSession, path: str, ranges: list[tuple[int, int]] | None = None) -> DataFrame:
+    """(page_no, font, code, width, codepoint) of the pages' fonts; a font that many pages share is read once."""
+    used = _load(spark, PdfPageFonts, path, ranges).select("page_no", "font", "object").distinct()
+    return used.join(fonts.codes(raw_fonts(spark, path, used)), "object").select("page_no", "font", "code", "width", "codepoint")

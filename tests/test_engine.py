@@ -12,7 +12,7 @@ from sparquill.functions import bodies, names, pseudocode, registry
 from sparquill.functions import text as T
 from sparquill.operators import dispatch, folds, glyphs, sections, tables, validate
 from sparquill.plans import manual
-from sparquill.sources import pdf, text_files, xml_archive
+from sparquill.sources import fonts, text_files, xml_archive
 
 RECTS = {
     "fit": ([(0, 100, 100, 0), (0, 50, 100, 0), (0, 50, 0, 50), (100, 50, 0, 50)], [(0, 50, 100, 100)]),
@@ -99,9 +99,10 @@ def test_strings(spark):
     assert row.t and not row.t2 and row.d == 6.0
 
 
-def test_tounicode():
+def test_tounicode(spark):
     text = "1 beginbfchar <03ab><2212> <03bb> <221E> endbfchar 1 beginbfrange <03b6><03b7><2264> <0001><0002>[<0041><0042>] endbfrange"
-    assert pdf.parse_tounicode(text) == {0x3AB: 0x2212, 0x3BB: 0x221E, 0x3B6: 0x2264, 0x3B7: 0x2265, 1: 0x41, 2: 0x42}
+    found = fonts.to_unicode(spark.createDataFrame([(1, text)], "object int, to_unicode string"))
+    assert {r.code: r.codepoint for r in found.collect()} == {0x3AB: 0x2212, 0x3BB: 0x221E, 0x3B6: 0x2264, 0x3B7: 0x2265, 1: 0x41, 2: 0x42}
 
 
 def _pdf(content: bytes) -> bytes:

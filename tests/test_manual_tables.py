@@ -10,7 +10,7 @@ from sparquill.functions import geometry
 from sparquill.functions import text as T
 from sparquill.operators import dispatch, legacy, render, reports, sections, validate
 from sparquill.plans import manual
-from sparquill.sources import pdf, text_files, xml_archive
+from sparquill.sources import fonts, pdf, text_files, xml_archive
 
 
 def _objects(parts: dict[int, bytes]) -> bytes:
@@ -106,7 +106,7 @@ def _font(glyphs: dict[int, int], advances: list[int]) -> bytes:
     return b"\0\1\0\0" + struct.pack(">HHHH", len(tables), 0, 0, 0) + head + data
 
 
-def test_two_byte_fonts():
+def test_two_byte_fonts(spark):
     # glyph 1 is both a Greek letter and a mathematical sign, which comes first
     program = _font({0x41: 3, 0x221E: 1, 0x3B1: 1, 0x222B: 2}, [0, 1348, 700, 650])
     parts = {
@@ -114,10 +114,12 @@ def test_two_byte_fonts():
         4: _stream(program), 5: _stream(b"1 beginbfchar <0007> <0041> endbfchar"), 6: b"<< /Subtype /Type0 /DescendantFonts 7 0 R /ToUnicode 5 0 R >>", 7: b"[8 0 R]", 8: b"<< /DW 900 /W [8 [554 600] 20 21 851] >>",
     }
     doc = pdf.Document(_objects(parts))
-    widths, points = doc.font(1)
-    assert points == {1: 0x221E, 2: 0x222B, 3: 0x41, 7: 0x41} and widths == {1: 1.348, 2: 0.7, 3: 0.65, 7: 0.65}
-    widths, points = doc.font(6)
-    assert points == {7: 0x41} and widths == {7: 0.9, 8: 0.554, 9: 0.6, 20: 0.851, 21: 0.851}
+    raw = spark.createDataFrame([tuple(doc.font(n).values()) for n in (1, 6)], "object int, wide boolean, to_unicode string, first_char int, default_width double, widths string, advances array<int>, glyphs array<struct<codepoint:int,glyph:int>>")
+    rows = fonts.codes(raw).collect()
+    points = lambda n: {r.code: r.codepoint for r in rows if r.object == n and r.codepoint is not None}
+    widths = lambda n: {r.code: round(r.width, 4) for r in rows if r.object == n and r.width is not None}
+    assert points(1) == {1: 0x221E, 2: 0x222B, 3: 0x41, 7: 0x41} and widths(1) == {1: 1.348, 2: 0.7, 3: 0.65, 7: 0.65}
+    assert points(6) == {7: 0x41} and widths(6) == {7: 0.9, 8: 0.554, 9: 0.6, 20: 0.851, 21: 0.851}
 
 
 def test_geometry(spark):
