@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparquill.functions import names, pseudocode, registry
 from sparquill.functions import text as T
 from sparquill.operators import dispatch, folds, render, reports, sections, tables, validate
+from sparquill.sources import fonts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -574,12 +575,16 @@ def bit_labels(table):
 
 @query(
     """
-SELECT event_id, CASE WHEN abs(code) BETWEEN 32 AND 126 THEN chr(CAST(code AS INTEGER)) ELSE '?' END AS glyph FROM (SELECT event_id, event_id % 128 AS code FROM events)
+WITH named(code, glyph) AS (VALUES (2, '≠'), (3, '≥'), (4, '≤'), (5, '*'), (6, '∞'), (7, 'π'), (8, 'Š'), (9, 'ε'), (10, 'Σ'), (11, 'σ'), (12, '√'), (130, ','), (135, '⁄'),
+  (133, '…'), (138, '-'), (149, '-'), (150, '-'), (151, '-'), (143, '≠'), (145, chr(39)), (146, chr(39)), (147, '"'), (148, '"'), (153, '™'), (171, '<<'), (174, '®'),
+  (177, '±'), (178, '²'), (179, '³'), (181, 'μ'), (188, '¼'), (189, '½'), (215, '×'), (247, '÷'))
+SELECT event_id, coalesce(glyph, CASE WHEN event_id % 256 BETWEEN 32 AND 126 THEN chr(CAST(event_id % 256 AS INTEGER)) ELSE chr(65533) END) AS glyph
+FROM events LEFT JOIN named ON code = event_id % 256
 """
 )
 def byte_glyphs(table):
-    code = (F.col("event_id") % 128).cast("int")
-    return table("events").select("event_id", F.when(code.between(32, 126), T.byte_to_text(code)).otherwise("?").alias("glyph"))
+    """Every byte as text."""
+    return table("events").select("event_id", T.byte_to_text((F.col("event_id") % 256).cast("int")).alias("glyph"))
 
 
 # -- the engine's own operators over made-up rows ---------------------------
@@ -958,3 +963,101 @@ def helper_needs(table):
     k, code = F.col("p_partkey") % 3, F.col("p_size") % 4
     mnemonic = F.concat(T.first_of((k == 0, "j"), (k == 1, "cmov"), default="set"), T.first_of((code == 0, "g"), (code == 1, "z"), (code == 2, "q"), default="ae"))
     return render.needed_helpers(table("part").select(mnemonic.alias("mnemonic"), F.array(F.lit("x")).alias("body")))
+
+
+#: A mnemonic for each of the ranked patterns, in their order (some are answered by an earlier one), and four that none fits.
+_MNEMONICS = """
+vaddpd vsubsd vmulps vdivss minsd vmaxpd paddb paddsw vpaddusb psubd vpsubsw psubusw vpmullq vpmulhuw pmuldq pmuludq pmaddwd vpmaddubsw pand pandn vpor vpxor vandps
+vandpd andnps vandnpd vorps orpd vxorps xorpd pslld psrlw vpsraw pslldq psrldq vpsllvw vpsrlvw vpsravq pcmpeqw pcmpgtb vpminsd pminud vpmaxsb vpmaxub vpabsb movaps
+movapd movups movupd vmovdqa32 vmovdqu32 vmovss movsd movd movq movlps vmovhps movlpd movhpd vmovlhps vmovhlps movmskps vmovmskpd movntps vmovntpd vmovntdq vmovntdqa
+movnti lddqu vcvt pmovzx vpunpcklb unpcklps unpckhps unpcklpd unpckhpd packssdq2ps packusdq2ps vshufps shufpd pshufd vpshufhw pshuflw vpshufb vpalignr vpblendw vpblenddb
+blendps vblendpd vblendvps vblendvpd vvpermps permb vvpermi2b vbroadcast132pd pbroadcastps vbroadcast132pd vpbroadcastps gatherx vpgatherps vscatterps vpscatterb fmaddx
+fmsub132pd fnmaddb vfnmsub132pd fmaddsubx fmsubaddps vsqrtps sqrtpd vsqrtss vsqrtsd rsqrtps rsqrtss vrcpps rcpss cmpps cmppd vcmpss vcmpsd vucomiss ucomisd vpcmpestri
+pcmpestrm vpcmpistri vpcmpistrm aesx pclmulqdq shab crc32 vhaddps haddpd hsubps hsubpd phaddd vphaddsw vphsubw phsubsw vpsadbw mpsadbw dpps vdppd vpinsrb pinsrw pinsrd
+vpinsrq insertps pextrb vpextrw pextrd vpextrq extractps vmaskmov132pd pmaskmovx vptest vvtestps vtestpd roundps vroundpd roundss vroundsd vvrndscalex pmovsxb vpmovzxx
+vcompressb vexpandb vconflictb vpternlog132pd movbe vpclmulqdq vvpclmulb vgf2p8132pd
+""".split() + ["addpx", "vxyz", "pand q", ""]
+
+
+@query(
+    """
+WITH ranks(n, rank, expression) AS (VALUES
+  (0, 0, 'b::add(o2(), o3())'), (1, 1, 'b::sub(o2(), o3())'), (2, 2, 'b::mul(o2(), o3())'), (3, 3, 'b::unsigned_div(o2(), o3())'), (4, 4, 'b::sub(o2(), o3())'),
+  (5, 5, 'b::sub(o3(), o2())'), (6, 6, 'b::add(o2(), o3())'), (7, 7, 'b::add(o2(), o3())'), (8, 8, 'b::add(o2(), o3())'), (9, 9, 'b::sub(o2(), o3())'),
+  (10, 10, 'b::sub(o2(), o3())'), (11, 11, 'b::sub(o2(), o3())'), (12, 12, 'b::mul(o2(), o3())'), (13, 13, 'b::mul(o2(), o3())'), (14, 14, 'b::mul(o2(), o3())'),
+  (15, 15, 'b::mul(o2(), o3())'), (16, 16, 'b::mul(o2(), o3())'), (17, 17, 'b::mul(o2(), o3())'), (18, 18, 'b::and(o2(), o3())'), (19, 19, 'b::and(u::not(o2()), o3())'),
+  (20, 20, 'b::or(o2(), o3())'), (21, 21, 'b::xor(o2(), o3())'), (22, 22, 'b::and(o2(), o3())'), (23, 23, 'b::and(o2(), o3())'), (24, 24, 'b::and(u::not(o2()), o3())'),
+  (25, 25, 'b::and(u::not(o2()), o3())'), (26, 26, 'b::or(o2(), o3())'), (27, 27, 'b::or(o2(), o3())'), (28, 28, 'b::xor(o2(), o3())'), (29, 29, 'b::xor(o2(), o3())'),
+  (30, 30, 'b::shl(o2(), o3())'), (31, 31, 'b::shr(o2(), o3())'), (32, 32, 'b::sar(o2(), o3())'), (33, 33, 'b::shl(o2(), o3())'), (34, 34, 'b::shr(o2(), o3())'),
+  (35, 35, 'b::shl(o2(), o3())'), (36, 36, 'b::shr(o2(), o3())'), (37, 37, 'b::sar(o2(), o3())'), (38, 38, 'b::equal(o2(), o3(), o1_size())'),
+  (39, 39, 'b::signed_less(o3(), o2(), o1_size())'), (40, 40, 'b::sub(o2(), o3())'), (41, 41, 'b::sub(o2(), o3())'), (42, 42, 'b::sub(o3(), o2())'),
+  (43, 43, 'b::sub(o3(), o2())'), (44, 44, 'o2()'), (45, 45, 'o2()'), (46, 46, 'o2()'), (47, 47, 'o2()'), (48, 48, 'o2()'), (49, 49, 'o2()'), (50, 50, 'o2()'),
+  (51, 51, 'o2()'), (52, 52, 'o2()'), (53, 53, 'o2()'), (54, 54, 'o2()'), (55, 55, 'o2()'), (56, 56, 'o2()'), (57, 57, 'o2()'), (58, 58, 'o2()'), (59, 59, 'o2()'),
+  (60, 60, 'o2()'), (61, 61, 'o2()'), (62, 62, 'o2()'), (63, 63, 'o2()'), (64, 64, 'o2()'), (65, 65, 'o2()'), (66, 66, 'o2()'), (67, 67, 'o2()'), (68, 68, 'o2()'),
+  (69, 69, 'u::zero_extend(o2())'), (70, 70, 'u::sign_extend(o2())'), (71, 71, 'o2()'), (72, 72, 'o2()'), (73, 73, 'o2()'), (74, 74, 'o2()'), (75, 75, 'o2()'),
+  (76, 76, 'o2()'), (77, 77, 'o2()'), (78, 78, 'o2()'), (79, 79, 'o2()'), (80, 80, 'o2()'), (81, 81, 'o2()'), (82, 82, 'o2()'), (83, 83, 'o2()'), (84, 84, 'o2()'),
+  (85, 85, 'o2()'), (86, 86, 'o2()'), (87, 87, 'o2()'), (88, 88, 'o2()'), (89, 89, 'o2()'), (90, 90, 'o2()'), (91, 91, 'o2()'), (92, 92, 'o2()'), (93, 91, 'o2()'),
+  (94, 94, 'o2()'), (95, 95, 'o2()'), (96, 94, 'o2()'), (97, 95, 'o2()'), (98, 98, 'o2()'), (99, 99, 'o2()'), (100, 100, 'o2()'), (101, 101, 'o2()'),
+  (102, 102, 'b::add(b::mul(o2(), o3()), o3())'), (103, 103, 'b::sub(b::mul(o2(), o3()), o3())'), (104, 104, 'b::add(u::neg(b::mul(o2(), o3())), o3())'),
+  (105, 105, 'b::sub(u::neg(b::mul(o2(), o3())), o3())'), (106, 102, 'b::add(b::mul(o2(), o3()), o3())'), (107, 103, 'b::sub(b::mul(o2(), o3()), o3())'),
+  (108, 108, 'o2()'), (109, 109, 'o2()'), (110, 110, 'o2()'), (111, 111, 'o2()'), (112, 112, 'o2()'), (113, 113, 'o2()'), (114, 114, 'o2()'), (115, 115, 'o2()'),
+  (116, 116, 'b::equal(o2(), o3(), o1_size())'), (117, 117, 'b::equal(o2(), o3(), o1_size())'), (118, 118, 'b::equal(o2(), o3(), o1_size())'),
+  (119, 119, 'b::equal(o2(), o3(), o1_size())'), (120, 120, 'b::sub(o1(), o2())'), (121, 121, 'b::sub(o1(), o2())'), (122, 122, 'o2()'), (123, 123, 'o2()'),
+  (124, 124, 'o2()'), (125, 125, 'o2()'), (126, 126, 'exception'), (127, 127, 'exception'), (128, 128, 'exception'), (129, 129, 'exception'),
+  (130, 130, 'b::add(o2(), o3())'), (131, 131, 'b::add(o2(), o3())'), (132, 132, 'b::sub(o2(), o3())'), (133, 133, 'b::sub(o2(), o3())'), (134, 134, 'b::add(o2(), o3())'),
+  (135, 135, 'b::add(o2(), o3())'), (136, 136, 'b::sub(o2(), o3())'), (137, 137, 'b::sub(o2(), o3())'), (138, 138, 'b::sub(o2(), o3())'), (139, 139, 'b::sub(o2(), o3())'),
+  (140, 140, 'b::mul(o2(), o3())'), (141, 141, 'b::mul(o2(), o3())'), (142, 142, 'o2()'), (143, 143, 'o2()'), (144, 144, 'o2()'), (145, 145, 'o2()'), (146, 146, 'o2()'),
+  (147, 147, 'o2()'), (148, 148, 'o2()'), (149, 149, 'o2()'), (150, 150, 'o2()'), (151, 151, 'o2()'), (152, 152, 'o2()'), (153, 153, 'o2()'),
+  (154, 154, 'b::and(o1(), o2())'), (155, 155, 'b::and(o1(), o2())'), (156, 156, 'b::and(o1(), o2())'), (157, 157, 'o2()'), (158, 158, 'o2()'), (159, 159, 'o2()'),
+  (160, 160, 'o2()'), (161, 161, 'o2()'), (162, 70, 'u::sign_extend(o2())'), (163, 70, 'u::sign_extend(o2())'), (164, 164, 'o2()'), (165, 165, 'o2()'), (166, 166, 'o2()'),
+  (167, 167, 'b::xor(o2(), o3())'), (168, 168, 'o2()'), (169, 127, 'exception'), (170, 170, 'exception'), (171, 171, 'exception'), (172, NULL, NULL), (173, NULL, NULL),
+  (174, NULL, NULL), (175, NULL, NULL)),
+m AS (SELECT ps_n.p_partkey, ranks.* FROM part ps_n JOIN ranks ON n = p_partkey % 176)
+SELECT p_partkey, CAST(n AS INTEGER) AS n, CAST(rank AS INTEGER) AS rank, expression = 'exception' AS raises,
+  CASE WHEN expression <> 'exception' THEN '    let assignment = assign(' || expression || ', o1(), o1_size());' END AS line
+FROM m
+"""
+)
+def pattern_ranks(table):
+    """The lowest rank that fits each mnemonic, of all ranked patterns, and the line that its body begins with."""
+    n = (F.col("p_partkey") % len(_MNEMONICS)).cast("int")
+    found = table("part").select("p_partkey", n.alias("n"), dispatch.candidate(F.element_at(F.array(*map(F.lit, _MNEMONICS)), n + 1)).alias("c"))
+    first = F.split("c.body", "\n")[0]
+    raises = F.contains(first, F.lit("exception("))
+    return found.select("p_partkey", "n", "c.rank", raises.alias("raises"), F.when(~raises, first).alias("line"))
+
+
+@query(
+    """
+WITH p AS (SELECT p_partkey AS object, p_size AS a, 1000 + p_partkey % 60000 AS c FROM part),
+e AS (
+  SELECT object, 1 AS place, a AS code, c AS codepoint FROM p UNION ALL SELECT object, 2, 1, 65 FROM p
+  UNION ALL SELECT object, 3, 16 + i, c + i FROM p, range(4) t(i)
+  UNION ALL SELECT object, 4, 32 + i, [9731, c][i + 1] FROM p, range(2) t(i)
+  UNION ALL SELECT object, 5, 48, 9731 FROM p)
+SELECT CAST(object AS INTEGER) AS object, CAST(code AS INTEGER) AS code, CAST(arg_max(codepoint, place) AS INTEGER) AS codepoint FROM e GROUP BY object, code
+"""
+)
+def unicode_maps(table):
+    """ToUnicode maps of several blocks: single characters, counted and listed ranges; later entries stay, and lists beyond a range are left out."""
+    hexed = lambda x: F.lpad(F.hex(x), 4, "0")
+    c = 1000 + F.col("p_partkey") % 60000
+    text = F.format_string(
+        "1 beginbfchar <%s> <%s> endbfchar begincmap 1 beginbfchar <0001><0041D83D> endbfchar 3 beginbfrange <0010> <0013> <%s> <20><21>[<2603> <%s> <0042>] endbfrange beginbfrange <0030><0030><2603> endbfrange",
+        hexed(F.col("p_size")), hexed(c), hexed(c), hexed(c),
+    )
+    return fonts.to_unicode(table("part").select(F.col("p_partkey").cast("int").alias("object"), text.alias("to_unicode")))
+
+
+@query(
+    """
+WITH g AS (SELECT p_size AS object, CAST(p_partkey * 37 % 9000 AS INTEGER) AS c, CAST(p_partkey % 23 AS INTEGER) AS glyph FROM part),
+r AS (SELECT *, CASE WHEN c BETWEEN 8704 AND 8959 THEN 0 WHEN c BETWEEN 32 AND 126 THEN 1 WHEN c BETWEEN 160 AND 255 THEN 2 WHEN c BETWEEN 880 AND 1023 THEN 3
+  WHEN c BETWEEN 8192 AND 8303 THEN 4 WHEN c BETWEEN 8448 AND 8527 THEN 5 WHEN c BETWEEN 8528 AND 8591 THEN 6 WHEN c BETWEEN 256 AND 591 THEN 7 ELSE 8 END AS rank FROM g)
+SELECT CAST(object AS INTEGER) AS object, glyph, arg_min(c, rank * 100000 + c) AS codepoint FROM r WHERE rank < 8 OR c >= 592 GROUP BY object, glyph
+"""
+)
+def glyph_priority(table):
+    """Glyphs back to code points: the first range of priority, then the smallest."""
+    made = table("part").select(F.col("p_size").cast("int").alias("object"), (F.col("p_partkey") * 37 % 9000).cast("int").alias("codepoint"), (F.col("p_partkey") % 23).cast("int").alias("glyph"))
+    return fonts.glyph_points(made)

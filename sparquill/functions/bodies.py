@@ -8,6 +8,8 @@ or a register are made by rule.
 
 from __future__ import annotations
 
+from sparquill.functions import patterns
+
 ALL_FLAGS = "&[&of, &sf, &zf, &af, &cf, &pf]"
 NO_CF_FLAGS = "&[&of, &sf, &zf, &af, &pf]"
 LOGIC_FLAGS = "&[&sf, &zf, &pf]"
@@ -577,53 +579,6 @@ def _words(names: str) -> str:
     return "|".join(names.split())
 
 
-def _packed() -> list[tuple[str, list[str]]]:
-    """Packed instructions by name; sources are the second and third operand, or the second alone."""
-    two = lambda op: f"b::{op}(o2(), o3())"
-    swapped = lambda op: f"b::{op}(o3(), o2())"
-    andn, product, first_product = "b::and(u::not(o2()), o3())", "b::mul(o2(), o3())", "b::add(b::mul(o2(), o3()), o3())"
-    return [
-        *((rf"v?{n}[ps][sdh]", assigned(two(op))) for n, op in (("add", "add"), ("sub", "sub"), ("mul", "mul"), ("div", "unsigned_div"), ("min", "sub"))),
-        (r"v?max[ps][sdh]", assigned(swapped("sub"))),
-        *((rf"v?p{op}([bwdq]|s[bw]|us[bw])", assigned(two(op))) for op in ("add", "sub")),
-        (r"v?pmul(l[wdq]|h[wu]?w|dq|udq)|v?pmadd(wd|ubsw)", assigned(product)),
-        *((rf"v?(p{op}[dq]?|{op}p[sd])", assigned(two(op))) for op in ("and", "or", "xor")),
-        (r"v?(pandn[dq]?|andnp[sd])", assigned(andn)),
-        (r"v?psll([wdq]|dq|v[dwq])", assigned(two("shl"))),
-        (r"v?psrl([wdq]|dq|v[dwq])", assigned(two("shr"))),
-        (r"v?psra([wd]|v[dwq])", assigned(two("sar"))),
-        (r"v?pcmpeq[bwdq]|v?cmp[ps][sd]", assigned("b::equal(o2(), o3(), o1_size())")),
-        (r"v?pcmpgt[bwdq]", assigned("b::signed_less(o3(), o2(), o1_size())")),
-        (r"v?pmin[su][bwd]", assigned(two("sub"))),
-        (r"v?pmax[su][bwd]", assigned(swapped("sub"))),
-        (r"v?pabs[bwd]", assigned("o2()")),
-        (
-            rf"v?mov({_words('aps apd ups upd ss sd d q lps hps lpd hpd lhps hlps mskps mskpd ntps ntpd ntdq ntdqa nti')}|dq[au]\d*)|v?lddqu",
-            assigned("o2()"),
-        ),
-        (r"v?cvt.*", assigned("u::zero_extend(o2())")),
-        (r"v?pmov[sz]x.*", assigned("u::sign_extend(o2())")),
-        (r"v?(punpck[lh][bwdq]+|unpck[lh]p[sd]|pack[su]s.*|shufp[sd]|pshuf(d|hw|lw|b)|palignr|pblend(w|[dv]b?)|blendv?p[sd]|(v?perm)\w+)", assigned("o2()")),
-        (r"v?p?broadcast\w*|v?p?(gather|scatter)\w*", assigned("o2()")),
-        (r"v?fmadd\w+", assigned(first_product)),
-        (r"v?fmsub\w+", assigned("b::sub(b::mul(o2(), o3()), o3())")),
-        (r"v?fnmadd\w+", assigned("b::add(u::neg(b::mul(o2(), o3())), o3())")),
-        (r"v?fnmsub\w+", assigned("b::sub(u::neg(b::mul(o2(), o3())), o3())")),
-        (r"v?(sqrt[ps][sd]|r(sqrt|cp)[ps]s)", assigned("o2()")),
-        (r"v?u?comis[sd]", assigned("b::sub(o1(), o2())")),
-        (r"v?pcmp[ei]str[im]", assigned("o2()")),
-        (r"v?aes\w+|v?pclmulqdq|sha\w+|crc32", stub(MNEMONIC)),
-        (r"v?(haddp[sd]|phadd([wd]|sw))", assigned(two("add"))),
-        (r"v?(hsubp[sd]|phsub([wd]|sw)|m?psadbw)", assigned(two("sub"))),
-        (r"v?dpp[sd]", assigned(product)),
-        (r"v?(p(insr|extr)[bwdq]|insertps|extractps|p?maskmov\w*)", assigned("o2()")),
-        (r"v?(ptest|vtestp[sd])", assigned("b::and(o1(), o2())")),
-        (r"v?(round[ps][sd]|vrndscale\w*|compress\w*|expand\w*|conflict\w*|movbe)", assigned("o2()")),
-        (r"v?pternlog\w*", assigned(two("xor"))),
-        (r"v?(vpclmul|gf2p8)\w*", stub(MNEMONIC)),
-    ]
-
-
 def _x87() -> list[tuple[str, list[str]]]:
     """What begins with f, but not fma."""
     arithmetic = (("add", "f(addp?|iadd)"), ("sub", "f(subr?p?|isubr?)"), ("mul", "f(mulp?|imul)"), ("signed_div", "f(divr?p?|idivr?)"))
@@ -691,6 +646,11 @@ def _vectors() -> list[tuple[str, list[str]]]:
     ]
 
 
-def patterns() -> list[tuple[str, str]]:
-    """Ranked (anchored pattern, body text), first match wins."""
-    return [(f"^(?:{p})$", "\n".join(lines)) for p, lines in (*_packed(), *_x87(), *_masks(), *_vectors())]
+def packed() -> dict[str, list[dict]]:
+    """The ranked patterns of packed instructions with their bodies, by the letters that a mnemonic begins with."""
+    return patterns.buckets(lambda x: stub(MNEMONIC) if x == "exception" else assigned(x))
+
+
+def families() -> list[tuple[str, str]]:
+    """Ranked (anchored pattern, body text) of the families f, k and v, for what no pattern of packed instructions fits."""
+    return [(f"^(?:{p})$", "\n".join(lines)) for p, lines in (*_x87(), *_masks(), *_vectors())]

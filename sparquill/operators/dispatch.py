@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,19 +12,29 @@ from sparquill.functions import pseudocode as P
 from sparquill.functions import text as T
 
 
-@cache
-def simd_patterns() -> list[tuple[str, str]]:
-    return bodies.patterns()
-
-
 def ranked(value: Column, rules: list[tuple[str, str]]) -> Column:
     """The expression of the first pattern that matches from the start, or null."""
     return F.coalesce(*(F.when(value.rlike(p), F.lit(x)) for p, x in rules))
 
 
+_CANDIDATES = "map<string,array<struct<rank:int,pattern:string,body:string>>>"
+
+
+def candidate(mnemonic: Column) -> Column:
+    """struct(rank, pattern, body) of the lowest rank that fits a packed instruction, or null.
+
+    The ranked table is one literal, bucketed by the two letters after a first
+    v; only the rows of a mnemonic's bucket are tried, in order of rank.
+    """
+    table = F.from_json(F.lit(json.dumps(bodies.packed())), _CANDIDATES)
+    bucket = F.try_element_at(table, F.substring(F.regexp_replace(mnemonic, "^v", ""), 1, 2))
+    return F.get(F.filter(bucket, lambda c: F.regexp_like(mnemonic, c["pattern"])), F.lit(0))
+
+
 def simd_body(mnemonic: Column) -> Column:
     """Body lines of the first pattern that an x86 mnemonic matches, or null."""
-    return F.split(F.replace(ranked(mnemonic, simd_patterns()), F.lit(bodies.MNEMONIC), mnemonic), "\n")
+    found = F.coalesce(candidate(mnemonic)["body"], ranked(mnemonic, bodies.families()))
+    return F.split(F.replace(found, F.lit(bodies.MNEMONIC), mnemonic), "\n")
 
 
 def condition_body(mnemonic: Column, arch: str) -> Column:
