@@ -33,9 +33,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def _hadoop(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
@@ -65,16 +62,14 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder; columnar, so it suits wide or many rows.
 
-    The write's shuffle files go with it: nothing reads them again.
+    The driver's JVM is asked to collect garbage, for only then does Spark
+    delete the shuffle files of finished jobs and the broadcast blocks that
+    executors still hold; there is no call that gives back the latter.
     """
-    spark = df.sparkSession
-    path, before = scratch(spark, "table"), spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    df.sparkSession._jvm.System.gc()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
