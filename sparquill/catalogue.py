@@ -407,7 +407,7 @@ _SETS = r"SELECT doc_id, list_sort(list_distinct(regexp_extract_all(text, '[!#$%
 
 
 def _sets(table) -> DataFrame:
-    every = lambda c, p: F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(p), 0)))
+    every = lambda c, p: F.sort_array(F.array_distinct(F.regexp_extract_all(c, F.lit(p), 0)))
     return table("documents").select("doc_id", every(F.col("text"), "[!#$%&|]+").alias("ops"), every(F.concat("lang", "source", F.col("n_chars").cast("string")), "[0-9]").alias("digits"))
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, bisect_right
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.functions.geometry import overlaps, rect
+from sparquill.stages import stored
 
 
 def _upto(keys: list[str], order: list[str]):
@@ -59,7 +63,13 @@ def overlapping(boxes: DataFrame, key: str, number: str) -> DataFrame:
 
 
 def _components(n: list, x0: list, y0: list, x1: list, y1: list) -> list:
-    """The smallest number of each box's group: a sweep from left to right over the boxes that are still open."""
+    """The smallest number of each box's group: a sweep from left to right.
+
+    What is open is kept as disjoint pieces of the y axis, each with a group
+    and the right edge up to which it is covered.  A box joins the groups of
+    the pieces that it meets and takes over those that end no later than it,
+    so that boxes that lie over each other do not pile up.
+    """
     parent = list(range(len(n)))
 
     def root(i):
@@ -67,13 +77,40 @@ def _components(n: list, x0: list, y0: list, x1: list, y1: list) -> list:
             parent[i] = i = parent[parent[i]]
         return i
 
-    open_: list[int] = []
+    lows: list = []
+    highs: list = []
+    held: list = []  # (a box of the group, right edge)
     for j in sorted(parent, key=x0.__getitem__):
-        open_ = [i for i in open_ if x1[i] >= x0[j]]
-        for i in open_:
-            if y0[i] <= y1[j] and y0[j] <= y1[i]:
-                parent[root(i)] = root(j)
-        open_.append(j)
+        low, high, left, right = y0[j], y1[j], x0[j], x1[j]
+        first, last = bisect_left(highs, low), bisect_right(lows, high)
+        pieces: list[list] = []
+
+        def add(start, end, owner, pieces=pieces):
+            if pieces and pieces[-1][2] == owner and pieces[-1][1] == start:
+                pieces[-1][1] = end
+            else:
+                pieces.append([start, end, owner])
+
+        at, met, tail = low, False, None  # j covers from `at` on, up to the next piece that outlasts it
+        for k in range(first, last):
+            a, b, (i, until) = lows[k], highs[k], held[k]
+            if until < left:
+                continue
+            parent[root(i)] = root(j)
+            if a < low:
+                add(a, low, (i, until))
+            if until > right:
+                if max(a, low) > at:
+                    add(at, max(a, low), (j, right))
+                add(max(a, low), min(b, high), (i, until))
+                at, met = min(b, high), True
+            if b > high:
+                tail = (high, b, (i, until))
+        if at < high or not met:
+            add(at, high, (j, right))
+        if tail:
+            add(*tail)
+        lows[first:last], highs[first:last], held[first:last] = [x[0] for x in pieces], [x[1] for x in pieces], [x[2] for x in pieces]
     least: dict[int, int] = {}
     for i, v in enumerate(n):
         r = root(i)
@@ -81,8 +118,8 @@ def _components(n: list, x0: list, y0: list, x1: list, y1: list) -> list:
     return [least[root(i)] for i in range(len(n))]
 
 
-def overlap_components(boxes: DataFrame, key: str, number: str) -> DataFrame:
-    """Every box with the smallest number of its connected group; groups never span keys, so a key (a page) is one task's unit."""
+def _labelled(boxes: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """Boxes with the smallest number of their group among those of the same keys, which are one task's unit."""
 
     @F.arrow_udf("array<bigint>")
     def label(pages: pa.Array) -> pa.Array:
@@ -93,9 +130,62 @@ def overlap_components(boxes: DataFrame, key: str, number: str) -> DataFrame:
         return pa.ListArray.from_arrays(pa.array([e - base for e in ends], pa.int32()), pa.array(out, pa.int64()))
 
     box = F.struct(F.col(number).cast("bigint").alias("n"), "x0", "y0", "x1", "y1")
-    pages = boxes.groupBy(key).agg(F.collect_list(box).alias("page"))
-    zipped = F.arrays_zip(F.col("page.n").alias("n"), label("page").alias("c"))
-    return pages.select(key, F.explode(zipped).alias("z")).select(key, F.col("z.n").alias(number), F.col("z.c").alias("component"))
+    pages = boxes.groupBy(*keys).agg(F.collect_list(box).alias("_page"))
+    zipped = F.arrays_zip(F.col("_page.n").alias("n"), label("_page").alias("c"))
+    return pages.select(*keys, F.explode(zipped).alias("_z")).select(*keys, F.col("_z.n").alias(number), F.col("_z.c").alias("component"))
+
+
+def star_components(edges: DataFrame, key: str, rounds: int = 60) -> DataFrame:
+    """(key, node, root): the smallest node that each node of the undirected edges (key, a, b) reaches, in rounds of large and small stars.
+
+    Every round is a stage written once; a node with many edges costs a partly
+    aggregated minimum.
+    """
+    now = stored(edges.where("a != b").select(key, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    said = None
+    for _ in range(rounds):
+        both = now.select(key, F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(key, "b", "a"))
+        low = both.groupBy(key, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(low, [key, "u"]).where("v > u and v != m").select(key, F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+        small = large.join(large.groupBy(key, "b").agg(F.min("a").alias("m")), [key, "b"])
+        stars = small.select(key, F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a < b").distinct()
+        now = stored(stars, "edges")
+        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64(key, "a", "b").cast("decimal(20,0)"))).first())
+        if state == said:
+            return now.select(key, F.col("b").alias("node"), F.col("a").alias("root"))
+        said = state
+    raise RuntimeError(f"the components did not settle in {rounds} rounds")
+
+
+def overlap_components(boxes: DataFrame, key: str, number: str, task_boxes: int = 50_000) -> DataFrame:
+    """Every box with the smallest number of its connected group; groups never span keys.
+
+    A key (a page) with at most task_boxes boxes is one task's unit.  A larger
+    one is cut into a grid at the quantiles of its boxes' left and lower
+    edges; a box lies in every cell that it touches, and the groups of cells
+    are joined where they share a box.  Boxes with the same four sides are one.
+    """
+    sizes = boxes.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > task_boxes)
+    most = sizes.agg(F.max("_n")).first()[0]
+    if most is None:
+        return _labelled(boxes, [key], number)
+    sides = ["x0", "y0", "x1", "y1"]
+    small = _labelled(boxes.join(sizes, key, "left_anti"), [key], number)
+    mine = boxes.join(sizes, key, "left_semi")
+    rects = stored(mine.groupBy(key, *sides).agg(F.min(F.col(number).cast("bigint")).alias("_rect")), "rects")
+    steps = math.ceil(math.sqrt(most / task_boxes)) + 1
+    shares = F.array(*(F.lit(i / steps) for i in range(1, steps)))
+    cuts = rects.groupBy(key).agg(F.percentile_approx("x0", shares, 10_000).alias("_xs"), F.percentile_approx("y0", shares, 10_000).alias("_ys"))
+    band = lambda cut, c: F.size(F.filter(cut, lambda x: x < F.col(c)))
+    spread = lambda cut, a, b: F.explode(F.sequence(band(cut, a), band(cut, b)))
+    # a cell holds what begins in it or reaches into it; a touch at a cut is within the lower cell for both sides
+    celled = rects.join(cuts, key).withColumn("_cx", spread(F.col("_xs"), "x0", "x1")).withColumn("_cy", spread(F.col("_ys"), "y0", "y1"))
+    labels = stored(_labelled(celled, [key, "_cx", "_cy"], "_rect").groupBy(key, "_rect").agg(F.min("component").alias("label"), F.collect_set("component").alias("_all")), "labels")
+    joins = labels.where(F.size("_all") > 1).select(key, F.col("label").alias("a"), F.explode("_all").alias("b"))
+    roots = star_components(joins, key).withColumnRenamed("node", "label")
+    known = labels.join(roots, [key, "label"], "left").select(key, "_rect", F.coalesce("root", "label").alias("component"))
+    large = mine.select(key, F.col(number).cast("bigint").alias(number), *sides).join(rects, [key, *sides]).join(known, [key, "_rect"])
+    return small.unionByName(large.select(key, number, "component"))
 
 
 def first_range_match(points: DataFrame, cells: DataFrame, key: str, value: str, bounds: tuple[str, str], slack: float, ids: list[str], cell: str, into: str, width: float = 4.0) -> DataFrame:

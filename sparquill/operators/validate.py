@@ -65,7 +65,7 @@ SIGNATURE = {
 
 def signature(body: Column) -> Column:
     """Sorted sets of operators, statements, flags, operands and registers of a generated body; null for null."""
-    every = lambda p: F.array_sort(F.array_distinct(F.regexp_extract_all(body, F.lit(p), 0)))
+    every = lambda p: F.sort_array(F.array_distinct(F.regexp_extract_all(body, F.lit(p), 0)))
     return F.when(body.isNotNull(), F.struct(*(every(p).alias(part) for part, p in SIGNATURE.items())))
 
 
