@@ -159,15 +159,25 @@ def write_generated(generated: DataFrame, arch: str, path: str) -> None:
 
 
 def page_dump(strings: DataFrame, pages: DataFrame) -> DataFrame:
-    """(range_id, value): the text of each page range (range_id, page_no), pages parted by a dashed line; a range is one row."""
-    ordered = lambda key, x, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, x))), lambda s: s[x]), sep)
-    whole = strings.join(pages, "page_no").groupBy("range_id", "page_no").agg(ordered("seq", "text", "\n").alias("text"))
-    return whole.groupBy("range_id").agg(ordered("page_no", "text", "\n" + "-" * 50 + "\n").alias("value"))
+    """(range_id, page_no, value): the text of each page of the ranges (range_id, page_no), its strings in order, a line each."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda s: s["text"])
+    return strings.join(pages, "page_no").groupBy("range_id", "page_no").agg(F.array_join(ordered, "\n").alias("value"))
+
+
+DASHES = "\n" + "-" * 50 + "\n"
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Write text once: nothing is done if the path exists."""
-    pages.select("value").write.mode("ignore").text(path)
+    """Write text once, pages parted by a dashed line: nothing is done if the path exists.
+
+    With range_id and page_no there is a folder a range, whose files hold runs
+    of pages in order: no task holds more than the page it writes.
+    """
+    if "range_id" in pages.columns:
+        ordered = pages.select("range_id", "page_no", "value").repartitionByRange("range_id", "page_no").sortWithinPartitions("range_id", "page_no").drop("page_no")
+        ordered.write.mode("ignore").option("lineSep", DASHES).partitionBy("range_id").text(path)
+    else:
+        pages.select("value").write.mode("ignore").option("lineSep", DASHES).text(path)
 
 
 def write_documents(files: DataFrame, folder: str, ending: str = ".md") -> DataFrame:

@@ -9,7 +9,7 @@ from sparquill.functions import registry
 from sparquill.functions import text as T
 from sparquill.functions.names import names
 from sparquill.operators import dispatch, glyphs, render, sections, tables, validate
-from sparquill.sources import pdf, text_files, xml_archive
+from sparquill.sources import named_files, pdf, text_files, xml_archive
 from sparquill.stages import stored
 
 
@@ -36,8 +36,8 @@ def manual_records(spark: SparkSession, path: str, ranges: list[tuple[int, int]]
 
 
 def manual_pages(spark: SparkSession, path: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """(range_id, value): the plain text of a manual's page ranges."""
-    ops = pdf.pdf_ops(spark, path, ranges)
+    """(range_id, page_no, value): the plain text of the pages of a manual's ranges."""
+    ops = stored(pdf.pdf_ops(spark, path, ranges), "ops")
     return render.page_dump(glyphs.joined(page_letters(ops, pdf.pdf_fonts(spark, path, ranges))), ops.select("range_id", "page_no").distinct())
 
 
@@ -54,6 +54,17 @@ def archive_files(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(T.slug(F.col("heading"), F.col("id")).alias("name"), render.archive_markdown().alias("md"))
 
 
+def save_manual(spark: SparkSession, path: str, ranges: list[tuple[int, int]], folder: str) -> None:
+    """Write one Markdown file per instruction name of a manual, all of them or none."""
+    named_files.save(manual_files(manual_records(spark, path, ranges)), folder)
+
+
+def save_archive(spark: SparkSession, path: str, folder: str) -> None:
+    """Write one Markdown file per slug of an XML archive, all of them or none; of equal slugs the greatest text stays."""
+    files = archive_files(spark, path)
+    named_files.save(files.groupBy("name").agg(F.max("md").alias("md")), folder)
+
+
 def archive_entries(spark: SparkSession, path: str) -> DataFrame:
     """(mnemonic, variant, docs) of an XML archive."""
     parsed = xml_archive.instructions(xml_archive.xml_files(spark, path))

@@ -10,7 +10,7 @@ from sparquill.functions import geometry
 from sparquill.functions import text as T
 from sparquill.operators import dispatch, legacy, render, reports, sections, validate
 from sparquill.plans import manual
-from sparquill.sources import fonts, pdf, text_files, xml_archive
+from sparquill.sources import fonts, named_files, pdf, text_files, xml_archive
 
 
 def _objects(parts: dict[int, bytes]) -> bytes:
@@ -73,6 +73,32 @@ def test_manual_tables(spark, tmp_path):
     render.write_pages(manual.manual_pages(spark, str(path), [(1, 2)]), str(tmp_path / "dump"))
     render.write_pages(spark.createDataFrame([("other",)], "value string"), str(tmp_path / "dump"))
     assert spark.read.text(str(tmp_path / "dump")).first().value == "x"
+    both = manual.manual_pages(spark, str(path), [(1, 3)])
+    assert [r.page_no for r in both.orderBy("page_no").collect()] == [1, 2]
+    render.write_pages(both, str(tmp_path / "both"))
+    found = "".join(f.read_text() for f in sorted((tmp_path / "both" / "range_id=0").glob("part-*")))
+    assert found.count("-" * 50) == 2 and found.index("ADDPD - Add") < found.index("Other Exceptions")
+    manual.save_manual(spark, str(path), [(1, 3)], str(tmp_path / "md"))
+    assert [(f.name, f.read_text()) for f in (tmp_path / "md").iterdir()] == [("ADDPD.md", manual.manual_files(records).first().md)]
+
+
+def test_named_files(spark, tmp_path):
+    """All files or none: a task that fails leaves nothing."""
+    rows = spark.createDataFrame([("a/b", "x"), ("c", None), ("d", "é")], "name string, md string")
+    named_files.save(rows, str(tmp_path / "ok"), ".txt")
+    assert {f.name: f.read_text() for f in (tmp_path / "ok").iterdir()} == {"a_b.txt": "x", "c.txt": "", "d.txt": "é"}
+    broken = rows.repartition(1).unionByName(spark.createDataFrame([(None, "y")], "name string, md string"))
+    with pytest.raises(Exception, match="no name"):
+        named_files.save(broken, str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists() or list((tmp_path / "none").iterdir()) == []
+    named_files.save(rows.limit(0), str(tmp_path / "empty"))
+
+
+def test_save_archive(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_bytes(XML)
+    manual.save_archive(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert [f.name for f in (tmp_path / "out").iterdir()] == ["A__A.md"]
 
 
 def test_predictors():
