@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparquill.sources.pdf import opened
+
 _TEXT, _LIST = pa.string(), pa.list_(pa.string())
 
 
@@ -185,24 +187,27 @@ def parse_file(filename: str, data: bytes) -> dict | None:
 
 
 def xml_files(spark: SparkSession, path: str) -> DataFrame:
-    """(filename, data) of the XML members of gzipped tar archives, or of plain XML files.
+    """(filename, data) of the XML members of tar archives, compressed or not, or of plain XML files.
 
+    An archive passes as a stream, a member at a time, so it may be larger than
+    any memory; its members are then dealt to as many tasks as the shuffle has.
     Equal base names are an error, raised when the rows are read.
     """
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for place, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for place in batch.column(0).to_pylist():
                 base = place.rsplit("/", 1)[-1]
-                if base.endswith(".xml"):
-                    yield pa.RecordBatch.from_pydict({"filename": [base], "data": [data]})
-                    continue
-                with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tar:
-                    for m in tar:
-                        if m.isfile() and m.name.endswith(".xml"):
-                            yield pa.RecordBatch.from_pydict({"filename": [m.name.rsplit("/", 1)[-1]], "data": [tar.extractfile(m).read()]})
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(members, "filename string, data binary")
+                with opened(place) as raw:
+                    if base.endswith(".xml"):
+                        yield pa.RecordBatch.from_pydict({"filename": [base], "data": [raw.read()]})
+                        continue
+                    with tarfile.open(fileobj=raw, mode="r|*") as tar:
+                        for m in tar:
+                            if m.isfile() and m.name.endswith(".xml"):
+                                yield pa.RecordBatch.from_pydict({"filename": [m.name.rsplit("/", 1)[-1]], "data": [tar.extractfile(m).read()]})
+
+    files = spark.read.format("binaryFile").load(path).select("path").mapInArrow(members, "filename string, data binary")
     return files.groupBy("filename").agg(
         F.when(F.count("*") == 1, F.first("data")).otherwise(F.raise_error(F.concat(F.lit("two files are called "), F.first("filename"))).cast("binary")).alias("data")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,9 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         given = spark.conf.get("spark.checkpoint.dir", None)
-        if given is None:
+        if given is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(given)
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="sparquill-"))  # one process: any folder is shared
     place = spark._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return sc.getCheckpointDir()
