@@ -65,16 +65,35 @@ def _together(a: list, b: list) -> bool:
 
 
 def merged(found: list[list]) -> list[list]:
-    """Texts joined with all that are near, in order: a text takes the first near one, and then what is near to both."""
-    left, out = [list(t) for t in found], []
-    while left:
-        now = left.pop(0)
-        while (at := next((i for i, o in enumerate([*out, *left]) if _together(now, o)), None)) is not None:
-            other = out.pop(at) if at < len(out) else left.pop(at - len(out))
+    """Texts joined with all that are near, in order: a text takes the first near one, and then what is near to both.
+
+    Texts are looked for in bands of the page that are as high as two texts on
+    one line can be apart; those joined before come first, then the others by
+    their places.  So work grows with the texts and with those of a line.
+    """
+    step = max((float(t[4]) for t in found), default=0.0) * 2 / 3 * 1.001 or 1.0
+    bands: dict[int, dict[tuple[int, int], list]] = {}
+    band = lambda t: int(float(t[2]) // step)
+    for i, t in enumerate(found):
+        bands.setdefault(band(t), {})[1, i] = list(t)
+    where = [band(t) for t in found]
+    done: dict[tuple[int, int], list] = {}
+    for i, at in enumerate(where):
+        now = bands[at].pop((1, i), None)
+        if now is None:  # taken by an earlier one
+            continue
+        while True:
+            here = band(now)
+            near = [(key, b) for b in (here - 1, here, here + 1) for key, o in bands.get(b, {}).items() if _together(now, o)]
+            if not near:
+                break
+            key, b = min(near)
+            other = bands[b].pop(key)
+            done.pop(key, None)
             a, b = (now, other) if now[1] < other[1] else (other, now)
             now = [a[0] + b[0], a[1], a[2], max(a[3], b[3]), max(a[4], b[4])]
-        out.append(now)
-    return out
+        done[0, i] = bands.setdefault(band(now), {})[0, i] = now
+    return list(done.values())
 
 
 def page_texts(ops: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Tables, fonts and object streams of a manual, the older reader, reports, and whole generated files."""
 
+import random
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +169,29 @@ def test_legacy_texts():
     assert [t[0] for t in legacy.merged([b, far, a])] == ["leftright", "far"]
 
 
+def _merged_by_lists(found):
+    """The plain form: a list that is searched from its start for each text."""
+    left, out = [list(t) for t in found], []
+    while left:
+        now = left.pop(0)
+        while (at := next((i for i, o in enumerate([*out, *left]) if legacy._together(now, o)), None)) is not None:
+            other = out.pop(at) if at < len(out) else left.pop(at - len(out))
+            a, b = (now, other) if now[1] < other[1] else (other, now)
+            now = [a[0] + b[0], a[1], a[2], max(a[3], b[3]), max(a[4], b[4])]
+        out.append(now)
+    return out
+
+
+def test_legacy_merging():
+    rng = random.Random(2)
+    for trial in range(300):
+        f = np.float32
+        page = [["t" * rng.randrange(1, 9), f(rng.randrange(0, 300)), f(rng.choice([700, 702, 690.5, 680, 650, 400 + rng.randrange(90)])), f(rng.choice([6, 9, 12])), f(rng.choice([0, 6, 9, 12]))] for _ in range(rng.randrange(1, 50))]
+        assert legacy.merged(page) == _merged_by_lists(page), trial
+    long = [["word", np.float32(60 * (i % 10)), np.float32(12 * (i // 10)), np.float32(9), np.float32(9)] for i in range(100_000)]
+    assert len(legacy.merged(long)) == 100_000 and legacy.merged([]) == []
+
+
 def test_legacy_records(spark):
     one = ["header", "AAA", "Opcode/", "37", "Description", "Adds.", "Operation", "x := y;", "Flags Affected", "ZF.", "Protected Mode Exceptions", "#UD", "1.\x01 note", "AAA-ASCII ", "Adjust", "Vol. 2A3-18"]
     two = ["header", "Operation", "z;", "3-19Vol. 2A", "AAA-ASCII Adjust"]
