@@ -582,6 +582,7 @@ def _words(names: str) -> str:
 def _x87() -> list[tuple[str, list[str]]]:
     """What begins with f, but not fma."""
     arithmetic = (("add", "f(addp?|iadd)"), ("sub", "f(subr?p?|isubr?)"), ("mul", "f(mulp?|imul)"), ("signed_div", "f(divr?p?|idivr?)"))
+    # Loads, stores and functions that pass the first operand, and control instructions.
     kept = """fld fild fbld fld1 fldl2t fldl2e fldpi fldlg2 fldln2 fldz fst fstp fist fistp fisttp fbstp fabs fchs frndint fsqrt fprem fprem1
     f2xm1 fyl2x fyl2xp1 fptan fpatan fsin fcos fsincos fxtract fscale fxam"""
     control = """finit fninit fclex fnclex fwait fnop fdecstp fincstp ffree ffreep fstcw fnstcw fldcw fstsw fnstsw fstenv fnstenv fldenv fsave
@@ -617,6 +618,7 @@ def _masks() -> list[tuple[str, list[str]]]:
 def _vectors() -> list[tuple[str, list[str]]]:
     """What begins with v and no narrower pattern knows."""
     two = lambda op: assigned(f"b::{op}(o2(), o3())")
+    # Beginnings of names that pass the second operand.
     passed = "mov|broadcast|compress|expand|pmov|extract|insert|gather|scatter|align[dq]|pblendm|palign"
     return [
         ("vadd.*", two("add")),
