@@ -92,13 +92,17 @@ def glyphs_in_cells(glyphs: DataFrame, cell_table: DataFrame, ids: list[str]) ->
     """(page_no, *ids, group_id, cell_id): per glyph and group, the first cell that holds the glyph's centre, with a tolerance of one.
 
     Points and cells meet in strips of a page, so a point is compared with the
-    cells of its strip only.
+    cells of its strip only, and of cells that lie over each other exactly with
+    the first.  Points are dealt by their ids, which are also the keys of the
+    result, and not by page.
     """
     strip = lambda y: F.floor(y / F.lit(_STRIP))
-    cut = cell_table.select("page_no", "group_id", "cell_id", *(F.col(x).alias(f"c_{x}") for x in ("x0", "y0", "x1", "y1")))
+    sides = [F.col(x).alias(f"c_{x}") for x in ("x0", "y0", "x1", "y1")]
+    cut = cell_table.groupBy("page_no", "group_id", *sides).agg(F.min("cell_id").alias("cell_id"))
     cut = cut.withColumn("strip", F.explode(F.sequence(strip(F.col("c_y0") - 1), strip(F.col("c_y1") + 1))))
     two = F.lit(2.0).cast("float")
     points = glyphs.withColumn("cx", (F.col("x0") + F.col("x1")) / two).withColumn("cy", (F.col("y0") + F.col("y1")) / two).withColumn("strip", strip(F.col("cy")))
+    points = points.select("page_no", *ids, "cx", "cy", "strip").repartition("page_no", *ids)
     inside = points.join(cut, ["page_no", "strip"]).where(holds_point(rect("c_"), F.col("cx"), F.col("cy")))
     return inside.groupBy("page_no", *ids, "group_id").agg(F.min("cell_id").alias("cell_id"))
 
