@@ -94,16 +94,20 @@ TABLES = "array<struct<name:string,headers:array<string>,rows:array<array<string
 def table_heading(tables: DataFrame, lines: DataFrame) -> DataFrame:
     """Tables (page_no, table_id, top) with the name of the nearest title or heading above their top, null without one; ties keep the earlier line.
 
-    Titles and headings of instruction tables give the name Instruction.
+    Titles and headings of instruction tables give the name Instruction.  Tables
+    and headings of a page are read once from its upper end down, each table
+    taking the last heading passed; at its own height it comes first.
     """
     size = T.scale_class(F.col("font_scale"))
     opcode = (size == "Title") | F.coalesce(T.detect_section(F.col("text")) == "Instruction", F.lit(False))
-    heads = lines.where(size.isin("Title", "Heading")).select(
-        "page_no", F.when(opcode, "Instruction").otherwise(F.trim("text")).alias("heading"), "seq", ((F.col("y0") + F.col("y1")) / F.lit(2.0).cast("float")).alias("cy")
+    heads = lines.where(size.isin("Title", "Heading") & F.col("page_no").isNotNull()).select(
+        "page_no", F.when(opcode, "Instruction").otherwise(F.trim("text")).alias("heading"), "seq", ((F.col("y0") + F.col("y1")) / F.lit(2.0).cast("float")).alias("_y")
     )
-    above = tables.select("page_no", "table_id", "top").join(heads, "page_no").where("cy > top")
-    best = above.groupBy("page_no", "table_id").agg(F.min_by("heading", F.struct(F.col("cy") - F.col("top"), F.col("seq"))).alias("heading"))
-    return tables.join(best, ["page_no", "table_id"], "left")
+    firsts = heads.where("_y is not null").groupBy("page_no", "_y").agg(F.min_by(F.struct("heading"), F.struct("seq")).alias("_head"))
+    both = tables.withColumn("_y", F.col("top")).unionByName(firsts, allowMissingColumns=True)
+    down = Window.partitionBy("page_no").orderBy(F.desc("_y"), F.col("_head").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = both.withColumn("_met", F.last("_head", ignorenulls=True).over(down)).where("_head is null")
+    return met.select("page_no", "table_id", *(c for c in tables.columns if c not in ("page_no", "table_id")), F.when(F.col("top").isNotNull(), F.col("_met.heading")).alias("heading"))
 
 
 def owned_tables(tables: DataFrame, route: DataFrame, lines: DataFrame, pages: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ import time
 
 from pyspark.sql import functions as F
 
-from sparquill.operators import tables
+from sparquill.operators import sections, tables
 
 CELL = "page_no int, group_id int, cell_id int, x0 float, y0 float, x1 float, y1 float"
+HEADED = "page_no int, table_id int, top float, rows array<string>"
+LINE = "page_no int, seq int, text string, font_scale double, y0 float, y1 float"
 GLYPH = "page_no int, seq int, x0 float, y0 float, x1 float, y1 float"
 
 
@@ -31,3 +33,26 @@ def test_glyphs_in_crowded_page(spark):
     glyphs = spark.range(n).select(F.lit(1).alias("page_no"), F.col("id").alias("seq"), *side(4, 4, 5, 5))
     got = tables.glyphs_in_cells(glyphs, cells, ["seq"]).groupBy("group_id", "cell_id").count().collect()
     assert sorted(map(tuple, got)) == [(0, 0, n), (1, 1, n)] and time.perf_counter() - start < 60
+
+
+def test_table_headings_of_a_page(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([1, 2, 3, None]), i, rng.choice([None, *(v / 2 for v in range(-4, 24))]), [str(i)]) for i in range(90)]
+    lines = [(rng.choice([1, 2, None]), i, rng.choice([f" Name {i} ", "Opcode", "Exceptions"]), rng.choice([9.0, 10.0, 12.0]), y, y) for i in range(60) for y in [rng.choice([None, *map(float, range(-3, 14))])]]
+    plain = {}
+    for p, t, top, _ in rows:
+        above = [(y - top, s, "Instruction" if size == 12.0 or text == "Opcode" else text.strip()) for q, s, text, size, y, _ in lines if None not in (p, q, top, y) and p == q and y > top and size > 9.5]
+        plain[t] = min(above)[2] if above else None
+    got = sections.table_heading(spark.createDataFrame(rows, HEADED), spark.createDataFrame(lines, LINE))
+    assert got.columns == ["page_no", "table_id", "top", "rows", "heading"]
+    found = {r.table_id: r for r in got.collect()}
+    assert {t: r.heading for t, r in found.items()} == plain and len(set(plain.values())) > 3
+    assert all(r.rows == [str(t)] for t, r in found.items())
+
+
+def test_table_headings_of_a_crowded_page(spark):
+    start, n = time.perf_counter(), 60_000
+    lines = spark.range(n).select(F.lit(1).alias("page_no"), F.col("id").alias("seq"), F.concat(F.lit("h"), "id").alias("text"), F.lit(10.0).alias("font_scale"), *(F.col("id").cast("double").alias(c) for c in ("y0", "y1")))
+    made = spark.range(n).select(F.lit(1).alias("page_no"), F.col("id").alias("table_id"), (F.col("id") + 0.5).cast("double").alias("top"))
+    got = sections.table_heading(made, lines)
+    assert got.where(F.col("heading") == F.concat(F.lit("h"), F.col("table_id") + 1)).count() == n - 1 and time.perf_counter() - start < 60
