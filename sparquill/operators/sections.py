@@ -18,23 +18,26 @@ def body_lines(strings: DataFrame) -> DataFrame:
     return strings.withColumn("_edge", edge).where("not _edge").drop("_edge")
 
 
+_BLOCK = 10  # pages whose numbers agree but for so many of their last bits are a block
+
+
 def routed(lines: DataFrame) -> DataFrame:
     """Lines (range_id, page_no, seq, text, font_scale) with instr_id, titled, section, section_name and segment.
 
     A title opens a record; text before the first belongs to record 1, and is
     not `titled`.  A
     section holds until the next heading or title, across pages.  Titles are
-    counted page by page first, and only these counts are summed over a whole
-    range; the other windows run over a page or a record.
+    counted by blocks of pages first, and only these counts are summed over a
+    whole range; the other windows run over a block or a record.
     """
-    page = ["range_id", "page_no"]
     sized = T.scale_class(F.col("font_scale")).isin("Title", "Heading")
     flagged = lines.withColumn("is_title", T.is_title(F.col("text")) & sized).withColumn("heading", F.when(~F.col("is_title"), T.detect_section(F.col("text"))))
-    counts = flagged.groupBy(*page).agg(F.count_if("is_title").alias("n"))
-    before = counts.select(*page, (F.sum("n").over(Window.partitionBy("range_id").orderBy("page_no")) - F.col("n")).alias("_before"))
-    upto = Window.partitionBy(*page).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = flagged.join(before, page).withColumn("_titles", F.col("_before") + F.sum(F.col("is_title").cast("int")).over(upto))
-    numbered = numbered.withColumn("instr_id", F.greatest(F.lit(1), "_titles")).withColumn("titled", F.col("_titles") > 0).drop("_before", "_titles")
+    flagged = flagged.withColumn("_block", F.shiftright("page_no", _BLOCK))
+    counts = flagged.groupBy("range_id", "_block").agg(F.count_if("is_title").alias("n"))
+    before = counts.select("range_id", "_block", (F.sum("n").over(Window.partitionBy("range_id").orderBy("_block")) - F.col("n")).alias("_before"))
+    upto = Window.partitionBy("range_id", "_block").orderBy("page_no", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = flagged.join(before, ["range_id", "_block"]).withColumn("_titles", F.col("_before") + F.sum(F.col("is_title").cast("int")).over(upto))
+    numbered = numbered.withColumn("instr_id", F.greatest(F.lit(1), "_titles")).withColumn("titled", F.col("_titles") > 0).drop("_before", "_titles", "_block")
     record = Window.partitionBy("range_id", "instr_id").orderBy("page_no", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opened = F.when(F.col("heading").isNotNull(), F.struct(F.col("heading"), F.trim("text").alias("name")))
     carried = numbered.withColumn("_open", F.last(opened, ignorenulls=True).over(record))
