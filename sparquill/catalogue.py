@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sparquill.functions import names, pseudocode, registry
 from sparquill.functions import text as T
-from sparquill.operators import dispatch, folds, render, reports, sections, tables, validate
+from sparquill.operators import dispatch, folds, forms, render, reports, sections, tables, validate
 from sparquill.sources import fonts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -638,10 +638,11 @@ FROM lineitem JOIN irs ON n = (l_orderkey + 7 * l_linenumber) % 37
 """
 )
 def expr_compile(table):
-    """Expressions compiled on the JVM, one shape of 37 a row."""
+    """Expressions compiled on the JVM, one shape of 37 a row; texts that differ in numbers alone are compiled once."""
     n = ((F.col("l_orderkey") + 7 * F.col("l_linenumber")) % len(_EXPRESSIONS)).cast("int")
     text = F.replace(F.element_at(F.array(*map(F.lit, _EXPRESSIONS)), n + 1), F.lit("#"), F.col("l_partkey").cast("string"))
-    return table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", n.alias("n"), pseudocode.compile_expression(text).alias("ir"))
+    made = table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", n.alias("n"), text.alias("text"))
+    return forms.compiled(made, "text", "ir", pseudocode.EXPRESSION).drop("text")
 
 
 #: Operations with a number (#) of either grammar: every statement, gate and branch, and every rule of the ARM table.

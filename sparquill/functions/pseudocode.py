@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def _map(table: dict[str, object]) -> Column:
     return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in table.items())), F.lit("\x01"), F.lit("\x02"))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value evaluated once."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -65,21 +66,26 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, _COMMENT, " "), F.lit(_TOKEN), 1)
 
 
-def number(token: Column) -> Column:
-    """c(...) of a decimal or a hexadecimal with suffix H; anything else is zero."""
+def digits(token: Column) -> Column:
+    """A decimal without leading zeros, or a hexadecimal with suffix H as 0x...; anything else is zero."""
     high = F.upper(token)
     return (
-        F.when(high.rlike(r"^[0-9A-F]+H\z"), F.concat(F.lit("c(0x"), F.regexp_replace(high, r"H\z", ""), F.lit(")")))
-        .when(high.rlike(r"^[0-9]+\z"), F.concat(F.lit("c("), F.regexp_replace(high, r"^0+(?=[0-9])", ""), F.lit(")")))
-        .otherwise("c(0)")
+        F.when(high.rlike(r"^[0-9A-F]+H\z"), F.concat(F.lit("0x"), F.regexp_replace(high, r"H\z", "")))
+        .when(high.rlike(r"^[0-9]+\z"), F.regexp_replace(high, r"^0+(?=[0-9])", ""))
+        .otherwise("0")
     )
 
 
+def number(token: Column) -> Column:
+    """c(...) of a number."""
+    return F.concat(F.lit("c("), digits(token), F.lit(")"))
+
+
 def lookup(names: Column | None, name: Column) -> Column:
     """The latest binding of a name in an array of (name, ir), or null."""
     if names is None:
         return _none()
-    return _let(F.filter(names, lambda n: n["name"] == name), lambda found: F.try_element_at(found, F.lit(-1))["ir"])
+    return let(F.filter(names, lambda n: n["name"] == name), lambda found: F.try_element_at(found, F.lit(-1))["ir"])
 
 
 def atom(name: Column, temps: Column | None) -> Column:
@@ -99,7 +105,7 @@ def _frame(call: Column, slots: Column | None = None, pre: Column | None = None,
 def _closed(text: Column, value: Column) -> Column:
     """text + value, with what text leaves open closed: each of its pieces opens one parenthesis more than it closes."""
     opened = lambda t: F.length(F.replace(t, F.lit(")"))) - F.length(F.replace(t, F.lit("(")))
-    return _let(text, lambda t: F.when(t == "", value).otherwise(F.concat(t, value, F.repeat(F.lit(")"), opened(t)))))
+    return let(text, lambda t: F.when(t == "", value).otherwise(F.concat(t, value, F.repeat(F.lit(")"), opened(t)))))
 
 
 def _all(frame: Column, value: Column) -> Column:
@@ -114,7 +120,7 @@ def _idle(frame: Column) -> Column:
 def _left(frame: Column, value: Column) -> Column:
     """What a frame stands for in the frame around it: its value, or that of its call, which takes the first argument only."""
     argument = F.coalesce(frame["arg"], F.when(value.isNull() & _idle(frame), F.lit("o1()")).otherwise(_all(frame, value)))
-    called = _let(F.try_element_at(_map(CALLS), frame["call"]), lambda head: F.when(head.isNull(), UNKNOWN).otherwise(_closed(head, argument)))
+    called = let(F.try_element_at(_map(CALLS), frame["call"]), lambda head: F.when(head.isNull(), UNKNOWN).otherwise(_closed(head, argument)))
     return F.when(frame["call"].isNull(), _all(frame, value)).otherwise(called)
 
 
@@ -134,7 +140,7 @@ def _operand(s: Column, value: Column, slice_: bool) -> Column:
 def _closing(s: Column) -> Column:
     """The state after the top frame ended: its value is an operand of the frame below."""
     below = _state(s, stack=F.slice(s["stack"], 1, F.size(s["stack"]) - 1), top=F.element_at(s["stack"], -1))
-    return _let(F.struct(_left(s["top"], s["value"]).alias("v"), below.alias("s")), lambda b: _operand(b["s"], b["v"], False))
+    return let(F.struct(_left(s["top"], s["value"]).alias("v"), below.alias("s")), lambda b: _operand(b["s"], b["v"], False))
 
 
 def _prepared(s: Column, token: Column, power: Column) -> Column:
@@ -154,7 +160,7 @@ def _prepared(s: Column, token: Column, power: Column) -> Column:
         return _state(s, stack=F.slice(frames, 1, at), top=top, value=_none(), slice=F.lit(False), eaten=token == ",")
 
     stops = s["value"].isNotNull() & (s["skip"] == 0) & ~s["done"] & ~continues
-    return F.when(~stops, s).otherwise(_let(F.try_element_at(calls, F.lit(-1)), lambda at: F.when(at.isNull(), _state(s, done=F.lit(True))).otherwise(ended(at))))
+    return F.when(~stops, s).otherwise(let(F.try_element_at(calls, F.lit(-1)), lambda at: F.when(at.isNull(), _state(s, done=F.lit(True))).otherwise(ended(at))))
 
 
 def _advance(s: Column, token: Column, following: Column, power: Column, temps: Column | None) -> Column:
@@ -194,9 +200,9 @@ def expression(text: Column, temps: Column | None = None) -> Column:
         F.array().cast(f"array<{_FRAME}>").alias("stack"), _frame(_none()).cast(_FRAME).alias("top"), _none().alias("value"), _none().alias("name"),
         F.lit(0).alias("skip"), F.lit(False).alias("slice"), F.lit(False).alias("done"), F.lit(False).alias("eaten"),
     )
-    step = lambda s, p: _let(_prepared(s, p["t"], p["power"]), lambda ready: _advance(ready, p["t"], p["next"], p["power"], temps))
+    step = lambda s, p: let(_prepared(s, p["t"], p["power"]), lambda ready: _advance(ready, p["t"], p["next"], p["power"], temps))
     end = lambda s: F.aggregate(F.reverse(F.concat(s["stack"], F.array(s["top"]))), s["value"], lambda v, f: _left(f, v))
-    return F.when(text.isNotNull(), F.aggregate(_let(tokens(text), pairs), start, step, end))
+    return F.when(text.isNotNull(), F.aggregate(let(tokens(text), pairs), start, step, end))
 
 
 def condition(text: Column, compat: bool = True) -> Column:
@@ -208,7 +214,7 @@ def condition(text: Column, compat: bool = True) -> Column:
     pick = lambda of: F.coalesce(*(F.when(fit, of(sign)) for sign, fit in fits))
     both = F.array(*(pick(lambda sign, i=i: F.regexp_extract(text, sides(sign), i)) for i in (1, 2)))
     made = lambda ir: pick(lambda sign: F.format_string(shapes[sign], F.element_at(ir, 1), F.element_at(ir, 2)))
-    return _let(F.transform(both, lambda side: expression(side)), made)
+    return let(F.transform(both, lambda side: expression(side)), made)
 
 
 # -- statements ---------------------------------------------------------------
@@ -255,7 +261,7 @@ def assignments(lines: Column) -> Column:
 
     def line(s: Column, raw: Column) -> Column:
         parts = lambda text: F.struct(text.alias("text"), F.regexp_extract(text, shape, 1).alias("name"), F.regexp_extract(text, shape, 2).alias("value"))
-        return _let(_let(F.regexp_replace(raw, r"[;\s]+\z", ""), parts), lambda p: read(s, p["text"], p["name"], p["value"]))
+        return let(let(F.regexp_replace(raw, r"[;\s]+\z", ""), parts), lambda p: read(s, p["text"], p["name"], p["value"]))
 
     def read(s: Column, text: Column, name: Column, value: Column) -> Column:
         n = s["lets"]
@@ -268,7 +274,7 @@ def assignments(lines: Column) -> Column:
             return F.when(name.rlike("^(?:temp|tmp)"), held).otherwise(put)
 
         raised = _made(s, name=F.concat(F.lit('exception("'), text, F.lit('")')))
-        return F.when(text.startswith("#"), raised).when(name == "", s).otherwise(_let(expression(value, s["known"]), assigned))
+        return F.when(text.startswith("#"), raised).when(name == "", s).otherwise(let(expression(value, s["known"]), assigned))
 
     return F.aggregate(lines, _fresh_body(), line)
 
@@ -311,7 +317,7 @@ def translate(operation: Column) -> Column:
         blocks = F.exists(lines, _begins("IF"))
         fits = (F.size(lines) > 0) & ~F.exists(lines, _begins("FOR")) & (F.size(lines) <= F.when(blocks, BLOCK).otherwise(FLAT))
         flat = F.struct(_none().alias("head"), F.array(lines, F.array().cast("array<string>")).alias("parts"))
-        return F.when(fits, _let(F.when(blocks, branches(lines)).otherwise(flat), lambda found: chosen(found, blocks)))
+        return F.when(fits, let(F.when(blocks, branches(lines)).otherwise(flat), lambda found: chosen(found, blocks)))
 
     def chosen(found: Column, blocks: Column) -> Column:
         head = F.coalesce(found["head"], F.lit(""))
@@ -322,12 +328,12 @@ def translate(operation: Column) -> Column:
             has_other = F.size(F.element_at(found["parts"], 2)) > 0
             line = lambda test: F.concat(F.lit("    let cond = condition("), test, F.lit(", ["), F.array_join(then["names"], ", "), F.lit("], []);"))
             simple = lambda test: F.when(test.isNotNull() & (F.size(then["names"]) > 0) & (F.size(other["names"]) == 0), F.concat(then["lets"], F.array(line(test), F.lit("    [cond].into()"))))
-            general = F.coalesce(_let(condition(head), simple), F.when(has_other, _body(other)))
+            general = F.coalesce(let(condition(head), simple), F.when(has_other, _body(other)))
             return F.when(~blocks, _body(then)).when(F.contains(F.lower(head), F.lit("64-bit")), _body(other)).when(F.contains(head, F.lit("OperandSize")), _body(then)).otherwise(general)
 
-        return _let(made, pick)
+        return let(made, pick)
 
-    return _let(clean_lines(operation), of)
+    return let(clean_lines(operation), of)
 
 
 # -- the other grammar: ranked rewriting ---------------------------------------
@@ -381,7 +387,7 @@ def rewritten(text: Column, rules: list[tuple[str, str]], names: Column | None =
     piece = lambda open_, x: F.struct(F.lit(open_).alias("open"), x.alias("text"))
 
     def answer(s: Column) -> Column:
-        ranked = [_let(lookup(names, s), lambda ir: F.when(ir.isNotNull(), F.array(piece(False, ir))))] if names is not None else []
+        ranked = [let(lookup(names, s), lambda ir: F.when(ir.isNotNull(), F.array(piece(False, ir))))] if names is not None else []
         for pattern, template in rules:
             whole = rf"(?s)\A(?:{pattern})\z"
             parts = [(i % 2 == 1, x) for i, x in enumerate(re.split(r"\{(.*?)\}", template)) if x]
@@ -389,7 +395,7 @@ def rewritten(text: Column, rules: list[tuple[str, str]], names: Column | None =
         return F.coalesce(*ranked)
 
     bare = lambda x: F.regexp_replace(x, r"^\s+|[;\s]+\z", "")
-    once = lambda items: F.flatten(F.transform(items, lambda i: F.when(i["open"], _let(bare(i["text"]), answer)).otherwise(F.array(i))))
+    once = lambda items: F.flatten(F.transform(items, lambda i: F.when(i["open"], let(bare(i["text"]), answer)).otherwise(F.array(i))))
     turn = lambda items, _: F.when(F.exists(items, lambda i: i["open"]), once(items)).otherwise(items)
     rounds = F.sequence(F.lit(1), F.length(text) + 1)
     return F.aggregate(rounds, F.array(piece(True, text)), turn, lambda items: F.array_join(F.transform(items, lambda i: i["text"]), ""))
@@ -481,7 +487,7 @@ def arm_assignments(lines: Column) -> Column:
             return F.coalesce(*ranked, s)
 
         value = F.regexp_extract(text, r"^(?:\(\w+,\s*\w+\)|\S+?(?:\[.*?\])?(?:<[^>]+>)?)\s*=\s*(.+)\z", 1)
-        return _let(value, lambda v: F.when(v == "", s).otherwise(_let(arm_expression(v, s["known"]), assigned)))
+        return let(value, lambda v: F.when(v == "", s).otherwise(let(arm_expression(v, s["known"]), assigned)))
 
     return F.aggregate(lines, _fresh_body(), line)
 
@@ -494,7 +500,7 @@ def arm_translate(operation: Column) -> Column:
         fits = F.size(lines) <= F.when(branched, BRANCHED_LINES).otherwise(FLAT_LINES)
         return F.when(fits, _body(arm_assignments(F.when(branched, unconditional(lines)).otherwise(lines))))
 
-    return F.when(arm_unsupported(operation).isNull(), _let(arm_lines(operation), of))
+    return F.when(arm_unsupported(operation).isNull(), let(arm_lines(operation), of))
 
 
 def compile_expression(text: Column) -> Column:
@@ -507,6 +513,33 @@ def compile_operation(operation: Column, arch: str) -> Column:
     return translate(operation) if arch == "x86_64" else arm_translate(operation)
 
 
+class Grammar(NamedTuple):
+    """A compiler, and the numbers that it copies without reading them.
+
+    numeral: their pattern.  alike: (pattern, name) of names that it does not
+    tell apart.  whole: texts whose numbers it does read.  written: how it
+    writes a number.
+    """
+
+    compiler: Callable[[Column], Column]
+    numeral: str
+    alike: tuple[tuple[str, str], ...] = ()
+    whole: str = ""
+    written: Callable[[Column], Column] = lambda token: token
+
+
+#: Without bindings no number and no name is copied but by number(), and no name of small letters and a digit is known.
+EXPRESSION = Grammar(compile_expression, r"(?U)(?=\d)(?<!\w)\w+", alike=((r"(?U)(?=[a-z])(?<!\w)([a-z]++)\d\w*", "$1_"),), written=digits)
+
+# Decimals that stand alone.  Left as they are: those of the headings and conditions that are compared (64-bit, 8086, bits(4)), and
+# those beside a comment, which it may have parted from others.
+_PLAIN = r"(?U)(?=[0-9])(?<!\w|\*\)|bits\()(?!(?:64|8086)(?!\w))(?:0|[1-9][0-9]*+)(?!\w|-[bB]|\(\*)"
+OPERATIONS = {
+    "x86_64": Grammar(lambda text: F.array_join(compile_operation(text, "x86_64"), "\n"), _PLAIN),
+    "arm": Grammar(lambda text: F.array_join(compile_operation(text, "arm"), "\n"), _PLAIN, whole=r"\((?:[0-9]+,\s*\w+|\w+,\s*[0-9]+)\)\s*="),  # a number as a name
+}
+
+
 def condition_of(mnemonic: Column, prefix: str, arch: str = "x86_64") -> Column:
     """The condition expression of a mnemonic that is the prefix and a condition code, or null."""
     table = X86_CONDITIONS if arch == "x86_64" else ARM_CONDITIONS
