@@ -745,11 +745,12 @@ FROM orders JOIN x86 ON k = o_orderkey % 24 JOIN arm ON m = o_orderkey % 76
 """
 )
 def operation_compile(table):
-    """Operations of both grammars compiled on the JVM, 24 and 76 shapes."""
+    """Operations of both grammars compiled on the JVM, 24 and 76 shapes; texts that differ in numbers alone are compiled once."""
     made = lambda texts: F.element_at(F.array(*map(F.lit, texts)), (F.col("o_orderkey") % len(texts)).cast("int") + 1)
     filled = lambda text: F.when(text.startswith("#"), text).otherwise(F.replace(text, F.lit("#"), F.col("o_custkey").cast("string")))
-    lines = lambda texts, arch: F.array_join(pseudocode.compile_operation(filled(made(texts)), arch), "\n")
-    return table("orders").select("o_orderkey", lines(_OPERATIONS, "x86_64").alias("x86"), lines(_ARM_OPERATIONS, "arm").alias("arm"))
+    texts = table("orders").select("o_orderkey", filled(made(_OPERATIONS)).alias("x86_text"), filled(made(_ARM_OPERATIONS)).alias("arm_text"))
+    x86 = forms.compiled(texts, "x86_text", "x86", pseudocode.OPERATIONS["x86_64"])
+    return forms.compiled(x86, "arm_text", "arm", pseudocode.OPERATIONS["arm"]).drop("x86_text", "arm_text")
 
 
 def _bodies(table) -> DataFrame:

@@ -58,7 +58,7 @@ def test_operations_by_form(spark, arch):
     assert wrong == [] and len(set(single.values())) > 300
 
 
-@pytest.mark.parametrize("name", ["expr_compile"])
+@pytest.mark.parametrize("name", ["expr_compile", "operation_compile"])
 def test_rows_are_not_folded(spark, name):
     """The fold over tokens runs for forms, and not in the plan of the rows."""
     plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
